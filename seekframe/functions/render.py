@@ -43,8 +43,8 @@ def render_text(value: Column, dtype: T.DataType, null_text: bool = False) -> Co
         text = _fraction(value.cast("string").cast("double"))
     elif isinstance(dtype, T.DoubleType):
         text = _fraction(value)
-    elif isinstance(dtype, T.TimestampType):
-        text = F.concat(F.lit('"'), F.date_format(value, "yyyy-MM-dd'T'HH:mm:ssxxx"), F.lit('"'))
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        text = F.concat(F.lit('"'), F.date_format(value.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ssxxx"), F.lit('"'))
     elif isinstance(dtype, T.DateType):
         text = F.concat(F.lit('"'), F.date_format(value, "yyyy-MM-dd"), F.lit('"'))
     elif isinstance(dtype, _NESTED):

@@ -76,7 +76,8 @@ class SearchSpec:
     def validate(self, df: DataFrame) -> None:
         """Fail early on names the table does not have."""
         wanted = [self.key, *([self.deleted] if self.deleted else [])]
-        wanted += [f for f in self.fields(df.columns).values() if isinstance(f, str)]
+        if self.enrich is None:  # enrichment may add the columns a field reads
+            wanted += [f for f in self.fields(df.columns).values() if isinstance(f, str)]
         for name in wanted:
             if column_type(df, name) is None:
                 raise ValueError(f"{self.name}: no column {name!r}")
