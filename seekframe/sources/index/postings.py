@@ -49,7 +49,7 @@ def _sorted_places(fields: Sequence[str], language: str) -> Column:
         )
         for name in fields
     ]
-    return F.array_sort(F.concat(*per_field))
+    return F.sort_array(F.concat(*per_field))
 
 
 def _with_field(name: str):

@@ -316,10 +316,9 @@ class Index:
             gone = removed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("len")).first()
             if gone["n"]:
                 parts.append("tombstones")
-        if counts["n"]:
-            parts += ["postings", "terms"]
-        elif gone["n"]:
-            parts.append("terms")
+        if self.text_fields:
+            parts += ["postings"] if counts["n"] else []
+            parts += ["terms"] if counts["n"] or gone["n"] else []
         if "terms" in parts:
             self._write_terms(new if counts["n"] else None, removed if gone["n"] else None, segment)
 

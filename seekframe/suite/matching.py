@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from seekframe.operators.match import prefix_match
 from seekframe.plans.search import search
+from seekframe.sources.tables import table
+from seekframe.spec import SearchSpec
 from seekframe.suite.registry import case
 from seekframe.suite.tables import CUSTOMER, PART, customer, part
 
@@ -62,15 +64,23 @@ def match_like(spark, folder):
     return search(part(spark, folder), PART, "o").get()
 
 
-@case("match_like_wildcard", _LIKE.format("%r_n%l%"))
+@case("match_like_wildcard", _LIKE.format("%r%r_n%"))
 def match_like_wildcard(spark, folder):
     """Percent and underscore of the search string stay wildcards."""
-    return search(part(spark, folder), PART, "r_n%l").get()
+    return search(part(spark, folder), PART, "r%r_n").get()
 
 
-@case("match_like_literal", "SELECT * FROM part WHERE contains(lower(p_name), 'r_n') OR contains(lower(p_brand), 'r_n')")
+@case("match_like_literal", "SELECT page_id, url FROM pages WHERE contains(html, '%%%') OR contains(url, '%%%')")
 def match_like_literal(spark, folder):
-    return search(part(spark, folder), PART, "r_n", literal=True).get()
+    """With the literal option they are plain characters."""
+    spec = SearchSpec("pages", "page_id", ["url", "html"])
+    return search(table(spark, folder, "pages"), spec, "%%%", literal=True).get().select("page_id", "url")
+
+
+@case("match_contains_pages", "SELECT page_id FROM pages WHERE contains(lower(url), 'page=2&')")
+def match_contains_pages(spark, folder):
+    spec = SearchSpec("pages", "page_id", {"address": "url"})
+    return search(table(spark, folder, "pages"), spec, "PAGE=2&").using("contains").get().select("page_id")
 
 
 @case("match_prefix", "SELECT * FROM part WHERE p_name ILIKE 're%' OR p_brand ILIKE '%re%' OR p_type ILIKE '%re%'")

@@ -48,7 +48,7 @@ def main(folder: str, names: list[str]) -> int:
             print(f"{name:28s} {len(got[1]):8d} {took:7.2f}s {duck:6.2f}s {verdict}", flush=True)
         except Exception as error:  # noqa: BLE001
             bad += 1
-            print(f"{name:28s} ERROR {str(error)[:600]}", flush=True)
+            print(f"{name:28s} ERROR {str(error)[:int(os.environ.get("WIDTH", 600))]}", flush=True)
             if os.environ.get("TRACE"):
                 traceback.print_exc()
     print("bad:", bad, "of", len(names or queries))
