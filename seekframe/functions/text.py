@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Sequence
 
@@ -9,7 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-WORD = r"[\p{L}\p{N}]+"
+LETTER = r"[\p{L}\p{N}]"
+NO_WORD = r"[^\p{L}\p{N}]"
+WORD = LETTER + "+"
 HARD_BREAK = r"[.!?\n]+"
 BREAK_GAP = 8
 MARK_START = "<mark>"
@@ -33,10 +36,6 @@ def let(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
-def let_bool(value: Column, fn: Callable[[Column], Column]) -> Column:
-    return F.exists(F.array(value), fn)
-
-
 def check_language(language: str) -> None:
     if language not in LANGUAGES:
         raise ValueError(f"unknown language {language!r}; use one of {LANGUAGES}")
@@ -93,13 +92,6 @@ def tokens(text: Column, language: str = "simple") -> Column:
     return F.transform(kept, lambda w: stem(w, language))
 
 
-def all_tokens(text: Column, language: str = "simple") -> Column:
-    """As ``tokens`` but stop words keep their place, so distances hold."""
-    check_language(language)
-    found = words(text)
-    return found if language == "simple" else F.transform(found, lambda w: stem(w, language))
-
-
 def placed_tokens(text: Column, language: str = "simple") -> Column:
     """array<struct<term, pos, rank_pos>>.
 
@@ -140,6 +132,42 @@ def query_terms(query: str, language: str = "simple") -> list[tuple[str, int]]:
     return [(stem_literal(w, language), i) for i, w in enumerate(query_words(query)) if w not in stops]
 
 
+def word_forms(term: str, language: str) -> list[str]:
+    """Every word whose stem is ``term``."""
+    forms = [term, term + "s"] + ([term[:-1] + "ies"] if term.endswith("y") else [])
+    return [w for w in forms if stem_literal(w, language) == term]
+
+
+def stem_root(term: str, language: str) -> str:
+    """The part all forms of a term share."""
+    return os.path.commonprefix(word_forms(term, language)) or term
+
+
+def _whole_word(forms: Sequence[str]) -> str:
+    """One of some words. The letters come first and the look around them last, so
+    that most places in a text fail at their first letter."""
+    body = "(?:" + "|".join(re.escape(w) for w in forms) + ")" if len(forms) > 1 else re.escape(forms[0])
+    return rf"{body}(?!{LETTER})(?<!{LETTER}{body})"
+
+
+def phrase_pattern(phrase: Sequence[tuple[str, int]], language: str) -> str:
+    """Regular expression of terms at given places, for a lower-case text.
+
+    Words between two terms that are too common to count still take their place.
+    """
+    parts = []
+    for i, (term, place) in enumerate(phrase):
+        if i:
+            parts.append(NO_WORD + "+" + f"(?:{WORD}{NO_WORD}+)" * (place - phrase[i - 1][1] - 1))
+        parts.append(_whole_word(word_forms(term, language)))
+    return "".join(parts)
+
+
+def any_pattern(terms: Sequence[str], language: str) -> str:
+    """Regular expression of a text that has any of the terms."""
+    return _whole_word(sorted({w for t in terms for w in word_forms(t, language)}))
+
+
 def _alternatives(terms: Sequence[str], prefix: bool) -> str:
     ordered = sorted(set(terms), key=lambda t: (-len(t), t))
     body = "|".join(re.escape(t) for t in ordered)

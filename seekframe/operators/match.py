@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.functions.render import render_text
-from seekframe.functions.text import all_tokens, let_bool, query_terms
+from seekframe.functions.text import phrase_pattern, query_terms, stem_root
 from seekframe.operators.predicates import ilike, like_pattern, literal_pattern
 from seekframe.spec import SearchSpec, column_type, evaluate, is_text
 
@@ -83,9 +83,9 @@ def fulltext(df: DataFrame, spec: SearchSpec, query: str) -> Column:
 def fulltext_match(text: Column, query: str, mode: str, language: str) -> Column:
     """Boolean word match of one text.
 
-    The text is cut into words once per row; every test then looks into the
-    spaced word string. Raw substring tests run first: most rows fail them and
-    are never cut.
+    Every word or phrase is one regular expression over the text, put into lower
+    case once, so a text is never cut into words. A plain substring test goes
+    first: it is far cheaper, and most rows fail it.
     """
     if mode == "websearch":
         groups = parse_web(query, language)
@@ -100,41 +100,21 @@ def fulltext_match(text: Column, query: str, mode: str, language: str) -> Column
     if not groups:
         return F.lit(False)
 
-    lowered = F.lower(text)
-
-    def hint(group) -> Column:
-        needed = [_stem_root(w, language) for negated, phrase in group if not negated for w, _ in phrase]
-        return reduce(and_, [lowered.contains(w) for w in needed], F.lit(True))
-
-    def test(spaced: Column) -> Column:
-        return reduce(
-            or_,
-            [
-                reduce(and_, [~_holds(spaced, p) if negated else _holds(spaced, p) for negated, p in group])
-                for group in groups
-            ],
-        )
-
-    spaced = F.concat(F.lit(" "), F.array_join(all_tokens(text, language), " "), F.lit(" "))
-    return reduce(or_, [hint(g) for g in groups]) & let_bool(spaced, test)
-
-
-def _stem_root(word: str, language: str) -> str:
-    """The part of a stem every one of its forms contains."""
-    return word[:-1] if language != "simple" and word.endswith("y") else word
-
-
-def _holds(spaced: Column, phrase: list[tuple[str, int]]) -> Column:
-    if len(phrase) == 1:
-        return spaced.contains(f" {phrase[0][0]} ")
-    gaps = [b[1] - a[1] for a, b in zip(phrase, phrase[1:])]
-    if all(g == 1 for g in gaps):
-        return spaced.contains(" " + " ".join(w for w, _ in phrase) + " ")
-    # Words between that are too common to count still take their place.
-    pattern = " " + re.escape(phrase[0][0]) + " "
-    for (word, _), gap in zip(phrase[1:], gaps):
-        pattern += "[^ ]+ " * (gap - 1) + re.escape(word) + " "
-    return spaced.rlike(pattern)
+    def test(lowered: Column) -> Column:
+        tests = []
+        for group in groups:
+            parts = [holds(lowered, phrase, language) for negated, phrase in group if not negated]
+            parts += [~holds(lowered, phrase, language) for negated, phrase in group if negated]
+            tests.append(reduce(and_, parts))
+        return reduce(or_, tests)
+
+    return F.exists(F.array(F.lower(text)), test)
+
+
+def holds(lowered: Column, phrase: list[tuple[str, int]], language: str) -> Column:
+    """Whether a lower-case text has the words of a phrase at their distances."""
+    needed = [lowered.contains(stem_root(w, language)) for w, _ in phrase]
+    return reduce(and_, needed) & lowered.rlike(phrase_pattern(phrase, language))
 
 
 def parse_web(query: str, language: str) -> list[list[tuple[bool, list[tuple[str, int]]]]]:

@@ -140,7 +140,8 @@ def _value_frame(df: DataFrame, name: str, values: list) -> DataFrame:
 def apply_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> DataFrame:
     """Keep rows whose value is in the list. A list may be a one-column DataFrame."""
     if isinstance(values, DataFrame):
-        wanted = values.select(F.col(values.columns[0]).alias("__value"))
+        # Distinct values: a value that fills the list is merged before it is sent.
+        wanted = values.select(F.col(values.columns[0]).alias("__value")).distinct()
         return df.join(wanted, F.col(name) == F.col("__value"), "left_semi")
     listed = list(values)
     dtype = _require(df, name)
@@ -154,7 +155,7 @@ def apply_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> DataFram
 def apply_not_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> DataFrame:
     """Drop rows whose value is in the list; a null value is dropped as in SQL."""
     if isinstance(values, DataFrame):
-        unwanted = values.select(F.col(values.columns[0]).alias("__value"))
+        unwanted = values.select(F.col(values.columns[0]).alias("__value")).distinct()
         # SQL: nothing is NOT IN a list with a null, everything is NOT IN an empty one.
         facts = unwanted.agg(
             F.struct(F.count(F.lit(1)).alias("n"), F.count("__value").alias("filled"))

@@ -8,7 +8,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.functions.text import let, placed_tokens, tokens
+from seekframe.functions.text import any_pattern, let, placed_tokens, tokens
+from seekframe.operators.spread import spread
 
 # Fixed values of the BM25 formula.
 K1 = 1.2
@@ -36,7 +37,7 @@ def bm25(
 
 
 def occurrences(ts: Column, term: str) -> Column:
-    return F.size(F.filter(ts, lambda w: w == term))
+    return F.size(ts) - F.size(F.array_remove(ts, term))
 
 
 def _profile(text: Column, terms: list[str], language: str) -> Column:
@@ -51,7 +52,7 @@ def _profile(text: Column, terms: list[str], language: str) -> Column:
 
 def corpus_facts(df: DataFrame, text: Column, terms: list[str], language: str) -> DataFrame:
     """One row: documents, mean length and document frequency of each term."""
-    p = df.select(_profile(text, terms, language).alias("p"))
+    p = spread(df.select(text.alias("t"))).select(_profile(F.col("t"), terms, language).alias("p"))
     return p.agg(
         F.count(F.lit(1)).cast("double").alias("n_docs"),
         F.avg("p.n").alias("mean_length"),
@@ -59,16 +60,22 @@ def corpus_facts(df: DataFrame, text: Column, terms: list[str], language: str) -
     )
 
 
-def scan_scores(df: DataFrame, corpus: DataFrame, text: Column, terms: list[str], language: str) -> DataFrame:
+def scan_scores(
+    df: DataFrame, corpus: DataFrame, text: Column, terms: list[str], language: str, matched_only: bool = False
+) -> DataFrame:
     """Add ``_score`` to the rows of ``df`` by BM25 over ``corpus``, without an index.
 
     Corpus statistics are one partial aggregate over a narrow scan, read back as
-    a scalar subquery: one row is exchanged and nothing is joined.
+    a scalar subquery: one row is exchanged and nothing is joined. ``matched_only``
+    drops rows without any of the terms before they are scored.
     """
     if not terms:
-        return df.withColumn("_score", F.lit(0.0))
+        scored = df.withColumn("_score", F.lit(0.0))
+        return scored.where(F.lit(False)) if matched_only else scored
+    if matched_only:
+        df = df.where(F.lower(text).rlike(any_pattern(terms, language)))
     facts = corpus_facts(corpus, text, terms, language).select(F.struct("*")).scalar()
-    profiled = df.withColumn("__p", _profile(text, terms, language)).withColumn("__f", facts)
+    profiled = spread(df).withColumn("__p", _profile(text, terms, language)).withColumn("__f", facts)
     score = bm25(
         [F.col(f"__p.t{i}") for i in range(len(terms))],
         [F.col(f"__f.df{i}") for i in range(len(terms))],

@@ -1,0 +1,21 @@
+"""Even out a small input before work that is heavy per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Bytes per core below which Spark would not split a file further by itself.
+SMALL_SPLIT = 4 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out to all cores.
+
+    A small Parquet file is one task however heavy its rows are. The size is
+    Spark's own estimate; an input over 4 MB per core already has a task for each
+    core and is left alone, so what is moved stays small on any cluster.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * SMALL_SPLIT else df

@@ -131,7 +131,7 @@ def _declared(index: Index, s: Search) -> None:
     filters = [w[0] for w in s.wheres] + list(s.where_ins) + list(s.where_not_ins)
     for kind, used, allowed in (
         ("filterable", filters, m.filterable),
-        ("sortable", [n for n, _ in s.orders], m.sortable),
+        ("sortable", [n for n, _ in (*s.options.get("sort", ()), *s.orders)], m.sortable),
     ):
         for name in used:
             if name not in index.schema.names:
@@ -145,8 +145,8 @@ def index_strategy(s: Search) -> Matched:
     _declared(index, s)
     key = index.key
     flag = SOFT_FLAG if SOFT_FLAG in index.schema.names else None
-    needs_docs = bool(s.wheres or s.where_ins or s.where_not_ins or s.orders or s.custom_fn)
     explicit = s.sort_columns()
+    needs_docs = bool(s.wheres or s.where_ins or s.where_not_ins or explicit or s.custom_fn)
 
     if s.query in ("", MATCH_ALL):
         docs = apply_trashed(index.docs(), s.trashed, None, flag)

@@ -7,7 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seekframe.operators.hydrate import MAX_BROADCAST_HITS
+from seekframe.session import shared_dir
+
 DEFAULT_PER_PAGE = 15
+# Rows before a page that a task may keep in memory.
+DEEP_SKIP = 100_000
+# Bits of a monotonically increasing id that count rows inside a task.
+ROW_BITS = 2**33 - 1
 
 
 @dataclass(frozen=True)
@@ -18,11 +25,48 @@ class Page:
     info: DataFrame
 
 
-def page_slice(df: DataFrame, order: list[Column], per_page: int, page: int, extra: int = 0) -> DataFrame:
-    """Rows of one page: a top-k per task and one small merge, never a full sort."""
+def page_slice(
+    df: DataFrame, order: list[Column], per_page: int, page: int, key: str, extra: int = 0
+) -> DataFrame:
+    """Rows of one page: a top-k per task and one small merge, never a full sort.
+
+    A page that lies deep would make every task keep all rows before it; it is
+    found by row numbers instead.
+    """
+    skip, size = (page - 1) * per_page, per_page + extra
+    if skip > DEEP_SKIP:
+        return _deep_slice(df, order, skip, size, key)
     ordered = df.orderBy(*order)
-    skip = (page - 1) * per_page
-    return (ordered.offset(skip) if skip > 0 else ordered).limit(per_page + extra)
+    return (ordered.offset(skip) if skip > 0 else ordered).limit(size)
+
+
+def _deep_slice(df: DataFrame, order: list[Column], skip: int, size: int, key: str) -> DataFrame:
+    """Sort the keys once over all tasks and write them with their place in their
+    task; the row counts of the tasks then tell which few of them hold the page."""
+    spark = df.sparkSession
+    placed = df.orderBy(*order).select(
+        F.col(key).alias("__key"),
+        F.spark_partition_id().alias("__task"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)).alias("__row"),
+    )
+    path = shared_dir(spark)
+    placed.write.parquet(path)
+    written = spark.read.parquet(path)
+    # One row per task of the sort.
+    counts = written.groupBy("__task").agg(F.count(F.lit(1)).alias("n")).orderBy("__task").collect()
+    start, page = 0, written.where(F.lit(False)).withColumn("__place", F.lit(0).cast("bigint"))
+    base, tasks = F.lit(None).cast("bigint"), []
+    for row in counts:
+        if start < skip + size and start + row["n"] > skip:
+            base = F.when(F.col("__task") == row["__task"], F.lit(start).cast("bigint")).otherwise(base)
+            tasks.append(row["__task"])
+        start += row["n"]
+    if tasks:
+        numbered = written.where(F.col("__task").isin(tasks)).withColumn("__place", base + F.col("__row"))
+        page = numbered.where((F.col("__place") >= skip) & (F.col("__place") < skip + size))
+    keys = page.select("__key")
+    keys = F.broadcast(keys) if size <= MAX_BROADCAST_HITS else keys
+    return df.join(keys, F.col(key) == F.col("__key"), "left_semi").orderBy(*order)
 
 
 def page_info(total: DataFrame, page_count: Column, per_page: int, page: int) -> DataFrame:

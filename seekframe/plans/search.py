@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from seekframe.functions.text import query_terms
-from seekframe.operators.hydrate import hydrate
+from seekframe.operators.hydrate import MAX_BROADCAST_HITS, hydrate
 from seekframe.operators.match import contains_any, joined_text, like_any
 from seekframe.operators.predicates import apply_in, apply_not_in, apply_trashed, apply_wheres
 from seekframe.operators.rank import scan_scores, with_position
@@ -130,11 +130,15 @@ class Search:
     # ---- building blocks for strategies ----------------------------------
 
     def sort_columns(self) -> list[Column] | None:
-        """Explicit order: a column keeps its first place and its last direction."""
-        if not self.orders:
+        """Explicit order: a column keeps its first place and its last direction.
+
+        A ``sort`` option, pairs of name and direction, comes before ``order_by``.
+        """
+        orders = (*self.options.get("sort", ()), *self.orders)
+        if not orders:
             return None
         folded: dict[str, str] = {}
-        for name, way in self.orders:
+        for name, way in orders:
             folded[name] = way
         columns = [
             F.col(n).asc_nulls_first() if way == "asc" else F.col(n).desc_nulls_last() for n, way in folded.items()
@@ -189,14 +193,12 @@ class Search:
         found = self.matched()
         cap = self._cap()
         hits = found.hits.orderBy(*found.order)
-        if cap is not None:
-            hits = with_position(hits.limit(cap), found.order)
+        hits = _placed(hits if cap is None else hits.limit(cap), found.order, cap)
         docs = self.index.docs()
         attributes = self.options.get("attributes")
         if attributes is not None:
             docs = docs.select(*dict.fromkeys([self.spec.key, *attributes]))
-        joined = hydrate(hits, docs, self.spec.key, n_hits=cap)
-        return joined.orderBy("_position") if cap is not None else joined.orderBy(*found.order)
+        return hydrate(hits, docs, self.spec.key, n_hits=cap).orderBy("_position")
 
     def keys(self) -> DataFrame:
         return self.raw().select(self.spec.key)
@@ -214,7 +216,7 @@ class Search:
         """A page with its total. A limit set by ``take`` plays no part."""
         per_page, page = per_page or DEFAULT_PER_PAGE, max(1, page or 1)
         found = self.matched()
-        hits = page_slice(found.hits, found.order, per_page, page)
+        hits = page_slice(found.hits, found.order, per_page, page, self.spec.key)
         rows = self._rows(hits, found.order, per_page)
         return Page(rows, page_info(self.total(), self._page_count(rows, per_page, page), per_page, page))
 
@@ -222,15 +224,15 @@ class Search:
         """A page that only tells whether another one follows: nothing is counted."""
         per_page, page = per_page or DEFAULT_PER_PAGE, max(1, page or 1)
         found = self.matched()
-        probe = page_slice(found.hits, found.order, per_page, page, extra=1)
-        hits = page_slice(found.hits, found.order, per_page, page)
+        probe = page_slice(found.hits, found.order, per_page, page, self.spec.key, extra=1)
+        hits = page_slice(found.hits, found.order, per_page, page, self.spec.key)
         return Page(self._rows(hits, found.order, per_page), simple_info(probe, per_page, page))
 
     def paginate_raw(self, per_page: int | None = None, page: int | None = None) -> Page:
         """As ``paginate``, with hits (after the raw hook) in place of rows."""
         per_page, page = per_page or DEFAULT_PER_PAGE, max(1, page or 1)
         found = self.matched()
-        hits = page_slice(found.hits, found.order, per_page, page)
+        hits = page_slice(found.hits, found.order, per_page, page, self.spec.key)
         if self.raw_fn is not None:
             hits = hits.transform(self.raw_fn)
         info = page_info(self.total(), self._page_count(hits, per_page, page, hooked=self.raw_fn), per_page, page)
@@ -259,15 +261,19 @@ class Search:
             hooked = hits if self.raw_fn is None else hits.transform(self.raw_fn)
             hooked = hooked if self.post is None else hooked.transform(self.post)
             return hooked.orderBy(*order)
-        if n_hits is not None:
-            hits = with_position(hits, order)
+        hits = _placed(hits, order, n_hits)
         if self.raw_fn is not None:
             hits = hits.transform(self.raw_fn)
         rows = self.source if self.post is None else self.source.transform(self.post)
-        if n_hits is not None:
-            return hydrate(hits, rows, self.spec.key, n_hits=n_hits).orderBy("_position")
-        # Without a limit there is no position: carry the hit's sort values instead.
-        return hydrate(hits, rows, self.spec.key).orderBy(*order)
+        return hydrate(hits, rows, self.spec.key, n_hits=n_hits).orderBy("_position")
+
+
+def _placed(hits: DataFrame, order: list[Column], n_hits: int | None) -> DataFrame:
+    """Hits with a ``_position`` that sorts them: 1, 2, ... on a page, else an id
+    that grows along the sorted hits without gathering them in one task."""
+    if n_hits is not None and n_hits <= MAX_BROADCAST_HITS:
+        return with_position(hits, order)
+    return hits.withColumn("_position", F.monotonically_increasing_id())
 
 
 def search(source: DataFrame, spec: SearchSpec, query: str = "", **options) -> Search:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from seekframe.functions.hashing import fingerprint, key_hash
 from seekframe.functions.render import TEXT_TYPES
+from seekframe.operators.spread import spread
 from seekframe.sources.index.manifest import Files, Manifest, Versions
 from seekframe.sources.index.postings import (
     LENGTH,
@@ -38,6 +39,7 @@ from seekframe.sources.index.postings import (
 )
 from seekframe.spec import SOFT_FLAG, SearchSpec, documents
 
+Listener = Callable[[dict], None]
 MODES = ("upsert", "create", "update", "emplace")
 
 
@@ -77,10 +79,11 @@ def _emplaced(name: str, is_new: bool, is_old: bool) -> Column:
 class Index:
     """One index at one version; writes return the index at the next version."""
 
-    def __init__(self, spark: SparkSession, files: Files, manifest: Manifest):
+    def __init__(self, spark: SparkSession, files: Files, manifest: Manifest, listeners: Sequence[Listener] = ()):
         self.spark = spark
         self.manifest = manifest
         self._files = files
+        self._listeners = listeners
         self._versions = Versions(files, f"{manifest.name}/_manifest")
 
     @property
@@ -92,10 +95,10 @@ class Index:
         return self.manifest.key
 
     def refresh(self) -> "Index":
-        return Index(self.spark, self._files, Manifest(**self._versions.latest()))
+        return Index(self.spark, self._files, Manifest(**self._versions.latest()), self._listeners)
 
     def at_version(self, version: int) -> "Index":
-        return Index(self.spark, self._files, Manifest(**self._versions.at(version)))
+        return Index(self.spark, self._files, Manifest(**self._versions.at(version)), self._listeners)
 
     # ---- reads ----------------------------------------------------------
 
@@ -376,7 +379,11 @@ class Index:
     def _publish(self, manifest: Manifest) -> "Index":
         if not self._versions.publish(manifest.version, manifest.to_dict()):
             raise IndexWriteError(f"{manifest.name}: version {manifest.version} was written by another job")
-        return Index(self.spark, self._files, manifest)
+        commit = manifest.last_commit
+        if commit is not None and commit != self.manifest.last_commit:
+            for listener in self._listeners:
+                listener({"index": manifest.name, "version": manifest.version, **commit})
+        return Index(self.spark, self._files, manifest, self._listeners)
 
     def _conform(self, docs: DataFrame) -> DataFrame:
         """Cast to the declared schema; a value that does not fit fails the write."""
@@ -390,7 +397,7 @@ class Index:
         return docs.select(*columns)
 
     def _write_docs(self, docs: DataFrame, segment: str) -> DataFrame:
-        laid = docs.withColumn(LENGTH, text_length(self.text_fields, self.manifest.language)).withColumn(
+        laid = spread(docs).withColumn(LENGTH, text_length(self.text_fields, self.manifest.language)).withColumn(
             "bucket", bucket_of(F.col(self.key), self.manifest.buckets)
         )
         path = f"{self.path}/docs/seg={segment}"
@@ -452,12 +459,16 @@ class Index:
 
 
 class Catalog:
-    """Indexes and aliases below one folder."""
+    """Indexes and aliases below one folder.
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
+    ``listeners`` are told the facts of every commit (import, delete, flush).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "", listeners: Sequence[Listener] = ()):
         self.spark = spark
         self.prefix = prefix
         self._files = Files(spark, root)
+        self._listeners = tuple(listeners)
 
     def names(self) -> list[str]:
         return [n for n in self._files.names() if not n.startswith(("_", ".")) and n.startswith(self.prefix)]
@@ -471,7 +482,7 @@ class Catalog:
             declared = json.loads(schema.json()) if schema is not None else None
             versions.publish(0, Manifest(name=full, key=key, schema=declared, **settings).to_dict())
             state = versions.latest()
-        return Index(self.spark, self._files, Manifest(**state))
+        return Index(self.spark, self._files, Manifest(**state), self._listeners)
 
     def open(self, name: str) -> Index:
         """An index by its name or by an alias."""
@@ -480,7 +491,7 @@ class Catalog:
         state = Versions(self._files, f"{full}/_manifest").latest()
         if state is None:
             raise KeyError(f"no index {name!r}")
-        return Index(self.spark, self._files, Manifest(**state))
+        return Index(self.spark, self._files, Manifest(**state), self._listeners)
 
     def point(self, alias: str, name: str) -> None:
         """Make readers of ``alias`` see another index from now on."""

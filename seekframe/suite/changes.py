@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from seekframe.operators.soft_delete import delete_rows, force_delete_rows, restore_rows
 from seekframe.session import shared_dir
 from seekframe.sources.tables import table
 from seekframe.spec import SearchSpec
 from seekframe.streaming.changes import final_documents, last_actions, relevant_change, with_actions
 from seekframe.streaming.sync import sync_stream
 from seekframe.suite.registry import case
-from seekframe.suite.tables import new_catalog
+from seekframe.suite.tables import ORDERS, new_catalog, orders
 
 USERS = SearchSpec(
     "users",
@@ -118,3 +119,55 @@ def cdc_stream(spark, folder):
     catalog.create("users", "user_id", language="simple", buckets=4, term_buckets=4)
     sync_stream(feed(stream), catalog, "users", KEPT, shared_dir(spark)).awaitTermination()
     return catalog.open("users").docs()
+
+
+def _orders_hit(spark, folder):
+    """Orders, and the keys of those with a returned item."""
+    returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'").select("l_orderkey")
+    return orders(spark, folder), returned
+
+
+def _at():
+    return F.lit("2001-02-03 04:05:06").cast("timestamp_ntz")
+
+
+_RETURNED = "(SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"
+
+
+@case(
+    "soft_delete_rows",
+    f"""SELECT o_orderkey, CASE WHEN o_orderkey IN {_RETURNED} THEN TIMESTAMP '2001-02-03 04:05:06'
+            WHEN o_orderstatus = 'F' THEN o_orderdate END AS deleted FROM orders""",
+)
+def soft_delete_rows(spark, folder):
+    rows, keys = _orders_hit(spark, folder)
+    return delete_rows(rows, ORDERS, keys, _at()).table.select("o_orderkey", "deleted")
+
+
+@case(
+    "restore_rows",
+    f"""SELECT o_orderkey, CASE WHEN o_orderkey NOT IN {_RETURNED} AND o_orderstatus = 'F' THEN o_orderdate END AS deleted
+        FROM orders""",
+)
+def restored(spark, folder):
+    rows, keys = _orders_hit(spark, folder)
+    return restore_rows(rows, ORDERS, keys, _at()).table.select("o_orderkey", "deleted")
+
+
+@case("force_delete_rows", f"SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN {_RETURNED}")
+def force_deleted(spark, folder):
+    rows, keys = _orders_hit(spark, folder)
+    return force_delete_rows(rows, ORDERS, keys, _at()).table.select("o_orderkey")
+
+
+@case(
+    "delete_sync",
+    f"""SELECT o_orderkey, o_orderstatus, 'upsert' AS action FROM orders WHERE o_orderkey IN {_RETURNED} AND o_orderstatus <> 'P'
+        UNION ALL SELECT o_orderkey, o_orderstatus, 'skip' FROM orders WHERE o_orderkey IN {_RETURNED} AND o_orderstatus = 'P'""",
+)
+def delete_sync(spark, folder):
+    """What a soft delete asks of an index that keeps trashed rows of open and finished orders."""
+    spec = ORDERS.with_(keep_deleted=True, should_index=lambda c: c("o_orderstatus") != "P")
+    rows, keys = _orders_hit(spark, folder)
+    acted = with_actions(delete_rows(rows, spec, keys, _at()).changes, spec)
+    return acted.select("before.o_orderkey", "before.o_orderstatus", "action")

@@ -206,3 +206,50 @@ def audit_search(spark, folder):
     return seen.select(
         "query", "strategy", "hits", F.size("keys").cast("bigint").alias("n_keys"), F.get("keys", F.lit(0)).alias("first_key")
     )
+
+
+@case(
+    "index_alias",
+    "SELECT p_partkey, p_type FROM part WHERE p_type = 'PROMO' AND contains(p_name, 'ring')",
+)
+def index_alias(spark, folder):
+    """A new index is built aside; readers of the alias move to it in one step."""
+    catalog = new_catalog(spark)
+    old = catalog.create("part_v1", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    old.import_table(part(spark, folder), SPEC)
+    catalog.point("part", "part_v1")
+    new = catalog.create("part_v2", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    new.import_table(part(spark, folder).where("p_type = 'PROMO'"), SPEC)
+    catalog.point("part", "part_v2")
+    found = search(part(spark, folder), SPEC, "ring", prefix=False).within(catalog.open("part"))
+    return found.get().select("p_partkey", "p_type")
+
+
+@case(
+    "index_settings",
+    """SELECT p_partkey FROM part WHERE (p_type = 'PROMO' OR p_type = 'SMALL') AND p_size < 30
+       ORDER BY p_size ASC, p_partkey DESC LIMIT 50""",
+)
+def index_settings(spark, folder):
+    """Only the declared fields are searched, filtered and sorted on."""
+    index = _imported(spark, folder).update_settings(
+        searchable=["p_type"], filterable=["p_size"], sortable=["p_size"]
+    )
+    found = search_index(index, "promo small", mode="natural", prefix=False, sort=[("p_size", "asc")])
+    return found.where("p_size", "<", 30).take(50).raw().select("p_partkey")
+
+
+@case(
+    "index_catalog",
+    "SELECT * FROM (VALUES ('tmp_b', CAST((SELECT count(*) FROM supplier) AS BIGINT))) t(name, n_docs)",
+)
+def index_catalog(spark, folder):
+    """Create twice, import, delete one index, then look at what is left."""
+    catalog = new_catalog(spark)
+    catalog.create("tmp_a", "p_partkey", buckets=4, term_buckets=4)
+    catalog.create("tmp_b", "s_suppkey", buckets=4, term_buckets=4)
+    again = catalog.create("tmp_b", "s_suppkey", buckets=4, term_buckets=4)
+    again.write(table(spark, folder, "supplier").select("s_suppkey", "s_name"))
+    catalog.delete("tmp_a")
+    left = [(name, catalog.open(name).manifest.n_docs) for name in catalog.names()]
+    return spark.createDataFrame(left, "name STRING, n_docs BIGINT")

@@ -41,8 +41,8 @@ def bm25_topk(spark, folder):
 def bm25_all(spark, folder):
     """Scores of every document that has any of the words."""
     df = texts(spark, folder)
-    scored = scan_scores(df, df, F.col("text"), ["of", "with", "una"], "simple")
-    return scored.where("_score > 0").select("doc_id", F.round("_score", 6).alias("_score"))
+    scored = scan_scores(df, df, F.col("text"), ["of", "with", "una"], "simple", matched_only=True)
+    return scored.select("doc_id", F.round("_score", 6).alias("_score"))
 
 
 @case(
@@ -139,7 +139,7 @@ def rank_first_word(spark, folder):
 )
 def grouped_hits(spark, folder):
     df = texts(spark, folder)
-    scored = scan_scores(df, df, F.col("text"), ["the", "reed"], "simple").where("_score > 0")
+    scored = scan_scores(df, df, F.col("text"), ["the", "reed"], "simple", matched_only=True)
     best = top_per_group(scored.select("doc_id", "source", "_score"), "source", "_score", "doc_id")
     return best.select("doc_id", "source", F.round("_score", 6).alias("_score"))
 
