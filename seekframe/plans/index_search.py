@@ -68,12 +68,23 @@ def _scan_condition(slots: list[Slot], term_buckets: int, fields: list[str] | No
     return condition if fields is None else condition & F.col("field").isin(fields)
 
 
-def _per_document(postings: DataFrame, slots: list[Slot]) -> DataFrame:
-    """One row per document: ``m<i>`` slot found, ``tf<i>``, and rank inputs.
+def _per_document(postings: DataFrame, slots: list[Slot], one_field: bool) -> DataFrame:
+    """One row per document: ``tf<i>`` and ``exact<i>`` of each slot, and rank inputs.
 
     A partial aggregate runs before the exchange; all postings of a term are
-    spread over many files, so a very common term is no single task's work.
+    spread over many files, so a very common term is no single task's work. One
+    word in one field has one posting per document: nothing needs to move.
     """
+    if one_field and len(slots) == 1 and len(slots[0].words) == 1 and not slots[0].prefix:
+        return postings.select(
+            "key",
+            "len",
+            "gone",
+            F.col("first_rank").alias("_rank_pos"),
+            F.get(F.col("positions"), F.lit(0)).alias("_pos"),
+            F.col("tf").alias("tf0"),
+            F.lit(1).alias("exact0"),
+        )
     phrases = [i for i, slot in enumerate(slots) if len(slot.words) > 1]
     grouping = ["key", "field"] if phrases else ["key"]
     inputs = [
@@ -116,7 +127,7 @@ def _document_frequencies(index: Index, docs: DataFrame, slots: list[Slot], fiel
     """One row ``df0, df1, ...``: from the dictionary when it can tell, else from the hits."""
     plain = fields is None and all(len(s.words) == 1 and not s.prefix for s in slots)
     if plain:
-        dictionary = index.terms(F.col("term").isin([s.term for s in slots]))
+        dictionary = index.term_changes(F.col("term").isin([s.term for s in slots]))
         counts = [
             F.coalesce(F.sum(F.when(F.col("term") == s.term, F.col("df"))), F.lit(0)).alias(f"df{i}")
             for i, s in enumerate(slots)
@@ -159,7 +170,7 @@ def index_strategy(s: Search) -> Matched:
     at = {slot: i for i, slot in enumerate(slots)}
     fields = s.options.get("fields")
     postings = index.postings(_scan_condition(slots, index.manifest.term_buckets, fields))
-    found = _per_document(postings, slots)
+    found = _per_document(postings, slots, len(fields or index.text_fields) == 1)
 
     policy = s.options.get("policy", "score")
     order = explicit or policy_order(policy, key)

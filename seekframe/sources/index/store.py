@@ -182,12 +182,15 @@ class Index:
         found = self._read("postings", self._postings_schema())
         return self._live(found if condition is None else found.where(condition), "key")
 
-    def terms(self, condition: Column | None = None) -> DataFrame:
-        """Term dictionary: ``term, df``, exact under updates and deletes."""
+    def term_changes(self, condition: Column | None = None) -> DataFrame:
+        """``term, df`` of each commit: what it added to the count of a term."""
         schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("df", T.LongType())])
         found = self._read("terms", schema).select("term", "df")
-        found = found if condition is None else found.where(condition)
-        return found.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+        return found if condition is None else found.where(condition)
+
+    def terms(self, condition: Column | None = None) -> DataFrame:
+        """Term dictionary: ``term, df``, exact under updates and deletes."""
+        return self.term_changes(condition).groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
 
     def stats(self) -> DataFrame:
         m = self.manifest
