@@ -40,6 +40,7 @@ from seekframe.sources.index.postings import (
 from seekframe.spec import SOFT_FLAG, SearchSpec, documents
 
 Listener = Callable[[dict], None]
+PARTS = ("docs", "postings", "terms", "tombstones", "deletes")
 MODES = ("upsert", "create", "update", "emplace")
 
 
@@ -279,6 +280,21 @@ class Index:
         """Fold all segments into one; the documents stay the same."""
         return self.commit(docs=self.docs(), replace=True, operation="compact")
 
+    def vacuum(self, keep: int = 10) -> list[str]:
+        """Delete segments that none of the last ``keep`` versions uses. Segments of
+        later versions, such as one being written now, are left alone."""
+        oldest = self.manifest.version - keep + 1
+        kept = [n for n in self._versions.numbers() if n >= oldest]
+        used = {s["id"] for n in kept for s in self._versions.at(n)["segments"]}
+        gone = set()
+        for part in PARTS:
+            for name in self._files.names(f"{self.manifest.name}/{part}"):
+                segment = name.removeprefix("seg=")
+                if name.startswith("seg=") and segment not in used and int(segment.split("-")[0]) < oldest:
+                    self._files.remove(f"{self.manifest.name}/{part}/{name}")
+                    gone.add(segment)
+        return sorted(gone)
+
     def commit(
         self,
         docs: DataFrame | None = None,

@@ -78,10 +78,9 @@ def last_actions(changes: DataFrame, spec: SearchSpec) -> DataFrame:
     return acted.groupBy(change_key(spec).alias("key")).agg(last.alias("last")).select("key", "last.*")
 
 
-def split_actions(changes: DataFrame, spec: SearchSpec) -> tuple[DataFrame, DataFrame]:
-    """Documents to write and keys to remove."""
-    last = last_actions(changes, spec)
-    columns = _image_columns(changes, "after")
+def split_actions(last: DataFrame, spec: SearchSpec) -> tuple[DataFrame, DataFrame]:
+    """Documents to write and keys to remove, from the last actions."""
+    columns = _image_columns(last, "after")
     upserts = last.where(F.col("action") == UPSERT)
     if spec.enrich is not None:
         rows = upserts.select("after.*").transform(spec.enrich)
@@ -94,4 +93,4 @@ def split_actions(changes: DataFrame, spec: SearchSpec) -> tuple[DataFrame, Data
 
 def final_documents(changes: DataFrame, spec: SearchSpec) -> DataFrame:
     """Documents of an index that started empty and saw the whole feed."""
-    return split_actions(changes, spec)[0]
+    return split_actions(last_actions(changes, spec), spec)[0]

@@ -8,15 +8,19 @@ from pyspark.sql.streaming import StreamingQuery
 from seekframe.audit import Audit
 from seekframe.sources.index import Catalog, Index
 from seekframe.spec import SearchSpec
-from seekframe.streaming.changes import split_actions
+from seekframe.streaming.changes import last_actions, split_actions
 
 
 def apply_changes(
     index: Index, changes: DataFrame, spec: SearchSpec, batch: tuple[str, int] | None = None
 ) -> Index:
     """Write the outcome of a set of changes as one commit."""
-    docs, keys = split_actions(changes, spec)
-    return index.commit(docs=docs, delete_keys=keys, batch=batch, operation="sync")
+    last = last_actions(changes, spec).persist()  # read for the writes and for the deletes
+    try:
+        docs, keys = split_actions(last, spec)
+        return index.commit(docs=docs, delete_keys=keys, batch=batch, operation="sync")
+    finally:
+        last.unpersist()
 
 
 def sync_stream(
@@ -40,11 +44,7 @@ def sync_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         index = catalog.open(name)
-        batch.persist()
-        try:
-            after = apply_changes(index, batch, spec, (stream, batch_id))
-        finally:
-            batch.unpersist()
+        after = apply_changes(index, batch, spec, (stream, batch_id))
         if audit is not None and after.manifest.last_commit is not index.manifest.last_commit:
             audit.write_performed(after)
         if compact_after is not None and len(after.manifest.segments) > compact_after:

@@ -115,6 +115,14 @@ def test_readers_pin_a_version(spark, catalog):
     assert content(first.at_version(2)) == {1: ("red", 1), 2: ("blue", 1)}
 
 
+def test_vacuum_keeps_what_recent_versions_use(spark, catalog):
+    index = catalog.create("t", "id", **SMALL).write(docs(spark, [(1, "red", 1)]))
+    last = index.write(docs(spark, [(2, "blue", 1)])).compact()
+    assert last.vacuum(keep=3) == []
+    assert len(last.vacuum(keep=1)) == 2
+    assert content(last) == {1: ("red", 1), 2: ("blue", 1)}
+
+
 def test_repeated_batch_changes_nothing(spark, catalog):
     index = catalog.create("t", "id", **SMALL)
     data = docs(spark, [(1, "red", 1)])
