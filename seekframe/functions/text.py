@@ -168,11 +168,10 @@ def any_pattern(terms: Sequence[str], language: str) -> str:
     return _whole_word(sorted({w for t in terms for w in word_forms(t, language)}))
 
 
-def _alternatives(terms: Sequence[str], prefix: bool) -> str:
-    ordered = sorted(set(terms), key=lambda t: (-len(t), t))
-    body = "|".join(re.escape(t) for t in ordered)
-    tail = r"[\p{L}\p{N}]*" if prefix else ""
-    return rf"(?iu)(?<![\p{{L}}\p{{N}}])({body}){tail}(?![\p{{L}}\p{{N}}])"
+def text_before(text: Column, pattern: str) -> Column:
+    """The part of a text before the first match of a pattern; null without one."""
+    head = F.regexp_extract(text, rf"(?s)^(.*?){pattern}", 1)
+    return F.when(text.rlike(pattern), head)
 
 
 def highlight(text: Column, terms: Sequence[str], prefix: bool = False) -> Column:
@@ -180,14 +179,18 @@ def highlight(text: Column, terms: Sequence[str], prefix: bool = False) -> Colum
     four words on either side. Meant for the rows of one page."""
     if not terms:
         return text
-    pattern = _alternatives(terms, prefix)
-
-    def excerpt(ws: Column) -> Column:
-        hit = F.array_position(F.transform(ws, lambda w: w.rlike(pattern)), F.lit(True)).cast("int")
+    forms = sorted({t.lower() for t in terms}, key=lambda t: (-len(t), t))
+    body = "(?:" + "|".join(re.escape(t) for t in forms) + ")"
+    ending = f"{LETTER}*" if prefix else f"(?!{LETTER})"
+    # The look at the letter before comes after the word, as in whole-word tests.
+    pattern = rf"(?iu:{body}(?<!{LETTER}{body}){ending})"
+
+    def excerpt(line: Column) -> Column:
+        ws = F.split(line, " ")
+        hit = F.size(F.split(text_before(line, pattern), " "))
         start = F.greatest(hit - AFFIX_WORDS, F.lit(1))
-        near = F.slice(ws, start, hit - start + 1 + AFFIX_WORDS)
-        shown = F.when((F.size(ws) > SNIPPET_WORDS) & (hit > 0), near).otherwise(ws)
-        return F.array_join(shown, " ")
+        near = F.array_join(F.slice(ws, start, hit - start + 1 + AFFIX_WORDS), " ")
+        return F.when((F.size(ws) > SNIPPET_WORDS) & line.rlike(pattern), near).otherwise(line)
 
-    short = let(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "), excerpt)
+    short = let(F.trim(F.regexp_replace(text, r"\s+", " ")), excerpt)
     return F.regexp_replace(short, pattern, rf"{MARK_START}$0{MARK_END}")

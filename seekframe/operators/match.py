@@ -22,12 +22,10 @@ def contains_any(df: DataFrame, spec: SearchSpec, query: str, null_text: bool =
     if query == "":
         return None
     needle = query.lower()
-    parts = []
-    for name, field in spec.fields(df.columns).items():
-        value = evaluate(field)
-        dtype = df.select(value.alias("v")).schema["v"].dataType
-        parts.append(F.lower(render_text(value, dtype, null_text)).contains(needle))
-    return reduce(or_, parts) if parts else F.lit(False)
+    values = [evaluate(field) for field in spec.fields(df.columns).values()]
+    shown = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).schema
+    texts = [render_text(v, t.dataType, null_text) for v, t in zip(values, shown)]
+    return reduce(or_, [F.lower(t).contains(needle) for t in texts], F.lit(False))
 
 
 def like_any(

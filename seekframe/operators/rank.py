@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.functions.text import any_pattern, let, placed_tokens, tokens
+from seekframe.functions.text import (
+    BREAK_GAP,
+    HARD_BREAK,
+    LETTER,
+    any_pattern,
+    let,
+    placed_tokens,
+    text_before,
+    tokens,
+    words,
+)
 from seekframe.operators.spread import spread
 
 # Fixed values of the BM25 formula.
@@ -87,7 +98,23 @@ def scan_scores(
 
 
 def first_match(text: Column, term: str, language: str = "simple", prefix: bool = True) -> Column:
-    """struct<pos, rank_pos> of the first word that equals or starts with ``term``."""
+    """struct<pos, rank_pos> of the first word that equals or starts with ``term``;
+    both are null without such a word."""
+    if language == "simple":
+        word = re.escape(term)
+        ending = "" if prefix else f"(?!{LETTER})"
+        # Only the text before the word is cut and counted.
+        head = text_before(F.lower(text), rf"{word}(?<!{LETTER}{word}){ending}")
+
+        def count(before: Column) -> Column:
+            pos = F.size(words(before))
+            breaks = F.size(F.split(before, HARD_BREAK)) - 1
+            found = before.isNotNull()
+            return F.struct(
+                F.when(found, pos).alias("pos"), F.when(found, pos + BREAK_GAP * breaks).alias("rank_pos")
+            )
+
+        return let(head, count)
 
     def pick(ts: Column) -> Column:
         hit = F.filter(ts, lambda t: t["term"].startswith(term) if prefix else t["term"] == term)

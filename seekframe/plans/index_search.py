@@ -153,6 +153,8 @@ def _declared(index: Index, s: Search) -> None:
 
 def index_strategy(s: Search) -> Matched:
     index: Index = s.index
+    if s.pre is not None:
+        raise ValueError("an index search has no row query to change before its limit; use post_filter")
     _declared(index, s)
     key = index.key
     flag = SOFT_FLAG if SOFT_FLAG in index.schema.names else None

@@ -112,7 +112,7 @@ class Search:
     # ---- hooks ----------------------------------------------------------
 
     def pre_filter(self, fn: Transform) -> "Search":
-        """Change the row query before it is limited and paged."""
+        """Change the row query of a scan before it is limited and paged."""
         return replace(self, pre=fn)
 
     def post_filter(self, fn: Transform) -> "Search":
@@ -295,6 +295,8 @@ def _visible(s: Search) -> DataFrame:
 def _contains_strategy(s: Search) -> Matched:
     """Literal substring in any field of eligible rows; order is the key, descending."""
     df = s.constrain(_visible(s))
+    if s.pre is not None and s.custom_fn is None:
+        df = df.transform(s.pre)
     if s.spec.enrich is not None:
         df = df.transform(s.spec.enrich)
     if s.spec.should_index is not None:

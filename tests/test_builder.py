@@ -164,6 +164,17 @@ def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
     assert ids(found.paginate(1000, 5).rows) == ids(found.get())[4000:]
 
 
+def test_a_hook_before_the_limit_of_a_contains_search(rows):
+    found = search(rows, SPEC).using("contains").pre_filter(lambda df: df.where("id <> 4"))
+    assert ids(found.take(1).get()) == [2]
+
+
+def test_an_index_search_has_no_row_query(rows, catalog):
+    index = catalog.create("t", "id", language="simple").write(rows.select("id", "name"))
+    with pytest.raises(ValueError):
+        search(rows, SPEC, "pie").within(index).pre_filter(lambda df: df).get()
+
+
 def test_registered_strategy(rows):
     register_strategy("shortest", lambda s: Matched(s.source.where(F.length("name") < 11), [F.length("name").asc()]))
     assert ids(search(rows, SPEC).using("shortest").take(1).get()) == [1]
