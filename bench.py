@@ -56,6 +56,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", CPUS)
+        # Index files of a small build are cut to keep every core busy.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -16,11 +16,17 @@ def _fraction(value: Column) -> Column:
     rounded = scientific.cast("double")
     plain = F.regexp_replace(rounded.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
     mantissa = F.regexp_replace(F.regexp_extract(scientific, r"^(-?\d\.\d+?)0*e", 1), r"\.$", ".0")
+    short = value.cast("string")
     sign = F.regexp_extract(scientific, r"e([+-])", 1)
     power = F.regexp_extract(scientific, r"e[+-]0*(\d+)$", 1)
     size = F.abs(rounded)
     return (
         F.when(value.isNull(), F.lit(None).cast("string"))
+        # Nearly all values: few digits, and plain text at once.
+        .when(
+            (F.length(short) <= 15) & ~short.contains("E") & short.contains(".") & (value != 0),
+            F.when(short.endswith(".0"), F.substring(short, F.lit(1), F.length(short) - 2)).otherwise(short),
+        )
         .when(F.isnan(value), "NAN")
         .when(size == F.lit(float("inf")), F.when(value > 0, "INF").otherwise("-INF"))
         .when(value == 0, "0")
@@ -29,6 +35,16 @@ def _fraction(value: Column) -> Column:
     )
 
 
+def may_contain(needle: str, dtype: T.DataType) -> bool:
+    """Whether any text of a type can contain a lower-case string; when not, the
+    column need not be read."""
+    if isinstance(dtype, T.NumericType):
+        return set(needle) <= set("0123456789.e+-") or needle in "nan" or needle in "-inf"
+    if isinstance(dtype, T.BooleanType):
+        return needle == "1"
+    return True
+
+
 def render_text(value: Column, dtype: T.DataType, null_text: bool = False) -> Column:
     """Render one value: strings as they are, true as 1, false as empty text,
     whole floats without a point, dates and nested values as JSON.

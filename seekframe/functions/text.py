@@ -92,32 +92,38 @@ def tokens(text: Column, language: str = "simple") -> Column:
     return F.transform(kept, lambda w: stem(w, language))
 
 
-def placed_tokens(text: Column, language: str = "simple") -> Column:
-    """array<struct<term, pos, rank_pos>>.
+def placed_tokens(text: Column, language: str = "simple", field: str | None = None) -> Column:
+    """array<struct<term, pos, rank_pos>>, with ``field`` after the term when given.
 
     ``pos`` counts words; ``rank_pos`` adds a gap for every sentence break that
     comes before the word, so a word after a break ranks below one before it.
     """
     check_language(language)
     by_sentence = F.transform(
-        F.split(text, HARD_BREAK),
+        F.split(F.coalesce(text, F.lit("")), HARD_BREAK),
         lambda s, i: F.transform(words(s), lambda w: F.struct(w.alias("term"), i.alias("brk"))),
     )
-    placed = F.transform(
-        F.flatten(by_sentence),
-        lambda t, i: F.struct(
+    named = [] if field is None else [F.lit(field).alias("field")]
+
+    def place(t: Column, i: Column) -> Column:
+        rank = i + F.lit(BREAK_GAP) * t["brk"]
+        return F.struct(
+            t["term"].alias("term"), *named, i.cast("int").alias("pos"), rank.cast("int").alias("rank_pos")
+        )
+
+    placed = F.transform(F.flatten(by_sentence), place)
+    if language == "simple":
+        return placed
+    kept = F.filter(placed, lambda t: ~is_stop_word(t["term"], language))
+    return F.transform(
+        kept,
+        lambda t: F.struct(
             stem(t["term"], language).alias("term"),
-            i.cast("int").alias("pos"),
-            (i + F.lit(BREAK_GAP) * t["brk"]).cast("int").alias("rank_pos"),
-            is_stop_word(t["term"], language).alias("stop"),
+            *named,
+            t["pos"].alias("pos"),
+            t["rank_pos"].alias("rank_pos"),
         ),
     )
-    if language != "simple":
-        placed = F.filter(placed, lambda t: ~t["stop"])
-    return F.transform(
-        F.coalesce(placed, F.array()),
-        lambda t: F.struct(t["term"].alias("term"), t["pos"].alias("pos"), t["rank_pos"].alias("rank_pos")),
-    )
 
 
 def query_words(query: str) -> list[str]:

@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.functions.render import render_text
+from seekframe.functions.render import may_contain, render_text
 from seekframe.functions.text import phrase_pattern, query_terms, stem_root
 from seekframe.operators.predicates import ilike, like_pattern, literal_pattern
 from seekframe.spec import SearchSpec, column_type, evaluate, is_text
@@ -24,8 +24,13 @@ def contains_any(df: DataFrame, spec: SearchSpec, query: str, null_text: bool =
     needle = query.lower()
     values = [evaluate(field) for field in spec.fields(df.columns).values()]
     shown = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).schema
-    texts = [render_text(v, t.dataType, null_text) for v, t in zip(values, shown)]
-    return reduce(or_, [F.lower(t).contains(needle) for t in texts], F.lit(False))
+    parts = []
+    for value, shown_as in zip(values, shown):
+        if may_contain(needle, shown_as.dataType):
+            parts.append(F.lower(render_text(value, shown_as.dataType)).contains(needle))
+        if null_text and needle in "null":
+            parts.append(value.isNull())
+    return reduce(or_, parts) if parts else F.lit(False)
 
 
 def like_any(

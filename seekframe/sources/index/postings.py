@@ -42,25 +42,10 @@ def distinct_terms(fields: Sequence[str], language: str) -> Column:
 
 
 def _sorted_places(fields: Sequence[str], language: str) -> Column:
-    per_field = [
-        F.transform(
-            placed_tokens(F.coalesce(F.col(name).cast("string"), F.lit("")), language),
-            _with_field(name),
-        )
-        for name in fields
-    ]
+    per_field = [placed_tokens(F.col(name).cast("string"), language, name) for name in fields]
     return F.sort_array(F.concat(*per_field))
 
 
-def _with_field(name: str):
-    return lambda t: F.struct(
-        t["term"].alias("term"),
-        F.lit(name).alias("field"),
-        t["pos"].alias("pos"),
-        t["rank_pos"].alias("rank_pos"),
-    )
-
-
 def _runs(places: Column) -> Column:
     """Sorted places -> one struct per (term, field)."""
 
