@@ -151,4 +151,4 @@ def top_per_group(df: DataFrame, group: str, order_column: str, key: str, descen
 
 def with_position(page: DataFrame, order: list[Column], name: str = "_position") -> DataFrame:
     """Number the rows of one page (already limited, so one small partition)."""
-    return page.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    return page.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))

@@ -84,8 +84,8 @@ def tokens_of(spark, folder):
     cut = texts(spark, folder).select("doc_id", tokens(F.col("text")).alias("t"))
     return cut.select(
         "doc_id",
-        F.size("t").alias("n"),
-        F.size(F.array_distinct("t")).alias("n_distinct"),
+        F.size("t").cast("bigint").alias("n"),
+        F.size(F.array_distinct("t")).cast("bigint").alias("n_distinct"),
         F.md5(F.array_join("t", " ")).alias("fingerprint"),
     )
 
@@ -98,7 +98,7 @@ def tokens_of(spark, folder):
 )
 def tokens_english(spark, folder):
     cut = texts(spark, folder).select("doc_id", tokens(F.col("text"), "english").alias("t"))
-    return cut.select("doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("fingerprint"))
+    return cut.select("doc_id", F.size("t").cast("bigint").alias("n"), F.md5(F.array_join("t", " ")).alias("fingerprint"))
 
 
 _MARKED = r"""array_to_string(list_transform(w, lambda x:

@@ -179,7 +179,7 @@ def index_trashed(spark, folder):
 
 @case(
     "audit_counts",
-    """SELECT * FROM (VALUES ('part', 'search', 2), ('part', 'paginate', 1), ('part', 'update', 1), ('part', 'delete', 1))
+    """SELECT "index", operation, CAST(n AS BIGINT) AS n FROM (VALUES ('part', 'search', 2), ('part', 'paginate', 1), ('part', 'update', 1), ('part', 'delete', 1))
        t("index", operation, n)""",
 )
 def audit_counts(spark, folder):

@@ -96,7 +96,7 @@ def page_2(spark, folder):
 _INFO = """SELECT {count} AS "count", total_count, 12 AS per_page, {page} AS current_page, {page} AS requested_page,
        greatest(1, CAST(ceil(total_count / 12.0) AS BIGINT)) AS page_count, {page} > 1 AS has_prev_page,
        12 * {page} < total_count AS has_next_page,
-       CASE WHEN {count} > 0 THEN {page} * 12 - 11 ELSE 0 END AS start,
+       CAST(CASE WHEN {count} > 0 THEN {page} * 12 - 11 ELSE 0 END AS BIGINT) AS start,
        CASE WHEN {count} > 0 THEN {page} * 12 - 12 + {count} ELSE 0 END AS "end"
 FROM (SELECT count(*) AS total_count FROM part WHERE {where})"""
 _SHOWN = "greatest(0, least(total_count - ({page} - 1) * 12, 12))"
@@ -126,7 +126,7 @@ def simple_page(spark, folder):
     "simple_page_info",
     f"""SELECT least(n, 12) AS "count", NULL::BIGINT AS total_count, 12 AS per_page, 3 AS current_page,
                3 AS requested_page, NULL::BIGINT AS page_count, true AS has_prev_page, n > 12 AS has_next_page,
-               CASE WHEN n > 0 THEN 25 ELSE 0 END AS start, CASE WHEN n > 0 THEN 24 + least(n, 12) ELSE 0 END AS "end"
+               CAST(CASE WHEN n > 0 THEN 25 ELSE 0 END AS BIGINT) AS start, CASE WHEN n > 0 THEN 24 + least(n, 12) ELSE 0 END AS "end"
         FROM (SELECT count(*) AS n FROM (SELECT 1 FROM part WHERE {RING} LIMIT 13 OFFSET 24))""",
 )
 def simple_page_info(spark, folder):

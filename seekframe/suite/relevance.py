@@ -96,7 +96,8 @@ def first_match_of(spark, folder):
     """Place of the first word that starts with the string, for every document."""
     hit = first_match(F.col("text"), "the")
     found = texts(spark, folder).select("doc_id", hit.alias("hit")).where("hit.pos IS NOT NULL")
-    return found.select("doc_id", F.col("hit.pos").alias("_pos"), F.col("hit.rank_pos").alias("_rank_pos"))
+    pos, rank_pos = F.col("hit.pos").cast("bigint"), F.col("hit.rank_pos").cast("bigint")
+    return found.select("doc_id", pos.alias("_pos"), rank_pos.alias("_rank_pos"))
 
 
 def _ranked(spark, folder, policy, n=30):
