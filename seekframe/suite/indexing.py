@@ -228,7 +228,7 @@ def index_alias(spark, folder):
 @case(
     "index_settings",
     """SELECT p_partkey FROM part WHERE (p_type = 'PROMO' OR p_type = 'SMALL') AND p_size < 30
-       ORDER BY p_size ASC, p_partkey DESC LIMIT 50""",
+       ORDER BY p_size ASC NULLS FIRST, p_partkey DESC LIMIT 50""",
 )
 def index_settings(spark, folder):
     """Only the declared fields are searched, filtered and sorted on."""

@@ -48,7 +48,7 @@ def order_nulls_first(spark, folder):
 
 @case(
     "order_repeated",
-    """SELECT p_partkey, p_size, p_type FROM part ORDER BY p_size DESC, p_type ASC, p_partkey DESC LIMIT 33""",
+    """SELECT p_partkey, p_size, p_type FROM part ORDER BY p_size DESC NULLS LAST, p_type ASC NULLS FIRST, p_partkey DESC LIMIT 33""",
 )
 def order_repeated(spark, folder):
     """A repeated column keeps its first place and takes its last direction."""
@@ -56,13 +56,13 @@ def order_repeated(spark, folder):
     return found.take(33).get().select("p_partkey", "p_size", "p_type")
 
 
-@case("latest", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 25")
+@case("latest", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC LIMIT 25")
 def latest(spark, folder):
     spec = ORDERS.with_(deleted=None)
     return search(table(spark, folder, "orders"), spec).latest().take(25).get().select("o_orderkey", "o_orderdate")
 
 
-@case("oldest", "SELECT event_id, ts FROM events ORDER BY ts ASC, event_id DESC LIMIT 25")
+@case("oldest", "SELECT event_id, ts FROM events ORDER BY ts ASC NULLS FIRST, event_id DESC LIMIT 25")
 def oldest(spark, folder):
     spec = SearchSpec("events", "event_id", ["event_type"], created="ts")
     return search(table(spark, folder, "events"), spec).oldest().take(25).get().select("event_id", "ts")
@@ -88,7 +88,7 @@ def page_1(spark, folder):
     return search(part(spark, folder), PART, "ring").paginate(12, 0).rows
 
 
-@case("page_2", f"SELECT * FROM part WHERE {RING} ORDER BY p_size, p_partkey DESC LIMIT 12 OFFSET 12")
+@case("page_2", f"SELECT * FROM part WHERE {RING} ORDER BY p_size NULLS FIRST, p_partkey DESC LIMIT 12 OFFSET 12")
 def page_2(spark, folder):
     return search(part(spark, folder), PART, "ring").order_by("p_size").paginate(12, 2).rows
 
@@ -167,7 +167,7 @@ def take_capped(spark, folder):
     return search(part(spark, folder), PART, max_results=1000).take(1200).get().select("p_partkey")
 
 
-@case("first", f"SELECT * FROM part WHERE {RING} ORDER BY p_retailprice, p_partkey DESC LIMIT 1")
+@case("first", f"SELECT * FROM part WHERE {RING} ORDER BY p_retailprice NULLS FIRST, p_partkey DESC LIMIT 1")
 def first(spark, folder):
     return search(part(spark, folder), PART, "ring").order_by("p_retailprice").first()
 
@@ -192,8 +192,8 @@ def raw_hook_unseen(spark, folder):
 
 @case(
     "hit_position",
-    f"""SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey DESC) AS _position
-        FROM part WHERE {RING} ORDER BY p_retailprice DESC, p_partkey DESC LIMIT 40""",
+    f"""SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice DESC NULLS LAST, p_partkey DESC) AS _position
+        FROM part WHERE {RING} ORDER BY p_retailprice DESC NULLS LAST, p_partkey DESC LIMIT 40""",
 )
 def hit_position(spark, folder):
     hits = search(part(spark, folder), PART, "ring").order_by_desc("p_retailprice").take(40).raw()

@@ -62,9 +62,11 @@ def index_bm25(spark, folder):
         f AS (SELECT doc_id, len(w) AS dl, list_contains(w, 'reed') AS exact,
                      len(list_filter(w, lambda x: starts_with(x, 'reed'))) AS tf FROM t),
         d AS (SELECT CAST(count(*) AS DOUBLE) AS df FROM f WHERE tf > 0)
-        SELECT doc_id, CAST(exact AS INT) AS _exact,
-               round(ln(1 + (s.n - d.df + 0.5) / (d.df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / s.mean)), 6) AS _score
-        FROM f CROSS JOIN s CROSS JOIN d WHERE tf > 0 ORDER BY exact DESC, _score DESC, doc_id DESC LIMIT 60""",
+        SELECT doc_id, CAST(exact AS INT) AS _exact, round(score, 6) AS _score
+        FROM (SELECT doc_id, exact, ln(1 + (s.n - d.df + 0.5) / (d.df + 0.5)) * tf * 2.2 /
+                     (tf + 1.2 * (0.25 + 0.75 * dl / s.mean)) AS score
+              FROM f CROSS JOIN s CROSS JOIN d WHERE tf > 0)
+        ORDER BY exact DESC, score DESC, doc_id DESC LIMIT 60""",
 )
 def index_exact_first(spark, folder):
     found = search_index(documents_index(spark, folder), "reed").take(60).raw()
@@ -74,7 +76,7 @@ def index_exact_first(spark, folder):
 @case(
     "index_order",
     f"""SELECT doc_id, lang, n_chars FROM documents WHERE list_contains({WORDS_SQL}, 'the')
-        ORDER BY lang ASC, n_chars DESC, doc_id DESC LIMIT 20""",
+        ORDER BY lang ASC NULLS FIRST, n_chars DESC NULLS LAST, doc_id DESC LIMIT 20""",
 )
 def index_order(spark, folder):
     found = search_index(documents_index(spark, folder), "the", prefix=False)
@@ -148,7 +150,7 @@ def grouped_hits(spark, folder):
 @case(
     "upsert_latest",
     """SELECT user_id, event_id, value FROM
-       (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""",
+       (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS r FROM events) WHERE r = 1""",
 )
 def upsert_latest(spark, folder):
     """Latest version of each key."""
