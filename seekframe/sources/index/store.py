@@ -314,7 +314,10 @@ class Index:
         if m.schema is None and docs is None:
             return self._publish(m.next(batches=batches))
         if m.schema is None:
-            m = self.manifest = Manifest(**{**m.to_dict(), "schema": json.loads(docs.schema.json())})
+            # The first documents declare the schema.
+            declared = Manifest(**{**m.to_dict(), "schema": json.loads(docs.schema.json())})
+            index = Index(self.spark, self._files, declared, self._listeners)
+            return index.commit(docs, delete_keys, mode, replace, batch, operation)
         segment = f"{m.version + 1:012d}-{uuid.uuid4().hex[:8]}"
         parts: list[str] = []
 
@@ -332,6 +335,8 @@ class Index:
             counts = self._count_deletes(deleted, counts)
             seen = deleted if seen is None else seen.unionByName(deleted)
 
+        if not replace and not counts["n"] and not counts.get("deletes"):
+            return self._publish(m.next(batches=batches))  # nothing to keep a segment for
         gone, removed = {"n": 0, "len": 0}, None
         if m.with_part("docs") and not replace and seen is not None:
             removed = self._write_tombstones(seen, counts["buckets"], segment)

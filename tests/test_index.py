@@ -132,6 +132,21 @@ def test_repeated_batch_changes_nothing(spark, catalog):
     assert content(first.commit(docs=docs(spark, [(1, "blue", 1)]), batch=("s", 5))) == {1: ("blue", 1)}
 
 
+def test_empty_writes_add_no_segment(spark, catalog):
+    index = catalog.create("t", "id", **SMALL).write(docs(spark, [(1, "red", 1)]))
+    after = index.commit(docs=docs(spark, []), delete_keys=docs(spark, []).select("id"), batch=("s", 0))
+    assert after.manifest.segments == index.manifest.segments and after.manifest.batches == {"s": 0}
+    assert content(after.replace_all(docs(spark, []))) == {}
+
+
+def test_a_failed_first_write_declares_nothing(spark, catalog):
+    index = catalog.create("t", "id", **SMALL)
+    with pytest.raises(IndexWriteError):
+        index.write(docs(spark, [(1, "a", 1), (1, "b", 1)]))
+    other = spark.createDataFrame([(1, True)], "id BIGINT, flag BOOLEAN")
+    assert index.write(other).schema.names == ["id", "flag"]
+
+
 def test_pause_drops_changes(spark, catalog):
     index = catalog.create("t", "id", **SMALL).write(docs(spark, [(1, "red", 1)])).pause()
     index = index.commit(docs=docs(spark, [(2, "blue", 1)]), batch=("s", 0))
