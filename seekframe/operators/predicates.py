@@ -155,14 +155,13 @@ def apply_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> DataFram
 def apply_not_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> DataFrame:
     """Drop rows whose value is in the list; a null value is dropped as in SQL."""
     if isinstance(values, DataFrame):
-        unwanted = values.select(F.col(values.columns[0]).alias("__value")).distinct()
-        # SQL: nothing is NOT IN a list with a null, everything is NOT IN an empty one.
-        facts = unwanted.agg(
-            F.struct(F.count(F.lit(1)).alias("n"), F.count("__value").alias("filled"))
-        )
-        n, filled = facts.scalar().getField("n"), facts.scalar().getField("filled")
-        kept = df.where((n == 0) | ((n == filled) & F.col(name).isNotNull()))
-        return kept.join(unwanted, F.col(name) == F.col("__value"), "left_anti")
+        raw = values.select(F.col(values.columns[0]).alias("__value"))
+        # SQL: nothing is NOT IN a list with a null, everything is NOT IN an empty one,
+        # and otherwise every value that is not null is looked up.
+        n, filled = F.count(F.lit(1)), F.count("__value")
+        lowest = raw.agg(F.when(n == 0, 0).when(n == filled, 1).otherwise(2).alias("lowest")).scalar()
+        kept = df.where(F.when(F.col(name).isNotNull(), 1).otherwise(0) >= lowest)
+        return kept.join(raw.distinct(), F.col(name) == F.col("__value"), "left_anti")
     listed = list(values)
     dtype = _require(df, name)
     if not listed:
