@@ -84,7 +84,7 @@ class FrameReader:
     def frame(self, i: int) -> bytes:
         if self.last[0] != i:
             packed = self.file.read_at(int(self.packed[i + 1] - self.packed[i]), int(self.packed[i]))
-            raw = self.decompressor.decompress(packed, max_output_size=int(self.raw[i + 1] - self.raw[i]))
+            raw = self.decompressor.decompress(packed)
             if xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF != self.sums[i]:
                 raise ValueError(f"frame {i} does not match its checksum")
             self.last = (i, raw)
@@ -132,7 +132,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
             if not batch.num_rows:
                 continue
             if out is None:
-                out = store.open_output_stream(f"{base}/{name}")
+                out = store.open_output_stream(f"{base}/{name}", compression=None)
                 writer = FrameWriter(out)
             starts, sizes = [], []
             for raw in batch.column("ids").to_pylist():
