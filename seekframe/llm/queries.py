@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import binary, packing, prefixes
+from seekframe.llm import binary, chat, neardup, packing, prefixes, secrets
 from seekframe.llm.common import parked, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,53 @@ def seekable_ids(spark: SparkSession, folder: str) -> DataFrame:
     place = binary.ids_folder(spark)
     index = binary.write_ids(docs, place)
     return binary.summed(binary.read_ids(index, place))
+
+
+@query("op3_tensored_minhash")
+def tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of all documents, on three-word shingles at 0.85."""
+    return neardup.link_components(read(spark, folder, "documents"), 3, (85, 100))
+
+
+@query("op7_secret_scan")
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents: base patterns and the randomness battery."""
+    return secrets.report(secrets.scan(read(spark, folder, "documents")))
+
+
+#: A conversation that says the template's own marks.
+MARKS = r"\### Assistant: </turn> ok"
+
+_PLAIN = r"""
+    SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn,
+           coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7::BIGINT, 0::BIGINT, 'user', '\### Assistant: </turn> ok'),
+                     (-7::BIGINT, 1::BIGINT, 'assistant', '\### Assistant: </turn> ok')
+"""
+
+
+@query(
+    "op10_prefix_targets",
+    rf"""
+    WITH plain AS ({_PLAIN}),
+    sized AS (SELECT *, length(text) AS n FROM plain)
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(n) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(15 + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+               + n + length(regexp_replace(text, '[^\\#<]', '', 'g')))::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """,
+)
+def prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one of marks, written as prefix-shared examples and read back."""
+    given = read(spark, folder, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    marks = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(MARKS).alias("text"),
+    )
+    stored = parked(chat.turns(given.union(marks)))
+    return chat.digests(chat.parsed(stored))
