@@ -28,9 +28,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seekframe.llm.bloom import bloom
 from seekframe.llm.common import batches, documents, mixed, parked, runs_of, signed, word_hashes
 from seekframe.llm.components import components
 
@@ -39,8 +40,6 @@ SIDE, ROWS = 7, 2
 #: Sketches that must agree before a pair across components is verified. Of 14, each agrees with
 #: a chance of 0.64 to 0.72 at the least similarities asked for: fewer than 3 with about 1e-5.
 AGREE = 3
-#: Bits of the Bloom filter for each node, and at most.
-BLOOM_PER_NODE, BLOOM_BITS = 16, 1 << 27
 
 _rng = np.random.default_rng(20)
 _MULTIPLY = _rng.integers(1, 2**63, 2 * SIDE * ROWS, np.uint64) | np.uint64(1)
@@ -87,41 +86,18 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, SKETCHES)
 
 
-def _bloom_places(key: Column, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(3)]
-
-
-def _bloom(nodes: DataFrame) -> np.ndarray:
-    """Words of a Bloom filter of node ids: at most ``BLOOM_BITS`` bits, whatever the nodes."""
-    n = nodes.count()
-    bits = min(BLOOM_BITS, 1 << max(10, (n * BLOOM_PER_NODE - 1).bit_length()))
-    set_bits = nodes.select(F.explode(F.array(*_bloom_places(F.col("node"), bits))).alias("bit"))
-    word = F.expr("bit div 64").alias("word")
-    words = set_bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("set"))
-    found = words.toPandas()
-    out = np.zeros(bits // 64, np.int64)
-    out[found["word"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64)
-    return out
-
-
 def full_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """Full sets of about the documents that ``nodes`` names: ``node``, ``set``."""
-    bloom = _bloom(nodes)
-    bits = len(bloom) * 64
-    passed = documents(docs).select("doc_id", "text", F.array(*_bloom_places(F.col("doc_id"), bits)).alias("places"))
+    named = bloom(nodes.select(F.col("node").alias("key")))
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            if not batch.num_rows:
-                continue
-            at = batch.column("places").flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
-            hit = ((bloom[at // 64] >> (at % 64)) & 1).all(axis=1)
-            kept = batch.filter(pa.array(hit))
-            for keys, texts in batches([kept]):
-                sets = [packed(shingles(t, k)) for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["node", "set"])
-
-    return passed.mapInArrow(run, "node long, set binary")
+        for keys, texts in batches(found):
+            hit = named.holds(np.asarray([key or 0 for key in keys], np.int64))
+            kept = [(key, packed(shingles(t, k))) for key, t, h in zip(keys, texts, hit.tolist()) if h and key is not None]
+            nodes_, sets = zip(*kept) if kept else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes_, pa.int64()), pa.array(sets, pa.binary())], ["node", "set"])
+
+    return documents(docs).mapInArrow(run, "node long, set binary")
 
 
 def packed(hashes: np.ndarray) -> bytes:

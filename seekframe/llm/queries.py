@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import binary, chat, neardup, packing, prefixes, secrets
+from seekframe.llm import binary, chat, neardup, packing, prefixes, secrets, substrings
 from seekframe.llm.common import parked, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     )
     stored = parked(chat.turns(given.union(marks)))
     return chat.digests(chat.parsed(stored))
+
+
+@query("op5_de_bruijn_substrings")
+def de_bruijn_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words of 50-word windows that earlier documents have."""
+    return substrings.deduplicated(read(spark, folder, "documents"), text=False)
