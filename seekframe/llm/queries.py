@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import binary, chat, neardup, packing, prefixes, secrets, substrings
+from seekframe.llm import binary, chat, decontamination, neardup, neighbours, packing, prefixes, secrets, substrings
 from seekframe.llm.common import parked, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,15 @@ def prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
 def de_bruijn_substrings(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the words of 50-word windows that earlier documents have."""
     return substrings.deduplicated(read(spark, folder, "documents"), text=False)
+
+
+@query("op2_kmeans_tree_neighbours")
+def kmeans_tree_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest other vectors of every hundredth one, among all."""
+    return neighbours.neighbours(read(spark, folder, "embeddings"), F.pmod("id", F.lit(100)) == 0)
+
+
+@query("op9_latent_decontamination")
+def latent_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that leaked into it."""
+    return decontamination.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
