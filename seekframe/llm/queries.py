@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import binary, chat, decontamination, neardup, neighbours, packing, prefixes, secrets, substrings
+from seekframe.llm import binary, chat, decontamination, neardup, neighbours, packing, prefixes, quality, secrets, substrings
 from seekframe.llm.common import parked, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,10 @@ def kmeans_tree_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def latent_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of a document and a benchmark item that leaked into it."""
     return decontamination.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query("op4_empirical_bayes_quality")
+def empirical_bayes_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the classifier keeps, with their posteriors; host is the source, path its language."""
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return quality.classified(docs, labels, F.col("source"), F.col("lang")).where("keep")

@@ -15,13 +15,12 @@ A null or empty text has no spans; long texts are read whole; repeated rows give
 rows; an empty table gives no rows; other columns of the input are not read.
 """
 
-from __future__ import annotations
-
 import math
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -247,17 +246,32 @@ def report(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind; overlapping spans are replaced as one."""
-    start = F.struct(F.lit("").alias("made"), F.lit(1).cast("long").alias("at"))
+def cleaned(docs: DataFrame, rate: float = RATE) -> DataFrame:
+    """The rows, columns as they are, with every span of ``text`` replaced and ``n_chars``, if there, counted anew.
+
+    Rows are cleaned where they are read: the class thresholds come from a first pass over all
+    rows, and each row is scanned again with them. A null text stays null.
+    """
+    least = thresholds(found(docs), rate)
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else replaced(t, least) for t in texts], dtype=object)
 
-    def step(state: Column, span: Column) -> Column:
-        between = F.substring(text, state["at"].cast("int"), F.greatest(span["start"] + 1 - state["at"], F.lit(0)).cast("int"))
-        mark = F.when(span["start"] + 1 >= state["at"], F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))).otherwise("")
-        return F.struct(
-            F.concat(state["made"], between, mark).alias("made"),
-            F.greatest(span["end"] + 1, state["at"]).alias("at"),
-        )
+    changed = docs.withColumn("text", clean("text"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+    return changed.select(*(F.col(f"`{c}`") for c in docs.columns))
 
-    done = F.aggregate(spans, start, step)
-    return F.concat(done["made"], F.substring(text, done["at"].cast("int"), F.length(text)))
+
+def replaced(text: str, least: dict[int, float]) -> str:
+    """The text with each span, or run of overlapping spans, replaced by its first kind."""
+    base = base_spans(text)
+    more = [(c["kind"], c["start"], c["end"]) for c in candidates(text, base) if c["p"] >= least.get(c["class"], 2.0)]
+    out, at = [], 0
+    for kind, start, end in sorted(base + more, key=lambda s: (s[1], -s[2])):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
