@@ -35,31 +35,32 @@ from seekframe.llm.common import batches, parked
 
 #: Labelled documents that the regression is fitted on at most.
 LABELLED = 20_000
-#: Word features of a head at most, least documents and chi-squared of one, bins of a shape.
-FEATURES, LEAST, SIGNIFICANT, BINS = 2048, 4, 20.0, 8
+#: Word features of a head at most, least bad documents and log-likelihood gain of one, bins of a shape.
+FEATURES, LEAST, SIGNIFICANT, BINS = 2048, 4, 13.0, 8
+#: Each feature of a word starts with this share of its log-odds: few of a word's features are found alone.
+SHARED = 3
 HEADS = ("low", "toxic")
 #: Words whose features a worker remembers.
 KEPT = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.compile(r"[*%$&#@~^]{2,}|!!")
-SHAPES = ("repeats", "capitals", "plain", "bars", "signs", "distinct", "length", "size", "lines")
+SHAPES = ("repeats", "capitals", "other", "bars", "signs", "same")
+#: Words added to a text's count, so that shares of short texts stay low.
+CALM = 10
 
 
 def shape(text: str) -> list[float]:
-    """What a text looks like, as shares of its words mostly."""
+    """What a text looks like, as shares of its words."""
     words = text.split()
-    n = max(1, len(words))
+    n = len(words) + CALM
     return [
         sum(map(operator.eq, words[1:], words)) / n,
         sum(map(str.isupper, words)) / n,
-        sum(map(str.isalpha, words)) / n,
+        (len(words) - sum(map(str.isalpha, words))) / n,
         words.count("|") / n,
         len(_SIGNS.findall(text)) / n,
-        len(set(words)) / n * math.log1p(n) / 8,
-        len(text) / n,
-        math.log1p(len(words)),
-        text.count("\n") / n,
+        (len(words) - len(set(words))) / n / math.log(n),
     ]
 
 
@@ -129,16 +130,19 @@ def binned(shapes: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.stack([np.searchsorted(e, column, "right") for e, column in zip(edges, shapes.T)], axis=1)
 
 
-def regression(rows: list[np.ndarray], size: int, y: np.ndarray, rounds: int = 400, ridge: float = 1.0) -> np.ndarray:
-    """Weights (the last is the bias) of a logistic regression on rows of present features."""
+def regression(
+    rows: list[np.ndarray], start: np.ndarray, y: np.ndarray, rounds: int = 800, ridge: float = 0.05
+) -> np.ndarray:
+    """Weights (the last is the bias) of a logistic regression on rows of present features, drawn toward ``start``."""
+    size = len(start)
     flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
     own = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    w, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    w, first, second = np.r_[start, 0.0], np.zeros(size + 1), np.zeros(size + 1)
     w[-1] = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     for i in range(1, rounds + 1):
         z = np.bincount(own, w[flat], len(rows)) + w[-1]
         gap = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        slope = np.r_[np.bincount(flat, gap[own], size) + ridge * w[:-1], gap.sum()] / len(y)
+        slope = np.r_[np.bincount(flat, gap[own], size) + ridge * (w[:-1] - start), gap.sum()] / len(y)
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         w -= 0.1 * (first / (1 - 0.9**i)) / (np.sqrt(second / (1 - 0.999**i)) + 1e-8)
@@ -152,8 +156,8 @@ def _labelled(labels: DataFrame) -> DataFrame:
     )
 
 
-def _significant(sample: DataFrame, head: str, n: int, bad: int) -> list[str]:
-    """Word features that documents of one kind have far more often."""
+def _significant(sample: DataFrame, head: str, n: int, bad: int) -> dict[str, float]:
+    """Word features that bad documents have far more often than chance, and their log-odds."""
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -172,11 +176,13 @@ def _significant(sample: DataFrame, head: str, n: int, bad: int) -> list[str]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["feature", "n", "bad"])
 
     each = sample.mapInArrow(run, "feature string, n long, bad long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    share = bad / n
-    gap = F.col("bad") - F.col("n") * share
-    chi = gap * gap / (F.col("n") * share * (1 - share) * (1 - F.col("n") / n) + 1e-9)
-    some = each.where((F.col("bad") >= LEAST) & (gap > 0)).withColumn("chi", chi).where(F.col("chi") >= SIGNIFICANT)
-    return [r["feature"] for r in some.orderBy(F.desc("chi"), "feature").limit(FEATURES).collect()]
+    share, own = bad / n, F.col("bad") / F.col("n")
+    good = F.col("n") - F.col("bad")
+    gain = F.col("bad") * F.log(own / share) + F.when(good > 0, good * F.log((1 - own) / (1 - share))).otherwise(0.0)
+    some = each.where((F.col("bad") >= LEAST) & (own > share)).withColumn("gain", gain).where(F.col("gain") >= SIGNIFICANT)
+    odds = F.log((F.col("bad") + 0.5) / (bad + 1) / ((good + 0.5) / (n - bad + 1)))
+    best = some.orderBy(F.desc("gain"), "feature").limit(FEATURES).select("feature", odds.alias("odds"))
+    return {r["feature"]: r["odds"] for r in best.collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int = LABELLED) -> Model:
@@ -212,15 +218,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int =
     edges = np.zeros((len(SHAPES), BINS))
     if fitted:
         shapes = np.stack(rows["shape"].to_list())
-        # Each shape's low, middle and high values by quantiles, with more of them at the ends.
-        edges = np.quantile(shapes, [0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.98], axis=0).T
+        # Bounds between the values of bad documents and the high values of good ones.
+        bad = (rows["low"] == 1).to_numpy() if "low" in fitted else np.ones(len(rows), bool)
+        high = np.quantile(shapes[~bad] if not bad.all() else shapes, [0.9, 0.99, 0.999], axis=0)
+        edges = np.sort(np.r_[np.quantile(shapes[bad], [0.5, 0.7, 0.75, 0.8, 0.9], axis=0), high], axis=0).T
         places = binned(shapes, edges) + np.arange(len(SHAPES)) * (BINS + 1)
     for h in fitted:
         has = rows[h].notna().to_numpy()
         y = rows[h].to_numpy(float)[has]
         base = len(SHAPES) * (BINS + 1)
         own_rows = [np.r_[p, base + np.asarray(w, np.int64)] for p, w in zip(places[has], rows[f"words_{h}"][has])]
-        w = regression(own_rows, base + len(features[h]), y)
+        w = regression(own_rows, np.r_[np.zeros(base), np.asarray(list(features[h].values())) / SHARED], y)
         rate = (y.sum() + 0.5) / (len(y) + 1)
         words = {f: float(x) for f, x in zip(features[h], w[base:-1]) if abs(x) > 1e-3}
         heads[h] = Head(math.log(rate / (1 - rate)), float(w[-1]), w[:base].reshape(len(SHAPES), BINS + 1), words)
