@@ -76,10 +76,13 @@ def parts(word: str) -> list[str]:
 
 @dataclass
 class Head:
-    """Bias, weight of each shape's bins, and of word features; ``prior`` is the global rate's logit."""
+    """Bias, weight of each shape's bins, and of word features; ``prior`` is the global rate's logit.
 
-    prior: float = 0.0
-    bias: float = 0.0
+    A head that was not fitted takes bad documents for rare and has no evidence.
+    """
+
+    prior: float = -10.0
+    bias: float = -10.0
     shapes: np.ndarray = field(default_factory=lambda: np.zeros((len(SHAPES), BINS + 1)))
     words: dict[str, float] = field(default_factory=dict)
 
