@@ -5,7 +5,6 @@ Nothing is measured unless an ``Audit`` is used.
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -15,73 +14,83 @@ from pyspark.sql import functions as F
 
 from seekframe.plans.paging import Page
 from seekframe.plans.search import Search
+from seekframe.session import shared_dir
 from seekframe.sources.index import Index
+from seekframe.sources.index.manifest import Files
 
-# Fixed value: keys kept with one record.
-MAX_KEYS = 50
+# Fixed value: keys kept with one search, unless asked otherwise.
+KEPT_KEYS = 50
 
 SEARCH_SCHEMA = (
-    "at TIMESTAMP, query STRING, index STRING, strategy STRING, hits BIGINT, duration_ms DOUBLE, "
-    "operation STRING, page INT, per_page INT, request STRING, keys ARRAY<STRING>"
+    "at TIMESTAMP, operation STRING, index STRING, strategy STRING, query STRING, "
+    "filters ARRAY<STRUCT<field: STRING, op: STRING, value: STRING>>, "
+    "sorted ARRAY<STRUCT<field: STRING, way: STRING>>, limited INT, "
+    "found STRUCT<total: BIGINT, keys: ARRAY<STRING>, cut: BOOLEAN>, "
+    "shown STRUCT<page: INT, size: INT>, duration_ms DOUBLE"
 )
 WRITE_SCHEMA = (
-    "at TIMESTAMP, operation STRING, index STRING, strategy STRING, count BIGINT, written BIGINT, "
-    "removed BIGINT, duration_ms DOUBLE, fingerprint STRING, segment STRING, keys ARRAY<STRING>"
+    "at TIMESTAMP, operation STRING, index STRING, segment STRING, fingerprint STRING, "
+    "changed STRUCT<asked: BIGINT, written: BIGINT, removed: BIGINT>, duration_ms DOUBLE"
 )
+KEY_SCHEMA = "index STRING, segment STRING, op STRING, key STRING"
 
 
 class Audit:
-    def __init__(self, spark: SparkSession, path: str):
+    """Records below a folder; ``kept_keys`` is how many keys a search record lists."""
+
+    def __init__(self, spark: SparkSession, path: str, kept_keys: int = KEPT_KEYS):
         self.spark = spark
         self.path = path
+        self.kept_keys = kept_keys
+        self._files = Files(spark, path)
 
     # ---- searches -------------------------------------------------------
 
     def search(self, s: Search) -> DataFrame:
-        """Run a search and record it. The count and the first keys are read once
-        more than the search itself needs; that is the price of the record."""
-        started = time.monotonic()
-        rows = s.get()
-        shown = [r[0] for r in s.take(min(s.limit or MAX_KEYS, MAX_KEYS)).keys().collect()]
-        hits = s.raw().count() if s.limit is not None else s.total().first()["total_count"]
-        self._search_performed(s, "search", hits, shown, started)
+        """Run a search once, record it and return its rows.
+
+        The rows are written to the shared folder in order; the record and the
+        caller read them there, so that the duration is the search's own.
+        """
+        rows, taken = self._run(s.get())
+        self._search_performed(s, "search", rows.count(), rows, taken, None)
         return rows
 
     def paginate(self, s: Search, per_page: int | None = None, page: int | None = None) -> Page:
-        started = time.monotonic()
         result = s.paginate(per_page, page)
+        rows, taken = self._run(result.rows)
+        started = time.monotonic()
         info = result.info.first()
-        shown = [r[0] for r in result.rows.select(s.spec.key).limit(MAX_KEYS).collect()]
-        self._search_performed(
-            s, "paginate", info["total_count"], shown, started, info["current_page"], info["per_page"]
-        )
-        return result
-
-    def _search_performed(self, s, operation, hits, keys, started, page=None, per_page=None) -> None:
-        request = {
-            "query": s.query,
-            "wheres": [list(w) for w in s.wheres],
-            "where_ins": {k: _listed(v) for k, v in s.where_ins.items()},
-            "where_not_ins": {k: _listed(v) for k, v in s.where_not_ins.items()},
-            "limit": s.limit,
-            "orders": [list(o) for o in s.orders],
-            "options": s.options,
-        }
-        index = s.index.manifest.name if s.index is not None else s.spec.name
-        row = (
+        taken += (time.monotonic() - started) * 1000
+        self._search_performed(s, "paginate", info["total_count"], rows, taken, (info["current_page"], info["per_page"]))
+        return Page(rows, self.spark.createDataFrame([info], result.info.schema))
+
+    def _run(self, rows: DataFrame) -> tuple[DataFrame, float]:
+        path, started = shared_dir(self.spark), time.monotonic()
+        placed = rows.withColumn("__place", F.monotonically_increasing_id())
+        placed.write.parquet(path)
+        taken = (time.monotonic() - started) * 1000
+        return self.spark.read.schema(placed.schema).parquet(path).orderBy("__place").drop("__place"), taken
+
+    def _search_performed(self, s: Search, operation: str, total: int, rows: DataFrame, taken: float, shown) -> None:
+        listed = [str(r[0]) for r in rows.select(s.spec.key).limit(self.kept_keys + 1).collect()]
+        filters = [(name, op, None if value is None else str(value)) for name, op, value in s.wheres]
+        for op, lists in (("in", s.where_ins), ("not in", s.where_not_ins)):
+            filters += [(name, op, _written(values)) for name, values in lists.items()]
+        record = (
             datetime.now(timezone.utc),
-            s.query,
-            index,
-            s.strategy,
-            hits,
-            (time.monotonic() - started) * 1000,
             operation,
-            page,
-            per_page,
-            json.dumps(request, default=str),
-            [str(k) for k in keys],
+            s.index.manifest.name if s.index is not None else s.spec.name,
+            s.strategy,
+            s.query,
+            filters,
+            list(s.orders),
+            s.limit,
+            (total, listed[: self.kept_keys], len(listed) > self.kept_keys),
+            shown,
+            taken,
         )
-        self._append("searches", SEARCH_SCHEMA, row)
+        self._append("searches", SEARCH_SCHEMA, record)
 
     # ---- writes ---------------------------------------------------------
 
@@ -93,26 +102,23 @@ class Audit:
         return index
 
     def write_performed(self, index: Index, duration_ms: float | None = None) -> None:
+        """Record the last commit; every key of it goes to the table of keys."""
         commit = index.manifest.last_commit or {}
         segment = commit.get("segment")
-        keys = []
         if segment is not None:
-            changed = index.changes().where(F.col("seg") == segment).select("key")
-            keys = [str(r[0]) for r in changed.limit(MAX_KEYS).collect()]
-        row = (
+            changed = index.changes().where(F.col("seg") == segment)
+            keys = changed.select(F.lit(index.manifest.name).alias("index"), F.lit(segment).alias("segment"), "op", F.col("key").cast("string"))
+            keys.write.mode("append").parquet(f"{self.path}/keys")
+        record = (
             datetime.now(timezone.utc),
             commit.get("operation"),
             index.manifest.name,
-            "index",
-            commit.get("count"),
-            commit.get("written"),
-            commit.get("removed"),
-            duration_ms,
-            commit.get("fingerprint"),
             segment,
-            keys,
+            commit.get("fingerprint"),
+            (commit.get("count"), commit.get("written"), commit.get("removed")),
+            duration_ms,
         )
-        self._append("writes", WRITE_SCHEMA, row)
+        self._append("writes", WRITE_SCHEMA, record)
 
     # ---- reports --------------------------------------------------------
 
@@ -122,21 +128,23 @@ class Audit:
     def writes(self) -> DataFrame:
         return self._read("writes", WRITE_SCHEMA)
 
+    def written_keys(self) -> DataFrame:
+        """``index, segment, op, key``: all keys of all recorded writes."""
+        return self._read("keys", KEY_SCHEMA)
+
     def counts(self) -> DataFrame:
         """Searches and writes by index and operation."""
         both = self.searches().select("index", "operation").unionByName(self.writes().select("index", "operation"))
         return both.groupBy("index", "operation").agg(F.count(F.lit(1)).alias("n"))
 
-    def _append(self, name: str, schema: str, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).write.mode("append").parquet(f"{self.path}/{name}")
+    def _append(self, name: str, schema: str, record: tuple) -> None:
+        self.spark.createDataFrame([record], schema).write.mode("append").parquet(f"{self.path}/{name}")
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        path = f"{self.path}/{name}"
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path):
+        if not self._files.exists(name):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
 
-def _listed(values) -> object:
-    return "DataFrame" if isinstance(values, DataFrame) else list(values)
+def _written(values) -> str:
+    return "DataFrame" if isinstance(values, DataFrame) else ", ".join(map(str, values))

@@ -3,18 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import json
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def batch_id(operation: str, keys: Iterable) -> str:
-    """Identity of a short key list that is already on the driver."""
-    return hashlib.md5(f"{operation}:{json.dumps(sorted(keys))}".encode()).hexdigest()
-
-
 def key_hash(key: Column) -> Column:
     """First 15 hex digits of the key's md5 as a number."""
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 15), 16, 10).cast("bigint")

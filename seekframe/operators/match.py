@@ -17,7 +17,7 @@ from seekframe.spec import SearchSpec, column_type, evaluate, is_text
 MAX_KEY = 2**63 - 1
 
 
-def contains_any(df: DataFrame, spec: SearchSpec, query: str, null_text: bool = False) -> Column | None:
+def contains_any(df: DataFrame, spec: SearchSpec, query: str, null_text: bool = True) -> Column | None:
     """Literal, case-blind substring of any document field, whatever its type."""
     if query == "":
         return None

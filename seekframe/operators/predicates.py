@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from collections.abc import Iterable, Sequence
 from enum import Enum
 from functools import reduce
@@ -26,7 +27,7 @@ OPERATORS = {
 }
 
 LIKE_ESCAPE = "!"
-# A longer list of values becomes a join, so that a plan never carries it.
+# A longer list of values becomes a join, so that a plan never carries it; both read values alike.
 MAX_LITERALS = 1000
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -124,32 +125,98 @@ def apply_wheres(df: DataFrame, wheres: Sequence[tuple[str, str, Any]]) -> DataF
     return df.where(reduce(and_, parts)) if parts else df
 
 
-def _value_frame(df: DataFrame, name: str, values: list) -> DataFrame:
-    dtype = column_type(df, name)
-    plain = [v.value if isinstance(v, Enum) else v for v in values]
+class _Unfit(Exception):
+    """A value that no value of the column's type can equal."""
+
+
+def _plain(value: Any, dtype: T.DataType) -> tuple[Any, T.DataType]:
+    """A list's value and the type in which it is compared, by one rule for lists of any length."""
+    if isinstance(value, Enum):
+        value = value.value
     if isinstance(dtype, TEXT_TYPES):
-        plain = [v if v is None else str(v) for v in plain]
-    elif isinstance(dtype, _WHOLE):
-        plain = [v if v is None else int(v) for v in plain]
-    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-        plain = [v if v is None else float(v) for v in plain]
-    schema = T.StructType([T.StructField("__value", dtype)])
-    return df.sparkSession.createDataFrame([(v,) for v in plain], schema).distinct()
+        return ("true" if value else "false") if isinstance(value, bool) else str(value), T.StringType()
+    if isinstance(dtype, T.BooleanType):
+        return value.strip().lower() in ("1", "true") if isinstance(value, str) else bool(value), dtype
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return value.isoformat(" ") if isinstance(value, dt.datetime) else str(value), T.StringType()
+    if not isinstance(dtype, T.NumericType):
+        return value, dtype
+    try:
+        number = _number(value) if isinstance(value, str) else int(value) if isinstance(value, bool) else value
+    except ValueError:
+        raise _Unfit from None
+    if isinstance(dtype, _WHOLE):
+        bits = _RANGES[type(dtype)]
+        if number != number or number in (float("inf"), float("-inf")) or number != int(number):
+            raise _Unfit
+        if not -(2 ** (bits - 1)) <= number < 2 ** (bits - 1):
+            raise _Unfit
+        return int(number), dtype
+    if isinstance(dtype, T.DecimalType):
+        exact = decimal.Decimal(str(number))
+        if not exact.is_finite():
+            raise _Unfit
+        whole = exact.quantize(decimal.Decimal(1).scaleb(-dtype.scale), context=decimal.Context(prec=80))
+        if whole != exact or len(whole.as_tuple().digits) > dtype.precision:
+            raise _Unfit
+        return whole, dtype
+    return float(number), T.DoubleType()
+
+
+def _fitting(values: list, dtype: T.DataType) -> tuple[list, T.DataType]:
+    """The values that the column could equal, and the type they are compared in; nulls are left out."""
+    found, kind = [], dtype
+    for value in values:
+        if value is not None:
+            try:
+                plain, kind = _plain(value, dtype)
+            except _Unfit:
+                continue
+            found.append(plain)
+    return found, kind
+
+
+def _compared(name: str, dtype: T.DataType) -> Column:
+    """The column as list values are compared with it: fractions as doubles, all else as it is."""
+    wide = isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType)
+    return F.col(name).cast("double") if wide and not isinstance(dtype, T.DoubleType) else F.col(name)
+
+
+def _dated(value: Column, dtype: T.DataType, kind: T.DataType) -> Column:
+    """A text value of a date or time column; null if it is not one."""
+    return value.try_cast(dtype) if isinstance(kind, T.StringType) and not isinstance(dtype, TEXT_TYPES) else value
+
+
+def _value_frame(df: DataFrame, values: list, dtype: T.DataType, kind: T.DataType) -> DataFrame:
+    schema = T.StructType([T.StructField("__value", kind)])
+    frame = df.sparkSession.createDataFrame([(v,) for v in values], schema)
+    return frame.select(_dated(F.col("__value"), dtype, kind).alias("__value")).where("__value IS NOT NULL").distinct()
+
+
+def _listed(df: DataFrame, name: str, values: list, dtype: T.DataType, kind: T.DataType) -> Column:
+    """Membership as literals; null only where the column is."""
+    items = [_dated(F.lit(v).cast(kind), dtype, kind) for v in values]
+    found = _compared(name, dtype).isin(items)
+    dated = isinstance(kind, T.StringType) and not isinstance(dtype, TEXT_TYPES)
+    return F.when(F.col(name).isNotNull(), F.coalesce(found, F.lit(False))) if dated else found
 
 
 def apply_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> DataFrame:
-    """Keep rows whose value is in the list. A list may be a one-column DataFrame."""
+    """Keep rows whose value is in the list. A list may be a one-column DataFrame.
+
+    A listed value that the column's type cannot hold equals nothing.
+    """
     if isinstance(values, DataFrame):
         # Distinct values: a value that fills the list is merged before it is sent.
         wanted = values.select(F.col(values.columns[0]).alias("__value")).distinct()
         return df.join(wanted, F.col(name) == F.col("__value"), "left_semi")
-    listed = list(values)
     dtype = _require(df, name)
+    listed, kind = _fitting(list(values), dtype)
+    if not listed:
+        return df.where(F.lit(False))
     if len(listed) <= MAX_LITERALS:
-        if not listed:
-            return df.where(F.lit(False))
-        return df.where(F.col(name).isin([_item(v, dtype) for v in listed]))
-    return df.join(_value_frame(df, name, listed), F.col(name) == F.col("__value"), "left_semi")
+        return df.where(_listed(df, name, listed, dtype, kind))
+    return df.join(_value_frame(df, listed, dtype, kind), _compared(name, dtype) == F.col("__value"), "left_semi")
 
 
 def apply_not_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> DataFrame:
@@ -162,20 +229,19 @@ def apply_not_in(df: DataFrame, name: str, values: Iterable | DataFrame) -> Data
         lowest = raw.agg(F.when(n == 0, 0).when(n == filled, 1).otherwise(2).alias("lowest")).scalar()
         kept = df.where(F.when(F.col(name).isNotNull(), 1).otherwise(0) >= lowest)
         return kept.join(raw.distinct(), F.col(name) == F.col("__value"), "left_anti")
-    listed = list(values)
+    given = list(values)
     dtype = _require(df, name)
-    if not listed:
+    if not given:
         return df
-    if len(listed) <= MAX_LITERALS:
-        return df.where(~F.col(name).isin([_item(v, dtype) for v in listed]))
-    if any(v is None for v in listed):
+    if any(v is None for v in given):
         return df.where(F.lit(False))
+    listed, kind = _fitting(given, dtype)
+    if not listed:
+        return df.where(F.col(name).isNotNull())
+    if len(listed) <= MAX_LITERALS:
+        return df.where(~_listed(df, name, listed, dtype, kind))
     kept = df.where(F.col(name).isNotNull())
-    return kept.join(_value_frame(df, name, listed), F.col(name) == F.col("__value"), "left_anti")
-
-
-def _item(value: Any, dtype: T.DataType) -> Column:
-    return F.lit(None).cast(dtype) if value is None else typed(value, dtype)
+    return kept.join(_value_frame(df, listed, dtype, kind), _compared(name, dtype) == F.col("__value"), "left_anti")
 
 
 def _require(df: DataFrame, name: str) -> T.DataType:

@@ -20,7 +20,6 @@ from seekframe.functions.text import (
     tokens,
     words,
 )
-from seekframe.operators.spread import spread
 
 # Fixed values of the BM25 formula.
 K1 = 1.2
@@ -63,7 +62,7 @@ def _profile(text: Column, terms: list[str], language: str) -> Column:
 
 def corpus_facts(df: DataFrame, text: Column, terms: list[str], language: str) -> DataFrame:
     """One row: documents, mean length and document frequency of each term."""
-    p = spread(df.select(text.alias("t"))).select(_profile(F.col("t"), terms, language).alias("p"))
+    p = df.select(text.alias("t")).select(_profile(F.col("t"), terms, language).alias("p"))
     return p.agg(
         F.count(F.lit(1)).cast("double").alias("n_docs"),
         F.avg("p.n").alias("mean_length"),
@@ -86,7 +85,7 @@ def scan_scores(
     if matched_only:
         df = df.where(F.lower(text).rlike(any_pattern(terms, language)))
     facts = corpus_facts(corpus, text, terms, language).select(F.struct("*")).scalar()
-    profiled = spread(df).withColumn("__p", _profile(text, terms, language)).withColumn("__f", facts)
+    profiled = df.withColumn("__p", _profile(text, terms, language)).withColumn("__f", facts)
     score = bm25(
         [F.col(f"__p.t{i}") for i in range(len(terms))],
         [F.col(f"__f.df{i}") for i in range(len(terms))],

@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.operators.hydrate import MAX_BROADCAST_HITS
 from seekframe.session import shared_dir
+from seekframe.sources.index.manifest import Files
 
+# Fixed value: rows of a page that nobody sized.
 DEFAULT_PER_PAGE = 15
 # Rows before a page that a task may keep in memory.
-DEEP_SKIP = 100_000
+DEEP_SKIP = 10_000
 # Bits of a monotonically increasing id that count rows inside a task.
 ROW_BITS = 2**33 - 1
 
 
-@dataclass(frozen=True)
 class Page:
-    """``rows`` of one page in order and ``info``, a one-row DataFrame about it."""
+    """``rows`` of one page in order and ``info``, a one-row DataFrame about it.
 
-    rows: DataFrame
-    info: DataFrame
+    Either may be given as a function; it is called when first asked for.
+    """
+
+    def __init__(self, rows: DataFrame | Callable[[], DataFrame], info: DataFrame | Callable[[], DataFrame]):
+        self._rows, self._info = rows, info
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self._rows() if callable(self._rows) else self._rows
 
+    @cached_property
+    def info(self) -> DataFrame:
+        return self._info() if callable(self._info) else self._info
 
-def page_slice(
-    df: DataFrame, order: list[Column], per_page: int, page: int, key: str, extra: int = 0
-) -> DataFrame:
+
+def page_slice(df: DataFrame, order: list[Column], per_page: int, page: int, extra: int = 0) -> DataFrame:
     """Rows of one page: a top-k per task and one small merge, never a full sort.
 
     A page that lies deep would make every task keep all rows before it; it is
@@ -35,73 +45,73 @@ def page_slice(
     """
     skip, size = (page - 1) * per_page, per_page + extra
     if skip > DEEP_SKIP:
-        return _deep_slice(df, order, skip, size, key)
+        return _deep_slice(df, order, skip, size)
     ordered = df.orderBy(*order)
     return (ordered.offset(skip) if skip > 0 else ordered).limit(size)
 
 
-def _deep_slice(df: DataFrame, order: list[Column], skip: int, size: int, key: str) -> DataFrame:
-    """Sort the keys once over all tasks and write them with their place in their
-    task; the row counts of the tasks then tell which few of them hold the page."""
+def _deep_slice(df: DataFrame, order: list[Column], skip: int, size: int) -> DataFrame:
+    """Sort the rows once over all tasks and write them with their place in their
+    task; the row counts of the tasks then tell where the page begins.
+
+    Rows are told apart by their place alone, so a key may repeat or be null. The
+    sorted rows are removed once the page itself is written.
+    """
     spark = df.sparkSession
     placed = df.orderBy(*order).select(
-        F.col(key).alias("__key"),
+        *(F.col(f"`{c}`") for c in df.columns),
         F.spark_partition_id().alias("__task"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)).alias("__row"),
     )
-    path = shared_dir(spark)
-    placed.write.parquet(path)
-    written = spark.read.parquet(path)
-    # One row per task of the sort.
+    sorted_path, page_path = shared_dir(spark), shared_dir(spark)
+    placed.write.parquet(sorted_path)
+    written = spark.read.schema(placed.schema).parquet(sorted_path)
+    # One row per task of the sort, joined back as a small table.
     counts = written.groupBy("__task").agg(F.count(F.lit(1)).alias("n")).orderBy("__task").collect()
-    start, page = 0, written.where(F.lit(False)).withColumn("__place", F.lit(0).cast("bigint"))
-    base, tasks = F.lit(None).cast("bigint"), []
+    bases, start = [], 0
     for row in counts:
         if start < skip + size and start + row["n"] > skip:
-            base = F.when(F.col("__task") == row["__task"], F.lit(start).cast("bigint")).otherwise(base)
-            tasks.append(row["__task"])
+            bases.append((row["__task"], start))
         start += row["n"]
-    if tasks:
-        numbered = written.where(F.col("__task").isin(tasks)).withColumn("__place", base + F.col("__row"))
-        page = numbered.where((F.col("__place") >= skip) & (F.col("__place") < skip + size))
-    keys = page.select("__key")
-    keys = F.broadcast(keys) if size <= MAX_BROADCAST_HITS else keys
-    return df.join(keys, F.col(key) == F.col("__key"), "left_semi").orderBy(*order)
-
-
-def page_info(total: DataFrame, page_count: Column, per_page: int, page: int) -> DataFrame:
-    """Facts of a page with a known total; ``total`` is one row ``total_count``."""
-    n = F.col("total_count")
-    shown = page_count.cast("bigint")
+    found = spark.createDataFrame(bases, "__task int, __base bigint")
+    place = (F.col("__base") + F.col("__row")).alias("__place")
+    numbered = written.join(F.broadcast(found), "__task").withColumn("__place", place)
+    page = numbered.where((F.col("__place") >= skip) & (F.col("__place") < skip + size))
+    page = page.select(*(F.col(f"`{c}`") for c in df.columns), "__place")
+    page.write.parquet(page_path)
+    Files(spark, sorted_path).remove("")
+    return spark.read.schema(page.schema).parquet(page_path).orderBy("__place").drop("__place")
+
+
+def _facts(df: DataFrame, shown: Column, total: Column, pages: Column, more: Column, per_page: int, page: int) -> DataFrame:
+    # The names of the facts of a page.
     first = F.lit((page - 1) * per_page).cast("bigint")
-    return total.select(
+    none = F.lit(0).cast("bigint")
+    return df.select(
         shown.alias("count"),
-        n.alias("total_count"),
+        total.alias("total_count"),
         F.lit(per_page).alias("per_page"),
         F.lit(page).alias("current_page"),
         F.lit(page).alias("requested_page"),
-        F.greatest(F.lit(1).cast("bigint"), F.ceil(n / F.lit(per_page)).cast("bigint")).alias("page_count"),
+        pages.alias("page_count"),
         F.lit(page > 1).alias("has_prev_page"),
-        (F.lit(per_page * page).cast("bigint") < n).alias("has_next_page"),
-        F.when(shown > 0, first + 1).otherwise(F.lit(0).cast("bigint")).alias("start"),
-        F.when(shown > 0, first + shown).otherwise(F.lit(0).cast("bigint")).alias("end"),
+        more.alias("has_next_page"),
+        F.when(shown > 0, first + 1).otherwise(none).alias("start"),
+        F.when(shown > 0, first + shown).otherwise(none).alias("end"),
     )
 
 
+def page_info(total: DataFrame, page_count: Column, per_page: int, page: int) -> DataFrame:
+    """Facts of a page with a known total; ``total`` is one row ``total_count``."""
+    n = F.col("total_count")
+    pages = F.greatest(F.lit(1).cast("bigint"), F.ceil(n / F.lit(per_page)).cast("bigint"))
+    more = F.lit(per_page * page).cast("bigint") < n
+    return _facts(total, page_count.cast("bigint"), n, pages, more, per_page, page)
+
+
 def simple_info(probe: DataFrame, per_page: int, page: int) -> DataFrame:
     """Facts of a page without a total; ``probe`` holds up to one row too many."""
-    n = F.col("n")
+    n, unknown = F.col("n"), F.lit(None).cast("bigint")
+    counted = probe.agg(F.count(F.lit(1)).alias("n"))
     shown = F.least(n, F.lit(per_page).cast("bigint"))
-    first = F.lit((page - 1) * per_page).cast("bigint")
-    return probe.agg(F.count(F.lit(1)).alias("n")).select(
-        shown.alias("count"),
-        F.lit(None).cast("bigint").alias("total_count"),
-        F.lit(per_page).alias("per_page"),
-        F.lit(page).alias("current_page"),
-        F.lit(page).alias("requested_page"),
-        F.lit(None).cast("bigint").alias("page_count"),
-        F.lit(page > 1).alias("has_prev_page"),
-        (n > per_page).alias("has_next_page"),
-        F.when(shown > 0, first + 1).otherwise(F.lit(0).cast("bigint")).alias("start"),
-        F.when(shown > 0, first + shown).otherwise(F.lit(0).cast("bigint")).alias("end"),
-    )
+    return _facts(counted, shown, unknown, unknown, n > per_page, per_page, page)

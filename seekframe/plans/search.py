@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field, replace
+from functools import cache
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from seekframe.functions.text import query_terms
-from seekframe.operators.hydrate import MAX_BROADCAST_HITS, hydrate
+from seekframe.functions.text import highlight, query_terms, word_forms
+from seekframe.operators.hydrate import hydrate
 from seekframe.operators.match import contains_any, joined_text, like_any
 from seekframe.operators.predicates import apply_in, apply_not_in, apply_trashed, apply_wheres
 from seekframe.operators.rank import scan_scores, with_position
@@ -18,6 +19,7 @@ from seekframe.plans.paging import DEFAULT_PER_PAGE, Page, page_info, page_slice
 from seekframe.spec import SearchSpec
 
 Transform = Callable[[DataFrame], DataFrame]
+HIDDEN_PLACE = "__place"
 
 
 @dataclass(frozen=True)
@@ -198,7 +200,7 @@ class Search:
         attributes = self.options.get("attributes")
         if attributes is not None:
             docs = docs.select(*dict.fromkeys([self.spec.key, *attributes]))
-        return hydrate(hits, docs, self.spec.key, n_hits=cap).orderBy("_position")
+        return _in_place(hydrate(hits, docs, self.spec.key, n_hits=cap))
 
     def keys(self) -> DataFrame:
         return self.raw().select(self.spec.key)
@@ -216,27 +218,34 @@ class Search:
         """A page with its total. A limit set by ``take`` plays no part."""
         per_page, page = per_page or DEFAULT_PER_PAGE, max(1, page or 1)
         found = self.matched()
-        hits = page_slice(found.hits, found.order, per_page, page, self.spec.key)
-        rows = self._rows(hits, found.order, per_page)
-        return Page(rows, page_info(self.total(), self._page_count(rows, per_page, page), per_page, page))
+
+        def rows() -> DataFrame:
+            return self._rows(page_slice(found.hits, found.order, per_page, page), found.order, per_page)
+
+        return Page(rows, lambda: self._page_info(rows, per_page, page))
 
     def simple_paginate(self, per_page: int | None = None, page: int | None = None) -> Page:
         """A page that only tells whether another one follows: nothing is counted."""
         per_page, page = per_page or DEFAULT_PER_PAGE, max(1, page or 1)
         found = self.matched()
-        probe = page_slice(found.hits, found.order, per_page, page, self.spec.key, extra=1)
-        hits = page_slice(found.hits, found.order, per_page, page, self.spec.key)
-        return Page(self._rows(hits, found.order, per_page), simple_info(probe, per_page, page))
+        # One fetch of a row too many serves the rows and the facts.
+        probe = cache(lambda: page_slice(found.hits, found.order, per_page, page, extra=1))
+
+        def rows() -> DataFrame:
+            return self._rows(probe().orderBy(*found.order).limit(per_page), found.order, per_page)
+
+        return Page(rows, lambda: simple_info(probe(), per_page, page))
 
     def paginate_raw(self, per_page: int | None = None, page: int | None = None) -> Page:
         """As ``paginate``, with hits (after the raw hook) in place of rows."""
         per_page, page = per_page or DEFAULT_PER_PAGE, max(1, page or 1)
         found = self.matched()
-        hits = page_slice(found.hits, found.order, per_page, page, self.spec.key)
-        if self.raw_fn is not None:
-            hits = hits.transform(self.raw_fn)
-        info = page_info(self.total(), self._page_count(hits, per_page, page, hooked=self.raw_fn), per_page, page)
-        return Page(hits, info)
+
+        def hits() -> DataFrame:
+            sliced = page_slice(found.hits, found.order, per_page, page)
+            return sliced if self.raw_fn is None else sliced.transform(self.raw_fn)
+
+        return Page(hits, lambda: self._page_info(hits, per_page, page, hooked=self.raw_fn))
 
     # ---- helpers --------------------------------------------------------
 
@@ -244,16 +253,29 @@ class Search:
         caps = [c for c in (self.limit, self.options.get("max_results")) if c is not None]
         return min(caps) if caps else None
 
-    def _page_count(self, rows: DataFrame, per_page: int, page: int, hooked: Any = None) -> Column:
+    def _page_info(self, rows: Callable[[], DataFrame], per_page: int, page: int, hooked: Any = None) -> DataFrame:
         if hooked is not None or self.raw_fn is not None or self.post is not None or self._joins_rows():
-            return rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-        left = F.col("total_count") - F.lit((page - 1) * per_page)
-        return F.greatest(F.lit(0).cast("bigint"), F.least(left, F.lit(per_page).cast("bigint")))
+            count = rows().agg(F.count(F.lit(1)).alias("n")).scalar()
+        else:
+            left = F.col("total_count") - F.lit((page - 1) * per_page)
+            count = F.greatest(F.lit(0).cast("bigint"), F.least(left, F.lit(per_page).cast("bigint")))
+        return page_info(self.total(), count, per_page, page)
 
     def _joins_rows(self) -> bool:
         return self.index is not None and self.source is not None
 
     def _rows(self, hits: DataFrame, order: list[Column], n_hits: int | None) -> DataFrame:
+        """Rows of hits, with ``_highlight`` (a struct of the fields that the option names) if asked for."""
+        rows = self._hit_rows(hits, order, n_hits)
+        fields = self.options.get("highlight")
+        if not fields:
+            return rows
+        language = self.spec.language if self.index is None else self.index.manifest.language
+        terms = [w for t, _ in query_terms(self.query, language) for w in word_forms(t, language)]
+        marked = [highlight(F.col(f), list(dict.fromkeys(terms)), self.options.get("prefix", False)).alias(f) for f in fields]
+        return rows.withColumn("_highlight", F.struct(*marked))
+
+    def _hit_rows(self, hits: DataFrame, order: list[Column], n_hits: int | None) -> DataFrame:
         """Hooks and, for an index, the join back to the table, in hit order."""
         if not self._joins_rows():
             if self.raw_fn is None and self.post is None:
@@ -265,15 +287,23 @@ class Search:
         if self.raw_fn is not None:
             hits = hits.transform(self.raw_fn)
         rows = self.source if self.post is None else self.source.transform(self.post)
-        return hydrate(hits, rows, self.spec.key, n_hits=n_hits).orderBy("_position")
+        # A hook may multiply hits, and with it goes the bound of the page.
+        bound = n_hits if self.raw_fn is None else None
+        return _in_place(hydrate(hits, rows, self.spec.key, n_hits=bound))
 
 
 def _placed(hits: DataFrame, order: list[Column], n_hits: int | None) -> DataFrame:
-    """Hits with a ``_position`` that sorts them: 1, 2, ... on a page, else an id
-    that grows along the sorted hits without gathering them in one task."""
-    if n_hits is not None and n_hits <= MAX_BROADCAST_HITS:
+    """Limited hits with their ``_position`` 1, 2, ... (a limit has gathered them);
+    all hits with a hidden place that grows along them over many tasks."""
+    if n_hits is not None:
         return with_position(hits, order)
-    return hits.withColumn("_position", F.monotonically_increasing_id())
+    return hits.withColumn(HIDDEN_PLACE, F.monotonically_increasing_id())
+
+
+def _in_place(rows: DataFrame) -> DataFrame:
+    if HIDDEN_PLACE in rows.columns:
+        return rows.orderBy(HIDDEN_PLACE).drop(HIDDEN_PLACE)
+    return rows.orderBy("_position")
 
 
 def search(source: DataFrame, spec: SearchSpec, query: str = "", **options) -> Search:
@@ -301,7 +331,7 @@ def _contains_strategy(s: Search) -> Matched:
         df = df.transform(s.spec.enrich)
     if s.spec.should_index is not None:
         df = df.where(s.spec.eligible())
-    predicate = contains_any(df, s.spec, s.query, s.options.get("null_text", False))
+    predicate = contains_any(df, s.spec, s.query, s.options.get("null_text", s.spec.null_text))
     if predicate is not None:
         df = df.where(predicate)
     return Matched(df, s.sort_columns() or [F.col(s.spec.key).desc()])

@@ -6,6 +6,7 @@ import json
 import uuid
 from dataclasses import asdict, dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +16,7 @@ class Files:
     def __init__(self, spark: SparkSession, root: str):
         self.root = root.rstrip("/")
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, name: str):
@@ -37,7 +39,11 @@ class Files:
             stream.close()
 
     def publish(self, name: str, text: str) -> bool:
-        """Make a file appear whole under a name nobody has taken; False if taken."""
+        """Make a file appear whole under a name nobody has taken; False if taken.
+
+        The rename refuses a taken name, and does so in one step on file systems (such as
+        HDFS) whose ``FileContext`` rename is atomic. Others are for tests and single writers.
+        """
         target = self._path(name)
         if self._fs.exists(target):
             return False
@@ -48,7 +54,17 @@ class Files:
             out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
-        return self._fs.rename(draft, target)
+        hadoop = self._jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+        options = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(draft, target, options)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception):
+                self._fs.delete(draft, False)
+                return False
+            raise
+        return True
 
     def remove(self, name: str) -> None:
         self._fs.delete(self._path(name), True)

@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,6 @@ from pyspark.sql import types as T
 
 from seekframe.functions.hashing import fingerprint, key_hash
 from seekframe.functions.render import TEXT_TYPES
-from seekframe.operators.spread import spread
 from seekframe.sources.index.manifest import Files, Manifest, Versions
 from seekframe.sources.index.postings import (
     LENGTH,
@@ -37,17 +37,24 @@ from seekframe.sources.index.postings import (
     term_counts,
     text_length,
 )
+from seekframe.sources.tables import by_keys, key_range
 from seekframe.spec import SOFT_FLAG, SearchSpec, documents
 
 Listener = Callable[[dict], None]
 PARTS = ("docs", "postings", "terms", "tombstones", "deletes")
 MODES = ("upsert", "create", "update", "emplace")
+# Times a commit is made again after another job was first.
+RETRIES = 3
 
 
 class IndexWriteError(ValueError):
     """A write that would break the index; nothing of it becomes visible."""
 
 
+class LostRace(IndexWriteError):
+    """Another job published the version first."""
+
+
 def rejects(docs: DataFrame, key: str) -> DataFrame:
     """Documents an import cannot take: ``key, reason, n``."""
     counted = docs.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
@@ -233,8 +240,11 @@ class Index:
             changes["filterable"] = list(dict.fromkeys([*filterable, SOFT_FLAG]))
         if sortable is not None:
             changes["sortable"] = list(sortable)
-        updated = self._publish(self.manifest.next(**changes))
-        return updated.compact() if searchable is not None and self.manifest.segments else updated
+        if searchable is None or not self.manifest.segments:
+            return self._publish(self.manifest.next(**changes))
+        # One commit: no reader sees new fields over old postings.
+        changed = Index(self.spark, self._files, Manifest(**{**self.manifest.to_dict(), **changes}), self._listeners)
+        return changed.commit(docs=self.docs(), replace=True, operation="compact")
 
     def declare_schema(self, schema: T.StructType) -> "Index":
         if self.manifest.schema is not None:
@@ -248,6 +258,17 @@ class Index:
     def resume(self) -> "Index":
         return self._publish(self.manifest.next(paused=False))
 
+    @contextmanager
+    def paused(self) -> Iterator["Index"]:
+        """Pause for a block of work; changes pass again after it, also when it raises."""
+        before = self.manifest.paused
+        held = self if before else self.pause()
+        try:
+            yield held
+        finally:
+            if not before:
+                held.refresh().resume()
+
     # ---- writes ---------------------------------------------------------
 
     def import_table(self, df: DataFrame, spec: SearchSpec, mode: str = "upsert", fresh: bool = False) -> "Index":
@@ -255,6 +276,33 @@ class Index:
         docs = documents(df, spec)
         return self.replace_all(docs) if fresh else self.write(docs, mode)
 
+    def import_range(
+        self, df: DataFrame, spec: SearchSpec, start, end, mode: str = "upsert", tidy: bool = False
+    ) -> "Index":
+        """Import the rows whose key lies in a closed range, as one part of a bulk import.
+
+        ``tidy`` also removes documents of the range whose rows are gone or not eligible.
+        """
+        docs = documents(key_range(df, spec.key, start, end), spec)
+        gone = self._left(docs, lambda live: key_range(live, self.key, start, end)) if tidy else None
+        return self.commit(docs=docs, delete_keys=gone, mode=mode, operation="update")
+
+    def import_keys(
+        self, df: DataFrame, spec: SearchSpec, keys: DataFrame | Iterable, mode: str = "upsert", tidy: bool = False
+    ) -> "Index":
+        """Import the rows that a key list names; ``tidy`` as for a range."""
+        listed = keys if isinstance(keys, DataFrame) else list(keys)
+        docs = documents(by_keys(df, spec.key, listed), spec)
+        gone = self._left(docs, lambda live: by_keys(live, self.key, listed)) if tidy else None
+        return self.commit(docs=docs, delete_keys=gone, mode=mode, operation="update")
+
+    def _left(self, docs: DataFrame, part: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+        """Keys of a part of the index that the documents for it no longer have."""
+        if self.manifest.schema is None or not self.manifest.segments:
+            return None
+        live = part(self.docs().select(self.key))
+        return live.join(docs.select(F.col(self.key).cast(self.key_type).alias(self.key)), self.key, "left_anti")
+
     def write(self, docs: DataFrame, mode: str = "upsert") -> "Index":
         """Write documents by key."""
         return self.commit(docs=docs, mode=mode, operation="update")
@@ -303,13 +351,37 @@ class Index:
         replace: bool = False,
         batch: tuple[str, int] | None = None,
         operation: str = "update",
+        while_paused: bool = False,
+    ) -> "Index":
+        """Write one segment and publish it. A batch already seen is skipped.
+
+        If another job publishes first, an upsert or delete is made again on its version.
+        """
+        args = (docs, delete_keys, mode, replace, batch, operation, while_paused)
+        for _ in range(RETRIES):
+            try:
+                return self._commit(*args)
+            except LostRace:
+                if replace or mode != "upsert":
+                    raise
+                self = self.refresh()
+        return self._commit(*args)
+
+    def _commit(
+        self,
+        docs: DataFrame | None,
+        delete_keys: DataFrame | None,
+        mode: str,
+        replace: bool,
+        batch: tuple[str, int] | None,
+        operation: str,
+        while_paused: bool,
     ) -> "Index":
-        """Write one segment and publish it. A batch already seen is skipped."""
         m = self.manifest
         if batch is not None and m.batches.get(batch[0], -1) >= batch[1]:
             return self
         batches = m.batches if batch is None else {**m.batches, batch[0]: batch[1]}
-        if m.paused and operation != "compact":
+        if m.paused and operation != "compact" and not while_paused:
             return self._publish(m.next(batches=batches)) if batch is not None else self
         if m.schema is None and docs is None:
             return self._publish(m.next(batches=batches))
@@ -317,14 +389,16 @@ class Index:
             # The first documents declare the schema.
             declared = Manifest(**{**m.to_dict(), "schema": json.loads(docs.schema.json())})
             index = Index(self.spark, self._files, declared, self._listeners)
-            return index.commit(docs, delete_keys, mode, replace, batch, operation)
+            return index._commit(docs, delete_keys, mode, replace, batch, operation, while_paused)
         segment = f"{m.version + 1:012d}-{uuid.uuid4().hex[:8]}"
         parts: list[str] = []
 
         new, seen, counts = None, None, {"n": 0, "len": 0}
         if docs is not None:
             if mode != "upsert" and not replace:
-                docs = merge_documents(self.docs(), docs, self.key, mode)
+                # Only an emplace reads more of the live documents than their keys.
+                live = self.docs() if mode == "emplace" else self.docs().select(self.key)
+                docs = merge_documents(live, docs, self.key, mode)
             new = self._write_docs(self._conform(docs), segment)
             parts.append("docs")
             counts = self._check(new)
@@ -402,7 +476,7 @@ class Index:
 
     def _publish(self, manifest: Manifest) -> "Index":
         if not self._versions.publish(manifest.version, manifest.to_dict()):
-            raise IndexWriteError(f"{manifest.name}: version {manifest.version} was written by another job")
+            raise LostRace(f"{manifest.name}: version {manifest.version} was written by another job")
         commit = manifest.last_commit
         if commit is not None and commit != self.manifest.last_commit:
             for listener in self._listeners:
@@ -421,13 +495,13 @@ class Index:
         return docs.select(*columns)
 
     def _write_docs(self, docs: DataFrame, segment: str) -> DataFrame:
-        laid = spread(docs).withColumn(LENGTH, text_length(self.text_fields, self.manifest.language)).withColumn(
-            "bucket", bucket_of(F.col(self.key), self.manifest.buckets)
-        )
+        laid = docs.withColumn("bucket", bucket_of(F.col(self.key), self.manifest.buckets))
         path = f"{self.path}/docs/seg={segment}"
-        # Rebalance splits a large bucket over many tasks and merges small ones.
+        # Rebalance splits a large bucket over many tasks and merges small ones; texts are
+        # cut after it, by as many tasks, however few files they came from.
         (
             laid.hint("rebalance", F.col("bucket"))
+            .withColumn(LENGTH, text_length(self.text_fields, self.manifest.language))
             .sortWithinPartitions("bucket", self.key)
             .write.partitionBy("bucket")
             .parquet(path)

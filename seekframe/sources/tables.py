@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from seekframe.operators.predicates import apply_in
 
-RANGE_BLOCK = 10_000
+# Ranges that one row stands for before they are spelled out by the task that gets it.
+RANGE_BLOCK = 1_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,7 +44,7 @@ def contain(df: DataFrame, other: DataFrame, on: Column, name: str) -> DataFrame
 def plan_ranges(
     df: DataFrame, key: str, chunk: int = 500, *, order: str = "asc", start: int | None = None, end: int | None = None
 ) -> DataFrame:
-    """Key ranges of a bulk import: one row per range, made on the executors."""
+    """Key ranges of a bulk import: one row per range, made in blocks by many tasks."""
     if order not in ("asc", "desc"):
         raise ValueError("order must be asc or desc")
     size = max(1, chunk)
@@ -53,11 +54,12 @@ def plan_ranges(
     if start is None and end is None:
         bounds = bounds.where((F.col("lo") >= 1) & (F.col("hi") >= 1))
     count = F.ceil((F.col("hi") - F.col("lo") + 1) / F.lit(size)).cast("bigint")
-    # Two steps, so that no single row holds the whole list of ranges.
+    # Two steps, so that no single row or task holds the whole list of ranges.
     zero = F.lit(0).cast("bigint")
     blocks = bounds.select(
         "lo", "hi", count.alias("count"), F.explode(F.sequence(zero, F.floor((count - 1) / RANGE_BLOCK))).alias("block")
     )
+    blocks = blocks.repartition("block")  # deal the blocks out to all tasks
     at = F.col("block") * RANGE_BLOCK
     steps = blocks.select(
         "lo", "hi", F.explode(F.sequence(at, F.least(at + RANGE_BLOCK, F.col("count")) - 1)).alias("n")

@@ -38,6 +38,7 @@ class SearchSpec:
     ``enrich``        DataFrame -> DataFrame, run before documents are built.
     ``relevant``      fields whose change makes a saved row worth indexing again;
                       None means all of them.
+    null_text         a contains search sees a null field as the text ``null``.
     """
 
     name: str
@@ -54,6 +55,7 @@ class SearchSpec:
     should_index: Callable[[Accessor], Column] | None = None
     enrich: Callable[[DataFrame], DataFrame] | None = None
     relevant: Sequence[str] | None = None
+    null_text: bool = True
 
     def __post_init__(self) -> None:
         if self.mode not in FULLTEXT_MODES:

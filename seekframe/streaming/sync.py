@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from seekframe.audit import Audit
+from seekframe.session import shared_dir
 from seekframe.sources.index import Catalog, Index
+from seekframe.sources.index.manifest import Files
 from seekframe.spec import SearchSpec
 from seekframe.streaming.changes import last_actions, split_actions
 
@@ -15,12 +18,18 @@ def apply_changes(
     index: Index, changes: DataFrame, spec: SearchSpec, batch: tuple[str, int] | None = None
 ) -> Index:
     """Write the outcome of a set of changes as one commit."""
-    last = last_actions(changes, spec).persist()  # read for the writes and for the deletes
+    held = index.manifest.paused
+    # A pause holds back saves and deletes; a restore passes it.
+    passing = changes.where(F.col("op") == "restore") if held else changes
+    last = last_actions(passing, spec)
+    # Read for the writes and for the deletes: kept in the shared folder, not on executors.
+    path = shared_dir(index.spark)
+    last.write.parquet(path)
+    docs, keys = split_actions(index.spark.read.schema(last.schema).parquet(path), spec)
     try:
-        docs, keys = split_actions(last, spec)
-        return index.commit(docs=docs, delete_keys=keys, batch=batch, operation="sync")
+        return index.commit(docs=docs, delete_keys=keys, batch=batch, operation="sync", while_paused=held)
     finally:
-        last.unpersist()
+        Files(index.spark, path).remove("")
 
 
 def sync_stream(
@@ -39,7 +48,7 @@ def sync_stream(
 
     A micro-batch can run more than once; the manifest remembers the last batch
     of each stream, so a repeated one changes nothing. While the index is paused
-    its changes are dropped. ``compact_after`` folds an index of more segments.
+    its changes, restores aside, are dropped. ``compact_after`` folds an index of more segments.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:

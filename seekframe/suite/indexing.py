@@ -179,32 +179,43 @@ def index_trashed(spark, folder):
 
 @case(
     "audit_counts",
-    """SELECT "index", operation, CAST(n AS BIGINT) AS n FROM (VALUES ('part', 'search', 2), ('part', 'paginate', 1), ('part', 'update', 1), ('part', 'delete', 1))
-       t("index", operation, n)""",
+    """SELECT 'search' AS operation, count(*) AS n FROM part WHERE p_type <> 'PROMO' AND contains(p_name, 'ring')
+       UNION ALL SELECT 'search', least(count(*), 5) FROM part WHERE p_name ILIKE '%gear%'
+       UNION ALL SELECT 'paginate', count(*) FROM part WHERE p_name ILIKE '%gear%'
+       UNION ALL SELECT 'update', count(*) FROM part UNION ALL SELECT 'delete', count(*) FROM part WHERE p_type = 'PROMO'""",
 )
 def audit_counts(spark, folder):
     audit = Audit(spark, shared_dir(spark))
     index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
     index = audit.write(lambda: index.write(documents(part(spark, folder), SPEC)))
     index = audit.write(lambda: index.delete(part(spark, folder).where("p_type = 'PROMO'").select("p_partkey")))
-    audit.search(search_index(index, "ring"))
-    audit.search(search(part(spark, folder), SPEC, "gear").take(5))
-    audit.paginate(search(part(spark, folder), SPEC, "gear"), 10, 2)
-    return audit.counts()
+    named = SPEC.with_(document=["p_name"])
+    audit.search(search_index(index, "ring", prefix=False))
+    audit.search(search(part(spark, folder), named, "gear").take(5))
+    audit.paginate(search(part(spark, folder), named, "gear"), 10, 2)
+    searches = audit.searches().select("operation", F.col("found.total").alias("n"))
+    return searches.unionByName(audit.writes().select("operation", F.col("changed.asked").alias("n")))
 
 
 @case(
     "audit_search",
     """SELECT 'ring' AS query, 'like' AS strategy, count(*) AS hits, least(count(*), 50) AS n_keys,
-              CAST(max(p_partkey) AS VARCHAR) AS first_key
+              count(*) > 50 AS cut, CAST(max(p_partkey) AS VARCHAR) AS first_key, 'p_size > 10' AS filter
        FROM part WHERE (p_name ILIKE '%ring%' OR p_type ILIKE '%ring%') AND p_size > 10""",
 )
 def audit_search(spark, folder):
     audit = Audit(spark, shared_dir(spark))
     audit.search(search(part(spark, folder), SPEC, "ring").where("p_size", ">", 10))
     seen = audit.searches()
+    only = F.get("filters", F.lit(0))
     return seen.select(
-        "query", "strategy", "hits", F.size("keys").cast("bigint").alias("n_keys"), F.get("keys", F.lit(0)).alias("first_key")
+        "query",
+        "strategy",
+        F.col("found.total").alias("hits"),
+        F.size("found.keys").cast("bigint").alias("n_keys"),
+        "found.cut",
+        F.get("found.keys", F.lit(0)).alias("first_key"),
+        F.concat_ws(" ", only["field"], only["op"], only["value"]).alias("filter"),
     )
 
 

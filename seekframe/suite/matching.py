@@ -39,11 +39,12 @@ def match_contains_text(spark, folder):
 
 @case(
     "match_contains_literal",
-    "SELECT p_partkey FROM part WHERE contains(lower(p_name), 'r_ng') OR contains(lower(p_type), 'r_ng')",
+    "SELECT p_partkey FROM part WHERE contains(lower(p_type) || '_%' || p_size, 'o_%1')",
 )
 def match_contains_literal(spark, folder):
     """Pattern characters mean nothing to a contains search."""
-    return search(part(spark, folder), PART, "r_ng").using("contains").get().select("p_partkey")
+    spec = PART.with_(document={"code": lambda c: F.concat(c("p_type"), F.lit("_%"), c("p_size").cast("string"))})
+    return search(part(spark, folder), spec, "o_%1").using("contains").get().select("p_partkey")
 
 
 @case(
@@ -51,9 +52,9 @@ def match_contains_literal(spark, folder):
     "SELECT p_partkey FROM part WHERE p_type = 'PROMO'",
 )
 def match_contains_null(spark, folder):
-    """With null_text a missing value reads as the word null."""
+    """A missing value reads as the word null."""
     spec = PART.with_(document={"kind": lambda c: F.when(c("p_type") != "PROMO", c("p_type"))})
-    return search(part(spark, folder), spec, "null", null_text=True).using("contains").get().select("p_partkey")
+    return search(part(spark, folder), spec, "null").using("contains").get().select("p_partkey")
 
 
 _LIKE = "SELECT * FROM part WHERE p_name ILIKE '{0}' OR p_brand ILIKE '{0}' OR p_type ILIKE '{0}'"
