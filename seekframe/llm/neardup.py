@@ -1,8 +1,10 @@
 """MinHash near-duplicates by tensored banding, every link verified on full shingle sets.
 
-A document has two small collections of ``SIDE`` sketches, each sketch two minhashes. A table's
-key is a pair, one sketch of each collection, so ``4 * SIDE`` minhashes fill ``SIDE ** 2``
-tables of four minhashes where they would fill ``SIDE`` without the pairs.
+A document has two small collections of ``side`` sketches, each sketch ``ROWS`` minhashes. A
+table's key is a pair, one sketch of each collection, so ``2 * ROWS * side`` minhashes fill
+``side ** 2`` tables of ``2 * ROWS`` minhashes where they would fill ``side`` without the pairs.
+``side`` is the least at which a collection misses a pair of the least similarity asked for with
+a chance of ``MISS`` at most.
 
 Copies with the same shingle set are one class, whose representative has the smallest
 ``doc_id``; only representatives are hashed into tables. In each bucket every member is a
@@ -22,7 +24,9 @@ of fewer words than a shingle is one shingle; long texts are read whole; rows wi
 id; an empty table gives no rows; other columns of the input are not read.
 """
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,15 +39,25 @@ from seekframe.llm.bloom import bloom
 from seekframe.llm.common import batches, documents, mixed, parked, runs_of, signed, word_hashes
 from seekframe.llm.components import components
 
-#: Sketches in each of the two collections, and minhashes in a sketch.
-SIDE, ROWS = 7, 2
-#: Sketches that must agree before a pair across components is verified. Of 14, each agrees with
-#: a chance of 0.64 to 0.72 at the least similarities asked for: fewer than 3 with about 1e-5.
-AGREE = 3
+#: Minhashes in a sketch, and the chance with which a collection may miss a pair.
+ROWS, MISS = 3, 2e-4
+#: Sketches that must agree before a pair across components is verified. At the similarities
+#: 0.85 and 0.8 each of 18 and of 24 agrees with a chance of 0.61 and 0.51: fewer than 4 with a
+#: chance of about 1e-4.
+AGREE = 4
+
+
+def side_of(least: tuple[int, int]) -> int:
+    """Sketches in each collection for a least similarity."""
+    agree = (least[0] / least[1]) ** ROWS
+    return 1 if agree >= 1 else max(2, math.ceil(math.log(MISS) / math.log(1 - agree)))
+
+
+@functools.cache
+def hash_family(n: int) -> list[tuple[np.uint64, np.uint64]]:
+    rng = np.random.default_rng(20)
+    return [(m | np.uint64(1), a) for m, a in rng.integers(1, 2**63, (n, 2), np.uint64)]
 
-_rng = np.random.default_rng(20)
-_MULTIPLY = _rng.integers(1, 2**63, 2 * SIDE * ROWS, np.uint64) | np.uint64(1)
-_ADD = _rng.integers(1, 2**63, 2 * SIDE * ROWS, np.uint64)
 
 SKETCHES = "doc_id long, n_shingles long, content binary, sketches array<long>"
 
@@ -56,20 +70,28 @@ def shingles(text: bytes, k: int) -> np.ndarray:
     return np.unique(runs_of(word_hashes(words), min(k, len(words))))
 
 
-def sketched(hashes: np.ndarray) -> np.ndarray:
+def sketched(hashes: np.ndarray, side: int) -> np.ndarray:
     """Both collections' sketches, in a row."""
-    least = np.array([mixed(hashes * m + a).min() for m, a in zip(_MULTIPLY, _ADD)])
-    return signed(runs_of_pairs(least))
+    least = np.array([scrambled(hashes * m + a).min() for m, a in hash_family(2 * side * ROWS)])
+    return signed(joined_rows(least))
 
 
-def runs_of_pairs(least: np.ndarray) -> np.ndarray:
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """One round of mixing; the hashes are mixed well already."""
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def joined_rows(least: np.ndarray) -> np.ndarray:
     out = np.zeros(len(least) // ROWS, np.uint64)
     for i in range(ROWS):
         out = mixed(out ^ least[i::ROWS])
     return out
 
 
-def sketches(docs: DataFrame, k: int) -> DataFrame:
+def sketches(docs: DataFrame, k: int, side: int) -> DataFrame:
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in batches(found):
             sizes, contents, rows = [], [], []
@@ -77,7 +99,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 own = shingles(text, k)
                 sizes.append(len(own))
                 contents.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                rows.append(sketched(own) if len(own) else None)
+                rows.append(sketched(own, side) if len(own) else None)
             columns = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(contents, pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "content", "sketches"]
@@ -140,20 +162,27 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     return known.where("ca <> cb")
 
 
-def _settled(pairs: DataFrame, links: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """All links known after every pair was verified or found within one component.
+def _settled(
+    pairs: DataFrame, links: DataFrame, joined: DataFrame, sets: DataFrame, least: tuple[int, int]
+) -> tuple[DataFrame, DataFrame]:
+    """Links and components after every pair was verified or found within one component.
 
     ``pairs`` is (a, b, weight). Every ``b`` tests its heaviest pair first; what is still open
     after that is tested as a whole.
     """
-    opened = parked(_apart(pairs, components(links)).drop("ca", "cb"))
+    opened = parked(_apart(pairs, joined).drop("ca", "cb"))
     best = opened.groupBy("b").agg(F.max(F.struct("weight", (-F.col("a")).alias("a"))).alias("best"))
     chosen = parked(best.select((-F.col("best.a")).alias("a"), "b"))
-    if chosen.isEmpty():
-        return links
-    links = parked(links.union(verified(chosen, sets, least)))
-    rest = _apart(opened.join(chosen, ["a", "b"], "left_anti"), components(links))
-    return parked(links.union(verified(parked(rest.select("a", "b")), sets, least)))
+    for tested in (lambda: chosen, lambda: opened.join(chosen, ["a", "b"], "left_anti")):
+        rest = parked(_apart(tested().select("a", "b"), joined).select("a", "b"))
+        if rest.isEmpty():
+            break
+        new = verified(rest, sets, least)
+        if not new.isEmpty():
+            links = links.union(new)
+            # Components stand for the links that made them.
+            joined = components(new.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    return links, joined
 
 
 def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -162,14 +191,15 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     Documents are linked if their sets' Jaccard similarity is at least ``least``, a fraction.
     """
     num, den = least
-    own = documents(docs)
-    rows = parked(sketches(own, k))
-    classes = parked(rows.where("n_shingles > 0").groupBy("content").agg(F.min("doc_id").alias("node")))
-    first = rows.where("n_shingles > 0").join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    side = side_of(least)
+    rows = parked(sketches(documents(docs), k, side))
+    filled = rows.where("n_shingles > 0")
+    classes = parked(filled.groupBy("content").agg(F.min("doc_id").alias("node")))
+    first = filled.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     first = first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketches")
     keys = F.expr(
-        f"transform(sequence(0, {SIDE * SIDE - 1}), "
-        f"t -> xxhash64(t, sketches[t div {SIDE}], sketches[{SIDE} + t % {SIDE}]))"
+        f"transform(sequence(0, {side * side - 1}), "
+        f"t -> xxhash64(t, sketches[t div {side}], sketches[{side} + t % {side}]))"
     )
     table = first.select("node", F.explode(keys).alias("key"))
     leaders = table.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader < _last")
@@ -180,15 +210,14 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     star = members.where("node <> leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b"))
     star = parked(star.agg(F.count("*").alias("weight")))
     spark = rows.sparkSession
-    links = _settled(star, spark.createDataFrame([], "a long, b long"), sets, least)
+    none = spark.createDataFrame([], "a long, b long")
+    links, joined = _settled(star, none, spark.createDataFrame([], "node long, component long"), sets, least)
 
     # Buckets that still hold several components: what lies in different ones.
-    joined = components(links)
     named = members.select("key", "node").join(joined, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
-    mixed_keys = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed_keys = mixed_keys.where("low < high").select("key")
-    left = parked(named.join(mixed_keys, "key").join(first, "node"))
+    several = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    left = parked(named.join(several.where("low < high").select("key"), "key").join(first, "node"))
     a, b = (left.select("key", *(F.col(c).alias(c + e) for c in ("node", "component", "n", "sketches"))) for e in "ab")
     agree = F.expr("aggregate(zip_with(sketchesa, sketchesb, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
     across = a.join(b, "key").where(
@@ -198,11 +227,11 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     )
     across = across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), agree.cast("long").alias("weight")).distinct()
     tested = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = _settled(parked(across.join(tested, ["a", "b"], "left_anti")), links, sets, least)
+    _, joined = _settled(parked(across.join(tested, ["a", "b"], "left_anti")), links, joined, sets, least)
 
     # A row's class and component; rows that share an id are one document.
     shared = rows.join(classes, "content").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    final = components(links.union(shared))
+    final = components(shared.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     labelled = rows.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return labelled.select(
         "doc_id",
@@ -210,4 +239,3 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
         F.coalesce("component", "doc_id").alias("component_id"),
         (F.coalesce("component", "doc_id") == F.col("doc_id")).alias("kept"),
     )
-
