@@ -13,7 +13,7 @@ gives no rows; other columns of the input are not read.
 import functools
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,22 @@ KEPT = 400_000
 _SPACE = re.compile(r"[ \t-\r]+")
 
 
+class _Kept(dict):
+    """Text -> its changes, computed when missing and kept while there is room."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.compute(text)
+        if len(text) <= KEPT_BYTES:
+            if len(self) >= KEPT:
+                self.clear()
+            self[text] = found
+        return found
+
+
 class Counter:
     """Counts of prefixes under the merges of one byte-level vocabulary with word ends."""
 
@@ -42,12 +58,17 @@ class Counter:
         merges = (m if isinstance(m, list) else m.split(" ") for m in found["model"]["merges"])
         self.ranks = {tuple(m): i for i, m in enumerate(merges)}
         self.vocabulary = found["model"]["vocab"]
-        self.longest = max(len(t) - len(self.end) * t.endswith(self.end) for t in self.vocabulary)
+        ended = {t: t[: -len(self.end)] for t in self.vocabulary if self.end and t.endswith(self.end) and t != self.end}
+        self.open_tokens = self.vocabulary.keys() - ended.keys() - {self.end}
+        self.end_tokens = {body: t for t, body in ended.items()} or {t: t for t in self.open_tokens}
+        self.longest = max(map(len, [*self.open_tokens, *self.end_tokens]))
         self.controls = [t["content"] for t in found["added_tokens"]]
         self.apart: dict[tuple[str, str], bool] = {}
         self.splits: dict[str, tuple[int, str, str] | None] = {}
-        self.open: dict[str, tuple[str, int, int]] = {"": ("", 0, 0)}
-        self.pieces: dict[str, bytes] = {}
+        # A tree of prefixes by letter: last open token, open count, ended count, longer prefixes.
+        self.root: list = ["", 0, 0, None]
+        self.nodes = 0
+        self.pieces = _Kept(self.piece_changes)
 
     def letters(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:
@@ -90,66 +111,72 @@ class Counter:
                 b, right_start, _ = self.split(right)
 
     def follows(self, before: str, token: str) -> bool:
-        """Whether a token can stand behind another, or first."""
-        if self.split(token) is None:
-            return False
-        if not before:
-            return True
-        known = self.apart.get((before, token))
-        if known is None:
-            if len(self.apart) >= KEPT:
-                self.apart.clear()
-            known = self.apart[before, token] = self.stays_apart(before, token)
+        """Whether a token can stand behind another, or (behind nothing) first; kept."""
+        if len(self.apart) >= KEPT:
+            self.apart.clear()
+        known = self.split(token) is not None and (not before or self.stays_apart(before, token))
+        self.apart[before, token] = known
         return known
 
-    def last(self, states: list, piece: str, i: int, end: str) -> tuple[str, int]:
-        """The last token of the first ``i`` letters, and how many tokens there are."""
+    def next_state(self, states: list, piece: str, i: int) -> tuple[str, int, int]:
+        """Of the first ``i`` letters: the last token and the count if the piece goes on, and the count if it ends."""
+        apart, opened, ended = self.apart, None, None
         for start in range(max(0, i - self.longest), i):
-            token = piece[start:i] + end
-            if token in self.vocabulary:
-                before = states[start]
-                if self.follows(before[0], token) and (start == 0 or before[0]):
-                    return token, before[1] + 1
-        raise ValueError(f"no token ends {piece[:i]!r}")
+            part = piece[start:i]
+            before = states[start]
+            if opened is None and part in self.open_tokens:
+                known = apart.get((before[0], part))
+                if self.follows(before[0], part) if known is None else known:
+                    opened = (part, before[1] + 1)
+                    if ended is not None:
+                        break
+            if ended is None and part in self.end_tokens:
+                token = self.end_tokens[part]
+                known = apart.get((before[0], token))
+                if self.follows(before[0], token) if known is None else known:
+                    ended = before[1] + 1
+                    if opened is not None:
+                        break
+        if opened is None or ended is None:
+            raise ValueError(f"no token ends {piece[:i]!r}")
+        return (*opened, ended)
 
     def piece_counts(self, piece: str) -> list[int]:
         """Token counts of the piece's prefixes, each taken as a whole piece; in byte letters."""
-        short, known = len(piece) <= KEPT_BYTES, self.open
-        if len(known) >= KEPT:
-            known.clear()
-            known[""] = ("", 0, 0)
-        states = [("", 0, 0)]
-        for i in range(1, len(piece) + 1):
-            state = known.get(piece[:i]) if short else None
+        if self.nodes >= KEPT:
+            self.root, self.nodes = ["", 0, 0, None], 0
+        short, node = len(piece) <= KEPT_BYTES, self.root
+        states, counts = [node], []
+        for i, letter in enumerate(piece, 1):
+            longer = node[3]
+            state = None if longer is None else longer.get(letter)
             if state is None:
-                token, n = self.last(states, piece, i, "")
-                state = (token, n, self.last(states, piece, i, self.end)[1] if self.end else n)
+                state = [*self.next_state(states, piece, i), None]
                 if short:
-                    known[piece[:i]] = state
+                    self.nodes += 1
+                    if longer is None:
+                        node[3] = {letter: state}
+                    else:
+                        longer[letter] = state
             states.append(state)
-        return [s[2] for s in states[1:]]
+            counts.append(state[2])
+            node = state
+        return counts
 
     def piece_changes(self, piece: str) -> bytes:
         """The change of the count at each letter of a piece, a signed byte each."""
-        known = self.pieces.get(piece)
-        if known is None:
-            if piece[0] == "'" and piece[1:].isalpha():
-                # A contraction that is cut is a sign and letters, each a piece of its own.
-                cut = [PIECES.findall(piece[:i]) for i in range(1, len(piece))]
-                counts = [sum(self.piece_counts(p)[-1] for p in c) for c in [*cut, [piece]]]
-            elif piece.isascii():
-                counts = self.piece_counts(self.bytes_of(piece))
-            else:
-                whole, at, counts = self.piece_counts(self.bytes_of(piece)), 0, []
-                for letter in piece:
-                    at += len(letter.encode())
-                    counts.append(whole[at - 1])
-            known = bytes([(n - m) & 255 for m, n in zip([0, *counts], counts)])
-            if len(piece) <= KEPT_BYTES:
-                if len(self.pieces) >= KEPT:
-                    self.pieces.clear()
-                self.pieces[piece] = known
-        return known
+        if piece[0] == "'" and piece[1:].isalpha():
+            # A contraction that is cut is a sign and letters, each a piece of its own.
+            cut = [PIECES.findall(piece[:i]) for i in range(1, len(piece))]
+            counts = [sum(self.piece_counts(p)[-1] for p in c) for c in [*cut, [piece]]]
+        elif piece.isascii():
+            counts = self.piece_counts(self.bytes_of(piece))
+        else:
+            whole, at, counts = self.piece_counts(self.bytes_of(piece)), 0, []
+            for letter in piece:
+                at += len(letter.encode())
+                counts.append(whole[at - 1])
+        return bytes([(n - m) & 255 for m, n in zip([0, *counts], counts)])
 
     def normal(self, text: str) -> tuple[str, list[int], list[tuple[int, int, str]]]:
         """The normal form, where each letter of the text ends in it, and odd inner prefixes.
@@ -184,12 +211,12 @@ class Counter:
         """Changes for a text without control strings and ASCII white space."""
         if ODD.search(text) is None and len(low := text.lower()) == len(text):
             found = ASCII_PIECES.findall(low) if low.isascii() else PIECES.findall(low)
-            return b"".join(map(self.piece_changes, found))
+            return b"".join(map(self.pieces.__getitem__, found))
         normal, ends, inner = self.normal(text)
         made, starts, at = bytearray(len(normal)), [], 0
         for found in PIECES.finditer(normal):  # blanks of the normal form change nothing
             starts.append(found.start())
-            made[found.start() : found.end()] = self.piece_changes(found.group())
+            made[found.start() : found.end()] = self.pieces[found.group()]
         totals = [0, *np.cumsum(np.frombuffer(bytes(made), np.int8), dtype=np.int64).tolist()]
         counts = [totals[e] for e in ends]
         for letter, group, own in inner:
@@ -216,30 +243,17 @@ class Counter:
         return before + own + (self.word_changes(rest) if rest else b"")
 
 
-class Tables(dict):
-    """A text without blanks -> its changes; a missing one is computed."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.counter = Counter(path)
-
-    def __missing__(self, chunk: str) -> bytes:
-        word_changes = self.counter.word_changes
-        if _SPACE.search(chunk) is None:
-            found = word_changes(chunk) if chunk else b""
-        else:
-            parts = enumerate(re.split(r"([ \t-\r]+)", chunk))
-            found = b"".join(bytes(len(p)) if i % 2 else word_changes(p) if p else b"" for i, p in parts)
-        if len(chunk) <= KEPT_BYTES:
-            if len(self) >= KEPT:
-                self.clear()
-            self[chunk] = found
-        return found
+def blankless(counter: Counter, chunk: str) -> bytes:
+    """Changes for a text without blanks; other white space changes nothing."""
+    if _SPACE.search(chunk) is None:
+        return counter.word_changes(chunk) if chunk else b""
+    parts = enumerate(re.split(r"([ \t-\r]+)", chunk))
+    return b"".join(bytes(len(p)) if i % 2 else counter.word_changes(p) if p else b"" for i, p in parts)
 
 
 @functools.cache
-def tables_of(path: str) -> Tables:
-    return Tables(path)
+def tables_of(path: str) -> _Kept:
+    return _Kept(functools.partial(blankless, Counter(path)))
 
 
 def changes(text: str, path: str) -> bytes:
