@@ -20,6 +20,7 @@ table gives no rows; other columns of both inputs are not read.
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -79,14 +80,18 @@ class Items:
             return numbers
         return np.asarray([zlib.crc32(b"%d" % n) % self.columns for n in numbers.tolist()], np.int64)
 
-    def counts(self, passages: list[np.ndarray]) -> np.ndarray:
-        """Dense counts of known words, a row for each passage."""
-        sizes = [len(p) for p in passages]
-        flat = np.concatenate(passages).astype(np.int64) if passages else np.empty(0, np.int64)
-        rows = np.repeat(np.arange(len(passages)), sizes)
+    def weighted(self, passages: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+        """TF-IDF rows of length one, one for each passage; words are counted sparsely."""
+        flat = np.concatenate(passages)
+        rows = np.repeat(np.arange(len(passages)), [len(p) for p in passages])
         known = flat >= 0
-        at = rows[known] * self.columns + self.column(flat[known])
-        return np.bincount(at, minlength=len(passages) * self.columns).reshape(len(passages), self.columns)
+        at, n = np.unique(rows[known] * self.columns + self.column(flat[known]), return_counts=True)
+        row = at // self.columns
+        x = np.log1p(n) * idf[at % self.columns]
+        size = np.sqrt(np.bincount(row, x * x, len(passages)))
+        out = np.zeros((len(passages), self.columns), np.float32)
+        out.reshape(-1)[at] = x / np.maximum(size[row], 1e-9)
+        return out
 
     def shared(self, item: int, passage: list[int]) -> int:
         """Length of the longest common subsequence, a bit for each word of the item."""
@@ -126,14 +131,15 @@ def numbered(docs: DataFrame, items: Items) -> DataFrame:
         for keys, texts in batches(found):
             out = []
             for text in texts:
-                words = words_of(text.decode())
-                numbers = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
+                numbers = np.array(list(map(get, words_of(text.decode()), repeat(-1))), np.int32)
                 out.append(numbers.tobytes())
-                own = passages_of(numbers, items.step)
-                passages += len(own)
-                for _, p in own:
-                    seen = np.unique(p)
-                    counts[np.unique(items.column(seen[seen >= 0]))] += 1
+                n = len(passages_of(numbers, items.step))
+                passages += n
+                # A word is in the passage that begins in its step and in the one before, where they are.
+                place = np.flatnonzero(numbers >= 0)
+                column, first = items.column(numbers[place]), place // items.step
+                both = np.concatenate([(first * items.columns + column)[first < n], ((first - 1) * items.columns + column)[first > 0]])
+                counts += np.bincount(np.unique(both) % items.columns, minlength=items.columns)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(out, pa.binary()), pa.nulls(len(out), pa.list_(pa.int64()))],
                 ["doc_id", "numbers", "counts"],
@@ -155,13 +161,6 @@ def totals(rows: DataFrame, column: str, size: int) -> np.ndarray:
     return out
 
 
-def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF rows of length one."""
-    x = np.log1p(counts).astype(np.float32) * idf
-    size = np.sqrt((x**2).sum(axis=1, keepdims=True))
-    return x / np.maximum(size, np.float32(1e-9))
-
-
 def blocks(found: Iterable[pa.RecordBatch], step: int, size: int, stride: int = 1) -> Iterator[list[tuple[int, int, np.ndarray]]]:
     """Passages of documents in blocks: document, start and word numbers."""
     waiting: list[tuple[int, int, np.ndarray]] = []
@@ -190,7 +189,7 @@ def latent_space(rows: DataFrame, items: Items, idf: np.ndarray, queries: np.nda
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((items.columns, width), np.float32)
         for block in blocks(found, items.step, BLOCK, 2):
-            x = weighted(items.counts([p for _, _, p in block]), idf)
+            x = items.weighted([p for _, _, p in block], idf)
             total += x.T @ (x @ probe)
         cut = range(0, items.columns, 256)
         slices = [total[i : i + 256].tobytes() for i in cut]
@@ -241,7 +240,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "item_id", text: str
     counted = totals(rows, "counts", items.columns + 1)
     passages = float(counted[0])
     idf = np.log((1 + passages) / (1 + counted[1:])).astype(np.float32)
-    queries = weighted(items.counts([np.asarray(t) for t in items.texts]), idf)
+    queries = items.weighted([np.asarray(t) for t in items.texts], idf)
     space = latent_space(rows, items, idf, queries, passages)
     there = queries @ space
     there /= np.maximum(np.sqrt((there**2).sum(axis=1, keepdims=True)), 1e-9)
@@ -250,7 +249,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "item_id", text: str
         names = ["doc_id", "item_id", "start", "common", "n_words", "cosine"]
         types = [pa.int64()] * 5 + [pa.float64()]
         for block in blocks(found, items.step, BLOCK):
-            x = weighted(items.counts([p for _, _, p in block]), idf) @ space
+            x = items.weighted([p for _, _, p in block], idf) @ space
             x /= np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), 1e-9)
             cosine = x @ there.T
             out = []
