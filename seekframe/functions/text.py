@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,14 +20,55 @@ MARK_START = "<mark>"
 MARK_END = "</mark>"
 AFFIX_WORDS = 4
 SNIPPET_WORDS = 30
-LANGUAGES = ("simple", "english")
-# English words too common to search for.
+# English words too common to search for: the short list that search libraries have long shared.
 STOP_WORDS = (
     "a an and are as at be but by for if in into is it no not of on or such "
     "that the their then there these they this to was will with"
 ).split()
 
 
+@dataclass(frozen=True)
+class Analyzer:
+    """How a language's words become terms: words to drop, and endings of which the first that fits is replaced.
+
+    Words shorter than ``least`` letters stay as they are.
+    """
+
+    stops: tuple[str, ...] = ()
+    endings: tuple[tuple[str, str], ...] = ()
+    least: int = 5
+
+
+# Plural rules after the S-stemmer (Harman 1991); for the other languages the
+# most frequent articles and prepositions, and the common endings of number, gender and case.
+ANALYZERS: dict[str, Analyzer] = {
+    "simple": Analyzer(),
+    "english": Analyzer(
+        tuple(STOP_WORDS),
+        (("eies", "eies"), ("aies", "aies"), ("ies", "y"), ("us", "us"), ("ss", "ss"), ("s", "")),
+        4,
+    ),
+    "german": Analyzer(
+        tuple("der die das den dem des ein eine einen einem einer und oder in im an am auf mit von zu zum ist nicht".split()),
+        (("ungen", "ung"), ("heiten", "heit"), ("keiten", "keit"), ("ern", ""), ("en", ""), ("em", ""), ("er", ""),
+         ("es", ""), ("e", ""), ("ss", "ss"), ("s", "")),
+    ),
+    "spanish": Analyzer(
+        tuple("el la los las un una unos unas y o de del en a al con por para que es no se".split()),
+        (("ciones", "ción"), ("mente", ""), ("as", ""), ("os", ""), ("es", ""), ("a", ""), ("o", ""), ("e", ""), ("s", "")),
+    ),
+    "french": Analyzer(
+        tuple("le la les l un une des du de d et ou en à au aux dans par pour que qui est ne pas sur".split()),
+        (("eaux", "eau"), ("aux", "al"), ("es", ""), ("e", ""), ("ss", "ss"), ("s", ""), ("x", "")),
+    ),
+}
+
+
+def register_analyzer(language: str, analyzer: Analyzer) -> None:
+    """Add a language, for scans and indexes alike."""
+    ANALYZERS[language] = analyzer
+
+
 def let(value: Column, fn: Callable[[Column], Column]) -> Column:
     """Compute ``value`` once and use it many times inside ``fn``.
 
@@ -37,8 +79,8 @@ def let(value: Column, fn: Callable[[Column], Column]) -> Column:
 
 
 def check_language(language: str) -> None:
-    if language not in LANGUAGES:
-        raise ValueError(f"unknown language {language!r}; use one of {LANGUAGES}")
+    if language not in ANALYZERS:
+        raise ValueError(f"unknown language {language!r}; use one of {tuple(ANALYZERS)}")
 
 
 def words(text: Column) -> Column:
@@ -47,39 +89,30 @@ def words(text: Column) -> Column:
 
 
 def stem(word: Column, language: str) -> Column:
-    """Singular form by plural rules after the S-stemmer (Harman 1991)."""
-    if language == "simple":
+    """The term of a word: its ending replaced by the language's rules."""
+    rules = ANALYZERS[language]
+    if not rules.endings:
         return word
-    cut = lambda n: F.substring(word, F.lit(1), F.length(word) - n)
-    ends = lambda *tails: _any([word.endswith(t) for t in tails])
-    return (
-        F.when(F.length(word) <= 3, word)
-        .when(ends("ies") & ~ends("eies", "aies"), F.concat(cut(3), F.lit("y")))
-        .when(ends("s") & ~ends("us", "ss"), cut(1))
-        .otherwise(word)
-    )
+    result = F.when(F.length(word) < rules.least, word)
+    for ending, left in rules.endings:
+        cut = F.substring(word, F.lit(1), F.length(word) - len(ending))
+        result = result.when(word.endswith(ending), word if ending == left else F.concat(cut, F.lit(left)))
+    return result.otherwise(word)
 
 
 def stem_literal(word: str, language: str) -> str:
     """The same rules for a word of the search string."""
-    if language == "simple" or len(word) <= 3:
-        return word
-    if word.endswith("ies") and not word.endswith(("eies", "aies")):
-        return word[:-3] + "y"
-    if word.endswith("s") and not word.endswith(("us", "ss")):
-        return word[:-1]
+    rules = ANALYZERS[language]
+    if len(word) >= rules.least:
+        for ending, left in rules.endings:
+            if word.endswith(ending):
+                return word[: -len(ending)] + left
     return word
 
 
-def _any(parts: Sequence[Column]) -> Column:
-    result = parts[0]
-    for part in parts[1:]:
-        result = result | part
-    return result
-
-
 def is_stop_word(word: Column, language: str) -> Column:
-    return F.lit(False) if language == "simple" else word.isin(STOP_WORDS)
+    stops = ANALYZERS[language].stops
+    return word.isin(*stops) if stops else F.lit(False)
 
 
 def tokens(text: Column, language: str = "simple") -> Column:
@@ -134,14 +167,15 @@ def query_words(query: str) -> list[str]:
 def query_terms(query: str, language: str = "simple") -> list[tuple[str, int]]:
     """Terms of a search string with their places, stop words dropped."""
     check_language(language)
-    stops = () if language == "simple" else STOP_WORDS
+    stops = ANALYZERS[language].stops
     return [(stem_literal(w, language), i) for i, w in enumerate(query_words(query)) if w not in stops]
 
 
 def word_forms(term: str, language: str) -> list[str]:
     """Every word whose stem is ``term``."""
-    forms = [term, term + "s"] + ([term[:-1] + "ies"] if term.endswith("y") else [])
-    return [w for w in forms if stem_literal(w, language) == term]
+    endings = [(e, left) for e, left in ANALYZERS[language].endings if term.endswith(left)]
+    forms = [term, *(term[: len(term) - len(left)] + e for e, left in endings)]
+    return [w for w in dict.fromkeys(forms) if stem_literal(w, language) == term]
 
 
 def stem_root(term: str, language: str) -> str:

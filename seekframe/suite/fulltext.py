@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seekframe.functions.text import highlight, tokens
+from seekframe.functions.text import ANALYZERS, highlight, tokens
 from seekframe.plans.search import search, search_index
 from seekframe.suite.registry import case
 from seekframe.suite.tables import DOCUMENTS, SPACED_SQL, WORDS_SQL, documents_index, texts
@@ -101,6 +101,32 @@ def tokens_english(spark, folder):
     return cut.select("doc_id", F.size("t").cast("bigint").alias("n"), F.md5(F.array_join("t", " ")).alias("fingerprint"))
 
 
+def _stem_sql(language):
+    rules = ANALYZERS[language]
+    cases = "".join(
+        f" WHEN suffix(w, '{ending}') THEN left(w, length(w) - {len(ending)}) || '{left}'" for ending, left in rules.endings
+    )
+    return f"CASE WHEN length(w) < {rules.least} THEN w{cases} ELSE w END"
+
+
+def _register_languages():
+    for language in ("german", "spanish", "french"):
+        stops = ", ".join(f"'{w}'" for w in ANALYZERS[language].stops)
+
+        @case(
+            f"tokens_{language}",
+            f"""SELECT doc_id, len(t) AS n, md5(array_to_string(t, ' ')) AS fingerprint
+                FROM (SELECT doc_id, list_transform(list_filter({WORDS_SQL}, lambda w: w NOT IN ({stops})), lambda w: {_stem_sql(language)}) AS t
+                      FROM documents)""",
+        )
+        def tokens_of(spark, folder, language=language):
+            cut = texts(spark, folder).select("doc_id", tokens(F.col("text"), language).alias("t"))
+            return cut.select("doc_id", F.size("t").cast("bigint").alias("n"), F.md5(F.array_join("t", " ")).alias("fingerprint"))
+
+
+_register_languages()
+
+
 _MARKED = r"""array_to_string(list_transform(w, lambda x:
       regexp_replace(x, '(^|[^\p{L}\p{N}])(the|reed)($|[^\p{L}\p{N}])', '\1<mark>\2</mark>\3', 'gi')), ' ')"""
 

@@ -102,9 +102,29 @@ def test_declared_schema_casts_or_fails(spark, catalog):
 def test_two_writers_cannot_both_win(spark, catalog):
     index = catalog.create("t", "id", **SMALL)
     index.write(docs(spark, [(1, "red", 1)]))
+    # An upsert that comes second is made again on the version that won; others fail.
+    assert index.write(docs(spark, [(2, "blue", 1)])).manifest.version == 2
     with pytest.raises(IndexWriteError):
-        index.write(docs(spark, [(2, "blue", 1)]))
-    assert content(catalog.open("t")) == {1: ("red", 1)}
+        index.replace_all(docs(spark, [(3, "green", 1)]))
+    with pytest.raises(IndexWriteError):
+        index.write(docs(spark, [(1, "pink", 1)]), mode="create")
+    assert content(catalog.open("t")) == {1: ("red", 1), 2: ("blue", 1)}
+
+
+def test_settings_and_postings_change_in_one_version(spark, catalog):
+    index = catalog.create("t", "id", **SMALL).write(docs(spark, [(1, "red", 1)]))
+    changed = index.update_settings(searchable=["name"], sortable=["size"])
+    assert changed.manifest.version == index.manifest.version + 1
+    assert changed.manifest.searchable == ["name"] and changed.manifest.sortable == ["size"]
+
+
+def test_pause_ends_when_its_block_raises(spark, catalog):
+    index = catalog.create("t", "id", **SMALL).write(docs(spark, [(1, "red", 1)]))
+    with pytest.raises(RuntimeError), index.paused() as held:
+        assert held.write(docs(spark, [(2, "blue", 1)])).manifest.n_docs == 1
+        raise RuntimeError
+    assert not catalog.open("t").manifest.paused
+    assert content(catalog.open("t").write(docs(spark, [(3, "green", 1)]))) == {1: ("red", 1), 3: ("green", 1)}
 
 
 def test_readers_pin_a_version(spark, catalog):
