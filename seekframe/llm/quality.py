@@ -22,6 +22,7 @@ import functools
 import math
 import operator
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -41,7 +42,7 @@ FEATURES, LEAST, SIGNIFICANT, BINS = 2048, 4, 13.0, 8
 SHARED = 3
 HEADS = ("low", "toxic")
 #: Words whose features a worker remembers.
-KEPT = 200_000
+KEPT = 60_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.compile(r"[*%$&#@~^]{2,}|!!")
@@ -159,30 +160,69 @@ def _labelled(labels: DataFrame) -> DataFrame:
     )
 
 
-def _significant(sample: DataFrame, head: str, n: int, bad: int) -> dict[str, float]:
-    """Word features that bad documents have far more often than chance, and their log-odds."""
+class _Parts(dict):
+    """Word -> its features, kept by a worker."""
+
+    def __missing__(self, word: str) -> list[str]:
+        if len(self) >= KEPT:
+            self.clear()
+        found = self[word] = parts(word)
+        return found
+
+
+@functools.cache
+def _parts() -> _Parts:
+    return _Parts()
+
+
+def features_of(text: str) -> set[str]:
+    """All word features of a text."""
+    return set().union(*map(_parts().__getitem__, set(_WORD.findall(text.lower()))))
+
+
+#: Features that a task counts before it hands its counts on.
+COUNTED = 400_000
+
+
+def _feature_counts(sample: DataFrame) -> DataFrame:
+    """``feature``, and for each head in how many documents it is (``n_``) and in how many bad ones (``bad_``)."""
+    names = ["feature", *(f"{kind}_{h}" for h in HEADS for kind in ("n", "bad"))]
+
+    def rows(counts: dict[str, Counter]) -> pa.RecordBatch:
+        seen = list(set().union(*counts.values()))
+        columns = [pa.array(seen, pa.string())]
+        columns += [pa.array([counts[c].get(f, 0) for f in seen], pa.int64()) for c in names[1:]]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {c: Counter() for c in names[1:]}
         for batch in found:
-            flags = batch.column(head).to_pylist()
-            counts: dict[str, list[int]] = {}
+            flags = [batch.column(h).to_pylist() for h in HEADS]
             for _, texts in batches([batch]):
-                for flag, text in zip(flags, texts):
-                    if flag is None:
-                        continue
-                    for p in {p for w in set(_WORD.findall(text.decode().lower())) for p in parts(w)}:
-                        own = counts.setdefault(p, [0, 0])
-                        own[0] += 1
-                        own[1] += flag
-            columns = [list(counts), [c[0] for c in counts.values()], [c[1] for c in counts.values()]]
-            types = (pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["feature", "n", "bad"])
-
-    each = sample.mapInArrow(run, "feature string, n long, bad long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+                for text, *own in zip(texts, *flags):
+                    seen = features_of(text.decode())
+                    for h, flag in zip(HEADS, own):
+                        if flag is not None:
+                            counts[f"n_{h}"].update(seen)
+                        if flag:
+                            counts[f"bad_{h}"].update(seen)
+            if max(map(len, counts.values())) > COUNTED:
+                yield rows(counts)
+                counts = {c: Counter() for c in names[1:]}
+        yield rows(counts)
+
+    kind = "feature string, " + ", ".join(f"{c} long" for c in names[1:])
+    return sample.mapInArrow(run, kind).groupBy("feature").agg(*(F.sum(c).alias(c) for c in names[1:]))
+
+
+def _significant(counts: DataFrame, head: str, n: int, bad: int) -> dict[str, float]:
+    """Word features that bad documents have far more often than chance, and their log-odds."""
+    each = counts.select("feature", F.col(f"n_{head}").alias("n"), F.col(f"bad_{head}").alias("bad"))
+    each = each.where(F.col("bad") >= LEAST)
     share, own = bad / n, F.col("bad") / F.col("n")
     good = F.col("n") - F.col("bad")
     gain = F.col("bad") * F.log(own / share) + F.when(good > 0, good * F.log((1 - own) / (1 - share))).otherwise(0.0)
-    some = each.where((F.col("bad") >= LEAST) & (own > share)).withColumn("gain", gain).where(F.col("gain") >= SIGNIFICANT)
+    some = each.where(own > share).withColumn("gain", gain).where(F.col("gain") >= SIGNIFICANT)
     odds = F.log((F.col("bad") + 0.5) / (bad + 1) / ((good + 0.5) / (n - bad + 1)))
     best = some.orderBy(F.desc("gain"), "feature").limit(FEATURES).select("feature", odds.alias("odds"))
     return {r["feature"]: r["odds"] for r in best.collect()}
@@ -198,7 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int =
     sample = parked(own.join(F.broadcast(chosen), "doc_id"))
     sizes = sample.agg(*(F.count(h).alias(f"n_{h}") for h in HEADS), *(F.sum(h).alias(f"bad_{h}") for h in HEADS)).first()
     fitted = [h for h in HEADS if 0 < (sizes[f"bad_{h}"] or 0) < sizes[f"n_{h}"]]
-    features = {h: _significant(sample, h, sizes[f"n_{h}"], sizes[f"bad_{h}"]) for h in fitted}
+    often = " OR ".join(f"bad_{h} >= {LEAST}" for h in HEADS)
+    counts = parked(_feature_counts(sample).where(often)) if fitted else None
+    features = {h: _significant(counts, h, sizes[f"n_{h}"], sizes[f"bad_{h}"]) for h in fitted}
     numbers = {h: {f: i for i, f in enumerate(features[h])} for h in fitted}
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +250,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int =
                 for raw in texts:
                     own_text = raw.decode()
                     shapes.append(shape(own_text))
-                    seen = {p for w in set(_WORD.findall(own_text.lower())) for p in parts(w)}
+                    seen = features_of(own_text)
                     for h in HEADS:
-                        rows[h].append([numbers[h][p] for p in seen if p in numbers[h]] if h in numbers else [])
+                        rows[h].append([numbers[h][p] for p in seen & numbers[h].keys()] if h in numbers else [])
                 columns = [batch.column(h).cast(pa.int64()) for h in HEADS]
                 columns += [pa.array(shapes, pa.list_(pa.float64())), *(pa.array(rows[h], pa.list_(pa.int64())) for h in HEADS)]
                 yield pa.RecordBatch.from_arrays(columns, [*HEADS, "shape", *(f"words_{h}" for h in HEADS)])
