@@ -13,11 +13,12 @@ their id; everything else covers all documents.
 
 A null or empty text has shape zero and no words, and the evidence that follows; a null host or
 path is a site of its own; several labels of a document count as the worst; null labels are not
-used; without labels of both kinds a head has no evidence and rejects nothing of its own; very
+used, and word features come from documents with both labels; without both kinds a head has no evidence and rejects nothing of its own; very
 long texts are read whole; repeated rows are scored each; an empty table gives no rows; further
 columns are kept, whatever their names, by ``kept`` and not read otherwise.
 """
 
+import bisect
 import functools
 import math
 import operator
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from seekframe.llm.common import batches, parked
 
 #: Labelled documents that the regression is fitted on at most.
-LABELLED = 20_000
+LABELLED = 10_000
 #: Word features of a head at most, least bad documents and log-likelihood gain of one, bins of a shape.
 FEATURES, LEAST, SIGNIFICANT, BINS = 2048, 4, 13.0, 8
 #: Each feature of a word starts with this share of its log-odds: few of a word's features are found alone.
@@ -88,19 +89,18 @@ class Head:
     words: dict[str, float] = field(default_factory=dict)
 
 
-class _Weights(dict):
-    """Word -> weights of the features that it has; kept by a worker."""
+class Chosen:
+    """Finds which of some word features a text has; most words fail at their first or last letters."""
 
-    def __init__(self, weights: dict[str, float]):
-        super().__init__()
-        self.weights = weights
+    def __init__(self, features: Iterable[str]):
+        self.features = frozenset(features)
+        self.starts = {f[1:5] for f in self.features if f[0] in "<="}
+        self.ends = {f[-4:] for f in self.features if f[0] == ">"}
 
-    def __missing__(self, word: str) -> tuple:
-        found = tuple((p, self.weights[p]) for p in parts(word) if p in self.weights)
-        if len(self) >= KEPT:
-            self.clear()
-        self[word] = found
-        return found
+    def of(self, text: str) -> set[str]:
+        starts, ends = self.starts, self.ends
+        some = [w for w in set(_WORD.findall(text.lower())) if w[:4] in starts or w[-4:] in ends]
+        return self.features.intersection([p for w in some for p in parts(w)])
 
 
 @dataclass
@@ -109,24 +109,20 @@ class Model:
     edges: np.ndarray
 
     @functools.cached_property
-    def memory(self) -> dict[str, _Weights]:
-        return {name: _Weights(head.words) for name, head in self.heads.items()}
+    def chosen(self) -> Chosen:
+        return Chosen(f for head in self.heads.values() for f in head.words)
 
     def __getstate__(self):
         return {"heads": self.heads, "edges": self.edges}
 
     def evidence(self, text: str) -> list[float]:
         """Log-likelihood ratio of each head."""
-        bins = binned(np.asarray([shape(text)]), self.edges)[0]
-        words = set(_WORD.findall(text.lower()))
+        bins = [bisect.bisect_right(e, x) for e, x in zip(self.edges, shape(text))]
+        found = self.chosen.of(text)
         out = []
-        for name, head in self.heads.items():
-            found: dict[str, float] = {}
-            for pairs in map(self.memory[name].__getitem__, words):
-                if pairs:
-                    found.update(pairs)
-            total = head.bias + float(head.shapes[np.arange(len(SHAPES)), bins].sum()) + sum(found.values())
-            out.append(total - head.prior)
+        for head in self.heads.values():
+            total = head.bias + sum(float(w[b]) for w, b in zip(head.shapes, bins))
+            out.append(total + sum(head.words.get(f, 0.0) for f in found) - head.prior)
         return out
 
 
@@ -185,11 +181,11 @@ COUNTED = 400_000
 
 
 def _feature_counts(sample: DataFrame) -> DataFrame:
-    """``feature``, and for each head in how many documents it is (``n_``) and in how many bad ones (``bad_``)."""
-    names = ["feature", *(f"{kind}_{h}" for h in HEADS for kind in ("n", "bad"))]
+    """``feature``, in how many documents it is, and in how many bad ones of each head; of those with both labels."""
+    names = ["feature", "n", *(f"bad_{h}" for h in HEADS)]
 
     def rows(counts: dict[str, Counter]) -> pa.RecordBatch:
-        seen = list(set().union(*counts.values()))
+        seen = list(counts["n"])
         columns = [pa.array(seen, pa.string())]
         columns += [pa.array([counts[c].get(f, 0) for f in seen], pa.int64()) for c in names[1:]]
         return pa.RecordBatch.from_arrays(columns, names)
@@ -200,13 +196,14 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
             flags = [batch.column(h).to_pylist() for h in HEADS]
             for _, texts in batches([batch]):
                 for text, *own in zip(texts, *flags):
+                    if None in own:
+                        continue
                     seen = features_of(text.decode())
+                    counts["n"].update(seen)
                     for h, flag in zip(HEADS, own):
-                        if flag is not None:
-                            counts[f"n_{h}"].update(seen)
                         if flag:
                             counts[f"bad_{h}"].update(seen)
-            if max(map(len, counts.values())) > COUNTED:
+            if len(counts["n"]) > COUNTED:
                 yield rows(counts)
                 counts = {c: Counter() for c in names[1:]}
         yield rows(counts)
@@ -217,7 +214,7 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
 
 def _significant(counts: DataFrame, head: str, n: int, bad: int) -> dict[str, float]:
     """Word features that bad documents have far more often than chance, and their log-odds."""
-    each = counts.select("feature", F.col(f"n_{head}").alias("n"), F.col(f"bad_{head}").alias("bad"))
+    each = counts.select("feature", "n", F.col(f"bad_{head}").alias("bad"))
     each = each.where(F.col("bad") >= LEAST)
     share, own = bad / n, F.col("bad") / F.col("n")
     good = F.col("n") - F.col("bad")
@@ -236,12 +233,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int =
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # The sample has a bounded number of rows of three numbers.
     sample = parked(own.join(F.broadcast(chosen), "doc_id"))
-    sizes = sample.agg(*(F.count(h).alias(f"n_{h}") for h in HEADS), *(F.sum(h).alias(f"bad_{h}") for h in HEADS)).first()
-    fitted = [h for h in HEADS if 0 < (sizes[f"bad_{h}"] or 0) < sizes[f"n_{h}"]]
+    both = sample.where(" AND ".join(f"{h} IS NOT NULL" for h in HEADS))
+    sizes = both.agg(F.count("*").alias("n"), *(F.sum(h).alias(f"bad_{h}") for h in HEADS)).first()
+    fitted = [h for h in HEADS if 0 < (sizes[f"bad_{h}"] or 0) < sizes["n"]]
     often = " OR ".join(f"bad_{h} >= {LEAST}" for h in HEADS)
     counts = parked(_feature_counts(sample).where(often)) if fitted else None
-    features = {h: _significant(counts, h, sizes[f"n_{h}"], sizes[f"bad_{h}"]) for h in fitted}
+    features = {h: _significant(counts, h, sizes["n"], sizes[f"bad_{h}"]) for h in fitted}
     numbers = {h: {f: i for i, f in enumerate(features[h])} for h in fitted}
+    chosen = Chosen(f for h in fitted for f in features[h])
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -250,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int =
                 for raw in texts:
                     own_text = raw.decode()
                     shapes.append(shape(own_text))
-                    seen = features_of(own_text)
+                    seen = chosen.of(own_text)
                     for h in HEADS:
                         rows[h].append([numbers[h][p] for p in seen & numbers[h].keys()] if h in numbers else [])
                 columns = [batch.column(h).cast(pa.int64()) for h in HEADS]
