@@ -49,7 +49,27 @@ def seekable_ids(spark: SparkSession, folder: str) -> DataFrame:
     return binary.summed(binary.read_ids(index, place))
 
 
-@query("op3_tensored_minhash")
+#: The words of a text in SQL.
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOW = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op3_tensored_minhash",
+    f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_LOW} AS ws FROM documents),
+    sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS s
+           FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1)) AS i FROM w)),
+    size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    link AS (SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+    way AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, way.b FROM reach r JOIN way ON way.a = r.c),
+    comp AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM comp LEFT JOIN size USING (doc_id)
+""",
+)
 def tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents, on three-word shingles at 0.85."""
     return neardup.link_components(read(spark, folder, "documents"), 3, (85, 100))
@@ -99,7 +119,22 @@ def prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.parsed(stored))
 
 
-@query("op5_de_bruijn_substrings")
+@query(
+    "op5_de_bruijn_substrings",
+    f"""
+    WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+    win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)),
+    hit AS (SELECT doc_id, i FROM win JOIN (SELECT s, min(doc_id) AS f FROM win GROUP BY s) USING (s) WHERE f < doc_id),
+    gone AS (SELECT DISTINCT doc_id, i + k AS p FROM hit, range(50) r(k)),
+    each AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS left_words, count(*) AS n
+             FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(left_words, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+""",
+)
 def de_bruijn_substrings(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the words of 50-word windows that earlier documents have."""
     return substrings.deduplicated(read(spark, folder, "documents"), text=False)
