@@ -220,8 +220,15 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     left = parked(named.join(several.where("low < high").select("key"), "key").join(first, "node"))
     a, b = (left.select("key", *(F.col(c).alias(c + e) for c in ("node", "component", "n", "sketches"))) for e in "ab")
     agree = F.expr("aggregate(zip_with(sketchesa, sketchesb, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
+    # A pair meets in every table that it shares; the first of them gives its row.
+    first_of = lambda low: (
+        f"(array_position(transform(sequence({low}, {low + side - 1}), i -> sketchesa[i] = sketchesb[i]), true) - 1)"
+    )
+    i, j = first_of(0), first_of(side)
+    once = F.expr(f"key = xxhash64(cast({i} * {side} + {j} as int), sketchesa[cast({i} as int)], sketchesa[cast({side} + {j} as int)])")
     across = a.join(b, "key").where(
-        (F.col("componenta") < F.col("componentb"))
+        once
+        & (F.col("componenta") < F.col("componentb"))
         & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
         & (agree >= AGREE)
     )
