@@ -225,7 +225,7 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
         f"(array_position(transform(sequence({low}, {low + side - 1}), i -> sketchesa[i] = sketchesb[i]), true) - 1)"
     )
     i, j = first_of(0), first_of(side)
-    once = F.expr(f"key = xxhash64(cast({i} * {side} + {j} as int), sketchesa[cast({i} as int)], sketchesa[cast({side} + {j} as int)])")
+    once = F.expr(f"key = xxhash64(cast({i} * {side} + {j} as int), get(sketchesa, cast({i} as int)), get(sketchesa, cast({side} + {j} as int)))")
     across = a.join(b, "key").where(
         once
         & (F.col("componenta") < F.col("componentb"))
