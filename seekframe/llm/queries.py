@@ -115,8 +115,9 @@ def prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(MARKS).alias("text"),
     )
-    stored = parked(chat.turns(given.union(marks)))
-    return chat.digests(chat.parsed(stored))
+    stored = chat.turns(given.union(marks))
+    made = parked(chat.examples(stored))
+    return chat.digests(chat.read_back(stored, made))
 
 
 @query(

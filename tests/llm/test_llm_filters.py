@@ -235,3 +235,43 @@ def test_examples_in_full(spark):
         assert r["target"] == f"### assistant: {masked} </turn>\n"
     few = chat.expanded(stored, spark.createDataFrame([(2, 3)], "conv_id long, turn long"))
     assert few.count() == 1
+
+
+def test_examples_against_brute_force(spark):
+    """Every fixture conversation: null and tied turns, a null id, repeated rows; contexts by place."""
+    extra = [(6, None, "assistant", "early"), (6, 1, "assistant", "b"), (6, 1, "assistant", "a"), (6, 1, "user", "tied"), (None, 1, "assistant", "more")]
+    rows = turns() + extra
+    written = lambda role, text: f"### {chat_escape(role, ':')}: {chat_escape(text)} </turn>\n"
+    by, want = {}, []
+    for c, t, role, text in rows:
+        by.setdefault(c, []).append((t is not None, t or 0, role or "", text or ""))
+    for c, own in by.items():
+        own.sort()
+        segments = [written(role, text) for *_, role, text in own]
+        want += [(c, "".join(segments[:i]), segments[i], text) for i, (*_, role, text) in enumerate(own) if role == "assistant"]
+    stored = chat.turns(chat_frame(spark, rows))
+    found = chat.expanded(stored).collect()
+    got = [(r["conv_id"], r["context"], r["target"]) for r in found]
+    assert sorted(got, key=str) == sorted([w[:3] for w in want], key=str)
+    made = chat.examples(stored)
+    assert made.count() == len(want) == made.select("place").distinct().count()
+    loss = sorted(r["loss"] for r in chat.read_back(stored, made).where("loss is not null").collect())
+    assert loss == sorted(w[3] for w in want)
+    none = chat.expanded(stored, spark.createDataFrame([(None, 1), (6, None)], "conv_id long, turn long"))
+    assert sorted(r["target"] for r in none.collect()) == sorted([written("assistant", "early"), written("assistant", "more")])
+
+
+def chat_escape(text, also=""):
+    text = text.replace("\\", "\\s").replace("#", "\\h").replace("<", "\\l")
+    return text.replace(":", "\\c") if also else text
+
+
+def test_query_reads_examples(spark, monkeypatch):
+    """The chat query goes through the examples: without their targets it has no loss."""
+    from conftest import SF_DIR
+
+    from seekframe.llm import queries
+
+    made = chat.examples
+    monkeypatch.setattr(chat, "examples", lambda stored: made(stored).limit(0))
+    assert queries.prefix_targets(spark, SF_DIR).agg(F.sum("loss_chars")).first()[0] == 0
