@@ -7,9 +7,12 @@ the number of runs above and below the middle, and the correlation of neighbours
 joins their p-values. Random strings have uniform p-values, others pile up near zero.
 
 False discoveries are controlled per encoding and length class, since short strings prove
-little: from all candidates of the corpus, twice those above one half are the random ones
-expected, and the least threshold is taken at which at most ``RATE`` of the accepted are not
-random. Counts of classes and p-value bins are all that reaches the driver.
+little: from all distinct candidates of the corpus, twice those above one half are the random
+ones expected, and the least threshold is taken at which at most ``RATE`` of the accepted are
+not random. A string counts once however often it is copied, as p-values of copies are not
+independent; the threshold then holds for each occurrence. It is never so low that less than
+``RATE`` random strings of the class are expected below it. Counts of classes and p-value bins
+are all that reaches the driver.
 
 A null or empty text has no spans; long texts are read whole; repeated rows give repeated
 rows; an empty table gives no rows; other columns of the input are not read.
@@ -22,6 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +61,7 @@ ENCODINGS = tuple(ALPHABETS)
 PLACES = {name: {c: i for i, c in enumerate(letters)} for name, letters in ALPHABETS.items()}
 
 SPAN = "struct<kind:string,start:long,end:long>"
-FOUND = f"doc_id long, base array<{SPAN}>, more array<struct<kind:string,start:long,end:long,class:long,p:double>>"
+FOUND = f"doc_id long, base array<{SPAN}>, more array<struct<kind:string,start:long,end:long,class:long,p:double,digest:binary>>"
 
 
 def encoding_of(text: str) -> str | None:
@@ -163,7 +167,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
             encoding = encoding_of(body)
             if encoding:
                 p = randomness(body, encoding)
-                out.append({"kind": f"random_{encoding}", "start": start, "end": end, "class": class_of(encoding, len(body)), "p": p})
+                out.append({"kind": f"random_{encoding}", "start": start, "end": end, "class": class_of(encoding, len(body)), "p": p, "digest": xxhash.xxh3_128_digest(body.encode())})
     return out
 
 
@@ -172,7 +176,7 @@ def found(docs: DataFrame) -> DataFrame:
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-        tested = pa.struct([*span, ("class", pa.int64()), ("p", pa.float64())])
+        tested = pa.struct([*span, ("class", pa.int64()), ("p", pa.float64()), ("digest", pa.binary())])
         for keys, texts in batches(rows):
             base, more = [], []
             for text in texts:
@@ -189,8 +193,10 @@ def found(docs: DataFrame) -> DataFrame:
 
 
 def thresholds(tested: DataFrame, rate: float = RATE) -> dict[int, float]:
-    """Class -> least accepted p-value, from the counts of all candidates by class and bin."""
-    each = tested.select(F.explode("more").alias("c")).select("c.class", F.floor(F.col("c.p") * BINS).alias("bin"))
+    """Class -> least accepted p-value, from the counts of all distinct candidates by class and bin."""
+    # Each task first drops its own copies; what is left is dealt by the digest.
+    distinct = tested.select(F.explode("more").alias("c")).select("c.class", "c.p", "c.digest").distinct()
+    each = distinct.select("class", F.floor(F.col("p") * BINS).alias("bin"))
     counts: dict[int, np.ndarray] = {}
     for r in each.groupBy("class", F.least("bin", F.lit(BINS - 1)).alias("bin")).count().collect():
         counts.setdefault(r["class"], np.zeros(BINS))[r["bin"]] += r["count"]
@@ -200,7 +206,8 @@ def thresholds(tested: DataFrame, rate: float = RATE) -> dict[int, float]:
         for i in range(BINS // 2 + 1):
             accepted = n[i:].sum()
             if random and accepted and 1 - random * (1 - i / BINS) / accepted <= rate:
-                out[name] = i / BINS
+                # Below the last value no random string of the class is expected: where a class passes whole, its plain words still fail.
+                out[name] = max(i / BINS, rate / random)
                 break
     return out
 

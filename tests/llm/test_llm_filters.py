@@ -148,6 +148,33 @@ def test_cleaned_texts(spark, leaky):
     assert secrets.cleaned(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("p", [0.3, 0.45, 0.9])
+def test_copies_of_a_string_leave_thresholds(spark, p):
+    """A class's threshold comes from its distinct strings: copies of one move nothing."""
+    prepared(spark)
+    rng = np.random.default_rng(3)
+    ps = [*rng.random(1000), *(rng.random(3000) * 0.004)]
+    each = [(3, float(x), i.to_bytes(16, "big")) for i, x in enumerate(ps)]
+    kind = "more array<struct<class:long,p:double,digest:binary>>"
+    given = lambda rows: spark.createDataFrame([([r],) for r in rows], kind)
+    plain = secrets.thresholds(given(each))
+    assert plain[3] <= 0.02
+    copied = given(each).union(given([(3, p, b"\xff" * 16)]).crossJoin(spark.range(20_000)).select("more"))
+    assert secrets.thresholds(copied)[3] == pytest.approx(plain[3], abs=0.005)
+
+
+def test_copied_strings_count_once(spark):
+    """The same corpus with a document copied often: thresholds and each document's spans stay."""
+    prepared(spark)
+    rng = random.Random(8)
+    base64 = secrets.ALPHABETS["base64"]
+    rows = [(i, "".join(rng.choice(base64) for _ in range(44))) for i in range(200)]
+    copied = min((t for _, t in rows if secrets.encoding_of(t) == "base64"), key=lambda t: abs(secrets.randomness(t, "base64") - 0.3))
+    few = secrets.thresholds(secrets.found(documents(spark, rows)))
+    many = secrets.thresholds(secrets.found(documents(spark, rows + [(1000 + i, copied) for i in range(3000)])))
+    assert few == many and few
+
+
 def test_battery_is_uniform_on_random_strings():
     rng = random.Random(1)
     alphabet = secrets.ALPHABETS["base64"]
