@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from seekframe.llm.common import batches, parked
 
 #: Labelled documents that the regression is fitted on at most.
-LABELLED = 10_000
+LABELLED = 20_000
 #: Word features of a head at most, least bad documents and log-likelihood gain of one, bins of a shape.
 FEATURES, LEAST, SIGNIFICANT, BINS = 2048, 4, 13.0, 8
 #: Each feature of a word starts with this share of its log-odds: few of a word's features are found alone.

@@ -70,6 +70,15 @@ def test_quality_without_labels_keeps_all(spark):
     assert quality.classified(documents(spark, []), labels, F.col("source"), F.col("lang")).count() == 0
 
 
+def test_bound_is_the_documented_one():
+    """The README gives the bound of labelled documents that is in force."""
+    from conftest import ROOT
+
+    with open(f"{ROOT}/README.md", encoding="utf-8") as given:
+        stated = re.search(r"([\d,]+) labelled documents fit the classifier", given.read())
+    assert int(stated[1].replace(",", "")) == quality.LABELLED == 20_000
+
+
 def test_sparse_sites_shrink():
     heads = {h: quality.Head() for h in quality.HEADS}
     model = quality.Model(heads, np.zeros((len(quality.SHAPES), quality.BINS)))
