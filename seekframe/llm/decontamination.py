@@ -1,15 +1,18 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Documents are cut into overlapping passages, long enough that each benchmark item (or part of a
-very long one) lies whole in some passage. Over the benchmark's words, TF-IDF weights come from
-the passage counts of the whole corpus. A randomised SVD gives the latent space: each task
+Benchmark items (or parts of very long ones) are searched in length classes, each twice as long
+as the one before. For each class documents are cut into overlapping passages of about twice
+the class's length, so that an item lies whole in some passage and is a good share of it. Over the
+benchmark's words, TF-IDF weights come from the passage counts of the whole corpus, by the
+passages of the longest class. A randomised SVD gives the latent space: each task
 projects its passages on random directions and back, the sums meet in Spark, and benchmark
 items are added as rows that weigh as much as all passages together, so that the space holds
 their rare words. A passage is a candidate of each item whose cosine there reaches ``CUT``.
 
 A candidate is a leak if the longest common subsequence of words holds ``MATCH`` of the item,
 or ``PARAPHRASE`` of it together with its answer, the item's last sentence, word by word.
-Items of fewer than ``SHORT`` words must be there as they are.
+Items of fewer than ``SHORT`` words must be there as they are; they are looked up by hashes of
+all runs of as many words, and every hit is compared word by word (cosine 1).
 
 The benchmark is a stated, bounded query set (its words, ``COLUMNS`` columns at most, and items
 go to every task); all passages of whole texts are searched, in blocks. A null or empty text has
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import batches, documents, parked
+from seekframe.llm.common import batches, documents, parked, runs_of
 
 #: Columns of TF-IDF at most, latent dimensions, and directions beyond them.
 COLUMNS, RANK, EXTRA = 8192, 64, 8
@@ -35,6 +38,8 @@ COLUMNS, RANK, EXTRA = 8192, 64, 8
 CUT, MATCH, PARAPHRASE = 0.4, 0.75, 0.55
 #: Items below so many words must match as they are; longest part of an item that is searched as one.
 SHORT, LONGEST = 8, 256
+#: Upper ends of the length classes of the other items.
+LENGTHS = (15, 31, 63, 127, LONGEST)
 #: Passages that are multiplied at a time.
 BLOCK = 256
 
@@ -66,7 +71,24 @@ class Items:
         self.texts = [[self.numbers[w] for w in t] for t in texts]
         self.answers = [[self.numbers[w] for w in a] for a in answers]
         self.columns = max(1, min(COLUMNS, len(names)))
+        #: Length class -> its items and the step of its passages; items of a length under ``SHORT`` by that length.
+        self.classes: dict[int, tuple[np.ndarray, int]] = {}
+        self.short: dict[int, list[int]] = {}
+        for i, text in enumerate(texts):
+            if len(text) < SHORT:
+                self.short.setdefault(len(text), []).append(i)
+        sizes = np.asarray([len(t) for t in texts], np.int64)
+        place = np.searchsorted(LENGTHS, sizes)
+        for c in np.unique(place[sizes >= SHORT]).tolist():
+            own = np.flatnonzero((place == c) & (sizes >= SHORT))
+            self.classes[c] = own, int(sizes[own].max())
         self.step = max(32, max((len(t) for t in texts), default=0))
+        #: Length -> hash of a short item's words -> the items.
+        self.runs: dict[int, dict[int, list[int]]] = {}
+        for n, own in self.short.items():
+            for i in own:
+                self.runs.setdefault(n, {}).setdefault(int(hashed(self.texts[i], n)[0]), []).append(i)
+        self.hashes = {n: np.fromiter(own, np.uint64, len(own)) for n, own in self.runs.items()}
         self.masks = []
         for text in self.texts:
             own: dict[int, int] = {}
@@ -80,8 +102,8 @@ class Items:
             return numbers
         return np.asarray([zlib.crc32(b"%d" % n) % self.columns for n in numbers.tolist()], np.int64)
 
-    def weighted(self, passages: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
-        """TF-IDF rows of length one, one for each passage; words are counted sparsely."""
+    def entries(self, passages: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """TF-IDF rows of length one, one for each passage, by place: row, column and value of what is not zero."""
         flat = np.concatenate(passages)
         rows = np.repeat(np.arange(len(passages)), [len(p) for p in passages])
         known = flat >= 0
@@ -89,10 +111,38 @@ class Items:
         row = at // self.columns
         x = np.log1p(n) * idf[at % self.columns]
         size = np.sqrt(np.bincount(row, x * x, len(passages)))
+        return row, at % self.columns, (x / np.maximum(size[row], 1e-9)).astype(np.float32)
+
+    def weighted(self, passages: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+        """TF-IDF rows of length one as a dense table."""
+        row, column, x = self.entries(passages, idf)
         out = np.zeros((len(passages), self.columns), np.float32)
-        out.reshape(-1)[at] = x / np.maximum(size[row], 1e-9)
+        out[row, column] = x
+        return out
+
+    def placed(self, passages: list[np.ndarray], idf: np.ndarray, space: np.ndarray) -> np.ndarray:
+        """Passages as unit vectors of the latent space; a passage without known words is zero."""
+        row, column, x = self.entries(passages, idf)
+        out = np.zeros((len(passages), space.shape[1]), np.float32)
+        if len(row):
+            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            out[row[first]] = np.add.reduceat(space[column] * x[:, None], first, axis=0)
+        out /= np.maximum(np.sqrt((out**2).sum(axis=1, keepdims=True)), 1e-9)
         return out
 
+    def exact(self, numbers: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Short items that a whole text has as they are, and the first word of each one's first place."""
+        for n, own in self.runs.items():
+            runs = hashed(numbers, n)
+            missing = set(self.short[n])
+            for at in np.flatnonzero(np.isin(runs, self.hashes[n])).tolist():
+                if not missing:
+                    break
+                for i in own[int(runs[at])]:
+                    if i in missing and self.texts[i] == numbers[at : at + n].tolist():
+                        missing.discard(i)
+                        yield i, at
+
     def shared(self, item: int, passage: list[int]) -> int:
         """Length of the longest common subsequence, a bit for each word of the item."""
         masks, full = self.masks[item], (1 << len(self.texts[item])) - 1
@@ -113,6 +163,11 @@ class Items:
         return common >= PARAPHRASE * n and within(self.answers[item], passage), common
 
 
+def hashed(numbers: np.ndarray | list[int], width: int) -> np.ndarray:
+    """A hash of each run of ``width`` words."""
+    return runs_of(np.asarray(numbers, np.int64).view(np.uint64), width)
+
+
 def within(part: list[int], whole: list[int]) -> bool:
     return any(whole[i : i + len(part)] == part for i in range(len(whole) - len(part) + 1))
 
@@ -242,22 +297,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "item_id", text: str
     idf = np.log((1 + passages) / (1 + counted[1:])).astype(np.float32)
     queries = items.weighted([np.asarray(t) for t in items.texts], idf)
     space = latent_space(rows, items, idf, queries, passages)
-    there = queries @ space
-    there /= np.maximum(np.sqrt((there**2).sum(axis=1, keepdims=True)), 1e-9)
+    there = items.placed([np.asarray(t) for t in items.texts], idf, space)
+
+    def exact(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("numbers").to_pylist()):
+            for item, start in items.exact(np.frombuffer(raw, np.int32)) if doc is not None else ():
+                n = len(items.texts[item])
+                yield doc, items.ids[item], start, n, n, 1.0
+
+    def near(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for own, step in items.classes.values():
+            # About as many words are multiplied at a time in every class.
+            for block in blocks([batch], step, max(BLOCK, BLOCK * items.step // step)):
+                cosine = items.placed([p for _, _, p in block], idf, space) @ there[own].T
+                for i, j in zip(*np.nonzero(cosine >= CUT)):
+                    doc, start, numbers = block[i]
+                    leak, common = items.leaks(own[j], numbers.tolist())
+                    if leak and doc is not None:
+                        yield doc, items.ids[own[j]], start, common, len(items.texts[own[j]]), float(cosine[i, j])
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "item_id", "start", "common", "n_words", "cosine"]
         types = [pa.int64()] * 5 + [pa.float64()]
-        for block in blocks(found, items.step, BLOCK):
-            x = items.weighted([p for _, _, p in block], idf) @ space
-            x /= np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), 1e-9)
-            cosine = x @ there.T
-            out = []
-            for i, item in zip(*np.nonzero(cosine >= CUT)):
-                doc, start, numbers = block[i]
-                leak, common = items.leaks(item, numbers.tolist())
-                if leak and doc is not None:
-                    out.append((doc, items.ids[item], start, common, len(items.texts[item]), float(cosine[i, item])))
+        for batch in found:
+            out = [*exact(batch), *near(batch)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
