@@ -62,9 +62,11 @@ class Items:
             words = words_of(text)
             last = words_of(_SENTENCE.split(text.strip().rstrip(".?!"))[-1])
             answer = last if 2 <= len(last) < len(words) else words[-max(2, len(words) // 4) :]
-            for i in range(0, len(words), LONGEST):
+            # Parts of nearly equal length: none is shorter than ``SHORT`` unless the item is.
+            count = -(-len(words) // LONGEST)
+            for i in range(count):
                 self.ids.append(item)
-                texts.append(words[i : i + LONGEST])
+                texts.append(words[len(words) * i // count : len(words) * (i + 1) // count])
                 answers.append(answer if answer == texts[-1][-len(answer) :] else texts[-1][-2:])
         names = sorted({w for t in texts for w in t})
         self.numbers = {w: i for i, w in enumerate(names)}

@@ -235,6 +235,23 @@ def test_leaks_of_all_lengths(spark):
         assert {i for i, t in items if lengths[i] < decontamination.SHORT and f" {t} " in flat} <= {i for e, i in got if e == d}
 
 
+def test_long_items_have_no_short_part(spark):
+    """An item of 257 words leaves no part of a word, so its last word alone is no leak."""
+    prepared(spark)
+    rng = random.Random(13)
+    for n in (1, 7, 8, 256, 257, 263, 513, 1000):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        items = decontamination.Items([(1, " ".join(words))])
+        names = {i: w for w, i in items.numbers.items()}
+        assert [names[i] for t in items.texts for i in t] == words
+        sizes = [len(t) for t in items.texts]
+        assert max(sizes) <= decontamination.LONGEST and min(sizes) >= min(n, decontamination.LONGEST // 2)
+    long = " ".join(f"w{i}" for i in range(256)) + " last"
+    given = spark.createDataFrame([(1, long)], "item_id long, text string")
+    found = decontamination.leaks(documents(spark, [(1, "last"), (2, "at last"), (3, f"so {long} it is")]), given)
+    assert [(r["doc_id"], r["item_id"]) for r in found.collect()] == [(3, 1)]
+
+
 def brute_common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
