@@ -231,16 +231,22 @@ class Counter:
 
     def word_changes(self, word: str) -> bytes:
         """Changes for a text without ASCII white space."""
-        if "<|" not in word or not any(c in word for c in self.controls):
-            return self.plain_changes(word)
-        place, control = min((word.find(c), c) for c in self.controls if c in word)
-        before = self.plain_changes(word[:place]) if place else b""
-        total = self.count(word[:place])
-        # A control string that is cut is ordinary text, one with what stands before it.
-        counts = [self.count(word[: place + i]) for i in range(1, len(control))] + [total + 1]
-        own = bytes([(n - m) & 255 for m, n in zip([total, *counts], counts)])
-        rest = word[place + len(control) :]
-        return before + own + (self.word_changes(rest) if rest else b"")
+        made, at = [], 0
+        if "<|" in word:
+            place = {c: word.find(c) for c in self.controls if c in word}
+            while place:
+                start, control = min((p, c) for c, p in place.items())
+                before = word[at:start]
+                made.append(self.plain_changes(before) if before else b"")
+                total = self.count(before)
+                # A control string that is cut is ordinary text, one with what stands before it.
+                counts = [self.count(before + control[:i]) for i in range(1, len(control))] + [total + 1]
+                made.append(bytes([(n - m) & 255 for m, n in zip([total, *counts], counts)]))
+                at = start + len(control)
+                place = {c: p if p >= at else word.find(c, at) for c, p in place.items()}
+                place = {c: p for c, p in place.items() if p >= 0}
+        rest = word[at:]
+        return b"".join([*made, self.plain_changes(rest) if rest else b""])
 
 
 def blankless(counter: Counter, chunk: str) -> bytes:

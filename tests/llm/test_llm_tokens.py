@@ -44,6 +44,15 @@ def test_every_prefix_equals_library(path):
         assert counts == [len(ids_of(text[:i], path)) for i in range(1, len(text) + 1)]
 
 
+def test_run_of_control_strings(path):
+    """Thousands of control strings without a blank: any prefix counts as the library counts it."""
+    text = "a" + "<|endoftext|>" * 3000 + "b<|end" + "<|startoftext|>" * 2 + "<|endoftext|>z"
+    counts = np.cumsum(np.frombuffer(prefixes.changes(text, path), np.int8), dtype=int).tolist()
+    assert len(counts) == len(text)
+    for i in [*range(1, 40), 13_001, 26_007, *range(len(text) - 60, len(text) + 1)]:
+        assert counts[i - 1] == len(ids_of(text[:i], path))
+
+
 def test_prefix_tables(spark, path):
     prepared(spark)
     stored = prefixes.count_at(prefixes.kept_letters(prefixes.prefix_tables(documents(spark)), 9), "n_letters")
