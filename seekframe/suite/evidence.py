@@ -296,6 +296,23 @@ def search_highlight(spark, folder):
     return found.paginate(20, 1).rows.select("doc_id", F.col("_highlight.text").alias("marked"))
 
 
+@case(
+    "search_highlight_all",
+    r"""WITH hit AS (SELECT doc_id, string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') AS w FROM documents
+                     WHERE regexp_matches(lower(text), '(^|[^\p{L}\p{N}])the($|[^\p{L}\p{N}])')
+                     ORDER BY doc_id DESC LIMIT 20),
+             marks AS (SELECT *, list_position(list_transform(w, lambda x:
+                      regexp_matches(x, '(?i)(^|[^\p{L}\p{N}])the($|[^\p{L}\p{N}])')), true) AS p FROM hit),
+             cut AS (SELECT doc_id, CASE WHEN len(w) > 30 AND p > 0 THEN w[greatest(p - 4, 1):p + 4] ELSE w END AS w FROM marks)
+        SELECT doc_id, array_to_string(list_transform(w, lambda x:
+                 regexp_replace(x, '(^|[^\p{L}\p{N}])(the)($|[^\p{L}\p{N}])', '\1<mark>\2</mark>\3', 'gi')), ' ') AS marked FROM cut""",
+)
+def search_highlight_all(spark, folder):
+    """The rows of a page of all documents with their marked text; long ones are cut to the words around the first mark."""
+    found = search(table(spark, folder, "documents"), DOCUMENTS, "the", highlight=["text"]).order_by_desc("doc_id")
+    return found.paginate(20, 1).rows.select("doc_id", F.col("_highlight.text").alias("marked"))
+
+
 @case(
     "import_range_plan",
     "SELECT count(*) AS ranges, min(o_orderkey) AS first FROM (SELECT unnest(range(1, max(o_orderkey) + 1, 3)) AS o_orderkey FROM orders)",
