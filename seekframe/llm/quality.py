@@ -8,13 +8,13 @@ one and a path's toward its host's, by strengths that the spread between sites g
 document's posterior is its evidence on its path's rate, taken without the document itself, and
 documents with either posterior at one half or more are rejected.
 
-The regression is fitted on at most about ``LABELLED`` labelled documents, chosen by a hash of
-their id; everything else covers all documents.
+Each head's word features and regression come from at most about ``LABELLED`` documents with
+its label, chosen by a hash of their id; everything else covers all documents.
 
 A null or empty text has shape zero and no words, and the evidence that follows; a null host or
 path is a site of its own; several labels of a document count as the worst; null labels are not
-used, and word features come from documents with both labels; without both kinds a head has no evidence and rejects nothing of its own; very
-long texts are read whole; repeated rows are scored each; an empty table gives no rows; further
+used, and a document with one label counts for that head alone; a head without good or without
+bad labels has no evidence and rejects nothing of its own; very long texts are read whole; repeated rows are scored each; an empty table gives no rows; further
 columns are kept, whatever their names, by ``kept`` and not read otherwise.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from seekframe.llm.common import batches, parked
 
-#: Labelled documents that the regression is fitted on at most.
+#: Labelled documents that a head is fitted on at most.
 LABELLED = 20_000
 #: Word features of a head at most, least bad documents and log-likelihood gain of one, bins of a shape.
 FEATURES, LEAST, SIGNIFICANT, BINS = 2048, 4, 13.0, 8
@@ -181,31 +181,36 @@ COUNTED = 400_000
 
 
 def _feature_counts(sample: DataFrame) -> DataFrame:
-    """``feature``, in how many documents it is, and in how many bad ones of each head; of those with both labels."""
-    names = ["feature", "n", *(f"bad_{h}" for h in HEADS)]
+    """``feature``, and of each head in how many documents with its label it is (``n_``), and in how many bad ones (``bad_``)."""
+    names = ["feature", *(f"{c}_{h}" for h in HEADS for c in ("n", "bad"))]
+    # Documents with all labels are counted once for all heads.
+    kept = ["all", *names[1:]]
 
     def rows(counts: dict[str, Counter]) -> pa.RecordBatch:
-        seen = list(counts["n"])
+        seen = list(set().union(*counts.values()))
         columns = [pa.array(seen, pa.string())]
-        columns += [pa.array([counts[c].get(f, 0) for f in seen], pa.int64()) for c in names[1:]]
+        for c in names[1:]:
+            shared = counts["all"] if c.startswith("n_") else {}
+            columns.append(pa.array([counts[c].get(f, 0) + shared.get(f, 0) for f in seen], pa.int64()))
         return pa.RecordBatch.from_arrays(columns, names)
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {c: Counter() for c in names[1:]}
+        counts = {c: Counter() for c in kept}
         for batch in found:
             flags = [batch.column(h).to_pylist() for h in HEADS]
             for _, texts in batches([batch]):
                 for text, *own in zip(texts, *flags):
-                    if None in own:
-                        continue
                     seen = features_of(text.decode())
-                    counts["n"].update(seen)
+                    if None not in own:
+                        counts["all"].update(seen)
                     for h, flag in zip(HEADS, own):
+                        if flag is not None and None in own:
+                            counts[f"n_{h}"].update(seen)
                         if flag:
                             counts[f"bad_{h}"].update(seen)
-            if len(counts["n"]) > COUNTED:
+            if sum(len(counts[c]) for c in kept if not c.startswith("bad_")) > COUNTED:
                 yield rows(counts)
-                counts = {c: Counter() for c in names[1:]}
+                counts = {c: Counter() for c in kept}
         yield rows(counts)
 
     kind = "feature string, " + ", ".join(f"{c} long" for c in names[1:])
@@ -214,7 +219,7 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
 
 def _significant(counts: DataFrame, head: str, n: int, bad: int) -> dict[str, float]:
     """Word features that bad documents have far more often than chance, and their log-odds."""
-    each = counts.select("feature", "n", F.col(f"bad_{head}").alias("bad"))
+    each = counts.select("feature", F.col(f"n_{head}").alias("n"), F.col(f"bad_{head}").alias("bad"))
     each = each.where(F.col("bad") >= LEAST)
     share, own = bad / n, F.col("bad") / F.col("n")
     good = F.col("n") - F.col("bad")
@@ -228,17 +233,19 @@ def _significant(counts: DataFrame, head: str, n: int, bad: int) -> dict[str, fl
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int = LABELLED) -> Model:
     """Both heads' regressions, on a bounded sample of labelled documents."""
     known = parked(_labelled(labels))
-    share = min(1.0, labelled / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    total = known.agg(*(F.count(h).alias(h) for h in HEADS)).first()
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    # A head's labels are bounded by their own number; documents are the same ones as far as they go.
+    within = {h: place < int(min(1.0, labelled / max(1, total[h])) * (1 << 30)) for h in HEADS}
+    chosen = known.select("doc_id", *(F.when(within[h], F.col(h)).alias(h) for h in HEADS)).where(" OR ".join(f"{h} IS NOT NULL" for h in HEADS))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # The sample has a bounded number of rows of three numbers.
     sample = parked(own.join(F.broadcast(chosen), "doc_id"))
-    both = sample.where(" AND ".join(f"{h} IS NOT NULL" for h in HEADS))
-    sizes = both.agg(F.count("*").alias("n"), *(F.sum(h).alias(f"bad_{h}") for h in HEADS)).first()
-    fitted = [h for h in HEADS if 0 < (sizes[f"bad_{h}"] or 0) < sizes["n"]]
+    sizes = sample.agg(*(F.count(h).alias(f"n_{h}") for h in HEADS), *(F.sum(h).alias(f"bad_{h}") for h in HEADS)).first()
+    fitted = [h for h in HEADS if 0 < (sizes[f"bad_{h}"] or 0) < sizes[f"n_{h}"]]
     often = " OR ".join(f"bad_{h} >= {LEAST}" for h in HEADS)
     counts = parked(_feature_counts(sample).where(often)) if fitted else None
-    features = {h: _significant(counts, h, sizes["n"], sizes[f"bad_{h}"]) for h in fitted}
+    features = {h: _significant(counts, h, sizes[f"n_{h}"], sizes[f"bad_{h}"]) for h in fitted}
     numbers = {h: {f: i for i, f in enumerate(features[h])} for h in fitted}
     chosen = Chosen(f for h in fitted for f in features[h])
 
@@ -264,7 +271,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", labelled: int =
         shapes = np.stack(rows["shape"].to_list())
         # Bounds between the values of bad documents and the high values of good ones.
         bad = (rows["low"] == 1).to_numpy() if "low" in fitted else np.ones(len(rows), bool)
-        high = np.quantile(shapes[~bad] if not bad.all() else shapes, [0.9, 0.99, 0.999], axis=0)
+        good = (rows["low"] == 0).to_numpy() if "low" in fitted else bad
+        high = np.quantile(shapes[good], [0.9, 0.99, 0.999], axis=0)
         edges = np.sort(np.r_[np.quantile(shapes[bad], [0.5, 0.7, 0.75, 0.8, 0.9], axis=0), high], axis=0).T
         places = binned(shapes, edges) + np.arange(len(SHAPES)) * (BINS + 1)
     for h in fitted:

@@ -54,6 +54,23 @@ def test_quality_on_held_out_documents(spark, graded):
     assert sum(not found[i]["keep"] for i, q, t in held if q == 1 and t == 0) <= 2
 
 
+def test_heads_labelled_on_different_documents(spark, graded):
+    """Each head learns from the documents with its own label, also if none has both."""
+    prepared(spark)
+    docs, _ = frames(spark, graded, lambda i: False)
+    apart = [(i, q if i % 2 else None, None if i % 2 else t) for i, q, t in graded[1] if i % 3]
+    labels = spark.createDataFrame(apart, "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r for r in quality.classified(docs, labels, F.col("source"), F.col("lang")).collect()}
+    held = [(i, q, t) for i, q, t in graded[1] if i % 3 == 0]
+    for bad in ([i for i, q, _ in held if not q], [i for i, _, t in held if t]):
+        assert sum(not found[i]["keep"] for i in bad) >= 0.85 * len(bad)
+    good = [i for i, q, t in held if q and not t]
+    assert sum(not found[i]["keep"] for i in good) <= 0.03 * len(good)
+    one = spark.createDataFrame([(i, None, t) for i, _, t in graded[1]], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, one)
+    assert model.heads["toxic"].words and not model.heads["low"].words
+
+
 def test_kept_rows_have_their_columns(spark, graded):
     prepared(spark)
     docs, labels = frames(spark, graded, lambda i: True)
