@@ -57,7 +57,7 @@ def main() -> None:
         .appName("bench")
         .config("spark.sql.shuffle.partitions", CPUS)
         # Index files of a small build are cut to keep every core busy.
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -69,7 +69,14 @@ def main() -> None:
 
     def import_documents() -> None:
         index = new_catalog(spark).create(
-            "documents", "doc_id", language="simple", searchable=["text"], buckets=8, term_buckets=8
+            "documents",
+            "doc_id",
+            language="simple",
+            searchable=["text"],
+            filterable=["lang", "source", "n_chars"],
+            sortable=["lang", "source", "n_chars"],
+            buckets=16,
+            file_words=500_000,
         )
         index.import_table(texts(spark, SF_DIR), INDEXED)
 

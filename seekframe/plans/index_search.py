@@ -14,7 +14,7 @@ from seekframe.operators.match import parse_web
 from seekframe.operators.predicates import apply_trashed
 from seekframe.operators.rank import bm25, policy_order
 from seekframe.plans.search import Matched, Search, register_strategy
-from seekframe.sources.index.postings import TERM_HEAD, term_bucket
+from seekframe.sources.index.postings import STORED
 from seekframe.sources.index.store import Index
 from seekframe.spec import SOFT_FLAG
 
@@ -54,22 +54,19 @@ def _word_condition(word: str, prefix: bool) -> Column:
     return F.col("term").startswith(word) if prefix else F.col("term") == word
 
 
-def _scan_condition(slots: list[Slot], term_buckets: int, fields: list[str] | None) -> Column:
-    """Terms wanted, and the folders they lie in, as tests the reader applies."""
-    wanted, heads = [], []
-    for slot in slots:
-        for word, _ in slot.words:
-            wanted.append(_word_condition(word, slot.prefix))
-            heads.append(None if slot.prefix and len(word) < TERM_HEAD else word)
-    condition = reduce(or_, wanted)
-    if None not in heads:
-        buckets = [term_bucket(F.lit(w), term_buckets) for w in dict.fromkeys(heads)]
-        condition = F.col("tb").isin(buckets) & condition
+def _scan_words(slots: list[Slot]) -> list[tuple[str, bool]]:
+    """Words and prefixes whose postings are read."""
+    return list(dict.fromkeys((word, slot.prefix) for slot in slots for word, _ in slot.words))
+
+
+def _scan_condition(words: list[tuple[str, bool]], fields: list[str] | None) -> Column:
+    """Terms wanted, as tests the reader applies."""
+    condition = reduce(or_, [_word_condition(*w) for w in words])
     return condition if fields is None else condition & F.col("field").isin(fields)
 
 
-def _per_document(postings: DataFrame, slots: list[Slot], one_field: bool) -> DataFrame:
-    """One row per document: ``tf<i>`` and ``exact<i>`` of each slot, and rank inputs.
+def _per_document(postings: DataFrame, slots: list[Slot], one_field: bool, used: list[str]) -> DataFrame:
+    """One row per document: ``tf<i>`` and ``exact<i>`` of each slot, rank inputs and stored fields in use.
 
     A partial aggregate runs before the exchange; all postings of a term are
     spread over many files, so a very common term is no single task's work. One
@@ -80,13 +77,15 @@ def _per_document(postings: DataFrame, slots: list[Slot], one_field: bool) -> Da
             "key",
             "len",
             "gone",
+            *used,
             F.col("first_rank").alias("_rank_pos"),
             F.get(F.col("positions"), F.lit(0)).alias("_pos"),
             F.col("tf").alias("tf0"),
             F.lit(1).alias("exact0"),
         )
     phrases = [i for i, slot in enumerate(slots) if len(slot.words) > 1]
-    grouping = ["key", "field"] if phrases else ["key"]
+    # Stored fields follow from the key; as part of it they stay out of the aggregates.
+    grouping = ["key", *used, "field"] if phrases else ["key", *used]
     inputs = [
         F.max("len").alias("len"),
         F.max("gone").alias("gone"),
@@ -114,7 +113,7 @@ def _per_document(postings: DataFrame, slots: list[Slot], one_field: bool) -> Da
     merged += [F.min("_rank_pos").alias("_rank_pos"), F.min("_pos").alias("_pos")]
     merged += [F.sum(f"tf{i}").alias(f"tf{i}") for i in range(len(slots))]
     merged += [F.max(f"exact{i}").alias(f"exact{i}") for i in range(len(slots))]
-    return grouped.groupBy("key").agg(*merged)
+    return grouped.groupBy("key", *used).agg(*merged)
 
 
 def _phrase_test(i: int, follow: list[tuple[int, int]]):
@@ -151,6 +150,12 @@ def _declared(index: Index, s: Search) -> None:
                 raise ValueError(f"{m.name}: {name!r} is not {kind}")
 
 
+def _used_fields(s: Search) -> set[str]:
+    """Fields of the documents that the search filters or sorts on."""
+    ordered = [n for n, _ in (*s.options.get("sort", ()), *s.orders)]
+    return {*(w[0] for w in s.wheres), *s.where_ins, *s.where_not_ins, *ordered}
+
+
 def index_strategy(s: Search) -> Matched:
     index: Index = s.index
     if s.pre is not None:
@@ -159,7 +164,8 @@ def index_strategy(s: Search) -> Matched:
     key = index.key
     flag = SOFT_FLAG if SOFT_FLAG in index.schema.names else None
     explicit = s.sort_columns()
-    needs_docs = bool(s.wheres or s.where_ins or s.where_not_ins or explicit or s.custom_fn)
+    used = _used_fields(s)
+    needs_docs = s.custom_fn is not None or bool(used - {key, *index.manifest.stored})
 
     if s.query in ("", MATCH_ALL):
         docs = apply_trashed(index.docs(), s.trashed, None, flag)
@@ -171,13 +177,18 @@ def index_strategy(s: Search) -> Matched:
     slots = list(dict.fromkeys(slot for g in groups for _, slot in g))
     at = {slot: i for i, slot in enumerate(slots)}
     fields = s.options.get("fields")
-    postings = index.postings(_scan_condition(slots, index.manifest.term_buckets, fields))
-    found = _per_document(postings, slots, len(fields or index.text_fields) == 1)
+    excluding = any(all(negated for negated, _ in g) for g in groups)
+    # Documents without any of the words have no postings to read a field from.
+    needs_docs = needs_docs or (excluding and bool(used - {key}))
+    stored = [] if needs_docs else [STORED + f for f in index.manifest.stored if f in used]
+    wanted = _scan_words(slots)
+    postings = index.postings(wanted, _scan_condition(wanted, fields))
+    found = _per_document(postings, slots, len(fields or index.text_fields) == 1, stored)
 
     policy = s.options.get("policy", "score")
     order = explicit or policy_order(policy, key)
     hits = found
-    if any(all(negated for negated, _ in g) for g in groups):
+    if excluding:
         # "everything but": documents without any of the terms can match too.
         everything = index.docs().select(F.col(key).alias("key"), *([F.col(flag).alias("__flag")] if flag else []))
         hits = everything.join(found, "key", "left")
@@ -207,9 +218,12 @@ def index_strategy(s: Search) -> Matched:
             order = [F.col("_exact").desc(), *order]
     else:
         hits = hits.withColumn("_score", F.lit(0.0)).withColumn("_exact", F.lit(0))
-    hits = hits.select(F.col("key").alias(key), "_score", "_exact", "_pos", "_rank_pos")
+    values = [F.col(f).alias(f.removeprefix(STORED)) for f in stored]
+    hits = hits.select(F.col("key").alias(key), "_score", "_exact", "_pos", "_rank_pos", *values)
     if needs_docs:
         hits = s.constrain(hits.join(index.docs(), key, "inner"))
+    elif used:
+        hits = s.constrain(hits)
     return Matched(hits, order)
 
 

@@ -104,7 +104,10 @@ class Manifest:
     filterable: list[str] | None = None
     sortable: list[str] | None = None
     buckets: int = 16
-    term_buckets: int = 16
+    #: Words whose postings share a file, about.
+    file_words: int = 4_000_000
+    #: Fields whose values lie beside the postings of every segment.
+    stored: list[str] = field(default_factory=list)
     segments: list[dict] = field(default_factory=list)
     n_docs: int = 0
     sum_len: int = 0
@@ -119,7 +122,7 @@ class Manifest:
         return replace(self, version=self.version + 1, **changes)
 
     def with_part(self, part: str) -> list[str]:
-        """Ids of the segments that hold a part (docs, postings, terms, tombstones)."""
+        """Ids of the segments that hold a part (docs, postings, terms, voids)."""
         return [s["id"] for s in self.segments if part in s["parts"]]
 
     @property

@@ -1,8 +1,8 @@
 """Documents -> postings: which term stands where in which document.
 
 A document is a row, so all of its terms are sorted and run-length grouped inside
-the row by array functions. Building postings therefore shuffles nothing; the one
-exchange of an index build is the rebalance that lays files out by term.
+the row by array functions, once, when it is written. Postings are these runs,
+exploded; the one exchange of an index build lays them out by term range.
 """
 
 from __future__ import annotations
@@ -12,35 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.functions.text import let, placed_tokens, tokens
+from seekframe.functions.text import let, placed_tokens
 
-LENGTH = "__len"
-TERM_HEAD = 2
+LENGTH, RUNS, ORDINAL, SOURCE = "__len", "__runs", "__ord", "__src"
+#: Stored values of declared fields, beside the postings.
+STORED = "_f_"
+RUN = "term string, field string, tf int, positions array<int>, first_rank int, lead boolean"
 
 
 def bucket_of(value: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    """Bucket by the first two characters: one term, and one prefix of two or more
-    characters, lies in one bucket."""
-    return bucket_of(F.substring(term, 1, TERM_HEAD), buckets)
-
-
-def text_length(fields: Sequence[str], language: str) -> Column:
-    sizes = [F.size(tokens(F.coalesce(F.col(f).cast("string"), F.lit("")), language)) for f in fields]
-    total = F.lit(0)
-    for size in sizes:
-        total = total + size
-    return total.cast("int")
-
-
-def distinct_terms(fields: Sequence[str], language: str) -> Column:
-    every = [tokens(F.coalesce(F.col(f).cast("string"), F.lit("")), language) for f in fields]
-    return F.array_distinct(F.concat(*every)) if every else F.array().cast("array<string>")
-
-
 def _sorted_places(fields: Sequence[str], language: str) -> Column:
     per_field = [placed_tokens(F.col(name).cast("string"), language, name) for name in fields]
     return F.sort_array(F.concat(*per_field))
@@ -77,17 +60,27 @@ def _runs(places: Column) -> Column:
     )
 
 
-def build_postings(docs: DataFrame, key: str, fields: Sequence[str], language: str, flag: Column) -> DataFrame:
-    """term, key, field, tf, positions, first_rank, lead, len, gone."""
-    runs = let(_sorted_places(fields, language), _runs)
+def document_runs(fields: Sequence[str], language: str) -> Column:
+    """The postings of a document, one for each term and field."""
+    if not fields:
+        return F.lit(None).cast(f"array<struct<{RUN.replace(' ', ':').replace(',:', ',')}>>")
+    return let(_sorted_places(fields, language), _runs)
+
+
+def run_length(runs: Column) -> Column:
+    """Words of a document, from its runs."""
+    return F.aggregate(F.coalesce(runs["tf"], F.array().cast("array<int>")), F.lit(0), lambda n, tf: n + tf)
+
+
+def build_postings(docs: DataFrame, key: str, flag: Column, stored: Sequence[str]) -> DataFrame:
+    """term, key, field, tf, positions, first_rank, lead, len, gone, src, ord and the stored fields."""
+    own = [F.col(f).alias(STORED + f) for f in stored]
     return docs.select(
         F.col(key).alias("key"),
         F.col(LENGTH).alias("len"),
         flag.cast("int").alias("gone"),
-        F.explode(runs).alias("p"),
-    ).select("p.term", "key", "p.field", "p.tf", "p.positions", "p.first_rank", "p.lead", "len", "gone")
-
-
-def term_counts(postings: DataFrame) -> DataFrame:
-    """Document frequency by term."""
-    return postings.where("lead").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        F.col(SOURCE).alias("src"),
+        F.col(ORDINAL).alias("ord"),
+        *own,
+        F.explode(RUNS).alias("p"),
+    ).select("p.*", "key", "len", "gone", "src", "ord", *[STORED + f for f in stored])

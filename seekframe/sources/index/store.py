@@ -3,48 +3,70 @@
 An index is a folder of Parquet tables, each split by ``seg``, the commit that
 wrote it::
 
-    docs/seg=../bucket=..     documents, by hash of the key
-    postings/seg=../tb=..     term postings, by term bucket, sorted by term
+    docs/seg=../bucket=..     documents, by hash of the key, with the terms of each
+    postings/seg=..           term postings in files of disjoint ranges of terms
+    ranges/seg=...json        the first and last term of each of these files
     terms/seg=..              change of each term's document count
-    tombstones/seg=..         keys whose older documents are void
+    voids/seg=..              bitmaps of older documents that the commit voids
+    removed/seg=..            those documents' keys, lengths and terms
     deletes/seg=..            keys the commit was asked to delete
 
+A document is known by ``__src``, the segment it was first written in, and ``__ord``,
+its ordinal there; a merge keeps both, so bitmaps hold whatever is merged meanwhile.
 A commit writes new files only, and appears when its manifest does. A reader pins
-one manifest. Work of a commit grows with the change and the buckets it touches,
-not with the index; ``compact`` folds the segments when there are many.
+one manifest. A commit's work grows with the change: it looks changed keys up in
+the key columns of the buckets they fall in and never reads an old text. ``merge``
+folds small segments into one by merging their sorted postings.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seekframe.functions.hashing import fingerprint, key_hash
 from seekframe.functions.render import TEXT_TYPES
+from seekframe.session import shared_dir
+from seekframe.sources.index.bitmaps import MAX_SENT, VOIDS, bitmaps, chunk_of, merged, without_void
 from seekframe.sources.index.manifest import Files, Manifest, Versions
 from seekframe.sources.index.postings import (
     LENGTH,
+    ORDINAL,
+    RUN,
+    RUNS,
+    SOURCE,
+    STORED,
     bucket_of,
     build_postings,
-    distinct_terms,
-    term_bucket,
-    term_counts,
-    text_length,
+    document_runs,
+    run_length,
 )
 from seekframe.sources.tables import by_keys, key_range
 from seekframe.spec import SOFT_FLAG, SearchSpec, documents
 
 Listener = Callable[[dict], None]
-PARTS = ("docs", "postings", "terms", "tombstones", "deletes")
+PARTS = ("docs", "postings", "ranges", "terms", "voids", "removed", "deletes")
 MODES = ("upsert", "create", "update", "emplace")
 # Times a commit is made again after another job was first.
 RETRIES = 3
+#: Changed keys that are looked up as a list the reader can skip by; more are joined.
+LISTED = 1_000
+#: Postings files of a segment at most; beyond it they grow. Their term ranges are read by searches.
+MOST_FILES = 4_096
+#: Segments of like size that are merged into one.
+FAN = 8
+#: The change that wrote a document or asked for its removal: a later one wins, whenever it comes.
+MARK = "__mark"
+MARK_TYPE = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("seq", T.LongType())])
 
 
 class IndexWriteError(ValueError):
@@ -130,7 +152,7 @@ class Index:
             if isinstance(f.dataType, TEXT_TYPES) and f.name != self.key and not f.name.startswith("_")
         ]
 
-    def _read(self, part: str, schema: T.StructType, segments: Sequence[str] | None = None) -> DataFrame:
+    def _read(self, part: str, schema: T.StructType | str, segments: Sequence[str] | None = None) -> DataFrame:
         ids = self.manifest.with_part(part) if segments is None else segments
         if not ids:
             return self.spark.createDataFrame([], schema)
@@ -138,62 +160,62 @@ class Index:
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{part}").parquet(*paths)
 
     def _docs_schema(self) -> T.StructType:
-        extra = [T.StructField(LENGTH, T.IntegerType()), T.StructField("seg", T.StringType())]
+        runs = T.StructType.fromDDL(f"{RUNS} array<struct<{RUN.replace(' ', ':').replace(',:', ',')}>>")
+        extra = [
+            T.StructField(LENGTH, T.IntegerType()),
+            *runs.fields,
+            T.StructField(SOURCE, T.StringType()),
+            T.StructField(ORDINAL, T.LongType()),
+            T.StructField(MARK, MARK_TYPE),
+        ]
         return T.StructType([*self.schema.fields, *extra, T.StructField("bucket", T.IntegerType())])
 
-    def _tombstone_schema(self) -> T.StructType:
-        return T.StructType(
-            [
-                T.StructField("key", self.key_type),
-                T.StructField("len", T.IntegerType()),
-                T.StructField("terms", T.ArrayType(T.StringType())),
-                T.StructField("seg", T.StringType()),
-            ]
-        )
-
     def _postings_schema(self) -> T.StructType:
-        return T.StructType(
-            [
-                T.StructField("term", T.StringType()),
-                T.StructField("key", self.key_type),
-                T.StructField("field", T.StringType()),
-                T.StructField("tf", T.IntegerType()),
-                T.StructField("positions", T.ArrayType(T.IntegerType())),
-                T.StructField("first_rank", T.IntegerType()),
-                T.StructField("lead", T.BooleanType()),
-                T.StructField("len", T.IntegerType()),
-                T.StructField("gone", T.IntegerType()),
-                T.StructField("seg", T.StringType()),
-                T.StructField("tb", T.IntegerType()),
-            ]
-        )
+        known = T.StructType.fromDDL(f"{RUN}, len int, gone int, src string, ord long")
+        own = [T.StructField(STORED + f, self.schema[f].dataType) for f in self.manifest.stored]
+        return T.StructType([*known.fields, T.StructField("key", self.key_type), *own])
 
-    def _live(self, df: DataFrame, key: str) -> DataFrame:
+    def _live(self, df: DataFrame, source: str, ordinal: str) -> DataFrame:
         """Drop what a later commit has replaced or removed."""
-        if not self.manifest.with_part("tombstones"):
+        ids = self.manifest.with_part("voids")
+        if not ids:
             return df
-        void = self._read("tombstones", self._tombstone_schema()).select(
-            F.col("key").alias("__void_key"), F.col("seg").alias("__void_seg")
-        )
-        condition = (F.col(key) == F.col("__void_key")) & (F.col("seg") < F.col("__void_seg"))
-        return df.join(void, condition, "left_anti")
+        voids = self._read("voids", VOIDS, ids).select("of", "chunk", "words")
+        chunks = sum(s.get("chunks", 0) for s in self.manifest.segments)
+        return without_void(df, voids if len(ids) == 1 else merged(voids), source, ordinal, chunks <= MAX_SENT)
 
-    def _live_docs(self) -> DataFrame:
-        return self._live(self._read("docs", self._docs_schema()), self.key)
+    def _live_docs(self, segments: Sequence[str] | None = None) -> DataFrame:
+        return self._live(self._read("docs", self._docs_schema(), segments), SOURCE, ORDINAL)
 
     def docs(self) -> DataFrame:
         """Live documents."""
         return self._live_docs().select(*self.schema.names)
 
-    def postings(self, condition: Column | None = None) -> DataFrame:
-        """Live postings; the condition is applied at the scan."""
-        found = self._read("postings", self._postings_schema())
-        return self._live(found if condition is None else found.where(condition), "key")
+    def postings(self, words: Sequence[tuple[str, bool]] | None = None, condition: Column | None = None) -> DataFrame:
+        """Live postings; the condition is applied at the scan.
+
+        With ``words`` (term, or prefix if the flag is set) only the files whose term ranges hold one are opened.
+        """
+        if words is None:
+            found = self._read("postings", self._postings_schema())
+        else:
+            paths = [p for i in self.manifest.with_part("postings") for p in self.posting_files(i, words)]
+            reader = self.spark.read.schema(self._postings_schema())
+            found = reader.parquet(*paths) if paths else self.spark.createDataFrame([], self._postings_schema())
+        return self._live(found if condition is None else found.where(condition), "src", "ord")
+
+    def posting_files(self, segment: str, words: Sequence[tuple[str, bool]]) -> list[str]:
+        """The postings files of a segment that can hold one of the words."""
+
+        def may_hold(first: str, last: str) -> bool:
+            return any(last >= w and (first <= w or (prefix and first.startswith(w))) for w, prefix in words)
+
+        ranges = _ranges(self._files, f"{self.manifest.name}/ranges/seg={segment}.json")
+        return [f"{self.path}/postings/seg={segment}/{name}" for name, first, last in ranges if may_hold(first, last)]
 
     def term_changes(self, condition: Column | None = None) -> DataFrame:
         """``term, df`` of each commit: what it added to the count of a term."""
-        schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("df", T.LongType())])
-        found = self._read("terms", schema).select("term", "df")
+        found = self._read("terms", TERMS).select("term", "df")
         return found if condition is None else found.where(condition)
 
     def terms(self, condition: Column | None = None) -> DataFrame:
@@ -209,9 +231,9 @@ class Index:
     def changes(self) -> DataFrame:
         """Keys and operations of the commits: ``key, op, seg``."""
         written = self._read("docs", self._docs_schema()).select(
-            F.col(self.key).alias("key"), F.lit("upsert").alias("op"), "seg"
+            F.col(self.key).alias("key"), F.lit("upsert").alias("op"), F.col(SOURCE).alias("seg")
         )
-        removed = self._read("deletes", self._deletes_schema()).select("key", F.lit("delete").alias("op"), "seg")
+        removed = self._read("deletes", self._deletes_schema()).select("key", F.lit("delete").alias("op"), F.col("src").alias("seg"))
         return written.unionByName(removed)
 
     def _deletes_schema(self) -> T.StructType:
@@ -219,7 +241,8 @@ class Index:
             [
                 T.StructField("key", self.key_type),
                 T.StructField("bucket", T.IntegerType()),
-                T.StructField("seg", T.StringType()),
+                T.StructField("src", T.StringType()),
+                T.StructField(MARK, MARK_TYPE),
             ]
         )
 
@@ -232,7 +255,8 @@ class Index:
         sortable: Sequence[str] | None = None,
     ) -> "Index":
         """Declare attributes. The soft-delete flag is always filterable. A new
-        list of searchable fields rebuilds the postings of an index in use."""
+        list of searchable fields rebuilds the postings of an index in use; values of newly
+        declared fields are read from the documents until then, and from beside the postings after it."""
         changes: dict = {}
         if searchable is not None:
             changes["searchable"] = list(searchable)
@@ -253,10 +277,10 @@ class Index:
 
     def pause(self) -> "Index":
         """Drop changes from now on, until ``resume``."""
-        return self._publish(self.manifest.next(paused=True))
+        return self._change(paused=True)
 
     def resume(self) -> "Index":
-        return self._publish(self.manifest.next(paused=False))
+        return self._change(paused=False)
 
     @contextmanager
     def paused(self) -> Iterator["Index"]:
@@ -269,6 +293,15 @@ class Index:
             if not before:
                 held.refresh().resume()
 
+    def _change(self, **changes) -> "Index":
+        """Publish a change of the manifest alone, on whatever version is the latest."""
+        for _ in range(RETRIES):
+            try:
+                return self._publish(self.manifest.next(**changes))
+            except LostRace:
+                self = self.refresh()
+        return self._publish(self.manifest.next(**changes))
+
     # ---- writes ---------------------------------------------------------
 
     def import_table(self, df: DataFrame, spec: SearchSpec, mode: str = "upsert", fresh: bool = False) -> "Index":
@@ -326,7 +359,71 @@ class Index:
 
     def compact(self) -> "Index":
         """Fold all segments into one; the documents stay the same."""
-        return self.commit(docs=self.docs(), replace=True, operation="compact")
+        return self._merge([s["id"] for s in self.manifest.segments])
+
+    def merge(self, fan: int = FAN) -> "Index":
+        """Fold ``fan`` or more segments of like size into one, smallest first, until there are none.
+
+        Larger segments are neither read nor written. Meant as a job of its own: other
+        commits may go on, and what they void in the merged segments stays void.
+        """
+        index = self
+        while (ids := _tier(index.manifest.segments, fan)) is not None:
+            index = index._merge(ids)
+        return index
+
+    def _merge(self, ids: list[str]) -> "Index":
+        """One segment in place of some: live documents and postings copied, counts and bitmaps added up."""
+        void = any(s.get("chunks") for s in self.manifest.segments)
+        if not ids or (len(ids) == 1 and not void):
+            return self
+        having = lambda part: [i for i in self.manifest.with_part(part) if i in ids]
+        segment = f"{self.manifest.version + 1:012d}-{uuid.uuid4().hex[:8]}"
+        parts, docs, words, chunks = [], 0, 0, 0
+        if having("docs"):
+            laid = self._live_docs(having("docs")).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", self.key)
+            laid.write.partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
+            facts = self._read("docs", self._docs_schema(), [segment]).agg(F.count(F.lit(1)), F.coalesce(F.sum(LENGTH), F.lit(0))).first()
+            docs, words = facts[0], facts[1]
+            parts.append("docs")
+        if having("postings"):
+            old = self._read("postings", self._postings_schema(), having("postings"))
+            self._write_postings(self._live(old, "src", "ord").select(*old.columns), words, segment)
+            parts.append("postings")
+        if having("terms"):
+            old = self._read("terms", TERMS, having("terms")).groupBy("term").agg(F.sum("df").alias("df")).where("df <> 0")
+            self._write_terms(old.withColumn("file", F.lit(None).cast("string")), segment)
+            parts.append("terms")
+        if having("postings"):
+            found = self._read("postings", self._postings_schema(), [segment]).select("term", F.input_file_name().alias("file"))
+            self._write_ranges(found, segment)
+        if having("voids"):
+            # Bits of documents that these segments hold have done their work.
+            own = self._read("docs", self._docs_schema(), having("docs")).select(F.col(SOURCE).alias("of")).distinct()
+            left = merged(self._read("voids", VOIDS, having("voids"))).join(own, "of", "left_anti")
+            left.write.parquet(f"{self.path}/voids/seg={segment}")
+            chunks = self._read("voids", VOIDS, [segment]).count()
+            parts += ["voids"] if chunks else []
+        if having("deletes"):
+            self._read("deletes", self._deletes_schema(), having("deletes")).distinct().write.parquet(f"{self.path}/deletes/seg={segment}")
+            parts.append("deletes")
+        entry = {"id": segment, "parts": parts, "docs": docs, "chunks": chunks}
+        fact = {"operation": "compact", "count": docs, "written": docs, "removed": 0, "fingerprint": None, "segment": segment}
+        return self._replace(ids, entry, fact)
+
+    def _replace(self, ids: list[str], entry: dict, fact: dict) -> "Index":
+        """Publish a merged segment on the latest version; a race with other commits is run again at no cost."""
+        index = self
+        while True:
+            segments = index.manifest.segments
+            if not set(ids) <= {s["id"] for s in segments}:
+                raise LostRace(f"{self.manifest.name}: segments of a merge were replaced by another job")
+            kept = [s for s in segments if s["id"] not in ids]
+            place = next(i for i, s in enumerate(segments) if s["id"] in ids)
+            try:
+                return index._publish(index.manifest.next(segments=[*kept[:place], entry, *kept[place:]], last_commit=fact))
+            except LostRace:
+                index = index.refresh()
 
     def vacuum(self, keep: int = 10) -> list[str]:
         """Delete segments that none of the last ``keep`` versions uses. Segments of
@@ -337,7 +434,7 @@ class Index:
         gone = set()
         for part in PARTS:
             for name in self._files.names(f"{self.manifest.name}/{part}"):
-                segment = name.removeprefix("seg=")
+                segment = name.removeprefix("seg=").removesuffix(".json")
                 if name.startswith("seg=") and segment not in used and int(segment.split("-")[0]) < oldest:
                     self._files.remove(f"{self.manifest.name}/{part}/{name}")
                     gone.add(segment)
@@ -387,18 +484,21 @@ class Index:
             return self._publish(m.next(batches=batches))
         if m.schema is None:
             # The first documents declare the schema.
-            declared = Manifest(**{**m.to_dict(), "schema": json.loads(docs.schema.json())})
+            own = T.StructType([f for f in docs.schema if f.name != MARK])
+            declared = Manifest(**{**m.to_dict(), "schema": json.loads(own.json())})
             index = Index(self.spark, self._files, declared, self._listeners)
             return index._commit(docs, delete_keys, mode, replace, batch, operation, while_paused)
+        if replace or not m.segments:
+            # All postings are written anew, with the fields that are declared now.
+            m = Manifest(**{**m.to_dict(), "stored": self._storable()})
+            self = Index(self.spark, self._files, m, self._listeners)
         segment = f"{m.version + 1:012d}-{uuid.uuid4().hex[:8]}"
         parts: list[str] = []
 
         new, seen, counts = None, None, {"n": 0, "len": 0}
         if docs is not None:
             if mode != "upsert" and not replace:
-                # Only an emplace reads more of the live documents than their keys.
-                live = self.docs() if mode == "emplace" else self.docs().select(self.key)
-                docs = merge_documents(live, docs, self.key, mode)
+                docs = self._merged_in(docs, mode)
             new = self._write_docs(self._conform(docs), segment)
             parts.append("docs")
             counts = self._check(new)
@@ -411,21 +511,21 @@ class Index:
 
         if not replace and not counts["n"] and not counts.get("deletes"):
             return self._publish(m.next(batches=batches))  # nothing to keep a segment for
-        gone, removed = {"n": 0, "len": 0}, None
-        if m.with_part("docs") and not replace and seen is not None:
-            removed = self._write_tombstones(seen, counts["buckets"], segment)
-            gone = removed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("len")).first()
-            if gone["n"]:
-                parts.append("tombstones")
-        if self.text_fields:
-            parts += ["postings"] if counts["n"] else []
-            parts += ["terms"] if counts["n"] or gone["n"] else []
-        if "terms" in parts:
-            self._write_terms(new if counts["n"] else None, removed if gone["n"] else None, segment)
-
+        words, void = bool(self.text_fields and counts["n"]), bool(m.with_part("docs") and not replace and seen is not None)
+        # What the commit adds and what it voids are jobs that do not wait for each other.
+        with ThreadPoolExecutor(1) as other:
+            added = other.submit(inheritable_thread_target(self.spark)(self._write_words), new, counts, segment) if words else None
+            gone = self._write_void(seen, counts, segment) if void else {"n": 0, "len": 0, "chunks": 0}
+            if added is not None:
+                added.result()
+        parts += ["postings"] if words else []
+        parts += ["removed", "voids"] if gone["n"] else []
+        parts += ["terms"] if self.text_fields and (words or gone["n"]) else []
+
+        entry = {"id": segment, "parts": parts, "docs": counts["n"], "chunks": gone["chunks"]}
         return self._publish(
             m.next(
-                segments=[*([] if replace else m.segments), {"id": segment, "parts": parts}],
+                segments=[*([] if replace else m.segments), entry],
                 n_docs=counts["n"] if replace else m.n_docs + counts["n"] - gone["n"],
                 sum_len=counts["len"] if replace else m.sum_len + counts["len"] - gone["len"],
                 batches=batches,
@@ -440,6 +540,50 @@ class Index:
             )
         )
 
+    def _storable(self) -> list[str]:
+        """Declared fields whose values can lie beside the postings."""
+        m, plain = self.manifest, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+        declared = dict.fromkeys([*(m.filterable or ()), *(m.sortable or ())])
+        return [f.name for f in self.schema if f.name in declared and f.name not in (self.key, SOFT_FLAG) and not isinstance(f.dataType, plain)]
+
+    def _merged_in(self, docs: DataFrame, mode: str) -> DataFrame:
+        """What a create, update or emplace writes; of the live documents only those of its keys are read."""
+        path = shared_dir(self.spark)
+        docs.write.parquet(path)
+        incoming = self.spark.read.schema(docs.schema).parquet(path)
+        keyed = incoming.select(F.col(self.key).cast(self.key_type).alias("key"))
+        keyed = keyed.withColumn("bucket", bucket_of(F.col("key"), self.manifest.buckets))
+        facts = keyed.agg(F.count(F.lit(1)).alias("n"), F.collect_set("bucket").alias("buckets")).first()
+        found = self._found(self._live_docs(), keyed, facts["n"], facts["buckets"])
+        live = found.select(*(self.schema.names if mode == "emplace" else [self.key]))
+        return merge_documents(live, incoming, self.key, mode)
+
+    def _found(self, df: DataFrame, keyed: DataFrame, n: int, buckets: Sequence[int], key: str | None = None) -> DataFrame:
+        """The rows of some keys. Their buckets prune the folders; few keys are a list by which the reader skips."""
+        key = key or self.key
+        inside = df.where(F.col("bucket").isin(list(buckets)))
+        if n <= LISTED:
+            return inside.where(F.col(key).isin([r[0] for r in keyed.select("key").distinct().collect() if r[0] is not None]))
+        some = keyed.select(F.col("key").alias("__key")).distinct()
+        return inside.join(some, F.col(key) == F.col("__key"), "left_semi")
+
+    def newer(self, changes: DataFrame, mark: Column) -> DataFrame:
+        """The changes (``key``, ...) that no known change of their key comes after.
+
+        The mark of a key's last change is kept with its document, or with the order to delete it.
+        """
+        if not self.manifest.segments:
+            return changes
+        keyed = changes.select(F.col("key").cast(self.key_type).alias("key"))
+        keyed = keyed.withColumn("bucket", bucket_of(F.col("key"), self.manifest.buckets))
+        facts = keyed.agg(F.count(F.lit(1)).alias("n"), F.collect_set("bucket").alias("buckets")).first()
+        live = self._found(self._live_docs(), keyed, facts["n"], facts["buckets"])
+        gone = self._found(self._read("deletes", self._deletes_schema()), keyed, facts["n"], facts["buckets"], "key")
+        known = live.select(F.col(self.key).alias("__key"), MARK).unionByName(gone.select(F.col("key").alias("__key"), MARK))
+        known = known.where(F.col(MARK).isNotNull()).groupBy("__key").agg(F.max(MARK).alias("__known"))
+        joined = changes.join(known, F.col("key").cast(self.key_type) == F.col("__key"), "left")
+        return joined.where(F.col("__known").isNull() | (mark >= F.col("__known"))).select(*changes.columns)
+
     def _check(self, new: DataFrame) -> dict:
         """Facts of the written documents, in one job; raises on a bad key."""
         by_key = new.groupBy(F.col(self.key).alias("key")).agg(
@@ -485,75 +629,110 @@ class Index:
 
     def _conform(self, docs: DataFrame) -> DataFrame:
         """Cast to the declared schema; a value that does not fit fails the write."""
-        unknown = [c for c in docs.columns if c not in self.schema.names]
+        unknown = [c for c in docs.columns if c not in self.schema.names and c != MARK]
         if unknown:
             raise IndexWriteError(f"{self.manifest.name}: no field {unknown[0]!r} in the schema")
         columns = [
             (F.col(f.name) if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in self.schema
+            for f in [*self.schema, T.StructField(MARK, MARK_TYPE)]
         ]
         return docs.select(*columns)
 
     def _write_docs(self, docs: DataFrame, segment: str) -> DataFrame:
         laid = docs.withColumn("bucket", bucket_of(F.col(self.key), self.manifest.buckets))
-        path = f"{self.path}/docs/seg={segment}"
         # Rebalance splits a large bucket over many tasks and merges small ones; texts are
-        # cut after it, by as many tasks, however few files they came from.
-        (
-            laid.hint("rebalance", F.col("bucket"))
-            .withColumn(LENGTH, text_length(self.text_fields, self.manifest.language))
-            .sortWithinPartitions("bucket", self.key)
-            .write.partitionBy("bucket")
-            .parquet(path)
-        )
+        # cut after it, once, by as many tasks, however few files they came from.
+        ordered = laid.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", self.key)
+        cut = ordered.withColumn(RUNS, document_runs(self.text_fields, self.manifest.language))
+        cut = cut.withColumns({SOURCE: F.lit(segment), ORDINAL: F.monotonically_increasing_id()})
+        cut.withColumn(LENGTH, run_length(F.col(RUNS))).write.partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
         return self._read("docs", self._docs_schema(), [segment])
 
     def _write_deletes(self, delete_keys: DataFrame, segment: str) -> DataFrame:
-        key = F.col(delete_keys.columns[0]).cast(self.key_type).alias("key")
+        key = F.col(next(c for c in delete_keys.columns if c != MARK)).cast(self.key_type).alias("key")
+        mark = F.col(MARK) if MARK in delete_keys.columns else F.lit(None).cast(MARK_TYPE).alias(MARK)
         path = f"{self.path}/deletes/seg={segment}"
-        keys = delete_keys.select(key).where("key IS NOT NULL").distinct()
-        keys.withColumn("bucket", bucket_of(F.col("key"), self.manifest.buckets)).write.parquet(path)
+        keys = delete_keys.select(key, mark).where("key IS NOT NULL").groupBy("key").agg(F.max(MARK).alias(MARK))
+        keys.select(
+            "key", bucket_of(F.col("key"), self.manifest.buckets).alias("bucket"), F.lit(segment).alias("src"), MARK
+        ).write.parquet(path)
         return self._read("deletes", self._deletes_schema(), [segment]).select("key", "bucket")
 
-    def _write_tombstones(self, changed: DataFrame, buckets: list[int], segment: str) -> DataFrame:
-        """Live documents a change voids, with what the term counts lose by them.
-
-        The touched buckets prune the folders of the documents.
-        """
-        keyed = changed.select("key").distinct()
-        live = self._live(
-            self._read("docs", self._docs_schema()).where(F.col("bucket").isin(buckets)), self.key
-        )
-        removed = live.join(keyed, F.col(self.key) == F.col("key"), "left_semi").select(
+    def _write_void(self, changed: DataFrame, counts: dict, segment: str) -> dict:
+        """Live documents a change voids: their bitmaps, and what the term counts lose by them."""
+        found = self._found(self._live_docs(), changed, counts["n"] + counts.get("deletes", 0), counts["buckets"])
+        removed = found.select(
             F.col(self.key).alias("key"),
+            F.col(SOURCE).alias("src"),
+            F.col(ORDINAL).alias("ord"),
             F.col(LENGTH).alias("len"),
-            distinct_terms(self.text_fields, self.manifest.language).alias("terms"),
+            F.array_distinct(F.col(RUNS)["term"]).alias("terms"),
         )
-        path = f"{self.path}/tombstones/seg={segment}"
+        path = f"{self.path}/removed/seg={segment}"
         removed.write.parquet(path)
-        return self._read("tombstones", self._tombstone_schema(), [segment])
-
-    def _write_terms(self, new: DataFrame | None, removed: DataFrame | None, segment: str) -> None:
-        deltas = []
-        if new is not None:
-            flag = F.col(SOFT_FLAG) if SOFT_FLAG in self.schema.names else F.lit(0)
-            built = build_postings(new, self.key, self.text_fields, self.manifest.language, flag)
-            tb = term_bucket(F.col("term"), self.manifest.term_buckets)
-            (
-                built.withColumn("tb", tb)
-                .hint("rebalance", F.col("tb"))
-                .sortWithinPartitions("tb", "term", "key")
-                .write.partitionBy("tb")
-                .parquet(f"{self.path}/postings/seg={segment}")
-            )
-            deltas.append(term_counts(self._read("postings", self._postings_schema(), [segment])))
-        if removed is not None:
-            lost = removed.select(F.explode("terms").alias("term")).groupBy("term")
-            deltas.append(lost.agg((-F.count(F.lit(1))).alias("df")))
-        delta = deltas[0]
-        if len(deltas) == 2:
-            delta = delta.unionByName(deltas[1]).groupBy("term").agg(F.sum("df").alias("df")).where("df <> 0")
-        delta.hint("rebalance").sortWithinPartitions("term").write.parquet(f"{self.path}/terms/seg={segment}")
+        removed = self.spark.read.schema(removed.schema).parquet(path)
+        gone = removed.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum("len"), F.lit(0)).alias("len"),
+            F.count_distinct("src", chunk_of(F.col("ord"))).alias("chunks"),
+        ).first()
+        if gone["n"]:
+            bitmaps(removed, "src", "ord").write.parquet(f"{self.path}/voids/seg={segment}")
+            if self.text_fields:
+                lost = removed.select(F.explode("terms").alias("term")).groupBy("term").agg((-F.count(F.lit(1))).alias("df"))
+                self._write_terms(lost.withColumn("file", F.lit(None).cast("string")), segment)
+        return gone.asDict()
+
+    def _write_words(self, new: DataFrame, counts: dict, segment: str) -> None:
+        """Postings of the new documents, the counts of their terms and the ranges of the files."""
+        flag = F.col(SOFT_FLAG) if SOFT_FLAG in self.schema.names else F.lit(0)
+        self._write_postings(build_postings(new, self.key, flag, self.manifest.stored), counts["len"], segment)
+        own = self._read("postings", self._postings_schema(), [segment]).where("lead")
+        own = own.select("term", F.input_file_name().alias("file"))
+        counted = own.groupBy("term", "file").agg(F.count(F.lit(1)).alias("df")).select("term", "df", "file")
+        self._write_ranges(self._write_terms(counted, segment).where("file IS NOT NULL"), segment)
+
+    def _write_postings(self, built: DataFrame, words: int, segment: str) -> None:
+        """Files of disjoint ranges of (term, ordinal), each sorted: a very common term is many files."""
+        files = min(MOST_FILES, max(1, math.ceil(words / self.manifest.file_words)))
+        laid = built.coalesce(1) if files == 1 else built.repartitionByRange(files, "term", "ord")
+        laid.sortWithinPartitions("term", "src", "ord").write.parquet(f"{self.path}/postings/seg={segment}")
+
+    def _write_terms(self, terms: DataFrame, segment: str) -> DataFrame:
+        path = f"{self.path}/terms/seg={segment}"
+        terms.hint("rebalance").sortWithinPartitions("term").write.mode("append").parquet(path)
+        return self._read("terms", TERMS, [segment])
+
+    def _write_ranges(self, terms: DataFrame, segment: str) -> None:
+        """First and last term of each file (at most ``MOST_FILES``)."""
+        rows = terms.groupBy("file").agg(F.min("term").alias("first"), F.max("term").alias("last")).orderBy("first").collect()
+        listed = [[r["file"].rsplit("/", 1)[-1], r["first"], r["last"]] for r in rows]
+        self._files.publish(f"{self.manifest.name}/ranges/seg={segment}.json", json.dumps(listed))
+
+
+TERMS = "term string, df long, file string"
+
+
+#: Ranges of the segments read last; a segment's never change.
+_KNOWN_RANGES: dict[tuple[str, str], list[list[str]]] = {}
+
+
+def _ranges(files: Files, name: str) -> list[list[str]]:
+    known = (files.root, name)
+    if known not in _KNOWN_RANGES:
+        if len(_KNOWN_RANGES) >= 256:
+            _KNOWN_RANGES.clear()
+        _KNOWN_RANGES[known] = json.loads(files.read(name))
+    return _KNOWN_RANGES[known]
+
+
+def _tier(segments: list[dict], fan: int) -> list[str] | None:
+    """The smallest ``fan`` or more segments of like size, if there are so many."""
+    tiers: dict[int, list[str]] = {}
+    for s in segments:
+        tiers.setdefault(int(math.log(max(s.get("docs", 0), 1), fan)), []).append(s["id"])
+    full = [t for t, ids in sorted(tiers.items()) if len(ids) >= fan]
+    return tiers[full[0]] if full else None
 
 
 class Catalog:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seekframe.sources.index.store import MARK
 from seekframe.spec import SearchSpec, document_columns, evaluate, has_payload
 
 UPSERT, DELETE, SKIP = "upsert", "delete", "skip"
@@ -78,17 +79,25 @@ def last_actions(changes: DataFrame, spec: SearchSpec) -> DataFrame:
     return acted.groupBy(change_key(spec).alias("key")).agg(last.alias("last")).select("key", "last.*")
 
 
-def split_actions(last: DataFrame, spec: SearchSpec) -> tuple[DataFrame, DataFrame]:
-    """Documents to write and keys to remove, from the last actions."""
+def change_mark() -> Column:
+    """When a change was made: what changes of one key are ordered by."""
+    return F.struct(F.col("ts").cast("timestamp").alias("ts"), F.col("seq").cast("bigint").alias("seq"))
+
+
+def split_actions(last: DataFrame, spec: SearchSpec, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Documents to write and keys to remove, from the last actions; with the changes' marks if asked for."""
     columns = _image_columns(last, "after")
+    mark = [change_mark().alias(MARK)] if marked else []
     upserts = last.where(F.col("action") == UPSERT)
     if spec.enrich is not None:
-        rows = upserts.select("after.*").transform(spec.enrich)
-        docs = rows.where(has_payload(spec, rows.columns)).select(*document_columns(spec, rows.columns))
+        rows = upserts.select("after.*", *mark).transform(spec.enrich)
+        own = [c for c in rows.columns if c != MARK]
+        mark_left = [F.col(MARK)] if MARK in rows.columns else []
+        docs = rows.where(has_payload(spec, own)).select(*document_columns(spec, own), *mark_left)
     else:
         c = _image("after")
-        docs = upserts.where(has_payload(spec, columns, c)).select(*document_columns(spec, columns, c))
-    return docs, last.where(F.col("action") == DELETE).select(F.col("key").alias(spec.key))
+        docs = upserts.where(has_payload(spec, columns, c)).select(*document_columns(spec, columns, c), *mark)
+    return docs, last.where(F.col("action") == DELETE).select(F.col("key").alias(spec.key), *mark)
 
 
 def final_documents(changes: DataFrame, spec: SearchSpec) -> DataFrame:

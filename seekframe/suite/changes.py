@@ -7,7 +7,7 @@ from seekframe.session import shared_dir
 from seekframe.sources.tables import table
 from seekframe.spec import SearchSpec
 from seekframe.streaming.changes import final_documents, last_actions, relevant_change, with_actions
-from seekframe.streaming.sync import sync_stream
+from seekframe.streaming.sync import apply_changes, sync_stream
 from seekframe.suite.registry import case
 from seekframe.suite.tables import ORDERS, new_catalog, orders
 
@@ -116,11 +116,23 @@ def cdc_stream(spark, folder):
     events = table(spark, folder, "events")
     stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events.parquet*")
     catalog = new_catalog(spark)
-    catalog.create("users", "user_id", language="simple", buckets=4, term_buckets=4)
+    catalog.create("users", "user_id", language="simple", buckets=4)
     sync_stream(feed(stream), catalog, "users", KEPT, shared_dir(spark)).awaitTermination()
     return catalog.open("users").docs()
 
 
+@case(
+    "sync_late",
+    _DROP + "SELECT user_id, CAST(floor(value / 10) AS BIGINT) AS band FROM l WHERE r = 1 AND action = 'upsert'",
+)
+def sync_late(spark, folder):
+    """Half of the changes come one batch late, after newer ones of the same users: the newer ones stay."""
+    changes, index = _feed(spark, folder), new_catalog(spark).create("users", "user_id", language="simple", buckets=4)
+    index = apply_changes(index, changes.where("seq % 2 = 0"), USERS, ("feed", 0))
+    index = apply_changes(index, changes.where("seq % 2 = 1"), USERS, ("feed", 1))
+    return index.docs()
+
+
 def _orders_hit(spark, folder):
     """Orders, and the keys of those with a returned item."""
     returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'").select("l_orderkey")

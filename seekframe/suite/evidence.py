@@ -123,7 +123,7 @@ def simple_page_deep(spark, folder):
 
 
 def _orders_index(spark, folder):
-    index = new_catalog(spark).create("orders", "o_orderkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("orders", "o_orderkey", language="simple", buckets=4)
     return index.import_table(orders(spark, folder).where("o_orderkey % 2 = 0 OR o_orderstatus <> 'P'"), LEAN)
 
 
@@ -175,7 +175,7 @@ def import_by_keys(spark, folder):
 
 
 def _parts_index(spark, folder):
-    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4)
     return index.import_table(part(spark, folder), SPEC)
 
 
@@ -219,7 +219,7 @@ def index_delete_all(spark, folder):
     root = shared_dir(spark)
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name")
     for prefix, name in (("tmp_", "a"), ("tmp_", "b"), ("keep_", "a")):
-        Catalog(spark, root, prefix).create(name, "s_suppkey", buckets=2, term_buckets=2).write(suppliers)
+        Catalog(spark, root, prefix).create(name, "s_suppkey", buckets=2).write(suppliers)
     Catalog(spark, root, "tmp_").delete_all()
     left = Catalog(spark, root)
     found = [(name, left.open(name).manifest.n_docs) for name in left.names()]
@@ -234,7 +234,7 @@ def index_delete_all(spark, folder):
 def write_record(spark, folder):
     """The record of a write has every key of it."""
     audit = Audit(spark, shared_dir(spark))
-    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4)
     index = audit.write(lambda: index.write(documents(part(spark, folder), SPEC)))
     audit.write(lambda: index.delete(part(spark, folder).where("p_type = 'PROMO'").select("p_partkey")))
     return audit.written_keys().select("op", "key")
@@ -259,7 +259,7 @@ def commit_notices(spark, folder):
 
     told = []
     catalog = Catalog(spark, shared_dir(spark), listeners=[told.append])
-    index = catalog.create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    index = catalog.create("part", "p_partkey", language="simple", buckets=4)
     index = index.import_table(part(spark, folder), SPEC)
     index.delete(part(spark, folder).where("p_type = 'PROMO'").select("p_partkey")).flush()
     return spark.createDataFrame([(t["operation"], t["count"]) for t in told], "operation STRING, n BIGINT")

@@ -18,7 +18,7 @@ SPEC = PART.with_(document=FIELDS)
 
 def _imported(spark, folder):
     """All parts, imported into a new index."""
-    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4)
     return index.import_table(part(spark, folder), SPEC)
 
 
@@ -53,14 +53,14 @@ _KEPT = f"SELECT * FROM {_OLD} WHERE p_partkey NOT IN (SELECT p_partkey FROM {_N
 @case("import_full", "SELECT p_partkey, p_name, p_type, p_size FROM part WHERE p_size >= 10")
 def import_full(spark, folder):
     spec = SPEC.with_(should_index=lambda c: c("p_size") >= 10)
-    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4)
     return index.import_table(part(spark, folder), spec).docs()
 
 
 @case("import_query", "SELECT p_partkey, p_name, p_type, p_size FROM part WHERE p_size >= 10 AND p_type = 'PROMO'")
 def import_query(spark, folder):
     spec = SPEC.with_(should_index=lambda c: c("p_size") >= 10)
-    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4)
     return index.import_table(part(spark, folder).where("p_type = 'PROMO'"), spec).docs()
 
 
@@ -159,7 +159,7 @@ def schema_cast(spark, folder):
             T.StructField("o_custkey", T.DoubleType()),
         ]
     )
-    index = new_catalog(spark).create("orders", "o_orderkey", schema, language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("orders", "o_orderkey", schema, language="simple", buckets=4)
     source = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return index.write(source).docs()
 
@@ -171,7 +171,7 @@ def schema_cast(spark, folder):
 def index_trashed(spark, folder):
     """Soft-deleted documents stay in the index, flagged."""
     spec = ORDERS.with_(document=["o_orderpriority"], keep_deleted=True)
-    index = new_catalog(spark).create("orders", "o_orderkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("orders", "o_orderkey", language="simple", buckets=4)
     index = index.import_table(orders(spark, folder), spec)
     found = search(orders(spark, folder), spec, "urgent").within(index).only_trashed().get()
     return found.select("o_orderkey", "o_orderpriority")
@@ -186,7 +186,7 @@ def index_trashed(spark, folder):
 )
 def audit_counts(spark, folder):
     audit = Audit(spark, shared_dir(spark))
-    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    index = new_catalog(spark).create("part", "p_partkey", language="simple", buckets=4)
     index = audit.write(lambda: index.write(documents(part(spark, folder), SPEC)))
     index = audit.write(lambda: index.delete(part(spark, folder).where("p_type = 'PROMO'").select("p_partkey")))
     named = SPEC.with_(document=["p_name"])
@@ -226,10 +226,10 @@ def audit_search(spark, folder):
 def index_alias(spark, folder):
     """A new index is built aside; readers of the alias move to it in one step."""
     catalog = new_catalog(spark)
-    old = catalog.create("part_v1", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    old = catalog.create("part_v1", "p_partkey", language="simple", buckets=4)
     old.import_table(part(spark, folder), SPEC)
     catalog.point("part", "part_v1")
-    new = catalog.create("part_v2", "p_partkey", language="simple", buckets=4, term_buckets=4)
+    new = catalog.create("part_v2", "p_partkey", language="simple", buckets=4)
     new.import_table(part(spark, folder).where("p_type = 'PROMO'"), SPEC)
     catalog.point("part", "part_v2")
     found = search(part(spark, folder), SPEC, "ring", prefix=False).within(catalog.open("part"))
@@ -257,9 +257,9 @@ def index_settings(spark, folder):
 def index_catalog(spark, folder):
     """Create twice, import, delete one index, then look at what is left."""
     catalog = new_catalog(spark)
-    catalog.create("tmp_a", "p_partkey", buckets=4, term_buckets=4)
-    catalog.create("tmp_b", "s_suppkey", buckets=4, term_buckets=4)
-    again = catalog.create("tmp_b", "s_suppkey", buckets=4, term_buckets=4)
+    catalog.create("tmp_a", "p_partkey", buckets=4)
+    catalog.create("tmp_b", "s_suppkey", buckets=4)
+    again = catalog.create("tmp_b", "s_suppkey", buckets=4)
     again.write(table(spark, folder, "supplier").select("s_suppkey", "s_name"))
     catalog.delete("tmp_a")
     left = [(name, catalog.open(name).manifest.n_docs) for name in catalog.names()]

@@ -75,7 +75,14 @@ def documents_index(spark: SparkSession, folder: str) -> Index:
     state = _state(spark, folder, "documents")
     if state not in _built:
         index = new_catalog(spark).create(
-            "documents", "doc_id", language="simple", searchable=["text"], buckets=8, term_buckets=8
+            "documents",
+            "doc_id",
+            language="simple",
+            searchable=["text"],
+            filterable=["lang", "source", "n_chars"],
+            sortable=["lang", "source", "n_chars"],
+            buckets=16,
+            file_words=500_000,
         )
         _built[state] = index.import_table(texts(spark, folder), INDEXED)
     return _built[state]

@@ -19,7 +19,7 @@ def index(spark, users):
     from seekframe import Catalog, shared_dir
 
     created = Catalog(spark, shared_dir(spark)).create(
-        "users", "id", language="simple", searchable=["name"], buckets=4, term_buckets=4
+        "users", "id", language="simple", searchable=["name"], buckets=4
     )
     return created.import_table(users, SPEC)
 

@@ -10,7 +10,7 @@ from seekframe import IndexWriteError, SearchSpec, search, search_index
 from seekframe.sources.index import Catalog, merge_documents, rejects
 
 SCHEMA = "id BIGINT, name STRING, size INT"
-SMALL = {"language": "simple", "buckets": 3, "term_buckets": 3}
+SMALL = {"language": "simple", "buckets": 3}
 WORDS = ["red", "blue", "ring", "bolt", "gear", "reddish"]
 
 
@@ -143,6 +143,64 @@ def test_vacuum_keeps_what_recent_versions_use(spark, catalog):
     assert content(last) == {1: ("red", 1), 2: ("blue", 1)}
 
 
+def test_merge_reads_small_segments_only(spark, catalog):
+    index = catalog.create("t", "id", **SMALL).write(docs(spark, [(i, f"red w{i}", i) for i in range(300)]))
+    big = index.manifest.segments[0]["id"]
+    state = {i: (f"red w{i}", i) for i in range(300)}
+    for step in range(4):
+        rows = [(k, f"blue s{step}", step) for k in (step, step + 1, 400 + step)]
+        index = index.write(docs(spark, rows))
+        state |= {k: v for k, *v in ((r[0], r[1], r[2]) for r in rows)} | {r[0]: (r[1], r[2]) for r in rows}
+    index = index.delete([7, 401])
+    state = {k: v for k, v in state.items() if k not in (7, 401)}
+    merged = index.merge(fan=3)
+    assert big in [s["id"] for s in merged.manifest.segments] and len(merged.manifest.segments) < len(index.manifest.segments)
+    whole = merged.compact()
+    for at in (index, merged, whole):
+        assert content(at) == state and dictionary(at) == expected_terms(state)
+        assert {r["id"] for r in search_index(at, "blue", prefix=False).keys().collect()} == {k for k, (n, _) in state.items() if "blue" in n}
+    assert whole.manifest.segments[0]["chunks"] == 0 and len(whole.manifest.segments) == 1
+    with pytest.raises(IndexWriteError):
+        merged.compact()  # its segments are gone by now
+
+
+def test_commits_during_a_merge_hold(spark, catalog):
+    """A merge that began before a delete and an upsert is published after them, and loses neither."""
+    index = catalog.create("t", "id", **SMALL)
+    for i in range(3):
+        index = index.write(docs(spark, [(10 * i + k, f"red w{k}", i) for k in range(4)]))
+    stale = catalog.open("t")
+    index.delete([0, 11]).write(docs(spark, [(20, "gear", 9), (50, "gear", 9)]))
+    merged = stale.compact()
+    state = {10 * i + k: (f"red w{k}", i) for i in range(3) for k in range(4) if (i, k) not in ((0, 0), (1, 1))}
+    state |= {20: ("gear", 9), 50: ("gear", 9)}
+    assert content(merged) == state and dictionary(merged) == expected_terms(state)
+    assert merged.manifest.n_docs == len(state)
+    whole = merged.compact()
+    assert content(whole) == state and dictionary(whole) == expected_terms(state)
+
+
+def test_resume_wins_against_another_writer(spark, catalog):
+    index = catalog.create("t", "id", **SMALL).write(docs(spark, [(1, "red", 1)]))
+    held = index.pause()
+    held.refresh().update_settings(filterable=["size"])
+    assert not held.resume().manifest.paused and not catalog.open("t").manifest.paused
+
+
+def test_bitmaps(spark):
+    """Bits of ordinals far apart, in two rows of a chunk, on either way of joining."""
+    from seekframe.sources.index.bitmaps import bitmaps, merged, without_void
+
+    at = [0, 1, 63, 64, 32_767, 32_768, (5 << 33) + 7]
+    rows = spark.createDataFrame([(s, o) for s in "ab" for o in [*at, 2, 65, (5 << 33) + 8]], "s string, o long")
+    first = bitmaps(rows.where(F.col("o").isin(at[:3]) & (F.col("s") == "a")), "s", "o")
+    second = bitmaps(rows.where(F.col("o").isin(at[3:]) & (F.col("s") == "a")), "s", "o")
+    voids = merged(first.unionByName(second))
+    want = sorted([("a", o) for o in (2, 65, (5 << 33) + 8)] + [("b", o) for o in [*at, 2, 65, (5 << 33) + 8]])
+    for small in (True, False):
+        assert sorted(tuple(r) for r in without_void(rows, voids, "s", "o", small).collect()) == want
+
+
 def test_repeated_batch_changes_nothing(spark, catalog):
     index = catalog.create("t", "id", **SMALL)
     data = docs(spark, [(1, "red", 1)])

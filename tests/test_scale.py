@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
-from seekframe import search, search_index
+from seekframe import Catalog, search, search_index, shared_dir
 from seekframe.operators.rank import top_per_group
 from seekframe.sources.tables import by_keys, key_range, table
 from seekframe.suite import QUERIES
@@ -30,10 +30,64 @@ def test_a_page_is_a_top_k(spark):
     assert "Exchange" not in plan(found.take(10).get())
 
 
-def test_index_reads_only_the_term_folders(spark):
-    shown = plan(search_index(documents_index(spark, SF_DIR), "the", prefix=False).keys())
-    assert any("tb#" in part.split("]")[0] for part in shown.split("PartitionFilters: [")[1:])
-    assert "EqualTo(term,the)" in shown
+def small_files(catalog, rows, **settings):
+    """An index whose postings are many files."""
+    index = catalog.create("small", "doc_id", language="simple", searchable=["text"], buckets=4, file_words=2_000, **settings)
+    return index.write(rows.select("doc_id", "text", "lang", "n_chars"))
+
+
+def test_postings_files_have_disjoint_ranges(spark, catalog):
+    """A rare word opens one file, a one-letter prefix some, a very common word is split over several."""
+    index = small_files(catalog, table(spark, SF_DIR, "documents"))
+    segment = index.manifest.segments[0]["id"]
+    terms = index.postings().select("term", "ord", F.input_file_name().alias("file"))
+    ranges = terms.groupBy("file").agg(F.min(F.struct("term", "ord")).alias("a"), F.max(F.struct("term", "ord")).alias("b"))
+    ranges = ranges.orderBy("a").collect()
+    assert len(ranges) > 10 and all(x["b"] < y["a"] for x, y in zip(ranges, ranges[1:]))
+    rare = index.terms().where("df = 1").first()["term"]
+    common = index.terms().orderBy(F.desc("df")).first()["term"]
+    assert len(index.posting_files(segment, [(rare, False)])) == 1
+    assert len(index.posting_files(segment, [(common, False)])) >= 1
+    assert len(index.posting_files(segment, [("q", True)])) < len(ranges) / 3
+    opened = search_index(index, rare, prefix=False).keys().inputFiles()
+    assert len([f for f in opened if "/postings/" in f]) == 1
+    assert index.posting_files(segment, [("\U0002ffff", False)]) == []
+
+
+def test_a_word_after_updates_moves_no_postings(spark, catalog):
+    rows = table(spark, SF_DIR, "documents").where("doc_id is not null").dropDuplicates(["doc_id"])
+    index = small_files(catalog, rows)
+    for i in range(10):
+        index = index.write(rows.where(F.col("doc_id") % 20 == i).select("doc_id", "text", "lang", "n_chars"))
+    found = search_index(index, "the", prefix=False).take(10).raw()
+    # Bitmaps are gathered and sent; what is joined to them stays where it is.
+    main = plan(found)
+    assert "SortMergeJoin" not in main and "ShuffledHashJoin" not in main and "BroadcastHashJoin" in main
+    fresh = small_files(Catalog(spark, shared_dir(spark)), rows)
+    want = search_index(fresh, "the", prefix=False).take(10).raw()
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in want.collect()]
+
+
+def test_commits_read_no_old_text(spark, catalog):
+    """What a commit reads of older documents: keys, places and terms, but no field."""
+    index = small_files(catalog, table(spark, SF_DIR, "documents"))
+    keys = spark.createDataFrame([(5, 1), (9, 1)], "key bigint, bucket int")
+    read = plan(index._found(index._live_docs(), keys, 2, [0, 1]).select("doc_id", "__src", "__ord", "__len", F.col("__runs")["term"]))
+    schema = read.split("ReadSchema: ")[1].split("\n")[0]
+    assert "text" not in schema and "lang" not in schema and "positions" not in schema
+    assert "In(doc_id, [5,9])" in read or "doc_id" in read.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_declared_fields_join_no_documents(spark, catalog):
+    rows = table(spark, SF_DIR, "documents")
+    index = small_files(catalog, rows, filterable=["lang", "n_chars"], sortable=["n_chars"])
+    for query in ("the", "the reed", '"the reed"'):
+        found = search_index(index, query, prefix=False, mode="websearch").where("lang", "en").where("n_chars", ">", 50)
+        found = found.order_by("n_chars").take(20).raw()
+        assert "/docs/" not in " ".join(found.inputFiles()) and "Join" not in plan(found).split("Subquery")[0]
+        plain = small_files(Catalog(spark, shared_dir(spark)), rows)
+        want = search_index(plain, query, prefix=False, mode="websearch").where("lang", "en").where("n_chars", ">", 50)
+        assert [r["doc_id"] for r in found.collect()] == [r["doc_id"] for r in want.order_by("n_chars").take(20).raw().collect()]
 
 
 def test_one_word_in_one_field_moves_no_postings(spark):

@@ -16,7 +16,7 @@ FEED = f"seq BIGINT, ts TIMESTAMP, op STRING, before {ROW}, after {ROW}"
 SPEC = SearchSpec(
     "t", "id", ["name"], deleted="deleted", should_index=lambda c: c("size") > 2, language="simple"
 )
-SMALL = {"language": "simple", "buckets": 3, "term_buckets": 3}
+SMALL = {"language": "simple", "buckets": 3}
 
 
 def row(i, name="a", size=5, gone=False):
@@ -132,6 +132,23 @@ def test_batch_and_stream_end_alike(spark, catalog, keep, tmp_path):
     assert catalog.open("t").manifest.version == version
 
 
+def test_late_changes_lose(spark, catalog):
+    """A change one batch late neither brings a removed document back nor replaces a newer one."""
+    rows = [row(i, f"red w{i}") for i in range(4)]
+    changes = [change(i, "insert", None, r) for i, r in enumerate(rows)]
+    newer = [change(20, "update", rows[0], row(0, "blue", 3)), change(21, "hard_delete", rows[1], None)]
+    late = [change(10, "update", rows[0], row(0, "old", 3)), change(11, "update", rows[1], row(1, "old", 3)), change(12, "update", rows[2], row(2, "new", 3))]
+    index = catalog.create("a", "id", **SMALL)
+    for n, part in enumerate((changes, newer, late)):
+        index = apply_changes(index, spark.createDataFrame(part, FEED), SPEC, ("s", n))
+    names = {r["id"]: r["name"] for r in index.docs().collect()}
+    assert names == {0: "blue", 2: "new", 3: "red w3"}
+    index = apply_changes(index.compact(), spark.createDataFrame([late[1]], FEED), SPEC)
+    assert {r["id"] for r in index.docs().collect()} == {0, 2, 3}
+    unordered = apply_changes(index, spark.createDataFrame(late[:1], FEED), SPEC, ordered=False)
+    assert {r["id"]: r["name"] for r in unordered.docs().collect()}[0] == "old"
+
+
 def test_import_equals_inserts(spark, catalog):
     rows = [row(i, f"red w{i}", i % 7) for i in range(30)]
     table = spark.createDataFrame(rows, ROW[7:-1].replace(":", ""))
