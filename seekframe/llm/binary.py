@@ -99,27 +99,22 @@ class FrameReader:
         return b"".join(out)
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1, dtype: str = "<u2") -> DataFrame:
-    """Each document's ids with the end id, as bytes."""
-
-    def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in batches(found):
-            ids = [np.append(encode(t, tokenizer), np.uint32(end_id)) for t in texts]
-            if any(int(x.max()) > np.iinfo(dtype).max for x in ids):
-                raise ValueError(f"an id is too large for {dtype}")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array([x.astype(dtype).tobytes() for x in ids], pa.binary())], ["doc_id", "ids"]
-            )
-
-    return documents(docs).mapInArrow(run, "doc_id long, ids binary")
-
-
 def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 1, dtype: str = "<u2") -> DataFrame:
-    """Write documents in ascending ``doc_id`` order; return the index, a parked table with ``start``."""
-    ids = parked(encoded(docs, tokenizer or tokenizer_path("word_bpe_49k.json"), end_id, dtype))
-    total = ids.agg(F.sum(F.length("ids"))).first()[0] or 0
-    files = min(FILES, max(ids.sparkSession.sparkContext.defaultParallelism, -(-total // FILE)))
-    width = np.dtype(dtype).itemsize
+    """Write documents in ascending ``doc_id`` order; return the index, a parked table with ``start``.
+
+    Texts are dealt out by ranges of ``doc_id`` and encoded by the tasks that write them, so ids are written once.
+    """
+    path = tokenizer or tokenizer_path("word_bpe_49k.json")
+    texts = documents(docs)
+    # Ids take about as many bytes as half of the text.
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = min(FILES, max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // (2 * FILE))))
+
+    def encoded(text: bytes) -> np.ndarray:
+        ids = np.append(encode(text, path), np.uint32(end_id))
+        if int(ids.max()) > np.iinfo(dtype).max:
+            raise ValueError(f"an id is too large for {dtype}")
+        return ids.astype(dtype)
 
     def write(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -128,31 +123,32 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
         name = f"ids-{task.partitionId():06d}-{uuid.uuid4().hex}.zst"
         out = writer = None
         at = 0
-        for batch in found:
-            if not batch.num_rows:
+        for keys, texts in batches(found):
+            if not keys:
                 continue
             if out is None:
                 out = store.open_output_stream(f"{base}/{name}", compression=None)
                 writer = FrameWriter(out)
             starts, sizes = [], []
-            for raw in batch.column("ids").to_pylist():
-                writer.write(raw)
+            for text in texts:
+                ids = encoded(text)
+                writer.write(ids.tobytes())
                 starts.append(at)
-                sizes.append(len(raw) // width)
-                at += sizes[-1]
-            rows = [pa.array([name] * len(sizes)), batch.column("doc_id"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())]
+                sizes.append(len(ids))
+                at += len(ids)
+            rows = [pa.array([name] * len(sizes)), pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(rows, ["file", "doc_id", "at", "n_tokens"])
         if out is not None:
             writer.close()
             out.close()
 
-    # Ties of doc_id are ordered by their ids, so that files come out the same.
-    ordered = ids.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "ids")
+    # Ties of doc_id are ordered by their texts, so that files come out the same.
+    ordered = texts.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
     index = parked(ordered.mapInArrow(write, INDEX))
     # One row for each file, of at most FILES of them.
     totals = index.groupBy("file").agg(F.sum("n_tokens").alias("n")).orderBy("file").collect()
     before = np.r_[0, np.cumsum([r["n"] for r in totals])][:-1] if totals else []
-    spark = ids.sparkSession
+    spark = docs.sparkSession
     bases = spark.createDataFrame([(r["file"], int(b)) for r, b in zip(totals, before)], "file string, _base long")
     return index.join(F.broadcast(bases), "file").withColumn("start", F.col("_base") + F.col("at")).drop("_base")
 

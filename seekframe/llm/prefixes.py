@@ -23,28 +23,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.llm.common import batches, documents
-from seekframe.llm.tokens import ASCII_PIECES, KEPT_BYTES, ODD, PIECES, byte_letters, tokenizer, tokenizer_path
+from seekframe.llm.tokens import ASCII_PIECES, CLOSING, KEPT_BYTES, ODD, PIECES, Kept, byte_letters, tokenizer, tokenizer_path
 
-#: Things of each kind that a worker remembers; a full memory is emptied.
+#: Things of each kind that a worker remembers at most.
 KEPT = 400_000
+#: A pair of token numbers as one number: the first times this, plus the second.
+PAIR = 1 << 32
 
 _SPACE = re.compile(r"[ \t-\r]+")
 
 
-class _Kept(dict):
-    """Text -> its changes, computed when missing and kept while there is room."""
+class Pairs(dict):
+    """Pair of token numbers -> whether the second can stand behind the first, or (behind 0) at the start."""
 
-    def __init__(self, compute: Callable[[str], bytes]):
+    def __init__(self, compute: Callable[[int, int], bool]):
         super().__init__()
         self.compute = compute
 
-    def __missing__(self, text: str) -> bytes:
-        found = self.compute(text)
-        if len(text) <= KEPT_BYTES:
-            if len(self) >= KEPT:
-                self.clear()
-            self[text] = found
-        return found
+    def __missing__(self, pair: int) -> bool:
+        if len(self) >= KEPT:
+            self.clear()
+        known = self[pair] = self.compute(*divmod(pair, PAIR))
+        return known
 
 
 class Counter:
@@ -55,20 +55,37 @@ class Counter:
             found = json.load(file)
         self.library = tokenizer(path)
         self.end = found["model"]["end_of_word_suffix"] or ""
+        vocabulary = found["model"]["vocab"]
+        #: Tokens by number, from 1 on.
+        self.number = {token: i for i, token in enumerate(vocabulary, 1)}
+        self.names = ["", *vocabulary]
         merges = (m if isinstance(m, list) else m.split(" ") for m in found["model"]["merges"])
-        self.ranks = {tuple(m): i for i, m in enumerate(merges)}
-        self.vocabulary = found["model"]["vocab"]
-        ended = {t: t[: -len(self.end)] for t in self.vocabulary if self.end and t.endswith(self.end) and t != self.end}
-        self.open_tokens = self.vocabulary.keys() - ended.keys() - {self.end}
+        self.ranks = {self.number[a] * PAIR + self.number[b]: i for i, (a, b) in enumerate(merges)}
+        ended = {t: t[: -len(self.end)] for t in vocabulary if self.end and t.endswith(self.end) and t != self.end}
+        self.open_tokens = vocabulary.keys() - ended.keys() - {self.end}
         self.end_tokens = {body: t for t, body in ended.items()} or {t: t for t in self.open_tokens}
-        self.longest = max(map(len, [*self.open_tokens, *self.end_tokens]))
+        self.endings = self.tree_of_endings()
         self.controls = [t["content"] for t in found["added_tokens"]]
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.splits: dict[str, tuple[int, str, str] | None] = {}
-        # A tree of prefixes by letter: last open token, open count, ended count, longer prefixes.
-        self.root: list = ["", 0, 0, None]
+        self.splits: dict[int, tuple[int, int, int] | None] = {}
+        self.apart = Pairs(self.follows)
+        # A tree of prefixes by letter: last open token (0: none yet), open count, ended count, longer prefixes.
+        self.root: list = [0, 0, 0, None]
         self.nodes = 0
-        self.pieces = _Kept(self.piece_changes)
+        self.pieces = Kept(self.piece_changes, KEPT)
+
+    def tree_of_endings(self) -> dict:
+        """Tokens by their letters from the last one back; ``""`` holds the numbers of the token as an open and as an ended one.
+
+        So the tokens that end at a letter are the marks on one way down.
+        """
+        tree: dict = {}
+        for ended, tokens in enumerate(({t: t for t in self.open_tokens}, self.end_tokens)):
+            for body, token in tokens.items():
+                node = tree
+                for letter in reversed(body):
+                    node = node.setdefault(letter, {})
+                node.setdefault("", [0, 0])[ended] = self.number[token]
+        return tree
 
     def letters(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:
@@ -76,29 +93,34 @@ class Counter:
             return [*body[:-1], body[-1] + self.end]
         return list(token)
 
-    def split(self, token: str) -> tuple[int, str, str] | None:
+    def split(self, token: int) -> tuple[int, int, int] | None:
         """Rank and parts of the merge that ends in the token: rank -1 for a letter, None if merging never ends in it."""
         if token not in self.splits:
-            symbols, made = self.letters(token), (-1, token, token)
+            symbols, made = [self.number.get(x, 0) for x in self.letters(self.names[token])], (-1, token, token)
+            names, never = self.names, len(self.ranks)
             while len(symbols) > 1:
-                rank, i = min((self.ranks.get(p, len(self.ranks)), i) for i, p in enumerate(zip(symbols, symbols[1:])))
-                if rank == len(self.ranks):
+                rank, i = min((self.ranks.get(a * PAIR + b, never), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])))
+                if rank == never:
                     break
                 made = (rank, symbols[i], symbols[i + 1])
-                symbols = [*symbols[:i], symbols[i] + symbols[i + 1], *symbols[i + 2 :]]
-            self.splits[token] = made if len(symbols) == 1 else None
+                # An ended token's name has the end once, behind its last part.
+                symbols = [*symbols[:i], self.number[names[symbols[i]] + names[symbols[i + 1]]], *symbols[i + 2 :]]
+            self.splits[token] = made if symbols == [token] else None
         return self.splits[token]
 
-    def stays_apart(self, left: str, right: str) -> bool:
-        """Whether merging both in a row gives both.
+    def follows(self, before: int, token: int) -> bool:
+        """Whether merging a token and the one before it in a row gives both; behind nothing (0), whether merging ends in it.
 
         The merges are undone from the last: what touches the border at each time must not
         have a merge of its own that comes before the next one that was done.
         """
-        limit = len(self.ranks)
-        (a, _, left_end), (b, right_start, _) = self.split(left), self.split(right)
+        last = self.split(token)
+        if last is None or not before:
+            return last is not None
+        left, right, limit = before, token, len(self.ranks)
+        (a, _, left_end), (b, right_start, _), ranks = self.split(left), last, self.ranks.get
         while True:
-            if self.ranks.get((left, right), limit) < limit:
+            if ranks(left * PAIR + right, limit) < limit:
                 return False
             if a < 0 and b < 0:
                 return True
@@ -110,41 +132,31 @@ class Counter:
                 limit, right = b + 1, right_start
                 b, right_start, _ = self.split(right)
 
-    def follows(self, before: str, token: str) -> bool:
-        """Whether a token can stand behind another, or (behind nothing) first; kept."""
-        if len(self.apart) >= KEPT:
-            self.apart.clear()
-        known = self.split(token) is not None and (not before or self.stays_apart(before, token))
-        self.apart[before, token] = known
-        return known
-
-    def next_state(self, states: list, piece: str, i: int) -> tuple[str, int, int]:
+    def next_state(self, states: list, piece: str, i: int) -> tuple[int, int, int]:
         """Of the first ``i`` letters: the last token and the count if the piece goes on, and the count if it ends."""
-        apart, opened, ended = self.apart, None, None
-        for start in range(max(0, i - self.longest), i):
-            part = piece[start:i]
-            before = states[start]
-            if opened is None and part in self.open_tokens:
-                known = apart.get((before[0], part))
-                if self.follows(before[0], part) if known is None else known:
-                    opened = (part, before[1] + 1)
-                    if ended is not None:
-                        break
-            if ended is None and part in self.end_tokens:
-                token = self.end_tokens[part]
-                known = apart.get((before[0], token))
-                if self.follows(before[0], token) if known is None else known:
-                    ended = before[1] + 1
-                    if opened is not None:
-                        break
-        if opened is None or ended is None:
+        node, at, found = self.endings, i, []
+        while at and (node := node.get(piece[at - 1])) is not None:
+            at -= 1
+            if "" in node:
+                found.append((states[at], node[""]))
+        apart, last, opened, ended = self.apart, 0, 0, 0
+        for before, (open_token, end_token) in reversed(found):  # the longest first
+            if open_token and not last and apart[before[0] * PAIR + open_token]:
+                last, opened = open_token, before[1] + 1
+                if ended:
+                    break
+            if end_token and not ended and apart[before[0] * PAIR + end_token]:
+                ended = before[1] + 1
+                if last:
+                    break
+        if not last or not ended:
             raise ValueError(f"no token ends {piece[:i]!r}")
-        return (*opened, ended)
+        return last, opened, ended
 
     def piece_counts(self, piece: str) -> list[int]:
         """Token counts of the piece's prefixes, each taken as a whole piece; in byte letters."""
         if self.nodes >= KEPT:
-            self.root, self.nodes = ["", 0, 0, None], 0
+            self.root, self.nodes = [0, 0, 0, None], 0
         short, node = len(piece) <= KEPT_BYTES, self.root
         states, counts = [node], []
         for i, letter in enumerate(piece, 1):
@@ -209,6 +221,10 @@ class Counter:
 
     def plain_changes(self, text: str) -> bytes:
         """Changes for a text without control strings and ASCII white space."""
+        body = text.rstrip(CLOSING)
+        if body.isalpha() and body.isascii():
+            changes = self.pieces[body.lower()]
+            return changes if len(body) == len(text) else changes + self.pieces[text[len(body) :]]
         if ODD.search(text) is None and len(low := text.lower()) == len(text):
             found = ASCII_PIECES.findall(low) if low.isascii() else PIECES.findall(low)
             return b"".join(map(self.pieces.__getitem__, found))
@@ -258,8 +274,8 @@ def blankless(counter: Counter, chunk: str) -> bytes:
 
 
 @functools.cache
-def tables_of(path: str) -> _Kept:
-    return _Kept(functools.partial(blankless, Counter(path)))
+def tables_of(path: str) -> Kept:
+    return Kept(functools.partial(blankless, Counter(path)), KEPT)
 
 
 def changes(text: str, path: str) -> bytes:

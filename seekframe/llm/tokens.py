@@ -10,12 +10,15 @@ from __future__ import annotations
 import functools
 import os
 import re
+from collections.abc import Callable
+from operator import attrgetter
+from struct import pack
 
 import numpy as np
 import regex
 
-#: Words and pieces a worker remembers at most (a full memory is emptied), and the longest of them in bytes.
-KEPT_WORDS, KEPT_PIECES, KEPT_BYTES = 250_000, 250_000, 64
+#: Words and pieces a worker remembers at most, and the longest of them in bytes.
+KEPT_WORDS, KEPT_PIECES, KEPT_BYTES = 300_000, 200_000, 64
 
 # The tokenizer's rule for pieces, as its file has it.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -49,6 +52,24 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in prints} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+#: Signs that often end a word; a run of them is one piece.
+CLOSING = ".,;:!?"
+_ID = attrgetter("id")
+
+
+def plain_pieces(word: str) -> list[str] | None:
+    """The pieces of a word of letters with signs behind it, the most common kind; None for any other."""
+    body = word.rstrip(CLOSING)
+    if not body.isalpha() or (not body.isascii() and max(body) >= "\u0250"):
+        return None
+    low = body.lower()
+    if len(low) != len(body):
+        return None
+    if not low.isascii():
+        low = low.encode().decode("latin-1").translate(byte_letters())
+    return [low] if len(body) == len(word) else [low, word[len(body) :]]
+
+
 def pieces_of(word: str) -> list[str]:
     """The pieces that are merged one by one, in byte letters; for words without ``ODD``."""
     low = word.lower()
@@ -57,36 +78,52 @@ def pieces_of(word: str) -> list[str]:
     return [p.encode().decode("latin-1").translate(byte_letters()) for p in PIECES.findall(low)]
 
 
-class Words(dict):
+class Kept(dict):
+    """Computed values by key, in two generations: when the young one is full it becomes the old one.
+
+    What is asked for again moves back to the young one, so common keys stay and rare ones go;
+    both together hold ``most`` keys of up to ``KEPT_BYTES``.
+    """
+
+    def __init__(self, compute: Callable, most: int):
+        super().__init__()
+        self.compute, self.half, self.old = compute, most // 2, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.compute(key)
+            if len(key) > KEPT_BYTES:
+                return found
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class Words(Kept):
     """UTF-8 word -> its ids as bytes; a missing word is encoded."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(self.encoded, KEPT_WORDS)
         self.library = tokenizer(path)
-        self.model = self.library.model
-        self.pieces: dict[str, bytes] = {}
+        self.tokenize = self.library.model.tokenize
+        self.pieces = Kept(self.piece, KEPT_PIECES)
 
     def piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = np.asarray([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-            if len(piece) <= KEPT_BYTES:
-                if len(self.pieces) >= KEPT_PIECES:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
+        ids = [*map(_ID, self.tokenize(piece))]
+        return pack(f"<{len(ids)}I", *ids)
 
-    def __missing__(self, word: bytes) -> bytes:
+    def encoded(self, word: bytes) -> bytes:
         text = word.decode()
-        if ODD.search(text) is None:
-            found = b"".join(map(self.piece, pieces_of(text)))
-        else:
-            found = np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= KEPT_BYTES:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = found
-        return found
+        found = plain_pieces(text)
+        if found is None and ODD.search(text) is None:
+            found = pieces_of(text)
+        if found is not None:
+            return self.pieces[found[0]] if len(found) == 1 else b"".join([self.pieces[p] for p in found])
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
 
 
 @functools.cache
