@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,3 +82,24 @@ def runs_of(hashes: np.ndarray, width: int) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def forgetting(run: Callable, *memories: Callable[[], dict]) -> Callable:
+    """A task's work after which its worker's memories are empty and their room is given back.
+
+    Workers outlive tasks, and stages share an executor: what one stage remembers is room that the next lacks.
+    """
+
+    def task(found: Iterable) -> Iterator:
+        try:
+            yield from run(found)
+        finally:
+            for memory in memories:
+                memory().clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return task

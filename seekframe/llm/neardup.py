@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.llm.bloom import bloom
-from seekframe.llm.common import batches, documents, mixed, parked, runs_of, signed, word_hashes
+from seekframe.llm.common import batches, documents, forgetting, mixed, parked, runs_of, signed, word_hashes
 from seekframe.llm.components import components
 
 #: Minhashes in a sketch, and the chance with which a collection may miss a pair.
@@ -105,7 +105,7 @@ def sketches(docs: DataFrame, k: int, side: int) -> DataFrame:
                 [*columns, pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "content", "sketches"]
             )
 
-    return docs.mapInArrow(run, SKETCHES)
+    return docs.mapInArrow(forgetting(run), SKETCHES)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -203,7 +203,9 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     )
     table = first.select("node", F.explode(keys).alias("key"))
     leaders = table.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader < _last")
-    members = parked(table.join(leaders.drop("_last"), "key"))
+    # Parked, so that a bucket that a third of all documents share is split in the join.
+    leaders = parked(leaders.drop("_last"))
+    members = parked(table.join(leaders, "key"))
     sets = parked(full_sets(docs, members.select("node").distinct(), k))
 
     # Each member and its buckets' smallest nodes, by the number of buckets they share.

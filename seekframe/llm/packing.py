@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seekframe.llm.common import batches, documents, parked
-from seekframe.llm.tokens import encode, tokenizer_path
+from seekframe.llm.common import batches, documents, forgetting, parked
+from seekframe.llm.tokens import encode, tokenizer_path, words_memory
 
 CAPACITY = 2048
 #: Bins of the length axis in which patterns are fitted.
@@ -171,8 +171,11 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     return np.column_stack([rows[:, 0], starts - base, ends - base, rows[:, 2], rows[:, 3]])
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, ids: bool = False) -> DataFrame:
-    """Documents as ids with an end id, those over the capacity cut; with the ids on request."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, ids: bool = False, forget: bool = False) -> DataFrame:
+    """Documents as ids with an end id, those over the capacity cut; with the ids on request.
+
+    ``forget`` empties the workers' memory of words after each task, for jobs that other stages follow.
+    """
 
     def cut(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.asarray([end_id], "<u4")
@@ -191,7 +194,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 columns, names = [*columns, pa.array(raw, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return documents(docs).mapInArrow(cut, PIECES + (", ids binary" if ids else ""))
+    work = forgetting(cut, lambda: words_memory(tokenizer)) if forget else cut
+    return documents(docs).mapInArrow(work, PIECES + (", ids binary" if ids else ""))
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
@@ -221,9 +225,9 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("d
     return placed.select(*rows.columns, F.col("_at.sequence_id"), F.col("_at.offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, ids: bool = False):
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, ids: bool = False, forget: bool = False):
     """Pieces of documents with their places in sequences of at most ``capacity`` ids."""
-    return pack(parked(pieces(docs, tokenizer or tokenizer_path("word_bpe_49k.json"), capacity, ids=ids)), capacity)
+    return pack(parked(pieces(docs, tokenizer or tokenizer_path("word_bpe_49k.json"), capacity, ids=ids, forget=forget)), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import batches, parked
+from seekframe.llm.common import batches, forgetting, parked
 
 #: Labelled documents that a head is fitted on at most.
 LABELLED = 20_000
@@ -214,7 +214,7 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
         yield rows(counts)
 
     kind = "feature string, " + ", ".join(f"{c} long" for c in names[1:])
-    return sample.mapInArrow(run, kind).groupBy("feature").agg(*(F.sum(c).alias(c) for c in names[1:]))
+    return sample.mapInArrow(forgetting(run, _parts), kind).groupBy("feature").agg(*(F.sum(c).alias(c) for c in names[1:]))
 
 
 def _significant(counts: DataFrame, head: str, n: int, bad: int) -> dict[str, float]:
@@ -363,12 +363,14 @@ def classified(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -
 def kept(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """The rows that are not rejected, with their columns as they are.
 
-    Texts are not shuffled for it unless the table of sites is too large to be sent around.
+    Texts are not shuffled for it unless the table of sites is too large to be sent around. A document
+    without a text has the evidence of an empty one; repeated rows are judged each; the columns may have any names.
     """
     model = fit(docs, labels)
-    places, strengths = sites(scored(docs, model, host, path), model)
+    # Written with their evidence: texts are looked at once.
+    rows = parked(docs.select(*(F.col(f"`{c}`") for c in docs.columns), _site(host).alias("_q_host"), _site(path).alias("_q_path"), _evidence(model)(F.col("text")).alias("_q_e")))
+    places, strengths = sites(rows.select(F.col("_q_host").alias("host"), F.col("_q_path").alias("path"), "_q_e.low", "_q_e.toxic"), model)
     renamed = places.select(*(F.col(c).alias(f"_q_{c}") for c in places.columns))
-    own = docs.select(*(F.col(f"`{c}`") for c in docs.columns), _site(host).alias("_q_host"), _site(path).alias("_q_path"), _evidence(model)(F.col("text")).alias("_q_e"))
-    joined = own.join(renamed, ["_q_host", "_q_path"])
+    joined = rows.join(renamed, ["_q_host", "_q_path"])
     good = [posterior(h, F.col(f"_q_e.{h}"), model, strengths, "_q_") < 0.5 for h in HEADS]
     return joined.where(good[0] & good[1]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -127,7 +127,9 @@ def repeats(docs: DataFrame) -> DataFrame:
         F.max("doc_id").alias("_last"),
         (F.min("content") != F.max("content")).alias("branches"),
     )
-    repeated = parked(found.join(graph.where("first_doc < _last").drop("_last"), "anchor"))
+    # Parked, so that a k-mer that a third of all documents share is split in the join.
+    graph = parked(graph.where("first_doc < _last").drop("_last"))
+    repeated = parked(found.join(graph, "anchor"))
     whole = F.expr("shiftleft(1L, n) - 1").alias("mask")
     straight = repeated.where("not branches and doc_id > first_doc").select("doc_id", "version", "start", whole)
 

@@ -97,7 +97,7 @@ class Kept(dict):
                 return found
         if len(self) >= self.half:
             self.old = dict(self)
-            self.clear()
+            super().clear()
         self[key] = found
         return found
 
@@ -111,6 +111,11 @@ class Words(Kept):
         self.tokenize = self.library.model.tokenize
         self.pieces = Kept(self.piece, KEPT_PIECES)
 
+    def clear(self) -> None:
+        super().clear()
+        self.pieces.clear()
+        self.old, self.pieces.old = {}, {}
+
     def piece(self, piece: str) -> bytes:
         ids = [*map(_ID, self.tokenize(piece))]
         return pack(f"<{len(ids)}I", *ids)
