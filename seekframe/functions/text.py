@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from seekframe.functions.english import forms_of, stem_column, stem_word
+
 # Fixed values.
 LETTER = r"[\p{L}\p{N}]"
 NO_WORD = r"[^\p{L}\p{N}]"
@@ -27,27 +29,32 @@ STOP_WORDS = (
 ).split()
 
 
+@dataclass(frozen=True)
+class Stemmer:
+    """The stem of a column of words, of one word, and all words of a stem."""
+
+    column: Callable[[Column], Column]
+    word: Callable[[str], str]
+    forms: Callable[[str], Sequence[str]]
+
+
 @dataclass(frozen=True)
 class Analyzer:
     """How a language's words become terms: words to drop, and endings of which the first that fits is replaced.
 
-    Words shorter than ``least`` letters stay as they are.
+    Words shorter than ``least`` letters stay as they are. A ``stemmer`` takes the place of endings.
     """
 
     stops: tuple[str, ...] = ()
     endings: tuple[tuple[str, str], ...] = ()
     least: int = 5
+    stemmer: Stemmer | None = None
 
 
-# Plural rules after the S-stemmer (Harman 1991); for the other languages the
-# most frequent articles and prepositions, and the common endings of number, gender and case.
+# The most frequent articles and prepositions, and the common endings of number, gender and case.
 ANALYZERS: dict[str, Analyzer] = {
     "simple": Analyzer(),
-    "english": Analyzer(
-        tuple(STOP_WORDS),
-        (("eies", "eies"), ("aies", "aies"), ("ies", "y"), ("us", "us"), ("ss", "ss"), ("s", "")),
-        4,
-    ),
+    "english": Analyzer(tuple(STOP_WORDS), stemmer=Stemmer(stem_column, stem_word, forms_of)),
     "german": Analyzer(
         tuple("der die das den dem des ein eine einen einem einer und oder in im an am auf mit von zu zum ist nicht".split()),
         (("ungen", "ung"), ("heiten", "heit"), ("keiten", "keit"), ("ern", ""), ("en", ""), ("em", ""), ("er", ""),
@@ -91,6 +98,8 @@ def words(text: Column) -> Column:
 def stem(word: Column, language: str) -> Column:
     """The term of a word: its ending replaced by the language's rules."""
     rules = ANALYZERS[language]
+    if rules.stemmer is not None:
+        return rules.stemmer.column(word)
     if not rules.endings:
         return word
     result = F.when(F.length(word) < rules.least, word)
@@ -103,6 +112,8 @@ def stem(word: Column, language: str) -> Column:
 def stem_literal(word: str, language: str) -> str:
     """The same rules for a word of the search string."""
     rules = ANALYZERS[language]
+    if rules.stemmer is not None:
+        return rules.stemmer.word(word)
     if len(word) >= rules.least:
         for ending, left in rules.endings:
             if word.endswith(ending):
@@ -173,6 +184,8 @@ def query_terms(query: str, language: str = "simple") -> list[tuple[str, int]]:
 
 def word_forms(term: str, language: str) -> list[str]:
     """Every word whose stem is ``term``."""
+    if (stemmer := ANALYZERS[language].stemmer) is not None:
+        return list(stemmer.forms(term))
     endings = [(e, left) for e, left in ANALYZERS[language].endings if term.endswith(left)]
     forms = [term, *(term[: len(term) - len(left)] + e for e, left in endings)]
     return [w for w in dict.fromkeys(forms) if stem_literal(w, language) == term]
@@ -186,7 +199,10 @@ def stem_root(term: str, language: str) -> str:
 def _whole_word(forms: Sequence[str]) -> str:
     """One of some words. The letters come first and the look around them last, so
     that most places in a text fail at their first letter."""
-    body = "(?:" + "|".join(re.escape(w) for w in forms) + ")" if len(forms) > 1 else re.escape(forms[0])
+    # What all forms begin with is looked for once.
+    root = os.path.commonprefix(list(forms))
+    rest = sorted((w[len(root) :] for w in forms), key=lambda w: (-len(w), w))
+    body = re.escape(root) + ("(?:" + "|".join(map(re.escape, rest)) + ")" if len(forms) > 1 else "")
     return rf"{body}(?!{LETTER})(?<!{LETTER}{body})"
 
 

@@ -2,21 +2,56 @@
 
 from pyspark.sql import functions as F
 
+from seekframe.functions.english import DOUBLE_KEPT, PUT_BACK, RUN, SHORT, STEPS, TIDIED, VOWEL, VOWEL_Y
 from seekframe.functions.text import ANALYZERS, highlight, tokens
 from seekframe.plans.search import search, search_index
 from seekframe.suite.registry import case
-from seekframe.suite.tables import DOCUMENTS, SPACED_SQL, WORDS_SQL, documents_index, texts
+from seekframe.suite.tables import DOCUMENTS, SPACED_SQL, WORDS_SQL, documents_index, new_catalog, texts
 
-# The stop list and plural rules of the english analyzer, as SQL.
+# The stop list of the english analyzer, as SQL, and its steps.
 _STOPS = (
     "'a','an','and','are','as','at','be','but','by','for','if','in','into','is','it','no','not','of','on','or',"
     "'such','that','the','their','then','there','these','they','this','to','was','will','with'"
 )
-_STEM = """CASE WHEN length(w) <= 3 THEN w
-    WHEN ends_with(w, 'ies') AND NOT ends_with(w, 'eies') AND NOT ends_with(w, 'aies') THEN left(w, length(w) - 3) || 'y'
-    WHEN ends_with(w, 's') AND NOT ends_with(w, 'us') AND NOT ends_with(w, 'ss') THEN left(w, length(w) - 1)
-    ELSE w END"""
-_STEMMED = f"list_transform({WORDS_SQL}, lambda w: {_STEM})"
+def _marked(x):
+    return rf"regexp_replace({x}, '{VOWEL_Y}', '\1Y', 'g')"
+
+
+def _measure(x):
+    return f"len(regexp_extract_all({_marked(x)}, '{RUN}'))"
+
+
+def _meets(x, need):
+    if not need:
+        return "true"
+    return f"regexp_matches({_marked(x)}, '{VOWEL}')" if need == "v" else f"{_measure(x)} >= {need}"
+
+
+def _tidy(x):
+    back = " OR ".join(f"ends_with({x}, '{e}')" for e in PUT_BACK)
+    double = f"length({x}) > 1 AND right({x}, 1) = left(right({x}, 2), 1) AND NOT contains('{DOUBLE_KEPT}', right({x}, 1))"
+    short = f"{_measure(x)} = 1 AND regexp_matches({_marked(x)}, '{SHORT}')"
+    return f"CASE WHEN {back} THEN {x} || 'e' WHEN {double} THEN left({x}, length({x}) - 1) WHEN {short} THEN {x} || 'e' ELSE {x} END"
+
+
+def _step(number):
+    cases = []
+    for suffix, left, need in STEPS[number]:
+        kept = f"left(x, length(x) - {len(suffix)})"
+        new = _tidy(kept) if number == TIDIED and not left else f"{kept} || '{left}'"
+        cases.append(f"WHEN ends_with(x, '{suffix}') THEN CASE WHEN {_meets(kept, need)} THEN {new} ELSE x END")
+    return f"CASE WHEN length(w) < 3 THEN w {' '.join(cases)} ELSE x END"
+
+
+_LESS = "left(x, length(x) - 1)"
+_FINAL_E = f"""CASE WHEN length(w) >= 3 AND ends_with(x, 'e') AND ({_measure(_LESS)} > 1
+    OR ({_measure(_LESS)} = 1 AND NOT regexp_matches({_marked(_LESS)}, '{SHORT}'))) THEN {_LESS} ELSE x END"""
+# Every word of the documents that is no stop word, in its place, and its stem: ``u`` (doc_id, i, w) and ``stems`` (w, x).
+_ENGLISH = f"""WITH t AS (SELECT doc_id, list_filter({WORDS_SQL}, lambda w: w NOT IN ({_STOPS})) AS ws FROM documents),
+    u AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM t),
+    s0 AS (SELECT DISTINCT w, w AS x FROM u),
+    """ + "".join(f"s{i + 1} AS (SELECT w, {_step(i)} AS x FROM s{i}),\n    " for i in range(len(STEPS))) + f"""stems AS (SELECT w, {_FINAL_E} AS x FROM s{len(STEPS)})
+"""
 
 
 def _found(spark, folder, query, mode, language="simple"):
@@ -57,10 +92,11 @@ def fulltext_none(spark, folder):
 
 @case(
     "fulltext_english",
-    f"SELECT doc_id, lang FROM documents WHERE list_has_all({_STEMMED}, ['reed', 'rest'])",
+    f"""{_ENGLISH} SELECT doc_id, lang FROM documents WHERE doc_id IN (
+        SELECT doc_id FROM u JOIN stems USING (w) WHERE x IN ('reed', 'rest') GROUP BY doc_id HAVING count(DISTINCT x) = 2)""",
 )
 def fulltext_english(spark, folder):
-    """Stop words are dropped from the string, plurals match singulars."""
+    """Stop words are dropped from the string, and all forms of a word match."""
     return _found(spark, folder, "the reeds and rests", "plain", "english")
 
 
@@ -92,15 +128,26 @@ def tokens_of(spark, folder):
 
 @case(
     "tokens_english",
-    f"""SELECT doc_id, len(t) AS n, md5(array_to_string(t, ' ')) AS fingerprint
-        FROM (SELECT doc_id, list_transform(list_filter({WORDS_SQL}, lambda w: w NOT IN ({_STOPS})), lambda w: {_STEM}) AS t
-              FROM documents)""",
+    f"""{_ENGLISH} SELECT doc_id, len(ws) AS n, md5(coalesce(said, '')) AS fingerprint
+        FROM t LEFT JOIN (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS said FROM u JOIN stems USING (w) GROUP BY doc_id) USING (doc_id)""",
 )
 def tokens_english(spark, folder):
     cut = texts(spark, folder).select("doc_id", tokens(F.col("text"), "english").alias("t"))
     return cut.select("doc_id", F.size("t").cast("bigint").alias("n"), F.md5(F.array_join("t", " ")).alias("fingerprint"))
 
 
+@case(
+    "index_english",
+    f"""{_ENGLISH} SELECT doc_id FROM documents WHERE doc_id IN (
+        SELECT doc_id FROM u JOIN stems USING (w) WHERE x IN ('rest', 'reed') GROUP BY doc_id)""",
+)
+def index_english(spark, folder):
+    """An english index is searched by stems, whatever form the string has."""
+    index = new_catalog(spark).create("stems", "doc_id", language="english", searchable=["text"], buckets=8, file_words=500_000)
+    index = index.write(texts(spark, folder).select("doc_id", "text"))
+    return search_index(index, "resting reeds", mode="natural", prefix=False).keys()
+
+
 def _stem_sql(language):
     rules = ANALYZERS[language]
     cases = "".join(

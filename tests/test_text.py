@@ -14,6 +14,7 @@ from seekframe.functions.text import (
     highlight,
     placed_tokens,
     query_terms,
+    stem,
     stem_literal,
     tokens,
     word_forms,
@@ -63,6 +64,26 @@ def test_word_forms_invert_the_stemmer():
         assert w in word_forms(stem_literal(w, "english"), "english")
 
 
+STEMMED = {
+    "running": "run", "hoped": "hope", "hopping": "hop", "agreed": "agre", "feed": "feed", "ring": "ring", "ponies": "poni", "caresses": "caress",
+    "relational": "relat", "relate": "relat", "conditional": "condition", "happily": "happi", "happy": "happi", "quickly": "quick",
+    "organization": "organiz", "organizer": "organiz", "government": "govern", "toys": "toi", "bus": "bus", "yes": "ye", "by": "by",
+}
+
+
+def test_english_stems(spark):
+    """The column, the single word and the forms of a stem agree, on known words and on made-up ones."""
+    chance = random.Random(5)
+    ends = ["", "s", "ed", "ing", "ly", "ational", "ization", "ness", "ful", "able", "ies", "ement", "e", "y", "ee", "yy"]
+    made = {"".join(chance.choice("aeioubcdlsty") for _ in range(chance.randint(1, 6))) + chance.choice(ends) for _ in range(1500)}
+    words = sorted({*STEMMED, *made, "été", "naïvely", "x1s", "日本s", ""})
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = {r["w"]: r["t"] for r in df.select("w", F.get(F.transform(F.array("w"), lambda w: stem(w, "english")), F.lit(0)).alias("t")).collect()}
+    assert got == {w: stem_literal(w, "english") for w in words}
+    assert {w: got[w] for w in STEMMED} == STEMMED
+    assert all(w in word_forms(got[w], "english") for w in words[::7] if w)
+
+
 def test_unknown_language(texts):
     with pytest.raises(ValueError):
         texts.select(tokens(F.col("text"), "klingon"))
@@ -94,7 +115,7 @@ def _brute(words, query, mode, language):
 @pytest.mark.parametrize("mode", ["plain", "natural", "phrase"])
 def test_full_text_against_brute_force(spark, mode, language):
     chance = random.Random(7)
-    vocabulary = ["cat", "cats", "Dog", "the", "of", "city", "Cities", "x1", "été", "ca"]
+    vocabulary = ["cat", "cats", "Dog", "rest", "Resting", "rested", "restful", "the", "of", "city", "Cities", "x1", "été", "ca"]
     glue = [" ", ", ", "-", ". ", "\n", "_"]
     data = []
     for i in range(300):
@@ -102,7 +123,7 @@ def test_full_text_against_brute_force(spark, mode, language):
         data.append((i, text))
     df = spark.createDataFrame(data, "id INT, text STRING").cache()
     spec = SearchSpec("d", "id", ["text"], fulltext=["text"], mode=mode, language=language)
-    for query in ["cat dog", "the city", "cats of the dog", "Été", "ca", "x1 cat cat", "of", "city-cats"]:
+    for query in ["cat dog", "the city", "cats of the dog", "Été", "ca", "x1 cat cat", "of", "city-cats", "resting", "rests cat"]:
         got = {r["id"] for r in search(df, spec, query).order_by("id").get().collect()}
         want = {i for i, t in data if _brute([stem_literal(w, language) for w in py_words(t)], query, mode, language)}
         assert got == want, (query, mode, language)
