@@ -18,7 +18,7 @@ import numpy as np
 import regex
 
 #: Words and pieces a worker remembers at most, and the longest of them in bytes.
-KEPT_WORDS, KEPT_PIECES, KEPT_BYTES = 300_000, 200_000, 64
+KEPT_WORDS, KEPT_PIECES, KEPT_BYTES = 600_000, 300_000, 64
 
 # The tokenizer's rule for pieces, as its file has it.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
