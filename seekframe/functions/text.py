@@ -219,6 +219,11 @@ def phrase_pattern(phrase: Sequence[tuple[str, int]], language: str) -> str:
     return "".join(parts)
 
 
+def any_word(words: Sequence[str]) -> str:
+    """Regular expression of one of some words, as a whole word of a lower-case text."""
+    return _whole_word(sorted(words))
+
+
 def any_pattern(terms: Sequence[str], language: str) -> str:
     """Regular expression of a text that has any of the terms."""
     return _whole_word(sorted({w for t in terms for w in word_forms(t, language)}))

@@ -108,7 +108,13 @@ def compare(df: DataFrame, name: str, operator: str, value: Any) -> Column:
         return ~like(column.cast("string"), like_pattern(str(value)))
     if op == "ilike":
         return ilike(column.cast("string"), like_pattern(str(value)))
-    right = typed(value, dtype)
+    try:
+        right = typed(value, dtype)
+    except ValueError:
+        # As in a list: what the column's type cannot hold equals nothing; it has no order either.
+        if op not in ("=", "!="):
+            raise ValueError(f"{value!r} cannot be ordered among the values of {name!r}") from None
+        return F.lit(False) if op == "=" else column.isNotNull()
     return {
         "=": lambda: column == right,
         "!=": lambda: column != right,

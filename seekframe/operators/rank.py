@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import reduce
 from operator import add
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seekframe.functions.text import (
+    ANALYZERS,
     BREAK_GAP,
     HARD_BREAK,
     LETTER,
+    WORD,
     any_pattern,
+    any_word,
     let,
     placed_tokens,
     text_before,
-    tokens,
     words,
 )
 
@@ -46,54 +50,59 @@ def bm25(
     return reduce(add, parts)
 
 
-def occurrences(ts: Column, term: str) -> Column:
-    return F.size(ts) - F.size(F.array_remove(ts, term))
+def word_count(lowered: Column, language: str) -> Column:
+    """Search terms of a lower-case text, stop words left out: counted in place, no word is cut out."""
+    found = F.regexp_count(lowered, F.lit(WORD))
+    stops = ANALYZERS[language].stops
+    return found - F.regexp_count(lowered, F.lit(any_word(stops))) if stops else found
 
 
-def _profile(text: Column, terms: list[str], language: str) -> Column:
-    """struct<n, t0, t1, ...>: length and term counts of a text, cut once."""
-
-    def count(ts: Column) -> Column:
-        counts = [occurrences(ts, t).alias(f"t{i}") for i, t in enumerate(terms)]
-        return F.struct(F.size(ts).alias("n"), *counts)
-
-    return let(tokens(F.coalesce(text, F.lit("")), language), count)
+def occurrences(lowered: Column, term: str, language: str) -> Column:
+    return F.regexp_count(lowered, F.lit(any_pattern([term], language)))
 
 
 def corpus_facts(df: DataFrame, text: Column, terms: list[str], language: str) -> DataFrame:
-    """One row: documents, mean length and document frequency of each term."""
-    p = df.select(text.alias("t")).select(_profile(F.col("t"), terms, language).alias("p"))
+    """One row: documents, mean length and document frequency of each term, in one pass over the texts."""
+    p = df.select(F.lower(F.coalesce(text, F.lit(""))).alias("t"))
     return p.agg(
         F.count(F.lit(1)).cast("double").alias("n_docs"),
-        F.avg("p.n").alias("mean_length"),
-        *[F.sum((F.col(f"p.t{i}") > 0).cast("double")).alias(f"df{i}") for i in range(len(terms))],
+        F.avg(word_count(F.col("t"), language)).alias("mean_length"),
+        *[F.sum(F.col("t").rlike(any_pattern([t], language)).cast("double")).alias(f"df{i}") for i, t in enumerate(terms)],
     )
 
 
 def scan_scores(
-    df: DataFrame, corpus: DataFrame, text: Column, terms: list[str], language: str, matched_only: bool = False
+    df: DataFrame,
+    corpus: DataFrame,
+    text: Column,
+    terms: list[str],
+    language: str,
+    matched_only: bool = False,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_score`` to the rows of ``df`` by BM25 over ``corpus``, without an index.
 
     Corpus statistics are one partial aggregate over a narrow scan, read back as
-    a scalar subquery: one row is exchanged and nothing is joined. ``matched_only``
+    a scalar subquery: one row is exchanged and nothing is joined. Where they are stored,
+    such as with an index of the same rows, ``facts`` takes the place of that scan. ``matched_only``
     drops rows without any of the terms before they are scored.
     """
     if not terms:
         scored = df.withColumn("_score", F.lit(0.0))
         return scored.where(F.lit(False)) if matched_only else scored
+    lowered = F.lower(F.coalesce(text, F.lit("")))
     if matched_only:
-        df = df.where(F.lower(text).rlike(any_pattern(terms, language)))
-    facts = corpus_facts(corpus, text, terms, language).select(F.struct("*")).scalar()
-    profiled = df.withColumn("__p", _profile(text, terms, language)).withColumn("__f", facts)
+        df = df.where(lowered.rlike(any_pattern(terms, language)))
+    facts = (corpus_facts(corpus, text, terms, language) if facts is None else facts).select(F.struct("*")).scalar()
+    profiled = df.withColumn("__f", facts)
     score = bm25(
-        [F.col(f"__p.t{i}") for i in range(len(terms))],
+        [occurrences(lowered, t, language) for t in terms],
         [F.col(f"__f.df{i}") for i in range(len(terms))],
-        F.col("__p.n").cast("double"),
+        word_count(lowered, language).cast("double"),
         F.col("__f.n_docs"),
         F.col("__f.mean_length"),
     )
-    return profiled.withColumn("_score", score).drop("__p", "__f")
+    return profiled.withColumn("_score", score).drop("__f")
 
 
 def first_match(text: Column, term: str, language: str = "simple", prefix: bool = True) -> Column:
@@ -123,16 +132,40 @@ def first_match(text: Column, term: str, language: str = "simple", prefix: bool
     return F.struct(first["pos"].alias("pos"), first["rank_pos"].alias("rank_pos"))
 
 
-def policy_order(policy: str, key: str) -> list[Column]:
+class Key(NamedTuple):
+    """One column of an order; nulls come first going up and last going down."""
+
+    column: Column
+    descending: bool = False
+
+    def sort(self) -> Column:
+        return self.column.desc_nulls_last() if self.descending else self.column.asc_nulls_first()
+
+    def before(self, value: Column) -> Column:
+        """Whether a row comes before a value (null: before or behind all others) by this key alone."""
+        if self.descending:
+            return self.column.isNotNull() & (value.isNull() | (self.column > value))
+        return value.isNotNull() & (self.column.isNull() | (self.column < value))
+
+
+class Order(list):
+    """Sort columns, and the keys that they were made of."""
+
+    def __init__(self, keys: Iterable[Key]):
+        self.keys = tuple(keys)
+        super().__init__(k.sort() for k in self.keys)
+
+
+def policy_order(policy: str, key: str) -> Order:
     """Sort keys of a ranking policy over ``_score``, ``_pos`` and ``_rank_pos``."""
     if policy == "score":
-        return [F.col("_score").desc(), F.col(key).desc()]
+        return Order([Key(F.col("_score"), True), Key(F.col(key), True)])
     if policy == "position":
-        return [F.col("_rank_pos").asc(), F.col(key).asc()]
+        return Order([Key(F.col("_rank_pos")), Key(F.col(key))])
     if policy == "newest":
-        return [F.col(key).desc()]
+        return Order([Key(F.col(key), True)])
     if policy == "first_word":
-        return [(F.col("_pos") == 0).desc(), F.col(key).desc()]
+        return Order([Key(F.col("_pos") == 0, True), Key(F.col(key), True)])
     raise ValueError(f"unknown ranking policy {policy!r}; use one of {POLICIES}")
 
 

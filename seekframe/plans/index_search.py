@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from seekframe.functions.text import query_terms
 from seekframe.operators.match import parse_web
 from seekframe.operators.predicates import apply_trashed
-from seekframe.operators.rank import bm25, policy_order
+from seekframe.operators.rank import Key, Order, bm25, policy_order
 from seekframe.plans.search import Matched, Search, register_strategy
 from seekframe.sources.index.postings import STORED
 from seekframe.sources.index.store import Index
@@ -169,11 +169,11 @@ def index_strategy(s: Search) -> Matched:
 
     if s.query in ("", MATCH_ALL):
         docs = apply_trashed(index.docs(), s.trashed, None, flag)
-        return Matched(s.constrain(docs), explicit or [F.col(key).desc()])
+        return Matched(s.constrain(docs), explicit or Order([Key(F.col(key), True)]))
 
     groups = _groups(s, index.manifest.language)
     if not groups:
-        return Matched(index.docs().where(F.lit(False)), explicit or [F.col(key).desc()])
+        return Matched(index.docs().where(F.lit(False)), explicit or Order([Key(F.col(key), True)]))
     slots = list(dict.fromkeys(slot for g in groups for _, slot in g))
     at = {slot: i for i, slot in enumerate(slots)}
     fields = s.options.get("fields")
@@ -215,7 +215,7 @@ def index_strategy(s: Search) -> Matched:
         exact = F.greatest(F.lit(0), F.lit(0), *[F.col(f"exact{at[x]}") for x in scored if x.prefix])
         hits = hits.withColumn("_score", score).withColumn("_exact", exact)
         if s.options.get("exact_first", True) and any(x.prefix for x in scored):
-            order = [F.col("_exact").desc(), *order]
+            order = Order([Key(F.col("_exact"), True), *order.keys])
     else:
         hits = hits.withColumn("_score", F.lit(0.0)).withColumn("_exact", F.lit(0))
     values = [F.col(f).alias(f.removeprefix(STORED)) for f in stored]

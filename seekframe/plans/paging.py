@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seekframe.operators.rank import Key, Order
 from seekframe.session import shared_dir
 from seekframe.sources.index.manifest import Files
 
@@ -15,6 +17,8 @@ from seekframe.sources.index.manifest import Files
 DEFAULT_PER_PAGE = 15
 # Rows before a page that a task may keep in memory.
 DEEP_SKIP = 10_000
+# Sampled rows of an order's columns, in each round that looks for a deep page.
+SAMPLE = 20_000
 # Bits of a monotonically increasing id that count rows inside a task.
 ROW_BITS = 2**33 - 1
 
@@ -40,18 +44,87 @@ class Page:
 def page_slice(df: DataFrame, order: list[Column], per_page: int, page: int, extra: int = 0) -> DataFrame:
     """Rows of one page: a top-k per task and one small merge, never a full sort.
 
-    A page that lies deep would make every task keep all rows before it; it is
-    found by row numbers instead.
+    A page that lies deep would make every task keep all rows before it. Its place in
+    the order is narrowed down first, by ``selected``, until few rows are before it.
     """
     skip, size = (page - 1) * per_page, per_page + extra
+    if skip > DEEP_SKIP and isinstance(order, Order):
+        df, skip = selected(df, order, skip, size)
     if skip > DEEP_SKIP:
         return _deep_slice(df, order, skip, size)
     ordered = df.orderBy(*order)
     return (ordered.offset(skip) if skip > 0 else ordered).limit(size)
 
 
+def selected(df: DataFrame, order: Order, skip: int, size: int) -> tuple[DataFrame, int]:
+    """The rows between two splitters that hold the places ``skip`` to ``skip + size`` of an order, and how many to skip of them.
+
+    Each round samples the order's columns within the range, takes the splitters a little before and
+    behind the wanted places, and counts the rows before either: rows are neither sorted nor written.
+    A sample that misses the places is drawn again, wider. Rows that tie on all columns stay together.
+    """
+    names = [f"__k{i}" for i in range(len(order.keys))]
+    keys = [Key(F.col(n), k.descending) for n, k in zip(names, order.keys)]
+    narrow = df.select(*(k.column.alias(n) for n, k in zip(names, order.keys)))
+    types = [f.dataType for f in narrow.schema]
+    low, high, base, wide = None, None, 0, 1
+    n = narrow.count()
+    while skip - base > DEEP_SKIP and n > size:
+        inside = narrow.where(_between(keys, types, low, high))
+        some = inside.sample(min(1.0, SAMPLE / n), seed=11 * wide).orderBy(*Order(keys)).collect()
+        slack = wide * (4 * math.sqrt(len(some)) + 1)
+        place = lambda at: (at - base) / n * len(some)
+        first, last = math.floor(place(skip) - slack), math.ceil(place(skip + size) + slack)
+        new_low = tuple(some[first]) if 0 <= first < len(some) else low
+        new_high = tuple(some[last]) if 0 <= last < len(some) else high
+        if (new_low, new_high) == (low, high):
+            break
+        counted = inside.agg(
+            F.count(F.when(_before(keys, types, new_low), 1)).alias("a"),
+            F.count(F.when(~_behind(keys, types, new_high), 1)).alias("b"),
+        ).first()
+        if base + counted["a"] > skip or base + counted["b"] < min(skip + size, base + n):
+            wide *= 2
+            continue
+        left = counted["b"] - counted["a"]
+        base, low, high = base + counted["a"], new_low, new_high
+        if left > 0.9 * n:
+            break
+        n, wide = left, 1
+    keys = list(order.keys)
+    return df.where(_between(keys, types, low, high)), skip - base
+
+
+def _lexically(keys: list[Key], types: list, value: tuple, test: Callable[[Key, Column], Column]) -> Column:
+    """Whether a row differs from a splitter, by the first key that does, in the way of the test."""
+    out, same = F.lit(False), F.lit(True)
+    for key, kind, x in zip(keys, types, value):
+        given = F.lit(x).cast(kind)
+        out = out | (same & F.coalesce(test(key, given), F.lit(False)))
+        same = same & key.column.eqNullSafe(given)
+    return out
+
+
+def _before(keys: list[Key], types: list, value: tuple | None) -> Column:
+    if value is None:
+        return F.lit(False)
+    return _lexically(keys, types, value, lambda k, x: k.before(x))
+
+
+def _behind(keys: list[Key], types: list, value: tuple | None) -> Column:
+    if value is None:
+        return F.lit(False)
+    return _lexically(keys, types, value, lambda k, x: ~k.before(x) & ~k.column.eqNullSafe(x))
+
+
+def _between(keys: list[Key], types: list, low: tuple | None, high: tuple | None) -> Column:
+    return ~_before(keys, types, low) & ~_behind(keys, types, high)
+
+
 def _deep_slice(df: DataFrame, order: list[Column], skip: int, size: int) -> DataFrame:
-    """Sort the rows once over all tasks and write them with their place in their
+    """For orders that are not made of keys, and places among more ties than a task may keep.
+
+    Sort the rows once over all tasks and write them with their place in their
     task; the row counts of the tasks then tell where the page begins.
 
     Rows are told apart by their place alone, so a key may repeat or be null. The

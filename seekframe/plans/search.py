@@ -14,7 +14,7 @@ from seekframe.functions.text import highlight, query_terms, word_forms
 from seekframe.operators.hydrate import hydrate
 from seekframe.operators.match import contains_any, joined_text, like_any
 from seekframe.operators.predicates import apply_in, apply_not_in, apply_trashed, apply_wheres
-from seekframe.operators.rank import scan_scores, with_position
+from seekframe.operators.rank import Key, Order, policy_order, scan_scores, with_position
 from seekframe.plans.paging import DEFAULT_PER_PAGE, Page, page_info, page_slice, simple_info
 from seekframe.spec import SearchSpec
 
@@ -131,7 +131,7 @@ class Search:
 
     # ---- building blocks for strategies ----------------------------------
 
-    def sort_columns(self) -> list[Column] | None:
+    def sort_columns(self) -> Order | None:
         """Explicit order: a column keeps its first place and its last direction.
 
         A ``sort`` option, pairs of name and direction, comes before ``order_by``.
@@ -142,13 +142,11 @@ class Search:
         folded: dict[str, str] = {}
         for name, way in orders:
             folded[name] = way
-        columns = [
-            F.col(n).asc_nulls_first() if way == "asc" else F.col(n).desc_nulls_last() for n, way in folded.items()
-        ]
+        keys = [Key(F.col(n), way != "asc") for n, way in folded.items()]
         # The key makes the order total, so that pages never overlap.
         if self.spec.key not in folded:
-            columns.append(F.col(self.spec.key).desc())
-        return columns
+            keys.append(Key(F.col(self.spec.key), True))
+        return Order(keys)
 
     def constrain(self, df: DataFrame) -> DataFrame:
         """Where, IN and NOT IN lists, or the custom function in their place."""
@@ -200,7 +198,7 @@ class Search:
         attributes = self.options.get("attributes")
         if attributes is not None:
             docs = docs.select(*dict.fromkeys([self.spec.key, *attributes]))
-        return _in_place(hydrate(hits, docs, self.spec.key, n_hits=cap))
+        return self._highlighted(_in_place(hydrate(hits, docs, self.spec.key, n_hits=cap)))
 
     def keys(self) -> DataFrame:
         return self.raw().select(self.spec.key)
@@ -266,10 +264,15 @@ class Search:
 
     def _rows(self, hits: DataFrame, order: list[Column], n_hits: int | None) -> DataFrame:
         """Rows of hits, with ``_highlight`` (a struct of the fields that the option names) if asked for."""
-        rows = self._hit_rows(hits, order, n_hits)
+        return self._highlighted(self._hit_rows(hits, order, n_hits))
+
+    def _highlighted(self, rows: DataFrame) -> DataFrame:
         fields = self.options.get("highlight")
         if not fields:
             return rows
+        missing = [f for f in fields if f not in rows.columns]
+        if missing:
+            raise ValueError(f"no field {missing[0]!r} to highlight; an index search has its fields in documents(), or with its table")
         language = self.spec.language if self.index is None else self.index.manifest.language
         terms = [w for t, _ in query_terms(self.query, language) for w in word_forms(t, language)]
         marked = [highlight(F.col(f), list(dict.fromkeys(terms)), self.options.get("prefix", False)).alias(f) for f in fields]
@@ -334,7 +337,7 @@ def _contains_strategy(s: Search) -> Matched:
     predicate = contains_any(df, s.spec, s.query, s.options.get("null_text", s.spec.null_text))
     if predicate is not None:
         df = df.where(predicate)
-    return Matched(df, s.sort_columns() or [F.col(s.spec.key).desc()])
+    return Matched(df, s.sort_columns() or Order([Key(F.col(s.spec.key), True)]))
 
 
 def _like_strategy(s: Search) -> Matched:
@@ -353,10 +356,12 @@ def _like_strategy(s: Search) -> Matched:
         return Matched(df, explicit)
     ranked = s.spec.fulltext and s.query != "" and s.spec.mode in ("plain", "phrase", "websearch")
     if not ranked:
-        return Matched(df, [F.col(s.spec.key).desc()])
+        return Matched(df, Order([Key(F.col(s.spec.key), True)]))
     terms = list(dict.fromkeys(t for t, _ in query_terms(s.query, s.spec.language)))
-    df = scan_scores(df, visible, joined_text(s.spec), terms, s.spec.language)
-    return Matched(df, [F.col("_score").desc(), F.col(s.spec.key).desc()])
+    stored = s.options.get("statistics")
+    facts = None if stored is None else stored.facts(terms)
+    df = scan_scores(df, visible, joined_text(s.spec), terms, s.spec.language, facts=facts)
+    return Matched(df, policy_order("score", s.spec.key))
 
 
 register_strategy("contains", _contains_strategy)

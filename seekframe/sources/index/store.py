@@ -228,6 +228,16 @@ class Index:
             F.lit(m.n_docs).cast("bigint").alias("n_docs"), F.lit(m.mean_length).alias("avg_len")
         )
 
+    def facts(self, terms: Sequence[str]) -> DataFrame:
+        """One row: documents, mean length and document frequency of each term, kept in step by every commit.
+
+        With it a scan of the indexed table is scored without a pass over its texts (option ``statistics``).
+        """
+        counted = [F.coalesce(F.sum(F.when(F.col("term") == t, F.col("df"))), F.lit(0)).cast("double").alias(f"df{i}") for i, t in enumerate(terms)]
+        m = self.manifest
+        known = [F.lit(float(m.n_docs)).alias("n_docs"), F.lit(float(m.mean_length)).alias("mean_length")]
+        return self.term_changes(F.col("term").isin(list(terms))).agg(*counted).select(*known, "*")
+
     def changes(self) -> DataFrame:
         """Keys and operations of the commits: ``key, op, seg``."""
         written = self._read("docs", self._docs_schema()).select(

@@ -279,23 +279,6 @@ def own_strategy(spark, folder):
     return search(part(spark, folder), PART, "3").using("length").where("p_size", ">", 5).take(30).get().select("p_partkey")
 
 
-@case(
-    "search_highlight",
-    r"""WITH hit AS (SELECT doc_id, regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '', '') AS line FROM documents
-                     WHERE len(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ')) <= 30
-                       AND regexp_matches(lower(text), '(^|[^\p{L}\p{N}])the($|[^\p{L}\p{N}])')
-                     ORDER BY doc_id DESC LIMIT 20)
-        SELECT doc_id, regexp_replace(regexp_replace(line, '(^|[^\p{L}\p{N}])(the)([^\p{L}\p{N}]|$)', '\1<mark>\2</mark>\3', 'gi'),
-                                      '(^|[^\p{L}\p{N}>])(the)([^\p{L}\p{N}<]|$)', '\1<mark>\2</mark>\3', 'gi') AS marked FROM hit""",
-)
-def search_highlight(spark, folder):
-    """The rows of a page with their marked text; short documents, so that lines are whole."""
-    rows = table(spark, folder, "documents")
-    words = F.size(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " "))
-    found = search(rows.where(words <= 30), DOCUMENTS, "the", highlight=["text"]).order_by_desc("doc_id")
-    return found.paginate(20, 1).rows.select("doc_id", F.col("_highlight.text").alias("marked"))
-
-
 @case(
     "search_highlight_all",
     r"""WITH hit AS (SELECT doc_id, string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') AS w FROM documents

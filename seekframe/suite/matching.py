@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from seekframe.operators.match import prefix_match
 from seekframe.plans.search import search
+from seekframe.session import shared_dir
+from seekframe.sources.grams import GramTable
 from seekframe.sources.tables import table
 from seekframe.spec import SearchSpec
 from seekframe.suite.registry import case
-from seekframe.suite.tables import CUSTOMER, PART, customer, part
+from seekframe.suite.tables import CUSTOMER, DOCUMENTS, PART, customer, part, texts
 
 _FLOAT = "CASE WHEN {0} = floor({0}) THEN CAST(CAST({0} AS BIGINT) AS VARCHAR) ELSE CAST({0} AS VARCHAR) END"
 
@@ -57,6 +59,22 @@ def match_contains_null(spark, folder):
     return search(part(spark, folder), spec, "null").using("contains").get().select("p_partkey")
 
 
+def _grams(spark, folder):
+    return GramTable.build(texts(spark, folder), DOCUMENTS, shared_dir(spark), block_bits=4)
+
+
+@case("grams_contains", "SELECT doc_id FROM documents WHERE contains(lower(text), 'on the reed')")
+def grams_contains(spark, folder):
+    """A substring search that reads only blocks whose grams fit."""
+    return search(_grams(spark, folder).containing("On THE reed"), DOCUMENTS, "On THE reed").using("contains").get().select("doc_id")
+
+
+@case("grams_like", "SELECT doc_id, lang FROM documents WHERE text ILIKE '%reed%thou%'")
+def grams_like(spark, folder):
+    spec = DOCUMENTS.with_(fulltext=[])
+    return search(_grams(spark, folder).like("reed%thou"), spec, "reed%thou").get().select("doc_id", "lang")
+
+
 _LIKE = "SELECT * FROM part WHERE p_name ILIKE '{0}' OR p_brand ILIKE '{0}' OR p_type ILIKE '{0}'"
 
 

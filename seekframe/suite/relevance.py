@@ -37,6 +37,18 @@ def bm25_topk(spark, folder):
     return found.select("doc_id", F.round("_score", 6).alias("_score"))
 
 
+@case(
+    "bm25_statistics",
+    _bm25("the", "reed")
+    + "SELECT doc_id, round(score, 6) AS _score FROM b WHERE least > 0 ORDER BY score DESC, doc_id DESC LIMIT 10",
+)
+def bm25_statistics(spark, folder):
+    """Rows of a scan, scored with the counts that an index of the same documents keeps."""
+    stored = documents_index(spark, folder)
+    found = search(texts(spark, folder), DOCUMENTS, "the reed", statistics=stored).take(10).get()
+    return found.select("doc_id", F.round("_score", 6).alias("_score"))
+
+
 @case("bm25_all", _bm25("of", "with", "una") + "SELECT doc_id, round(score, 6) AS _score FROM b WHERE score > 0")
 def bm25_all(spark, folder):
     """Scores of every document that has any of the words."""

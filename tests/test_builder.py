@@ -3,7 +3,7 @@ from enum import Enum
 import pytest
 from pyspark.sql import functions as F
 
-from seekframe import Matched, SearchSpec, register_strategy, search
+from seekframe import Matched, SearchSpec, register_strategy, search, search_index
 from seekframe.plans import paging
 from seekframe.sources.tables import contain, key_bounds, plan_ranges
 
@@ -204,3 +204,22 @@ def test_joined_search(spark):
     spec = SearchSpec("marks", "id", ["label", "chirp.content"])
     row = search(joined, spec, "chirp").get().collect()
     assert [(r["id"], r["chirp"]["content"]) for r in row] == [(7, "This chirp is searchable")]
+
+
+def test_a_value_that_does_not_fit_equals_nothing(spark):
+    """One value and a list of one are read alike."""
+    rows = spark.createDataFrame([(1, 5), (2, None)], "id INT, size INT")
+    spec = SearchSpec("t", "id", ["size"])
+    assert search(rows, spec).where("size", "=", "abc").get().count() == 0 == search(rows, spec).where_in("size", ["abc"]).get().count()
+    assert search(rows, spec).where("size", "!=", "abc").get().count() == 1 == search(rows, spec).where_not_in("size", ["abc"]).get().count()
+    with pytest.raises(ValueError, match="ordered"):
+        search(rows, spec).where("size", ">", "abc").get()
+
+
+def test_highlight_from_the_index_alone(spark, catalog):
+    docs = spark.createDataFrame([(1, "a red ring"), (2, "blue")], "id INT, name STRING")
+    index = catalog.create("t", "id", language="simple", buckets=2).write(docs)
+    found = search_index(index, "red", prefix=False, highlight=["name"])
+    assert [r["_highlight"]["name"] for r in found.documents().collect()] == ["a <mark>red</mark> ring"]
+    with pytest.raises(ValueError, match="highlight"):
+        found.get()

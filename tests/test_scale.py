@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from seekframe import Catalog, search, search_index, shared_dir
-from seekframe.operators.rank import top_per_group
+from seekframe.operators.rank import Key, Order, top_per_group
+from seekframe.plans import paging
+from seekframe.sources.grams import GramTable
 from seekframe.sources.tables import by_keys, key_range, table
 from seekframe.suite import QUERIES
-from seekframe.suite.tables import PART, documents_index
+from seekframe.suite.tables import DOCUMENTS, PART, documents_index
 
 
 def plan(df):
@@ -117,3 +119,51 @@ def test_a_group_of_most_rows_is_merged_before_it_moves(spark):
     want = rows.where("g = 0").orderBy(F.desc("score"), F.desc("id")).first()
     assert [tuple(r) for r in best] == [tuple(want)]
     assert "partial_max_by" in plan(top_per_group(rows, "g", "score", "id"))
+
+
+def test_a_scan_with_stored_counts_reads_texts_once(spark):
+    rows = table(spark, SF_DIR, "documents")
+    found = search(rows, DOCUMENTS, "the reed", statistics=documents_index(spark, SF_DIR)).take(10).get()
+    assert plan(found).count("documents.parquet") == 1
+
+
+def test_deep_pages_are_selected_without_a_sort(spark, monkeypatch):
+    """Any page equals the one cut from the whole order, with nulls, ties, descending keys and small samples."""
+    monkeypatch.setattr(paging, "DEEP_SKIP", 50)
+    monkeypatch.setattr(paging, "SAMPLE", 200)
+    rows = spark.range(0, 3000, 1, 6).select(
+        "id",
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 40).alias("a"),
+        F.when(F.col("id") % 5 == 0, None).otherwise((F.col("id") * 37 % 101).cast("double")).alias("b"),
+    )
+    for order in (
+        Order([Key(F.col("a")), Key(F.col("b"), True), Key(F.col("id"), True)]),
+        Order([Key(F.col("b"), True), Key(F.col("a") > 20), Key(F.col("id"))]),
+    ):
+        whole = [r["id"] for r in rows.orderBy(*order).collect()]
+        for per_page, page in ((10, 7), (10, 150), (100, 30), (100, 31), (7, 400), (5, 900)):
+            got = [r["id"] for r in paging.page_slice(rows, order, per_page, page).collect()]
+            assert got == whole[(page - 1) * per_page : page * per_page], (per_page, page)
+        left, skip = paging.selected(rows, order, 2000, 10)
+        assert left.count() < 2500 and skip <= 2000
+    # Rows that tie on everything: any rows of the right number.
+    tied = paging.page_slice(rows, Order([Key(F.col("a"))]), 100, 25)
+    places = [r["a"] for r in rows.orderBy(F.col("a").asc_nulls_first()).collect()]
+    assert [r["a"] for r in tied.collect()] == places[2400:2500]
+
+
+def test_grams_skip_blocks(spark):
+    """A rare string reads few blocks and finds what a scan finds; odd strings lose nothing."""
+    extra = [(10**9 + i, t) for i, t in enumerate(["zqxj here", "ZQXJ", None, "", "ab", "a\U0001f600b zq\U0001f600xj", "\u0130stanbul", "50%_off", "tab\tzqx"])]
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    grams = GramTable.build(docs, DOCUMENTS, shared_dir(spark), block_bits=3, row_group=1 << 16)
+    assert grams.rows().count() == docs.count()
+    for needle in ("zqxj", "ZQX", "zq\U0001f600xj", "\u0130stanbul", "stanbul", "50%_off", "ab", "null", "the", "b\tz", "nowhere at all"):
+        want = {r["doc_id"] for r in search(docs, DOCUMENTS, needle).using("contains").get().collect()}
+        assert {r["doc_id"] for r in search(grams.containing(needle), DOCUMENTS, needle).using("contains").get().collect()} == want, needle
+    spec = DOCUMENTS.with_(fulltext=[])
+    for pattern in ("z_xj", "zq%j", "50%_off", "%"):
+        want = {r["doc_id"] for r in search(docs, spec, pattern).get().collect()}
+        assert {r["doc_id"] for r in search(grams.like(pattern), spec, pattern).get().collect()} == want, pattern
+    assert grams.containing("zqxj").count() < docs.count() / 5
+    assert "In(__block" in plan(grams.containing("zqxj")) or "EqualTo(__block" in plan(grams.containing("zqxj"))
