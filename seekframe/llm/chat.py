@@ -102,12 +102,23 @@ def expanded(stored: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
 
 
 def read_back(stored: DataFrame, made: DataFrame) -> DataFrame:
-    """All turns, parsed: replies and their loss from the targets of written examples, others from the shared contexts.
+    """All turns, parsed: replies and their loss from the targets of written examples, others from the examples' contexts.
 
-    Turns after the last reply are in ``stored`` alone, as they are in no example.
+    A context is read by its range, which must begin at a turn of the conversation: one that does
+    not reads nothing, so its turns are missing. Turns after the last reply, and those of
+    conversations without one, are in no example and come from ``stored``.
     """
+    # Contexts of a conversation's examples are prefixes of the longest one. Parked, so that a long conversation is split in the joins.
+    spans = made.groupBy(F.col("conv_id").alias("_conv")).agg(F.min("context_start").alias("_from"), F.max("place").alias("_to"))
+    spans = parked(spans)
+    same = F.col("conv_id").eqNullSafe(F.col("_conv"))
+    first = stored.select(F.col("conv_id").alias("_own"), F.col("place").alias("_first"))
+    begun = spans.join(first, F.col("_conv").eqNullSafe(F.col("_own")) & (F.col("_from") == F.col("_first")), "left_semi")
+    rest = stored.where(F.col("mask_start").isNull())
+    context = rest.join(begun, same & (F.col("place") >= F.col("_from")) & (F.col("place") < F.col("_to")), "left_semi")
+    after = rest.join(spans, same & (F.col("place") < F.col("_to")), "left_anti")
     replies = made.withColumnRenamed("target", "segment").select(*stored.columns)
-    return parsed(stored.where(F.col("mask_start").isNull()).unionByName(replies))
+    return parsed(context.unionByName(after).unionByName(replies))
 
 
 def parsed(stored: DataFrame) -> DataFrame:

@@ -40,8 +40,8 @@ CUT, MATCH, PARAPHRASE = 0.4, 0.75, 0.55
 SHORT, LONGEST = 8, 256
 #: Upper ends of the length classes of the other items.
 LENGTHS = (15, 31, 63, 127, LONGEST)
-#: Passages that are multiplied at a time.
-BLOCK = 256
+#: Passages that are multiplied at a time, and words whose places are summed at a time.
+BLOCK, WORDS = 256, 32_768
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"[.?!:]\s+")
@@ -111,7 +111,7 @@ class Items:
         known = flat >= 0
         at, n = np.unique(rows[known] * self.columns + self.column(flat[known]), return_counts=True)
         row = at // self.columns
-        x = np.log1p(n) * idf[at % self.columns]
+        x = n * idf[at % self.columns]
         size = np.sqrt(np.bincount(row, x * x, len(passages)))
         return row, at % self.columns, (x / np.maximum(size[row], 1e-9)).astype(np.float32)
 
@@ -233,6 +233,49 @@ def blocks(found: Iterable[pa.RecordBatch], step: int, size: int, stride: int =
         yield waiting
 
 
+def stretches(batch: pa.RecordBatch, step: int) -> Iterator[list[tuple[int, np.ndarray, int, int]]]:
+    """Documents, or stretches of long ones, in groups of about ``WORDS`` words: document, its numbers, first and last start."""
+    own, size = [], 0
+    for key, raw in zip(batch.column("doc_id").to_pylist(), batch.column("numbers").to_pylist()):
+        numbers = np.frombuffer(raw, np.int32)
+        for first in range(0, len(numbers), WORDS):
+            last = min(first + WORDS, len(numbers))
+            own.append((key, numbers, first, last))
+            size += last - first
+            if size >= WORDS:
+                yield own
+                own, size = [], 0
+    if own:
+        yield own
+
+
+class Sums:
+    """Running sums of the words' weighted places in the latent space: a passage's place is the difference of two."""
+
+    def __init__(self, own: list[tuple[int, np.ndarray, int, int]], items: Items, weighted: np.ndarray):
+        self.own = own
+        # Passages that start in a stretch may end two steps behind it.
+        parts = [numbers[first : last + 2 * items.step] for _, numbers, first, last in own]
+        self.at = np.cumsum([0, *map(len, parts)])
+        flat = np.concatenate(parts)
+        self.known = np.flatnonzero(flat >= 0)
+        self.sums = np.zeros((len(self.known) + 1, weighted.shape[1]))
+        np.cumsum(weighted[items.column(flat[self.known])], axis=0, dtype=np.float64, out=self.sums[1:])
+
+    def passages(self, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the passages of two steps, one step apart, that hold a known word: stretch, start and unit vector."""
+        starts = [np.arange(-(-first // step) * step, min(last, max(len(x) - step, 1)), step) for _, x, first, last in self.own]
+        which = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
+        start = np.concatenate(starts)
+        shift = np.array([at - first for at, (_, _, first, _) in zip(self.at, self.own)])[which]
+        end = np.minimum(start + 2 * step, np.array([len(x) for _, x, _, _ in self.own])[which])
+        low, high = np.searchsorted(self.known, start + shift), np.searchsorted(self.known, end + shift)
+        some = np.flatnonzero(high > low)
+        vectors = (self.sums[high[some]] - self.sums[low[some]]).astype(np.float32)
+        vectors /= np.maximum(np.sqrt((vectors**2).sum(axis=1, keepdims=True)), 1e-9)
+        return which[some], start[some], vectors
+
+
 def latent_space(rows: DataFrame, items: Items, idf: np.ndarray, queries: np.ndarray, passages: float) -> np.ndarray:
     """Columns x ``RANK``: leading right singular vectors of passages and items, by random projection.
 
@@ -307,16 +350,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "item_id", text: str
                 n = len(items.texts[item])
                 yield doc, items.ids[item], start, n, n, 1.0
 
+    weighted = np.ascontiguousarray(idf[:, None] * space)
+
     def near(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for own, step in items.classes.values():
-            # About as many words are multiplied at a time in every class.
-            for block in blocks([batch], step, max(BLOCK, BLOCK * items.step // step)):
-                cosine = items.placed([p for _, _, p in block], idf, space) @ there[own].T
+        for own in stretches(batch, items.step):
+            sums = Sums(own, items, weighted)
+            for members, step in items.classes.values():
+                which, starts, vectors = sums.passages(step)
+                cosine = vectors @ there[members].T
                 for i, j in zip(*np.nonzero(cosine >= CUT)):
-                    doc, start, numbers = block[i]
-                    leak, common = items.leaks(own[j], numbers.tolist())
+                    doc, numbers = own[which[i]][:2]
+                    start = int(starts[i])
+                    leak, common = items.leaks(members[j], numbers[start : start + 2 * step].tolist())
                     if leak and doc is not None:
-                        yield doc, items.ids[own[j]], start, common, len(items.texts[own[j]]), float(cosine[i, j])
+                        yield doc, items.ids[members[j]], start, common, len(items.texts[members[j]]), float(cosine[i, j])
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "item_id", "start", "common", "n_words", "cosine"]

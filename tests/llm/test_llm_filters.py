@@ -367,3 +367,51 @@ def test_query_reads_examples(spark, monkeypatch):
     made = chat.examples
     monkeypatch.setattr(chat, "examples", lambda stored: made(stored).limit(0))
     assert queries.prefix_targets(spark, SF_DIR).agg(F.sum("loss_chars")).first()[0] == 0
+
+
+def test_query_reads_contexts(spark, monkeypatch):
+    """Turns that are no reply come from the examples' contexts: a wrong range loses them."""
+    from conftest import SF_DIR
+
+    from seekframe.llm import queries
+
+    right = {r["conv_id"]: r["turns_sha256"] for r in queries.prefix_targets(spark, SF_DIR).collect()}
+    made = chat.examples
+    monkeypatch.setattr(chat, "examples", lambda stored: made(stored).withColumn("context_start", F.lit(-5).cast("long")))
+    wrong = {r["conv_id"]: r["turns_sha256"] for r in queries.prefix_targets(spark, SF_DIR).collect()}
+    assert sum(right[c] != wrong.get(c) for c in right) > 0.5 * len(right)
+
+
+def test_leaks_against_every_passage(spark):
+    """Recall of the candidates: every passage of every document against every item, by the exact test alone."""
+    from conftest import SF_DIR
+
+    from seekframe.llm.common import prepared, read
+
+    prepared(spark)
+    docs, given = read(spark, SF_DIR, "documents"), read(spark, SF_DIR, "benchmark")
+    rng = random.Random(9)
+    items_ = [(r["item_id"], r["text"]) for r in given.collect()]
+    filler = [r["text"] for r in docs.limit(30).collect() if r["text"]]
+    planted = []
+    for n, (_, text) in enumerate(items_):
+        words = text.split()
+        gone = set(rng.sample(range(len(words)), len(words) // 6))
+        near = " ".join(w for i, w in enumerate(words) if i not in gone)
+        planted.append((10_000 + n, f"{filler[n % len(filler)]} {near} {filler[(n + 1) % len(filler)]}"))
+    planted.append((20_000, "word " * 40_000 + items_[0][1] + " word" * 40_000))
+    every = docs.select("doc_id", "text").union(spark.createDataFrame(planted, "doc_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(every, given).collect()}
+    items, want = decontamination.Items(sorted(items_)), set()
+    for row in every.collect():
+        numbers = np.array([items.numbers.get(w, -1) for w in decontamination.words_of(row["text"] or "")], np.int32)
+        for members, step in items.classes.values():
+            for _, passage in decontamination.passages_of(numbers, step):
+                held = set(passage.tolist())
+                for i in members.tolist():
+                    # Words in common bound the subsequence.
+                    if sum(w in held for w in items.texts[i]) >= decontamination.PARAPHRASE * len(items.texts[i]) and items.leaks(i, passage.tolist())[0]:
+                        want.add((row["doc_id"], items.ids[i]))
+        want |= {(row["doc_id"], items.ids[i]) for i, _ in items.exact(numbers)}
+    assert len(want) > len(items_) and got <= want
+    assert len(got & want) >= 0.95 * len(want) and (20_000, items_[0][0]) in got
