@@ -375,11 +375,15 @@ class Index:
         """Fold ``fan`` or more segments of like size into one, smallest first, until there are none.
 
         Larger segments are neither read nor written. Meant as a job of its own: other
-        commits may go on, and what they void in the merged segments stays void.
+        commits may go on, and what they void in the merged segments stays void. Where
+        another job folded the same segments first, this one leaves it at that.
         """
         index = self
         while (ids := _tier(index.manifest.segments, fan)) is not None:
-            index = index._merge(ids)
+            try:
+                index = index._merge(ids)
+            except LostRace:
+                return index.refresh()
         return index
 
     def _merge(self, ids: list[str]) -> "Index":

@@ -36,7 +36,8 @@ def catalog(spark):
     return Catalog(spark, shared_dir(spark))
 
 
-# The searched names of the user fixture; every other user is "Example <id>".
+# The searched names of the user fixture, on which the golden orders depend; every
+# other user is "Example <id>".
 NAMED = {
     1: "Lara North",
     11: "Larry Casper",
