@@ -44,7 +44,7 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def discreet(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced by the secret's kind; a null text stays null or becomes empty."""
+    """All documents, their secrets replaced by the secret's kind; a null text stays null."""
     prepared(spark)
     return secrets.cleaned(docs)
 
