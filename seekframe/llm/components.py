@@ -29,11 +29,11 @@ def components(links: DataFrame) -> DataFrame:
         if not before[0]:
             break
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Smallest neighbours are parked, so that the hub of a large component is split in the joins.
+        # Smallest neighbours are parked, so that the hub of a large component is split in the join.
         least = parked(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = parked(large.where("u <> v").distinct())
-        least = parked(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = large.where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = parked(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         now = _state(edges)
