@@ -14,6 +14,11 @@ several components then give all pairs across them whose sizes and sketches allo
 similarity, verified in the same way. So no link that a bucket shows is lost, a group of copies
 is never expanded into all its pairs, and links within a component are not tested again.
 
+Members of a bucket of more than ``CROWD`` are bounded by their full sets first. Shingles in at
+most ``RARE`` of them are rare: a pair has at most the smaller number of other shingles in common,
+and the rare ones that it shares, which a join on rare shingles counts. So near copies whose own
+changes keep them below the least similarity are not paired with each other, and no link is lost.
+
 Full sets are sorted 40-bit hashes of shingles (a pair's count is off by one with a chance of
 about 2e-7 at 500 shingles); they are made for documents in shared buckets alone, found by a
 Bloom filter of a fixed size at most, whose false hits the joins drop.
@@ -45,6 +50,8 @@ ROWS, MISS = 3, 2e-4
 #: 0.85 and 0.8 each of 18 and of 24 agrees with a chance of 0.61 and 0.51: fewer than 4 with a
 #: chance of about 1e-4.
 AGREE = 4
+#: Members of a bucket from which on full sets bound the pairs, and those of them that share a rare shingle at most.
+CROWD, RARE = 64, 64
 
 
 def side_of(least: tuple[int, int]) -> int:
@@ -154,6 +161,43 @@ def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataF
     return parked(whole.where(similar("sa", "sb")).select("a", "b").distinct())
 
 
+def _rare(crowd: DataFrame) -> DataFrame:
+    """The rare shingles of crowded nodes: ``shingle, node, version, component``."""
+
+    def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for node, version, component, own in zip(*(c.to_pylist() for c in batch.columns)):
+                held = signed(unpacked(own))
+                same = [pa.array(np.full(len(held), x, np.int64)) for x in (node, version, component)]
+                yield pa.RecordBatch.from_arrays([pa.array(held), *same], ["shingle", "node", "version", "component"])
+
+    kind = "shingle long, node long, version long, component long"
+    held = crowd.select("node", "version", "component", "set").mapInArrow(run, kind)
+    # Parked, so that a shingle that all of them hold is split in the join.
+    few = parked(held.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") <= RARE))
+    return held.join(few.select("shingle"), "shingle")
+
+
+def _crowded(left: DataFrame, sets: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Crowded nodes' ``size`` and ``common``, the number of their shingles that are not rare, and
+    their pairs (a, b, weight) with rare shingles in common. Texts that share an id are versions of a node."""
+    num, den = least
+    crowd = left.where("crowded").select("node", "component").distinct().join(sets, "node")
+    crowd = parked(crowd.withColumn("version", F.xxhash64("set")).dropDuplicates(["node", "version"]))
+    rare = parked(_rare(crowd))
+    size = (F.length("set") / 5).cast("long")
+    own = rare.groupBy("node", "version").agg(F.count("*").alias("rare"))
+    facts = crowd.select("node", "version", size.alias("size")).join(own, ["node", "version"], "left")
+    facts = parked(facts.select("node", "version", "size", (F.col("size") - F.coalesce("rare", F.lit(0))).alias("common")))
+    a, b = (rare.select("shingle", *(F.col(c).alias(c + e) for c in ("node", "version", "component"))) for e in "ab")
+    shared = a.join(b, "shingle").where("componenta < componentb")
+    shared = shared.groupBy("nodea", "versiona", "nodeb", "versionb").agg(F.count("*").alias("weight"))
+    a, b = (facts.select(*(F.col(c).alias(c + e) for c in facts.columns)) for e in "ab")
+    found = shared.join(a, ["nodea", "versiona"]).join(b, ["nodeb", "versionb"])
+    enough = (F.least("commona", "commonb") + F.col("weight")) * (num + den) >= (F.col("sizea") + F.col("sizeb")) * num
+    return facts.drop("version"), found.where(enough).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), "weight")
+
+
 def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     """Pairs whose ends are in different components so far."""
     of = lambda end: joined.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
@@ -218,9 +262,15 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     # Buckets that still hold several components: what lies in different ones.
     named = members.select("key", "node").join(joined, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
-    several = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    left = parked(named.join(several.where("low < high").select("key"), "key").join(first, "node"))
-    a, b = (left.select("key", *(F.col(c).alias(c + e) for c in ("node", "component", "n", "sketches"))) for e in "ab")
+    several = named.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), (F.count("*") > CROWD).alias("crowded")
+    )
+    left = parked(named.join(several.where("low < high").select("key", "crowded"), "key").join(first, "node"))
+    facts, close = _crowded(left, sets, least)
+    # Less than the least similarity of a node's own size in common is too little for any pair.
+    left = left.join(facts, "node", "left").where(~F.col("crowded") | (F.col("common") * den >= F.col("size") * num))
+    facts_of = ("node", "component", "n", "sketches", "size", "common")
+    a, b = (left.select("key", *(F.col(c).alias(c + e) for c in facts_of)) for e in "ab")
     agree = F.expr("aggregate(zip_with(sketchesa, sketchesb, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
     # A pair meets in every table that it shares; the first of them gives its row.
     first_of = lambda low: (
@@ -233,8 +283,11 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
         & (F.col("componenta") < F.col("componentb"))
         & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
         & (agree >= AGREE)
+        # Crowded both: without a rare shingle in common, the others have to do; with one, ``close`` has the pair.
+        & F.coalesce(F.least("commona", "commonb") * (num + den) >= (F.col("sizea") + F.col("sizeb")) * num, F.lit(True))
     )
-    across = across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), agree.cast("long").alias("weight")).distinct()
+    across = across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), agree.cast("long").alias("weight"))
+    across = across.union(close).groupBy("a", "b").agg(F.max("weight").alias("weight"))
     tested = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
     _, joined = _settled(parked(across.join(tested, ["a", "b"], "left_anti")), links, joined, sets, least)
 

@@ -59,6 +59,40 @@ def test_chain_of_near_copies(spark):
     assert sorted(tuple(r) for r in got) == brute_components(rows, 5, 80, 100)
 
 
+def test_near_copies_below_the_least_similarity(spark, monkeypatch):
+    """Copies of one text, most too far from each other: not all pairs are verified, and no link is lost."""
+    prepared(spark)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 300):
+        own = list(base)
+        for place in rng.sample(range(200), rng.choice([2, 9, 11, 13])):
+            own[place] = rng.choice([f"v{i}x{place}", f"y{place % 3}", "and"])
+        rows.append((i, " ".join(own)))
+        if i % 10 == 0:  # a twin of a copy, which has its own changes too
+            own[rng.randrange(200)] = "twin"
+            rows.append((1000 + i, " ".join(own)))
+    rows.append((1010, "another text under the id of a twin " + " ".join(base[50:])))
+    counted, verify = [], neardup.verified
+
+    def verified(pairs, sets, least):
+        counted.append(pairs.count())
+        return verify(pairs, sets, least)
+
+    monkeypatch.setattr(neardup, "verified", verified)
+    found = neardup.link_components(documents(spark, rows[:-1]), 3, (85, 100)).collect()
+    assert sorted(tuple(r) for r in found) == brute_components(rows[:-1], 3, 85, 100)
+    assert sum(counted) < 12 * len(rows), counted
+    # A repeated id has its sets each for itself: what was linked stays linked.
+    alone = {r["doc_id"]: r["component_id"] for r in found}
+    again = neardup.link_components(documents(spark, rows), 3, (85, 100)).collect()
+    groups = {}
+    for r in again:
+        groups.setdefault(alone[r["doc_id"]], set()).add(r["component_id"])
+    assert all(len(g) == 1 for g in groups.values())
+
+
 def test_no_rows(spark):
     prepared(spark)
     assert neardup.link_components(documents(spark, [])).count() == 0
