@@ -60,8 +60,14 @@ MODES = ("upsert", "create", "update", "emplace")
 RETRIES = 3
 #: Changed keys that are looked up as a list the reader can skip by; more are joined.
 LISTED = 1_000
-#: Postings files of a segment at most; beyond it they grow. Their term ranges are read by searches.
+#: Postings files of a segment, about, at most; beyond it they grow. Their term ranges are read by searches.
 MOST_FILES = 4_096
+#: Words whose postings a task sorts, and the tasks at most; beyond it they sort more and cut what they
+#: write into files. Up to so many ranges Spark hands rows out straight to disk; with more, a task
+#: that reads documents sorts all postings of theirs first, in memory that it spills.
+TASK_WORDS, MOST_RANGES = 500_000, 200
+#: Of documents and postings, which make up nearly all that an import writes.
+CODEC = "zstd"
 #: Segments of like size that are merged into one.
 FAN = 8
 #: The change that wrote a document or asked for its removal: a later one wins, whenever it comes.
@@ -396,7 +402,7 @@ class Index:
         parts, docs, words, chunks = [], 0, 0, 0
         if having("docs"):
             laid = self._live_docs(having("docs")).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", self.key)
-            laid.write.partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
+            laid.write.option("compression", CODEC).partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
             facts = self._read("docs", self._docs_schema(), [segment]).agg(F.count(F.lit(1)), F.coalesce(F.sum(LENGTH), F.lit(0))).first()
             docs, words = facts[0], facts[1]
             parts.append("docs")
@@ -659,7 +665,8 @@ class Index:
         ordered = laid.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", self.key)
         cut = ordered.withColumn(RUNS, document_runs(self.text_fields, self.manifest.language))
         cut = cut.withColumns({SOURCE: F.lit(segment), ORDINAL: F.monotonically_increasing_id()})
-        cut.withColumn(LENGTH, run_length(F.col(RUNS))).write.partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
+        written = cut.withColumn(LENGTH, run_length(F.col(RUNS))).write.option("compression", CODEC)
+        written.partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
         return self._read("docs", self._docs_schema(), [segment])
 
     def _write_deletes(self, delete_keys: DataFrame, segment: str) -> DataFrame:
@@ -700,17 +707,34 @@ class Index:
     def _write_words(self, new: DataFrame, counts: dict, segment: str) -> None:
         """Postings of the new documents, the counts of their terms and the ranges of the files."""
         flag = F.col(SOFT_FLAG) if SOFT_FLAG in self.schema.names else F.lit(0)
-        self._write_postings(build_postings(new, self.key, flag, self.manifest.stored), counts["len"], segment)
+        same = {"src": F.lit(segment)}
+        if SOFT_FLAG not in self.schema.names:
+            same["gone"] = F.lit(0)
+        if len(self.text_fields) == 1:
+            # A document without words has one posting, without a term.
+            holds = F.col("term").isNotNull()
+            same |= {"field": F.when(holds, F.lit(self.text_fields[0])), "lead": holds}
+        self._write_postings(build_postings(new, self.key, flag, self.manifest.stored), counts["len"], segment, same)
         own = self._read("postings", self._postings_schema(), [segment]).where("lead")
         own = own.select("term", F.input_file_name().alias("file"))
         counted = own.groupBy("term", "file").agg(F.count(F.lit(1)).alias("df")).select("term", "df", "file")
         self._write_ranges(self._write_terms(counted, segment).where("file IS NOT NULL"), segment)
 
-    def _write_postings(self, built: DataFrame, words: int, segment: str) -> None:
-        """Files of disjoint ranges of (term, ordinal), each sorted: a very common term is many files."""
+    def _write_postings(self, built: DataFrame, words: int, segment: str, same: dict[str, Column] | None = None) -> None:
+        """Files of disjoint ranges of (term, ordinal), each sorted: a very common term is many files.
+
+        What is the same in all postings (``same``) or follows from another column is left out of the exchange.
+        """
+        known = {**(same or {}), "tf": F.array_size("positions")}
         files = min(MOST_FILES, max(1, math.ceil(words / self.manifest.file_words)))
-        laid = built.coalesce(1) if files == 1 else built.repartitionByRange(files, "term", "ord")
-        laid.sortWithinPartitions("term", "src", "ord").write.parquet(f"{self.path}/postings/seg={segment}")
+        ranges = min(MOST_RANGES, max(files, math.ceil(words / TASK_WORDS)))
+        told = built.drop(*known)
+        laid = told.coalesce(1) if ranges == 1 else told.repartitionByRange(ranges, "term", "ord")
+        laid = laid.sortWithinPartitions("term", *(["ord"] if "src" in known else ["src", "ord"]))
+        writer = laid.withColumns(known).select(*built.columns).write.option("compression", CODEC)
+        if files > ranges:
+            writer = writer.option("maxRecordsPerFile", math.ceil(words / files))
+        writer.parquet(f"{self.path}/postings/seg={segment}")
 
     def _write_terms(self, terms: DataFrame, segment: str) -> DataFrame:
         path = f"{self.path}/terms/seg={segment}"

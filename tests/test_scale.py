@@ -7,6 +7,7 @@ from seekframe import Catalog, search, search_index, shared_dir
 from seekframe.operators.rank import Key, Order, top_per_group
 from seekframe.plans import paging
 from seekframe.sources.grams import GramTable
+from seekframe.sources.index import store
 from seekframe.sources.tables import by_keys, key_range, table
 from seekframe.suite import QUERIES
 from seekframe.suite.tables import DOCUMENTS, PART, documents_index
@@ -38,6 +39,32 @@ def small_files(catalog, rows, **settings):
     return index.write(rows.select("doc_id", "text", "lang", "n_chars"))
 
 
+def test_an_import_of_many_files_hands_postings_out_unsorted(spark, monkeypatch):
+    """More files than Spark hands rows out to directly: fewer, wider ranges cut into files, and no constants in the exchange."""
+    asked, frame = [], type(spark.range(1))
+    deal = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda df, n, *by: asked.append((n, df.columns)) or deal(df, n, *by))
+    monkeypatch.setattr(store, "MOST_RANGES", 5, raising=False)
+    rows = [(i, " ".join(f"w{(i * j) % 91}" for j in range(1, 30))) for i in range(60)]
+    catalog = Catalog(spark, shared_dir(spark))
+    index = catalog.create("many", "id", language="simple", file_words=100, buckets=2).write(spark.createDataFrame(rows, "id int, text string"))
+    assert [n for n, _ in asked] == [5]
+    assert not {"src", "gone", "tf", "field", "lead"} & set(asked[0][1])
+    found = index.postings().withColumn("file", F.input_file_name())
+    per_file = found.groupBy("file").agg(F.count("*").alias("n"), F.min(F.struct("term", "ord")).alias("a"), F.max(F.struct("term", "ord")).alias("b"))
+    per_file = per_file.orderBy("a").collect()
+    assert len(per_file) > 10 and all(f["n"] <= 100 for f in per_file)
+    assert all(x["b"] < y["a"] for x, y in zip(per_file, per_file[1:]))
+    places = {}
+    for key, text in rows:
+        for place, word in enumerate(text.split()):
+            places.setdefault((word, key), []).append(place)
+    got = {(r["term"], r["key"]): r for r in found.collect()}
+    assert got.keys() == places.keys()
+    assert all(r["tf"] == len(places[k]) == len(r["positions"]) and r["lead"] and r["gone"] == 0 and r["field"] == "text" for k, r in got.items())
+    assert {r["src"] for r in got.values()} == {index.manifest.segments[0]["id"]}
+
+
 def test_postings_files_have_disjoint_ranges(spark, catalog):
     """A rare word opens one file, a one-letter prefix some, a very common word is split over several."""
     index = small_files(catalog, table(spark, SF_DIR, "documents"))
