@@ -65,6 +65,15 @@ def test_an_import_of_many_files_hands_postings_out_unsorted(spark, monkeypatch)
     assert {r["src"] for r in got.values()} == {index.manifest.segments[0]["id"]}
 
 
+def test_no_task_sorts_all_postings_of_an_import(spark, monkeypatch):
+    """Postings that share a file by the setting are still sorted by as many tasks as they need."""
+    monkeypatch.setattr(store, "TASK_WORDS", 100, raising=False)
+    rows = spark.createDataFrame([(i, f"all w{i} v{i} u{i % 7}") for i in range(100)], "id int, text string")
+    index = Catalog(spark, shared_dir(spark)).create("parts", "id", language="simple", buckets=2).write(rows)
+    assert index.postings().select(F.input_file_name()).distinct().count() > 1
+    assert index.postings().count() == 400
+
+
 def test_postings_files_have_disjoint_ranges(spark, catalog):
     """A rare word opens one file, a one-letter prefix some, a very common word is split over several."""
     index = small_files(catalog, table(spark, SF_DIR, "documents"))
