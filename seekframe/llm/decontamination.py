@@ -42,8 +42,12 @@ SHORT, LONGEST = 8, 256
 LENGTHS = (15, 31, 63, 127, LONGEST)
 #: Passages that are multiplied at a time, and words whose places are summed at a time.
 BLOCK, WORDS = 256, 32_768
+#: Of these, words whose sums stay in a core's cache; cells of a table of passages and words.
+NEAR, CELLS = 2_048, 1 << 22
 
 _WORD = re.compile(r"\w+")
+#: All of ASCII that is in no word, as a space.
+_GAPS = bytes(b if b > 127 or chr(b).isalnum() or b == ord("_") else 32 for b in range(256))
 _SENTENCE = re.compile(r"[.?!:]\s+")
 
 
@@ -70,6 +74,7 @@ class Items:
                 answers.append(answer if answer == texts[-1][-len(answer) :] else texts[-1][-2:])
         names = sorted({w for t in texts for w in t})
         self.numbers = {w: i for i, w in enumerate(names)}
+        self.ascii = {w.encode(): i for w, i in self.numbers.items() if w.isascii()}
         self.texts = [[self.numbers[w] for w in t] for t in texts]
         self.answers = [[self.numbers[w] for w in a] for a in answers]
         self.columns = max(1, min(COLUMNS, len(names)))
@@ -84,6 +89,12 @@ class Items:
         for c in np.unique(place[sizes >= SHORT]).tolist():
             own = np.flatnonzero((place == c) & (sizes >= SHORT))
             self.classes[c] = own, int(sizes[own].max())
+        #: Words of a class's items in rows, filled up with a number that no word has.
+        self.padded = {c: np.full((len(own), longest), len(names), np.intp) for c, (own, longest) in self.classes.items()}
+        for c, (own, _) in self.classes.items():
+            for row, i in zip(self.padded[c], own.tolist()):
+                row[: len(self.texts[i])] = self.texts[i]
+        self.sizes = sizes
         self.step = max(32, max((len(t) for t in texts), default=0))
         #: Length -> hash of a short item's words -> the items.
         self.runs: dict[int, dict[int, list[int]]] = {}
@@ -98,6 +109,32 @@ class Items:
                 own[w] = own.get(w, 0) | 1 << i
             self.masks.append(own)
 
+    def numbered(self, text: bytes) -> np.ndarray:
+        """Word numbers of a whole text, -1 for words that no item has."""
+        if text.isascii():
+            found = map(self.ascii.get, text.lower().translate(_GAPS).split(), repeat(-1))
+        else:
+            found = map(self.numbers.get, words_of(text.decode()), repeat(-1))
+        return np.array(list(found), np.int32)
+
+    def held(self, kind: int, words: np.ndarray, spans: np.ndarray, passage: np.ndarray, member: np.ndarray) -> np.ndarray:
+        """For pairs of a passage (a span of known ``words``, ascending) and an item of a class, by its place there:
+        how many of the item's words the passage has. No common subsequence is longer."""
+        items = self.padded[kind]
+        width, out = len(self.numbers) + 1, np.zeros(len(passage), np.int64)
+        rows, at = np.unique(passage, return_inverse=True)
+        size = max(1, CELLS // max(width, items.size))
+        has = np.zeros((min(size, len(rows)), width), bool)
+        for first in range(0, len(rows), size):
+            own = spans[rows[first : first + size]]
+            n = own[:, 1] - own[:, 0]
+            row, word = np.repeat(np.arange(len(own)), n), words[np.repeat(own[:, 0] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            has[row, word] = True
+            a, b = np.searchsorted(at, [first, first + size])
+            out[a:b] = has[(at[a:b] - first)[:, None], items[member[a:b]]].sum(axis=1)
+            has[row, word] = False
+        return out
+
     def column(self, numbers: np.ndarray) -> np.ndarray:
         """Columns of known words; beyond ``COLUMNS`` words share one by a hash."""
         if len(self.numbers) <= self.columns:
@@ -183,14 +220,13 @@ def numbered(docs: DataFrame, items: Items) -> DataFrame:
     """Texts as word numbers (-1: no word of the benchmark), and each task's passage counts by column."""
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = items.numbers.get
         counts, passages = np.zeros(items.columns, np.int64), 0
         for keys, texts in batches(found):
             out = []
             for text in texts:
-                numbers = np.array(list(map(get, words_of(text.decode()), repeat(-1))), np.int32)
+                numbers = items.numbered(text)
                 out.append(numbers.tobytes())
-                n = len(passages_of(numbers, items.step))
+                n = len(range(0, max(len(numbers) - items.step, 1), items.step)) if len(numbers) else 0
                 passages += n
                 # A word is in the passage that begins in its step and in the one before, where they are.
                 place = np.flatnonzero(numbers >= 0)
@@ -259,11 +295,17 @@ class Sums:
         self.at = np.cumsum([0, *map(len, parts)])
         flat = np.concatenate(parts)
         self.known = np.flatnonzero(flat >= 0)
+        self.words = flat[self.known]
+        columns = items.column(self.words)
         self.sums = np.zeros((len(self.known) + 1, weighted.shape[1]))
-        np.cumsum(weighted[items.column(flat[self.known])], axis=0, dtype=np.float64, out=self.sums[1:])
-
-    def passages(self, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the passages of two steps, one step apart, that hold a known word: stretch, start and unit vector."""
+        for first in range(0, len(columns), NEAR):
+            part = self.sums[first + 1 : first + 1 + NEAR]
+            np.take(weighted, columns[first : first + NEAR], axis=0, out=part, mode="clip")
+            part[0] += self.sums[first]
+            np.add.accumulate(part, axis=0, out=part)
+
+    def passages(self, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the passages of two steps, one step apart, that hold a known word: stretch, start, unit vector and span of known words."""
         starts = [np.arange(-(-first // step) * step, min(last, max(len(x) - step, 1)), step) for _, x, first, last in self.own]
         which = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
         start = np.concatenate(starts)
@@ -273,7 +315,7 @@ class Sums:
         some = np.flatnonzero(high > low)
         vectors = (self.sums[high[some]] - self.sums[low[some]]).astype(np.float32)
         vectors /= np.maximum(np.sqrt((vectors**2).sum(axis=1, keepdims=True)), 1e-9)
-        return which[some], start[some], vectors
+        return which[some], start[some], vectors, np.stack([low[some], high[some]], axis=1)
 
 
 def latent_space(rows: DataFrame, items: Items, idf: np.ndarray, queries: np.ndarray, passages: float) -> np.ndarray:
@@ -350,15 +392,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "item_id", text: str
                 n = len(items.texts[item])
                 yield doc, items.ids[item], start, n, n, 1.0
 
-    weighted = np.ascontiguousarray(idf[:, None] * space)
+    weighted = np.ascontiguousarray(idf[:, None] * space).astype(np.float64)
 
     def near(batch: pa.RecordBatch) -> Iterator[tuple]:
         for own in stretches(batch, items.step):
             sums = Sums(own, items, weighted)
-            for members, step in items.classes.values():
-                which, starts, vectors = sums.passages(step)
+            for kind, (members, step) in items.classes.items():
+                which, starts, vectors, spans = sums.passages(step)
                 cosine = vectors @ there[members].T
-                for i, j in zip(*np.nonzero(cosine >= CUT)):
+                i, j = np.nonzero(cosine >= CUT)
+                # Without so many of the item's words it is no leak, in whatever order they are.
+                enough = items.held(kind, sums.words, spans, i, j) >= PARAPHRASE * items.sizes[members[j]]
+                for i, j in zip(i[enough], j[enough]):
                     doc, numbers = own[which[i]][:2]
                     start = int(starts[i])
                     leak, common = items.leaks(members[j], numbers[start : start + 2 * step].tolist())

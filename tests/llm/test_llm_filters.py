@@ -415,3 +415,27 @@ def test_leaks_against_every_passage(spark):
         want |= {(row["doc_id"], items.ids[i]) for i, _ in items.exact(numbers)}
     assert len(want) > len(items_) and got <= want
     assert len(got & want) >= 0.95 * len(want) and (20_000, items_[0][0]) in got
+
+
+def test_only_candidates_with_enough_words_are_compared():
+    """The words that a passage has bound its common subsequence; texts are cut alike by both ways; sums are those of the words."""
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(40)] + ["é", "naïve", "über_2", "a_b", "x²"]
+    items = decontamination.Items([(i, " ".join(rng.choices(vocabulary, k=rng.randint(8, 60)))) for i in range(25)])
+    odd = ["", "A_B w1,W2.w3\x1cw4\x0bw5\x7fw6", "Über_2-é w7", "x² w8\u2003w9", "İ w10", "w1_w2", "W11\x00w12"]
+    for text in odd:
+        want = [items.numbers.get(w, -1) for w in decontamination.words_of(text)]
+        assert items.numbered(text.encode()).tolist() == want
+    texts = [" ".join(rng.choices([*vocabulary, "none"], k=n)) for n in (0, 1, 5, 700, 5000)]
+    own = [(i, n, 0, len(n)) for i, n in enumerate(items.numbered(t.encode()) for t in texts) if len(n)]
+    weighted = np.random.default_rng(1).normal(size=(items.columns, 8))
+    sums = decontamination.Sums(own, items, weighted)
+    assert np.allclose(sums.sums[-1], weighted[sums.words].sum(axis=0))
+    for kind, (members, step) in items.classes.items():
+        which, starts, vectors, spans = sums.passages(step)
+        i, j = (x.ravel() for x in np.indices((len(which), len(members))))
+        held = items.held(kind, sums.words, spans, i, j)
+        for a, b, n in zip(i.tolist(), j.tolist(), held.tolist()):
+            passage = own[which[a]][1][starts[a] : starts[a] + 2 * step].tolist()
+            text = items.texts[members[b]]
+            assert n == sum(w in set(passage) for w in text) >= items.shared(members[b], passage)
