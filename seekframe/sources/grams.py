@@ -8,7 +8,7 @@ rest, and the search itself still tests every row it reads.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,8 @@ from seekframe.spec import SearchSpec, evaluate
 #: Letters of a gram; rows of a block, as bits of a row's number; bytes of a row group.
 GRAM, BLOCK_BITS, ROW_GROUP = 3, 10, 4 << 20
 BLOCK = "__block"
+#: Rows whose texts a task's worker holds at a time.
+BATCH_ROWS = 256
 #: Blocks that are named to the reader one by one; more are joined.
 LISTED = 1_000
 #: Letters beyond these may have more than one written form; grams with them choose nothing.
@@ -32,6 +34,53 @@ def grams_of(text: str) -> list[str]:
     return [g for g in found if max(g) < PLAIN]
 
 
+def cutter(gram: int = GRAM) -> Callable[[Iterable], Iterator]:
+    """A task's work: the distinct grams of each run of rows of one block, ``block, text`` to ``block, gram``.
+
+    A gram's letters are one number, so that those of many rows are sorted at once. It knows nothing
+    of this package, as it is sent to the tasks by value.
+    """
+
+    def cut(found: Iterable) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def numbers(texts: list[bytes]) -> np.ndarray:
+            each = []
+            for text in texts:
+                letters = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
+                own = letters[: max(len(letters) - gram + 1, 0)]
+                for i in range(1, gram):
+                    own = own << np.uint64(21) | letters[i : i + len(own)]
+                each.append(own)
+            return np.unique(np.concatenate(each))
+
+        def rows(block: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+            own = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+            letters = [own >> np.uint64(21 * (gram - 1 - i)) & np.uint64((1 << 21) - 1) for i in range(gram)]
+            shown = np.stack(letters, axis=1).astype("<u4").tobytes().decode("utf-32-le")
+            grams = pa.array([shown[i : i + gram] for i in range(0, len(shown), gram)], pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block), pa.int64()), grams], ["__block", "gram"])
+
+        last, held = None, []
+        for batch in found:
+            blocks = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            edges = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                if blocks[a] != last and held:
+                    yield rows(last, held)
+                    held = []
+                last = int(blocks[a])
+                held.append(numbers(texts[a:b]))
+        if held:
+            yield rows(last, held)
+
+    return cut
+
+
 class GramTable:
     """Rows and grams below one folder; ``containing`` and ``like`` are supersets of what a search of that string finds."""
 
@@ -48,11 +97,16 @@ class GramTable:
         values = [evaluate(field) for field in spec.fields(df.columns).values()]
         kinds = rows.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).schema
         shown = F.concat_ws("\n", *[render_text(v, k.dataType, null_text=True) for v, k in zip(values, kinds)])
-        cut = rows.select(BLOCK, F.split(F.lower(shown), "").alias("c"))
-        places = F.when(F.size("c") >= GRAM, F.sequence(F.lit(0), F.size("c") - GRAM))
-        grams = F.transform(places, lambda i: F.concat(*[F.get("c", i + j) for j in range(GRAM)]))
-        each = cut.select(BLOCK, F.explode(F.array_distinct(grams)).alias("gram")).distinct()
-        each.repartitionByRange("gram", BLOCK).sortWithinPartitions("gram", BLOCK).write.parquet(f"{made.path}/grams")
+        each = rows.select(BLOCK, F.lower(shown).alias("text")).mapInArrow(cutter(), f"{BLOCK} long, gram string")
+        # A block that two tasks read has its grams twice.
+        each = each.distinct()
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = df.sparkSession.conf.get(name)
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+        try:
+            each.repartitionByRange("gram", BLOCK).sortWithinPartitions("gram", BLOCK).write.parquet(f"{made.path}/grams")
+        finally:
+            df.sparkSession.conf.set(name, before)
         return made
 
     def _rows(self) -> DataFrame:

@@ -1,12 +1,13 @@
 """Plans that must hold on a large cluster."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from seekframe import Catalog, search, search_index, shared_dir
 from seekframe.operators.rank import Key, Order, top_per_group
 from seekframe.plans import paging
-from seekframe.sources.grams import GramTable
+from seekframe.sources.grams import GramTable, cutter
 from seekframe.sources.index import store
 from seekframe.sources.tables import by_keys, key_range, table
 from seekframe.suite import QUERIES
@@ -188,6 +189,20 @@ def test_deep_pages_are_selected_without_a_sort(spark, monkeypatch):
     assert [r["a"] for r in tied.collect()] == places[2400:2500]
 
 
+def test_grams_are_cut_once_for_a_block(spark):
+    """Grams of a block leave its task once, not once for each row; those of odd letters are whole."""
+    texts = ["abcd", "abcd", None, "ab", "x\x00\x00\x00", "a\U0001f600b\U0001f600", "bcde"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = shared_dir(spark)
+    GramTable.build(docs, DOCUMENTS, path, block_bits=9)
+    want = {t[i : i + 3] for t in map(lambda t: "null" if t is None else t, texts) for i in range(len(t) - 2)}
+    got = spark.read.parquet(f"{path}/grams").collect()
+    assert sorted(r["gram"] for r in got) == sorted(want)
+    rows = [(7, b"abcd"), (7, b"bcd"), (8, b"bcd"), (8, b"")]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 2])], ["b", "t"]) for i in (0, 2)]
+    assert [x for b in cutter()(batches) for x in zip(*(c.to_pylist() for c in b.columns))] == [(7, "abc"), (7, "bcd"), (8, "bcd")]
+
+
 def test_grams_skip_blocks(spark):
     """A rare string reads few blocks and finds what a scan finds; odd strings lose nothing."""
     extra = [(10**9 + i, t) for i, t in enumerate(["zqxj here", "ZQXJ", None, "", "ab", "a\U0001f600b zq\U0001f600xj", "\u0130stanbul", "50%_off", "tab\tzqx"])]
