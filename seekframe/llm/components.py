@@ -9,12 +9,21 @@ from seekframe.llm.common import parked
 
 #: Rounds at most; each about halves the longest way to a component's smallest node.
 ROUNDS = 60
+#: Edges that a task writes, about, and tasks at least and at most: a round on few edges writes few files,
+#: whatever the session's number of partitions; one on many is left to that number.
+TASK_EDGES, LEAST_TASKS, MOST_TASKS = 20_000, 6, 32
 
 
 def _state(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
 
+def _gathered(df: DataFrame, edges: int) -> DataFrame:
+    # An exchange, not a coalesce: a task would hold the memory of all partitions that it takes over.
+    tasks = max(LEAST_TASKS, -(-edges // TASK_EDGES))
+    return df.repartition(tasks) if tasks <= MOST_TASKS else df
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node it reaches, for every node of ``links`` (a, b).
 
@@ -30,12 +39,12 @@ def components(links: DataFrame) -> DataFrame:
             break
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Smallest neighbours are parked, so that the hub of a large component is split in the join.
-        least = parked(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        least = parked(_gathered(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), 2 * before[0]))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = parked(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = parked(_gathered(small.union(least.select("u", F.col("m").alias("v"))).distinct(), before[0]))
         now = _state(edges)
         if now == before:
             break
@@ -44,4 +53,4 @@ def components(links: DataFrame) -> DataFrame:
         raise RuntimeError("components did not settle")
     found = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return parked(found.union(roots.join(found, "node", "left_anti")))
+    return parked(_gathered(found.union(roots.join(found, "node", "left_anti")), 2 * before[0]))

@@ -278,13 +278,14 @@ def link_components(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     )
     i, j = first_of(0), first_of(side)
     once = F.expr(f"key = xxhash64(cast({i} * {side} + {j} as int), get(sketchesa, cast({i} as int)), get(sketchesa, cast({side} + {j} as int)))")
+    # The tests stand by their cost: a pair that numbers rule out never has its sketches compared.
     across = a.join(b, "key").where(
-        once
-        & (F.col("componenta") < F.col("componentb"))
+        (F.col("componenta") < F.col("componentb"))
         & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-        & (agree >= AGREE)
         # Crowded both: without a rare shingle in common, the others have to do; with one, ``close`` has the pair.
         & F.coalesce(F.least("commona", "commonb") * (num + den) >= (F.col("sizea") + F.col("sizeb")) * num, F.lit(True))
+        & (agree >= AGREE)
+        & once
     )
     across = across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), agree.cast("long").alias("weight"))
     across = across.union(close).groupBy("a", "b").agg(F.max("weight").alias("weight"))

@@ -9,7 +9,7 @@ from llm_rows import documents, texts
 
 from seekframe.llm import neardup, substrings
 from seekframe.llm.common import prepared
-from seekframe.llm.components import components
+from seekframe.llm.components import LEAST_TASKS, components
 from seekframe.llm.without import without
 
 
@@ -158,3 +158,30 @@ def test_without(spark):
     left = without(docs, spark.createDataFrame([(5,), (200,), (None,), (12345,)], "doc_id long"))
     assert left.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(str(k) for k, _ in texts() if k not in (5, 200))
+
+
+def test_components_of_few_links_are_few_tasks(spark):
+    """Many partitions of the session do not become as many files a round."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    rng = random.Random(5)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)]
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = components(spark.createDataFrame(links, "a long, b long"))
+        assert 0 < len(found.inputFiles()) <= LEAST_TASKS
+        got = {r["node"]: r["component"] for r in found.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    least = {n: n for pair in links for n in pair if pair[0] != pair[1]}
+    while True:
+        new = dict(least)
+        for a, b in links:
+            if a != b:
+                new[a] = new[b] = min(new[a], new[b])
+        if new == least:
+            break
+        least = new
+    assert got == least
