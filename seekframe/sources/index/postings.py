@@ -18,6 +18,8 @@ LENGTH, RUNS, ORDINAL, SOURCE = "__len", "__runs", "__ord", "__src"
 #: Stored values of declared fields, beside the postings.
 STORED = "_f_"
 RUN = "term string, field string, tf int, positions array<int>, first_rank int, lead boolean"
+#: A posting on its way: the columns of its document, and its places and term as one text.
+DOCUMENT, WORD = "__doc", "__word"
 
 
 def bucket_of(value: Column, buckets: int) -> Column:
@@ -84,3 +86,35 @@ def build_postings(docs: DataFrame, key: str, flag: Column, stored: Sequence[str
         *own,
         F.explode(RUNS).alias("p"),
     ).select("p.*", "key", "len", "gone", "src", "ord", *[STORED + f for f in stored])
+
+
+def packed(postings: DataFrame) -> DataFrame:
+    """Postings as an exchange moves them.
+
+    What a posting has of its document comes first and together, so rows of one document that follow
+    each other repeat it byte by byte; in a text a number is as long as its digits, not eight bytes.
+    """
+    moved = ("ord", "term", "positions", "first_rank", "field", "lead")
+    # The first rank as its distance from the first place: sentence breaks before it alone.
+    numbers = F.concat(F.array(F.col("first_rank") - F.get("positions", F.lit(0))), F.col("positions"))
+    word = F.concat(F.concat_ws(",", numbers.cast("array<string>")), F.lit(" "), F.col("term"))
+    own = F.struct(*[c for c in postings.columns if c not in moved]).alias(DOCUMENT)
+    return postings.select("ord", own, *[c for c in ("field", "lead") if c in postings.columns], word.alias(WORD))
+
+
+def packed_term() -> Column:
+    """The term of a packed posting: all behind the first space."""
+    word = F.col(WORD)
+    return word.substr(F.instr(word, " ") + 1, F.length(word))
+
+
+def unpacked(moved: DataFrame) -> DataFrame:
+    """What ``packed`` was given; a posting without a term has neither places nor rank."""
+    numbers = F.split(F.substring_index(WORD, " ", 1), ",").cast("array<int>")
+    return moved.select(
+        packed_term().alias("term"),
+        F.slice(numbers, F.lit(2), F.size(numbers) - 1).alias("positions"),
+        (F.get(numbers, F.lit(0)) + F.get(numbers, F.lit(1))).alias("first_rank"),
+        f"{DOCUMENT}.*",
+        *[c for c in moved.columns if c not in (DOCUMENT, WORD)],
+    )

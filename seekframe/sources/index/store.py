@@ -48,7 +48,10 @@ from seekframe.sources.index.postings import (
     bucket_of,
     build_postings,
     document_runs,
+    packed,
+    packed_term,
     run_length,
+    unpacked,
 )
 from seekframe.sources.tables import by_keys, key_range
 from seekframe.spec import SOFT_FLAG, SearchSpec, documents
@@ -68,6 +71,8 @@ MOST_FILES = 4_096
 TASK_WORDS, MOST_RANGES = 500_000, 200
 #: Of documents and postings, which make up nearly all that an import writes.
 CODEC = "zstd"
+#: Of documents: a term of theirs is written as what it adds to the one before.
+DOCS_FORMAT = {"compression": CODEC, "parquet.writer.version": "PARQUET_2_0"}
 #: Segments of like size that are merged into one.
 FAN = 8
 #: The change that wrote a document or asked for its removal: a later one wins, whenever it comes.
@@ -402,7 +407,7 @@ class Index:
         parts, docs, words, chunks = [], 0, 0, 0
         if having("docs"):
             laid = self._live_docs(having("docs")).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", self.key)
-            laid.write.option("compression", CODEC).partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
+            laid.write.options(**DOCS_FORMAT).partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
             facts = self._read("docs", self._docs_schema(), [segment]).agg(F.count(F.lit(1)), F.coalesce(F.sum(LENGTH), F.lit(0))).first()
             docs, words = facts[0], facts[1]
             parts.append("docs")
@@ -412,11 +417,10 @@ class Index:
             parts.append("postings")
         if having("terms"):
             old = self._read("terms", TERMS, having("terms")).groupBy("term").agg(F.sum("df").alias("df")).where("df <> 0")
-            self._write_terms(old.withColumn("file", F.lit(None).cast("string")), segment)
+            self._write_terms(old, segment)
             parts.append("terms")
         if having("postings"):
-            found = self._read("postings", self._postings_schema(), [segment]).select("term", F.input_file_name().alias("file"))
-            self._write_ranges(found, segment)
+            self._write_ranges(self._placed(segment).select("term", "file").distinct(), segment)
         if having("voids"):
             # Bits of documents that these segments hold have done their work.
             own = self._read("docs", self._docs_schema(), having("docs")).select(F.col(SOURCE).alias("of")).distinct()
@@ -665,7 +669,7 @@ class Index:
         ordered = laid.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", self.key)
         cut = ordered.withColumn(RUNS, document_runs(self.text_fields, self.manifest.language))
         cut = cut.withColumns({SOURCE: F.lit(segment), ORDINAL: F.monotonically_increasing_id()})
-        written = cut.withColumn(LENGTH, run_length(F.col(RUNS))).write.option("compression", CODEC)
+        written = cut.withColumn(LENGTH, run_length(F.col(RUNS))).write.options(**DOCS_FORMAT)
         written.partitionBy("bucket").parquet(f"{self.path}/docs/seg={segment}")
         return self._read("docs", self._docs_schema(), [segment])
 
@@ -701,7 +705,7 @@ class Index:
             bitmaps(removed, "src", "ord").write.parquet(f"{self.path}/voids/seg={segment}")
             if self.text_fields:
                 lost = removed.select(F.explode("terms").alias("term")).groupBy("term").agg((-F.count(F.lit(1))).alias("df"))
-                self._write_terms(lost.withColumn("file", F.lit(None).cast("string")), segment)
+                self._write_terms(lost, segment)
         return gone.asDict()
 
     def _write_words(self, new: DataFrame, counts: dict, segment: str) -> None:
@@ -715,10 +719,8 @@ class Index:
             holds = F.col("term").isNotNull()
             same |= {"field": F.when(holds, F.lit(self.text_fields[0])), "lead": holds}
         self._write_postings(build_postings(new, self.key, flag, self.manifest.stored), counts["len"], segment, same)
-        own = self._read("postings", self._postings_schema(), [segment]).where("lead")
-        own = own.select("term", F.input_file_name().alias("file"))
-        counted = own.groupBy("term", "file").agg(F.count(F.lit(1)).alias("df")).select("term", "df", "file")
-        self._write_ranges(self._write_terms(counted, segment).where("file IS NOT NULL"), segment)
+        counted = self._placed(segment).groupBy("term", "file").agg(F.count(F.when(F.col("lead"), 1)).alias("df"))
+        self._write_ranges(self._write_terms(counted.select("term", "df", "file"), segment), segment)
 
     def _write_postings(self, built: DataFrame, words: int, segment: str, same: dict[str, Column] | None = None) -> None:
         """Files of disjoint ranges of (term, ordinal), each sorted: a very common term is many files.
@@ -729,23 +731,28 @@ class Index:
         files = min(MOST_FILES, max(1, math.ceil(words / self.manifest.file_words)))
         ranges = min(MOST_RANGES, max(files, math.ceil(words / TASK_WORDS)))
         told = built.drop(*known)
-        laid = told.coalesce(1) if ranges == 1 else told.repartitionByRange(ranges, "term", "ord")
+        laid = told.coalesce(1) if ranges == 1 else unpacked(packed(told).repartitionByRange(ranges, packed_term(), "ord"))
         laid = laid.sortWithinPartitions("term", *(["ord"] if "src" in known else ["src", "ord"]))
         writer = laid.withColumns(known).select(*built.columns).write.option("compression", CODEC)
         if files > ranges:
             writer = writer.option("maxRecordsPerFile", math.ceil(words / files))
         writer.parquet(f"{self.path}/postings/seg={segment}")
 
+    def _placed(self, segment: str) -> DataFrame:
+        """The terms of a segment's postings, and the names of the files they stand in."""
+        found = self._read("postings", self._postings_schema(), [segment]).where("term IS NOT NULL")
+        return found.select("term", "lead", F.substring_index(F.input_file_name(), "/", -1).alias("file"))
+
     def _write_terms(self, terms: DataFrame, segment: str) -> DataFrame:
         path = f"{self.path}/terms/seg={segment}"
-        terms.hint("rebalance").sortWithinPartitions("term").write.mode("append").parquet(path)
-        return self._read("terms", TERMS, [segment])
-
-    def _write_ranges(self, terms: DataFrame, segment: str) -> None:
-        """First and last term of each file (at most ``MOST_FILES``)."""
-        rows = terms.groupBy("file").agg(F.min("term").alias("first"), F.max("term").alias("last")).orderBy("first").collect()
-        listed = [[r["file"].rsplit("/", 1)[-1], r["first"], r["last"]] for r in rows]
-        self._files.publish(f"{self.manifest.name}/ranges/seg={segment}.json", json.dumps(listed))
+        # Terms come out of an aggregate's exchange, which is cut to size already.
+        terms.sortWithinPartitions("term").write.mode("append").parquet(path)
+        return self._read("terms", TERMS, [segment]).where("file IS NOT NULL")
+
+    def _write_ranges(self, placed: DataFrame, segment: str) -> None:
+        """First and last term of each file (at most ``MOST_FILES``). Takes a term of a file once: this aggregate sorts."""
+        rows = placed.groupBy("file").agg(F.min("term").alias("first"), F.max("term").alias("last")).orderBy("first").collect()
+        self._files.publish(f"{self.manifest.name}/ranges/seg={segment}.json", json.dumps([[r["file"], r["first"], r["last"]] for r in rows]))
 
 
 TERMS = "term string, df long, file string"

@@ -218,3 +218,61 @@ def test_grams_skip_blocks(spark):
         assert {r["doc_id"] for r in search(grams.like(pattern), spec, pattern).get().collect()} == want, pattern
     assert grams.containing("zqxj").count() < docs.count() / 5
     assert "In(__block" in plan(grams.containing("zqxj")) or "EqualTo(__block" in plan(grams.containing("zqxj"))
+
+
+def _dealt(spark, monkeypatch, made):
+    """The columns of each range exchange while an index is made, and the index."""
+    asked, frame = [], type(spark.range(1))
+    deal = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda df, n, *by: asked.append(df.schema) or deal(df, n, *by))
+    return made(), asked
+
+
+def test_postings_travel_packed(spark, monkeypatch):
+    """One text for term and places, what belongs to the document once and first; all of it comes back, odd documents too."""
+    monkeypatch.setattr(store, "TASK_WORDS", 5)
+    texts = ["a b a. C! b", "", None, "\U0001f600 ä\U00020000x 7,7 ß", "a " * 200, "x.y.z. x"]
+    rows = [(i, t, f"n {i}, {i}", None if i == 2 else i / 3) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "id long, text string, note string, weight double")
+
+    def made(fields, words):
+        monkeypatch.setattr(store, "TASK_WORDS", words)
+        index = Catalog(spark, shared_dir(spark)).create("p", "id", language="simple", searchable=fields, filterable=["note", "weight"], buckets=2)
+        return index.write(docs)
+
+    for fields in (["text"], ["text", "note"]):
+        index, asked = _dealt(spark, monkeypatch, lambda: made(fields, 5))
+        assert len(asked) == 1 and {"term", "positions", "first_rank", "key", "len", "_f_note"}.isdisjoint(asked[0].names)
+        whole, none = _dealt(spark, monkeypatch, lambda: made(fields, 10**6))
+        assert not none
+        columns = [c for c in whole.postings().columns if c not in ("src", "ord", "seg")]
+        assert index.postings().schema == whole.postings().schema
+        assert index.postings().select(F.input_file_name()).distinct().count() > 1
+
+        def told(of):
+            return sorted(str(tuple(r)) for r in of.postings().select(columns).collect())
+
+        assert told(index) == told(whole) and len(told(index)) > 10
+
+
+def test_terms_move_once_with_short_names(spark, monkeypatch):
+    """Counted terms are written straight from their aggregate, with a file's name and not its path."""
+    hinted, frame = [], type(spark.range(1))
+    hint = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, *how: hinted.append(df.columns) or hint(df, *how))
+    rows = spark.createDataFrame([(i, f"all w{i} v{i} u{i % 7}") for i in range(50)], "id int, text string")
+    index = Catalog(spark, shared_dir(spark)).create("t", "id", language="simple", buckets=2).write(rows)
+    assert not [c for c in hinted if "term" in c]
+    path = f"{index.path}/terms/seg={index.manifest.segments[0]['id']}"
+    assert not [r for r in spark.read.parquet(path).select("file").distinct().collect() if "/" in r["file"]]
+
+
+def test_a_file_is_found_by_any_field(spark, monkeypatch):
+    """Files are cut between two fields' postings of one word: the later field is found as well."""
+    monkeypatch.setattr(store, "MOST_RANGES", 1)
+    rows = spark.createDataFrame([(i, "same", "same") for i in range(9)], "id int, a string, b string")
+    index = Catalog(spark, shared_dir(spark)).create("f", "id", language="simple", file_words=3, buckets=2).write(rows)
+    segment = index.manifest.segments[0]["id"]
+    files = index.postings().select(F.input_file_name()).distinct().count()
+    assert files > 3 and len(index.posting_files(segment, [("same", False)])) == files
+    assert index.postings([("same", False)]).count() == 18
